@@ -47,11 +47,11 @@ def amortize_rifee_estimated(df: DataFrame, last_trx: dt.datetime | None) -> Dat
     last_date = F.lit(last_trx.date() if last_trx else None).cast("date")
     x = df.withColumn("_days", days).withColumn("_slice", _day_slices(is_fee, c("_days")))
     sliced = c("_slice") >= 0
-    new_d = F.date_add(d, c("_slice"))
-    x = (x.withColumn("usage_date", F.when(sliced, new_d).otherwise(d))
-          .withColumn("usage_date_hour", F.when(sliced, new_d.cast("timestamp_ntz")).otherwise(c("usage_date_hour")))
+    x = x.withColumn("_new_date", F.date_add(d, c("_slice")))
+    x = (x.withColumn("usage_date_hour", F.when(sliced, c("_new_date").cast("timestamp_ntz")).otherwise(c("usage_date_hour")))
+          .withColumn("usage_date", F.when(sliced, c("_new_date")).otherwise(d))
           .withColumn("unblended_cost", F.when(sliced, (c("unblended_cost") / c("_days")).cast(K.MONEY))
                       .otherwise(c("unblended_cost")))
           .withColumn("quantity", F.when(sliced, (c("quantity") / c("_days")).cast(K.MONEY)).otherwise(c("quantity")))
           .withColumn("note", F.when(sliced, F.lit(K.NOTE_AMORTIZED_SUMMARY)).otherwise(c("note"))))
-    return x.where(~sliced | (c("usage_date") <= last_date)).drop("_days", "_slice")
+    return x.where(~sliced | (c("usage_date") <= last_date)).drop("_days", "_slice", "_new_date")
