@@ -26,7 +26,7 @@ from costloom.operators import rollup as R
 from costloom.operators import spot as SPT
 from costloom.operators.calendar import month_calendar
 from costloom.operators.normalize import normalize_bill
-from costloom.session import materialize
+from costloom.session import bounded_broadcast, materialize
 from costloom.sources.catalog import Catalog
 
 
@@ -50,13 +50,13 @@ class DailyJob:
         self.adhoc_scope = adhoc_scope
         self.checkpoint = checkpoint
 
-    def _keep(self, df: DataFrame) -> DataFrame:
-        return materialize(df) if self.checkpoint else df
+    def _keep(self, df: DataFrame, name: str) -> DataFrame:
+        return materialize(df, f"daily-{self.month}-{name}") if self.checkpoint else df
 
     # -- (1) scan, normalise, hourly aggregate ------------------------------------------
     @cached_property
     def hourly(self) -> DataFrame:
-        return self._keep(normalize_bill(self.cat.cost_usage_report, self.cat.account_config, self.month))
+        return self._keep(normalize_bill(self.cat.cost_usage_report, self.cat.account_config, self.month), "hourly")
 
     @cached_property
     def scalars(self) -> dict:
@@ -96,8 +96,12 @@ class DailyJob:
                                   self.cat.adhoc_billing_schedule_hours, month_calendar(self.spark, self.month),
                                   self.month)
 
+    @cached_property
+    def _alloc(self) -> DataFrame:
+        return bounded_broadcast(ADH.adhoc_weights(self.adhoc_schedule(), self.adhoc_scope))
+
     def adhoc_alloc(self) -> DataFrame:
-        return ADH.adhoc_weights(self.adhoc_schedule(), self.adhoc_scope)
+        return self._alloc
 
     def after_adhoc(self) -> DataFrame:
         measures = {m: K.MONEY for m in ("line_item_unblended_cost", "pricing_public_on_demand_cost",
@@ -114,7 +118,7 @@ class DailyJob:
 
     @cached_property
     def backfilled(self) -> DataFrame:
-        return self._keep(FEES.backfill_zero_ondemand(self.rolled()))
+        return self._keep(FEES.backfill_zero_ondemand(self.rolled()), "daily")
 
     # -- (5) kube ------------------------------------------------------------------------------
     def kube_weights(self) -> DataFrame:
@@ -132,10 +136,14 @@ class DailyJob:
             c("month_id") == F.lit(self.month)).isEmpty()
         return has_rows and has_usage
 
-    def after_kube(self) -> DataFrame:
+    @cached_property
+    def _after_kube(self) -> DataFrame:
         if not self.kube_enabled:
             return self.backfilled
-        return KUB.reallocate_kube_daily(self.backfilled, self.kube_weights())
+        return KUB.reallocate_kube_daily(self.backfilled, bounded_broadcast(self.kube_weights()))
+
+    def after_kube(self) -> DataFrame:
+        return self._after_kube
 
     # -- (6) upfront fee rows ------------------------------------------------------------------
     def upfront_rows(self) -> DataFrame:

@@ -22,7 +22,7 @@ from costloom.operators import rollup as R
 from costloom.operators import spot as SPT
 from costloom.operators.calendar import month_calendar
 from costloom.operators.normalize import latest_month, normalize_detail
-from costloom.session import materialize
+from costloom.session import bounded_broadcast, materialize
 from costloom.sources.catalog import Catalog
 
 
@@ -43,8 +43,8 @@ class DetailJob:
         self.adhoc_scope = adhoc_scope
         self.checkpoint = checkpoint
 
-    def _keep(self, df: DataFrame) -> DataFrame:
-        return materialize(df) if self.checkpoint else df
+    def _keep(self, df: DataFrame, name: str) -> DataFrame:
+        return materialize(df, f"detail-{self.month}-{name}") if self.checkpoint else df
 
     def latest_month(self) -> DataFrame:
         return latest_month(self.cat.usage_transaction)
@@ -61,11 +61,15 @@ class DetailJob:
     def after_zero(self) -> DataFrame:
         return FEES.drop_rounded_zero(self.after_spot(), "retail_cost", 8)
 
-    def adhoc_alloc(self) -> DataFrame:
+    @cached_property
+    def _alloc(self) -> DataFrame:
         sched = ADH.adhoc_schedule(self.cat.adhoc_billing, self.cat.adhoc_billing_instance,
                                    self.cat.adhoc_billing_schedule_hours, month_calendar(self.spark, self.month),
                                    self.month)
-        return ADH.adhoc_weights(sched, self.adhoc_scope)
+        return bounded_broadcast(ADH.adhoc_weights(sched, self.adhoc_scope))
+
+    def adhoc_alloc(self) -> DataFrame:
+        return self._alloc
 
     def after_adhoc(self) -> DataFrame:
         return ADH.reallocate_adhoc(self.after_zero(), self.adhoc_alloc(), account_col="account_id",
@@ -76,7 +80,7 @@ class DetailJob:
 
     @cached_property
     def rolled(self) -> DataFrame:
-        return self._keep(R.detail_rollup(self.after_adhoc(), self.cat.account_config))
+        return self._keep(R.detail_rollup(self.after_adhoc(), self.cat.account_config), "final")
 
     def infra_weights(self) -> DataFrame:
         return INF.infra_weights_monthly(self.rolled, self.cat.azure_cost_summary, self.month)

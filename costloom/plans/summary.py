@@ -24,7 +24,7 @@ from costloom.operators import spot as SPT
 from costloom.operators.calendar import month_calendar
 from costloom.operators.normalize import normalize_summary
 from costloom.plans.detail import resolve_latest
-from costloom.session import materialize
+from costloom.session import bounded_broadcast, materialize
 from costloom.sources.catalog import Catalog
 
 
@@ -41,8 +41,8 @@ class SummaryJob:
         self.adhoc_scope = adhoc_scope
         self.checkpoint = checkpoint
 
-    def _keep(self, df: DataFrame) -> DataFrame:
-        return materialize(df) if self.checkpoint else df
+    def _keep(self, df: DataFrame, name: str) -> DataFrame:
+        return materialize(df, f"summary-{self.source.lower()}-{name}") if self.checkpoint else df
 
     @cached_property
     def normalized(self) -> DataFrame:
@@ -53,7 +53,7 @@ class SummaryJob:
         else:
             df = normalize_summary(c_.usage_transaction, c_.account_config, c_.rifee, c_.resource_user,
                                    c_.resource_tag, "ACTUAL", self.requested_month)
-        return self._keep(df)
+        return self._keep(df, "trx")
 
     @cached_property
     def scalars(self) -> dict:
@@ -95,11 +95,15 @@ class SummaryJob:
             return self.after_spot()
         return AMO.amortize_rifee_estimated(self.after_spot(), self.last_trx)
 
-    def adhoc_alloc(self) -> DataFrame:
+    @cached_property
+    def _alloc(self) -> DataFrame:
         sched = ADH.adhoc_schedule(self.cat.adhoc_billing, self.cat.adhoc_billing_instance,
                                    self.cat.adhoc_billing_schedule_hours, month_calendar(self.spark, self.month),
                                    self.month)
-        return ADH.adhoc_weights(sched, self.adhoc_scope)
+        return bounded_broadcast(ADH.adhoc_weights(sched, self.adhoc_scope))
+
+    def adhoc_alloc(self) -> DataFrame:
+        return self._alloc
 
     def after_adhoc(self) -> DataFrame:
         return ADH.reallocate_adhoc(self.after_amortize(), self.adhoc_alloc(), account_col="account_id",
@@ -121,11 +125,11 @@ class SummaryJob:
         has_usage = not self.cat.kube_monthly_namespace_usage.where(c("month_id") == F.lit(self.month)).isEmpty()
         if not has_usage:
             return self.rolled()
-        return KUB.reallocate_kube_summary(self.rolled(), self.kube_weights())
+        return KUB.reallocate_kube_summary(self.rolled(), bounded_broadcast(self.kube_weights()))
 
     @cached_property
     def weighted(self) -> DataFrame:
-        return self._keep(R.weight_actual_cost(self.after_kube(), self.cat.account_config))
+        return self._keep(R.weight_actual_cost(self.after_kube(), self.cat.account_config), "final")
 
     def infra_weights(self) -> DataFrame:
         return INF.infra_weights_monthly(self.weighted, self.cat.azure_cost_summary, self.month)

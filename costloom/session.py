@@ -4,8 +4,14 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Derived lookup tables (allocation slots, kube weights) are broadcast only when counted
+# at or below this many rows; past it they stay on the shuffle (sort-merge) join path.
+MAX_BROADCAST_ROWS = 2_000_000
 
 
 def build_session(app: str = "costloom", master: str | None = None,
@@ -52,7 +58,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def stage_root(spark: SparkSession) -> str:
+    return ensure_checkpoint_dir(spark).rstrip("/") + "/costloom-stages"
+
+
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage by writing the stage as Parquet under the shared checkpoint folder and
+    reading it back. Unlike an RDD checkpoint, the re-read prunes columns, pushes filters
+    and carries size statistics; and a lost executor costs a re-read, not a recompute."""
+    path = f"{stage_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint behind a size check: Spark cannot estimate the size of small tables
+    derived through aggregates and generators, so count them (they are config-sized)."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

@@ -69,9 +69,7 @@ class FixtureCatalog(Catalog):
         return out
 
     def _config(self, name: str) -> DataFrame:
-        cols, rows = FX.CONFIG_TABLES[name]
-        schema = ", ".join(f"{n} {t}" for n, t in cols)
-        return self.spark.createDataFrame(rows, schema)
+        return self.spark.sql(FX.config_values_sql(name, "spark"))
 
     def table(self, name: str) -> DataFrame:
         if name not in self._cache:

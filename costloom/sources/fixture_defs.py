@@ -327,10 +327,12 @@ def _literal(v, typ: str) -> str:
     raise ValueError(typ)
 
 
-def config_values_sql(name: str) -> str:
-    """DuckDB SELECT over the fixed rows of one configuration table."""
+def config_values_sql(name: str, dialect: str = "duckdb") -> str:
+    """SELECT over the fixed rows of one configuration table (an inline VALUES table, so
+    Spark plans it as a local relation with exact size statistics)."""
     cols, rows = CONFIG_TABLES[name]
     body = ", ".join("(" + ", ".join(_literal(v, t) for v, (_, t) in zip(r, cols)) + ")" for r in rows)
     names = ", ".join(n for n, _ in cols)
-    casts = ", ".join(f"CAST({n} AS {'VARCHAR' if t == 'STRING' else t}) AS {n}" for n, t in cols)
+    text = "VARCHAR" if dialect == "duckdb" else "STRING"
+    casts = ", ".join(f"CAST({n} AS {text if t == 'STRING' else t}) AS {n}" for n, t in cols)
     return f"SELECT {casts} FROM (VALUES {body}) AS v({names})"
