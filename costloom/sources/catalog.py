@@ -84,3 +84,18 @@ class FixtureCatalog(Catalog):
     @cached_property
     def cur(self) -> DataFrame:
         return self.table("cost_usage_report")
+
+
+class DictCatalog(Catalog):
+    """Tables given as DataFrames (tests, notebooks); anything missing falls back to
+    ``fallback`` (for example a FixtureCatalog for the configuration tables)."""
+
+    def __init__(self, spark: SparkSession, tables: dict[str, DataFrame], fallback: Catalog | None = None):
+        self.spark, self.tables, self.fallback = spark, dict(tables), fallback
+
+    def table(self, name: str) -> DataFrame:
+        if name in self.tables:
+            return self.tables[name]
+        if self.fallback is None:
+            raise KeyError(name)
+        return self.fallback.table(name)
