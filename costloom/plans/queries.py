@@ -35,8 +35,6 @@ def comparable(df: DataFrame, numeric: dict[str, int], columns: list[str] | None
                        for c in df.columns])
 
 
-_JOBS: dict = {}
-
 
 def fixture_catalog(spark: SparkSession, sf_dir: str) -> FixtureCatalog:
     return FixtureCatalog(spark, sf_dir)
@@ -90,9 +88,47 @@ def _specs() -> list[QuerySpec]:
                   {**m3, "line_item_unblended_rate": 10, "pricing_public_on_demand_rate": 10}),
     ]
     specs += OM.specs(detail_job, summary_job, QuerySpec)
+    specs += _check_specs()
     return specs
 
 
+def _check_specs() -> list[QuerySpec]:
+    """Reconciliation checks over job stages (data-derived ones only; the config-only
+    weight totals CHK2/CHK6 and the target-table count CHK10 are covered by tests)."""
+    from costloom import constants as K
+    from costloom.checks import reconcile as CHK
+    from oracle import checks as OC
+
+    def chk1(s, d):
+        job = daily_job(s, d)
+        return CHK.adhoc_balance(job.after_amortize(), job.after_adhoc(), job.adhoc_alloc(),
+                                 account_col="line_item_usage_account_id", name_col="resource_tags_user_name",
+                                 ts_col="line_item_usage_start_date", type_col="line_item_line_item_type",
+                                 measure="line_item_unblended_cost", skip_types=K.FEE_TYPES, note=K.NOTE_ADHOC_DAILY)
+
+    def chk4(s, d):
+        job = daily_job(s, d)
+        return CHK.infra_totals_daily(job.after_upfront(), job.after_infra())
+
+    spot_n = {x: 4 for x in ("quantity", "unblended_cost", "ondemand_cost", "unblended_rate_calc",
+                             "ondemand_rate_calc", "savings_percent")}
+    chk5_n = {"actual_cost": 4, "weighted_actual_cost": 4, "retail_cost": 4, "savings": 4, "actual_diff": 4,
+              "total_weight": 8}
+    return [
+        QuerySpec("chk1_adhoc_balance", chk1, OC.chk1, {"difference": 4}),
+        QuerySpec("chk3_infra_weight_total", lambda s, d: CHK.weight_total(daily_job(s, d).infra_weights(), "retail_weight"),
+                  OC.chk3, {"total_weight": 8}),
+        QuerySpec("chk4_infra_totals", chk4, OC.chk4, {m: 4 for m in M4}),
+        QuerySpec("chk5_weighted_actual", lambda s, d: CHK.weighted_actual_totals(summary_job(s, d, "ACTUAL").weighted),
+                  OC.chk5, chk5_n),
+        QuerySpec("chk7_spot_savings", lambda s, d: CHK.spot_savings(daily_job(s, d).after_spot()), OC.chk7, spot_n),
+        QuerySpec("chk8_zero_retail", lambda s, d: CHK.zero_retail_rows(detail_job(s, d).rolled), OC.chk8,
+                  {"quantity": 4}),
+        QuerySpec("chk9_amortized_per_day", lambda s, d: CHK.amortized_fee_per_day(daily_job(s, d).after_amortize()),
+                  OC.chk9, {"amort_unblended_cost": 4}),
+    ]
+
+
 def registry() -> dict[str, QuerySpec]:
     return {s.name: s for s in _specs()}
 
