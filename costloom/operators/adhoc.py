@@ -61,16 +61,16 @@ def reallocate_adhoc(usage: DataFrame, alloc: DataFrame, *, account_col: str, na
                      c("user_company").alias("_a_company"), c("weight").alias("_a_weight"),
                      F.lit(True).alias("_a_hit"))
     local = shifted(c(ts_col))
-    u = usage.withColumn("_bkk_date", F.to_date(local)).withColumn("_bkk_hour", F.hour(local))
+    u = usage.withColumns({"_bkk_date": F.to_date(local), "_bkk_hour": F.hour(local)})
     cond = ((c(account_col) == c("_a_account")) & (c(name_col) == c("_a_instance"))
             & (c("_bkk_date") == c("_a_date")) & (c("_bkk_hour") == c("_a_hour"))
             & ~c(type_col).isin(*skip_types))
     j = u.join(a, cond, "left")
     hit = F.coalesce(c("_a_hit"), F.lit(False))
-    j = j.withColumn(company_col, F.when(hit, c("_a_company")).otherwise(c(company_col)))
-    for m, dtype in measures.items():
-        j = j.withColumn(m, F.when(hit, scaled(c(m), c("_a_weight"), dtype)).otherwise(c(m)))
-    j = j.withColumn("note", F.when(hit, F.lit(note)).otherwise(c("note")))
+    j = j.withColumns({
+        company_col: F.when(hit, c("_a_company")).otherwise(c(company_col)),
+        **{m: F.when(hit, scaled(c(m), c("_a_weight"), dtype)).otherwise(c(m)) for m, dtype in measures.items()},
+        "note": F.when(hit, F.lit(note)).otherwise(c("note"))})
     return j.drop("_a_account", "_a_instance", "_a_date", "_a_hour", "_a_company", "_a_weight", "_a_hit",
                   "_bkk_date", "_bkk_hour")
 

@@ -25,17 +25,16 @@ def amortize_rifee_daily(df: DataFrame, last_trx: dt.datetime | None) -> DataFra
     is_fee = t == K.RIFEE
     days = F.datediff(first_of_next_month(F.to_date(ts)), F.to_date(ts))
     last_date = F.lit(last_trx.date() if last_trx else None).cast("date")
-    x = df.withColumn("_days", days).withColumn("_slice", _day_slices(F.coalesce(is_fee, F.lit(False)), c("_days")))
+    x = df.withColumn("_days", days).select("*", _day_slices(F.coalesce(is_fee, F.lit(False)), c("_days")).alias("_slice"))
     sliced = c("_slice") >= 0
     new_ts = F.timestamp_add("DAY", c("_slice"), ts)
-    x = (x.withColumn("line_item_usage_start_date", F.when(sliced, new_ts).otherwise(ts))
-          .withColumn("line_item_unblended_cost",
-                      F.when(sliced, (c("line_item_unblended_cost") / c("_days")).cast(K.MONEY))
-                      .otherwise(c("line_item_unblended_cost")))
-          .withColumn("line_item_usage_amount",
-                      F.when(sliced, (c("line_item_usage_amount") / c("_days")).cast(K.MONEY))
-                      .otherwise(c("line_item_usage_amount")))
-          .withColumn("note", F.when(sliced, F.lit(K.NOTE_AMORTIZED_RI)).otherwise(c("note"))))
+    x = x.withColumns({
+        "line_item_usage_start_date": F.when(sliced, new_ts).otherwise(ts),
+        "line_item_unblended_cost": F.when(sliced, (c("line_item_unblended_cost") / c("_days")).cast(K.MONEY))
+                                     .otherwise(c("line_item_unblended_cost")),
+        "line_item_usage_amount": F.when(sliced, (c("line_item_usage_amount") / c("_days")).cast(K.MONEY))
+                                   .otherwise(c("line_item_usage_amount")),
+        "note": F.when(sliced, F.lit(K.NOTE_AMORTIZED_RI)).otherwise(c("note"))})
     return x.where(~sliced | (F.to_date("line_item_usage_start_date") <= last_date)).drop("_days", "_slice")
 
 
@@ -45,13 +44,13 @@ def amortize_rifee_estimated(df: DataFrame, last_trx: dt.datetime | None) -> Dat
     is_fee = F.coalesce(t == K.RIFEE, F.lit(False))
     days = F.datediff(first_of_next_month(d), d)
     last_date = F.lit(last_trx.date() if last_trx else None).cast("date")
-    x = df.withColumn("_days", days).withColumn("_slice", _day_slices(is_fee, c("_days")))
+    x = df.withColumn("_days", days).select("*", _day_slices(is_fee, c("_days")).alias("_slice"))
     sliced = c("_slice") >= 0
-    x = x.withColumn("_new_date", F.date_add(d, c("_slice")))
-    x = (x.withColumn("usage_date_hour", F.when(sliced, c("_new_date").cast("timestamp_ntz")).otherwise(c("usage_date_hour")))
-          .withColumn("usage_date", F.when(sliced, c("_new_date")).otherwise(d))
-          .withColumn("unblended_cost", F.when(sliced, (c("unblended_cost") / c("_days")).cast(K.MONEY))
-                      .otherwise(c("unblended_cost")))
-          .withColumn("quantity", F.when(sliced, (c("quantity") / c("_days")).cast(K.MONEY)).otherwise(c("quantity")))
-          .withColumn("note", F.when(sliced, F.lit(K.NOTE_AMORTIZED_SUMMARY)).otherwise(c("note"))))
-    return x.where(~sliced | (c("usage_date") <= last_date)).drop("_days", "_slice", "_new_date")
+    new_d = F.date_add(d, c("_slice"))
+    x = x.withColumns({
+        "usage_date_hour": F.when(sliced, new_d.cast("timestamp_ntz")).otherwise(c("usage_date_hour")),
+        "usage_date": F.when(sliced, new_d).otherwise(d),
+        "unblended_cost": F.when(sliced, (c("unblended_cost") / c("_days")).cast(K.MONEY)).otherwise(c("unblended_cost")),
+        "quantity": F.when(sliced, (c("quantity") / c("_days")).cast(K.MONEY)).otherwise(c("quantity")),
+        "note": F.when(sliced, F.lit(K.NOTE_AMORTIZED_SUMMARY)).otherwise(c("note"))})
+    return x.where(~sliced | (c("usage_date") <= last_date)).drop("_days", "_slice")

@@ -40,8 +40,6 @@ def fan_out(df: DataFrame, is_target: Column, weights: DataFrame, fields: dict,
          .withColumn("_w_hit", F.lit(True)))
     hit_rows = (df.where(target).withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)).cast("array<bigint>")))
                 .join(w, "_b").drop("_b"))
-    rest = df.where(~target)
-    for k, t in fields.items():
-        rest = rest.withColumn(k, F.lit(None).cast(t))
-    rest = rest.withColumn("_w_hit", F.lit(False))
+    rest = df.where(~target).withColumns({**{k: F.lit(None).cast(t) for k, t in fields.items()},
+                                          "_w_hit": F.lit(False)})
     return hit_rows.unionByName(rest)

@@ -52,11 +52,11 @@ def redistribute_infra_daily(agg: DataFrame, weights: DataFrame) -> DataFrame:
                        c("retail_weight").alias("w_weight"))
     x = fan_out(agg, target, w, {"w_source": "string", "w_company": "string", "w_weight": K.WEIGHT})
     hit = c("_w_hit")
-    x = x.withColumn("resource_tags_user_company", F.when(hit, c("w_company")).otherwise(c("resource_tags_user_company")))
-    for m in ("line_item_unblended_cost", "pricing_public_on_demand_cost", "line_item_usage_amount"):
-        x = x.withColumn(m, F.when(hit, scaled(c(m), c("w_weight"), K.MONEY)).otherwise(c(m)))
-    x = x.withColumn("note", F.when(hit, F.concat(F.lit(K.NOTE_INFRA_DAILY_PREFIX), c("w_source"), F.lit(")")))
-                     .otherwise(c("note")))
+    x = x.withColumns({
+        "resource_tags_user_company": F.when(hit, c("w_company")).otherwise(c("resource_tags_user_company")),
+        **{m: F.when(hit, scaled(c(m), c("w_weight"), K.MONEY)).otherwise(c(m))
+           for m in ("line_item_unblended_cost", "pricing_public_on_demand_cost", "line_item_usage_amount")},
+        "note": F.when(hit, F.concat(F.lit(K.NOTE_INFRA_DAILY_PREFIX), c("w_source"), F.lit(")"))).otherwise(c("note"))})
     return x.drop("w_source", "w_company", "w_weight", "_w_hit")
 
 
@@ -73,10 +73,11 @@ def redistribute_infra_detail(final: DataFrame, weights: DataFrame) -> DataFrame
     every Hosting infrastructure row (an Azure infrastructure share goes too, Q17)."""
     x = fan_out(final, _monthly_target(), _monthly_weights(weights), {"w_company": "string", "w_weight": K.WEIGHT})
     hit = c("_w_hit")
-    x = (x.withColumn("user_company", F.when(hit, c("w_company")).otherwise(c("user_company")))
-          .withColumn("retail_cost", F.when(hit, scaled(c("retail_cost"), c("w_weight"), K.DEC38_8)).otherwise(c("retail_cost")))
-          .withColumn("quantity", F.when(hit, scaled(c("quantity"), c("w_weight"), K.MONEY)).otherwise(c("quantity")))
-          .withColumn("note", F.when(hit, F.lit(K.NOTE_INFRA_DETAIL)).otherwise(c("note"))))
+    x = x.withColumns({
+        "user_company": F.when(hit, c("w_company")).otherwise(c("user_company")),
+        "retail_cost": F.when(hit, scaled(c("retail_cost"), c("w_weight"), K.DEC38_8)).otherwise(c("retail_cost")),
+        "quantity": F.when(hit, scaled(c("quantity"), c("w_weight"), K.MONEY)).otherwise(c("quantity")),
+        "note": F.when(hit, F.lit(K.NOTE_INFRA_DETAIL)).otherwise(c("note"))})
     x = x.where(keep_unless(F.round(c("retail_cost"), 8) == 0)).where(keep_unless(_monthly_target()))
     return x.drop("w_company", "w_weight", "_w_hit")
 
@@ -86,10 +87,11 @@ def redistribute_infra_summary(final: DataFrame, weights: DataFrame) -> DataFram
     then drop every Hosting infrastructure row (Q17)."""
     x = fan_out(final, _monthly_target(), _monthly_weights(weights), {"w_company": "string", "w_weight": K.WEIGHT})
     hit = c("_w_hit")
-    x = (x.withColumn("user_company", F.when(hit, c("w_company")).otherwise(c("user_company")))
-          .withColumn("user_product", F.when(hit, F.lit("")).otherwise(c("user_product")))
-          .withColumn("note", F.when(hit, F.lit(K.NOTE_INFRA_MONTHLY)).otherwise(c("note"))))
-    for m, t in (("actual_cost", K.DEC38_8), ("weighted_actual_cost", K.DEC38_8),
-                 ("retail_cost", K.DEC38_8), ("retail_cost_percent", K.PERCENT)):
-        x = x.withColumn(m, F.when(hit, scaled(c(m), c("w_weight"), t)).otherwise(c(m)))
+    x = x.withColumns({
+        "user_company": F.when(hit, c("w_company")).otherwise(c("user_company")),
+        "user_product": F.when(hit, F.lit("")).otherwise(c("user_product")),
+        "note": F.when(hit, F.lit(K.NOTE_INFRA_MONTHLY)).otherwise(c("note")),
+        **{m: F.when(hit, scaled(c(m), c("w_weight"), t)).otherwise(c(m))
+           for m, t in (("actual_cost", K.DEC38_8), ("weighted_actual_cost", K.DEC38_8),
+                        ("retail_cost", K.DEC38_8), ("retail_cost_percent", K.PERCENT))}})
     return x.where(keep_unless(_monthly_target())).drop("w_company", "w_weight", "_w_hit")

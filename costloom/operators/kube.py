@@ -42,11 +42,12 @@ def reallocate_kube_daily(agg: DataFrame, weights: DataFrame) -> DataFrame:
               (c("resource_tags_user_company") == K.REGIONAL_COMPANY)
     j = agg.join(_weights(weights), is_kube & (c("resource_tags_user_product") == c("k_product")), "left")
     hit = F.coalesce(c("k_hit"), F.lit(False))
-    j = (j.withColumn("resource_tags_user_company", F.when(hit, c("k_company")).otherwise(c("resource_tags_user_company")))
-          .withColumn("resource_tags_user_product", F.when(hit, c("k_user_product")).otherwise(c("resource_tags_user_product")))
-          .withColumn("note", F.when(hit, c("k_note")).otherwise(c("note"))))
-    for m in ("line_item_unblended_cost", "pricing_public_on_demand_cost", "line_item_usage_amount"):
-        j = j.withColumn(m, F.when(hit, scaled(c(m), c("k_weight"), K.MONEY)).otherwise(c(m)))
+    j = j.withColumns({
+        "resource_tags_user_company": F.when(hit, c("k_company")).otherwise(c("resource_tags_user_company")),
+        "resource_tags_user_product": F.when(hit, c("k_user_product")).otherwise(c("resource_tags_user_product")),
+        "note": F.when(hit, c("k_note")).otherwise(c("note")),
+        **{m: F.when(hit, scaled(c(m), c("k_weight"), K.MONEY)).otherwise(c(m))
+           for m in ("line_item_unblended_cost", "pricing_public_on_demand_cost", "line_item_usage_amount")}})
     return j.drop("k_product", "k_company", "k_user_product", "k_weight", "k_note", "k_hit")
 
 
@@ -58,11 +59,11 @@ def reallocate_kube_summary(agg: DataFrame, weights: DataFrame) -> DataFrame:
     j = agg.join(_weights(weights), target & (c("user_product") == c("k_product")), "left")
     hit = F.coalesce(c("k_hit"), F.lit(False))
     j = j.where(hit | ~F.coalesce(target, F.lit(False)))
-    j = (j.withColumn("user_company", F.when(hit, c("k_company")).otherwise(c("user_company")))
-          .withColumn("user_product", F.when(hit, c("k_user_product")).otherwise(c("user_product")))
-          .withColumn("note", F.when(hit, c("k_note")).otherwise(c("note"))))
-    for m in ("actual_cost", "retail_cost"):
-        j = j.withColumn(m, F.when(hit, scaled(c(m), c("k_weight"), K.DEC38_8)).otherwise(c(m)))
+    j = j.withColumns({
+        "user_company": F.when(hit, c("k_company")).otherwise(c("user_company")),
+        "user_product": F.when(hit, c("k_user_product")).otherwise(c("user_product")),
+        "note": F.when(hit, c("k_note")).otherwise(c("note")),
+        **{m: F.when(hit, scaled(c(m), c("k_weight"), K.DEC38_8)).otherwise(c(m)) for m in ("actual_cost", "retail_cost")}})
     return j.drop("k_product", "k_company", "k_user_product", "k_weight", "k_note", "k_hit")
 
 

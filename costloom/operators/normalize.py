@@ -34,15 +34,20 @@ def bill_for_month(cur: DataFrame, month: int) -> DataFrame:
     return cur.where(c("invoice_month") == F.lit(int(month)))
 
 
-def normalize_bill(cur: DataFrame, accounts: DataFrame, month: int) -> DataFrame:
-    """NRM1 + AGG1: filter, tag with account defaults, fix costs, roll up at hour grain."""
+def bill_rows(cur: DataFrame, accounts: DataFrame, month: int) -> DataFrame:
+    """The month's bill rows that survive the type filters and the account join."""
     t = c("line_item_line_item_type")
     keep = (not_in(t, K.DAILY_EXCLUDED_TYPES)
             & ~((t == K.FEE) & (c("bill_bill_type") == K.PURCHASE_BILL_TYPE))
             & ~((t == K.CREDIT) & (c("line_item_line_item_description") == K.DEFENSIVE_CREDIT)))
     bill = bill_for_month(cur, month).where(keep)
-    ac = accounts_lookup(accounts)
-    j = bill.join(ac, c("line_item_usage_account_id") == c("ac_account_id"), "inner")
+    return bill.join(accounts_lookup(accounts), c("line_item_usage_account_id") == c("ac_account_id"), "inner")
+
+
+def normalize_bill(cur: DataFrame, accounts: DataFrame, month: int) -> DataFrame:
+    """NRM1 + AGG1: filter, tag with account defaults, fix costs, roll up at hour grain."""
+    t = c("line_item_line_item_type")
+    j = bill_rows(cur, accounts, month)
     unblended = F.when(t == K.SP_COVERED_USAGE, F.lit(0).cast(K.MONEY)).otherwise(c("line_item_unblended_cost"))
     ondemand = (F.when(is_support(c("product_product_name")), c("line_item_unblended_cost"))
                 .when(t.isin(K.RIFEE, K.SP_RECURRING_FEE), c("pricing_public_on_demand_cost"))
@@ -88,6 +93,15 @@ def latest_month(trx: DataFrame) -> DataFrame:
     return trx.agg(F.date_format(F.max("usage_start_date"), "yyyyMM").cast("int").alias("invoice_month"))
 
 
+def transaction_rows(trx: DataFrame, accounts: DataFrame, month: int | None) -> DataFrame:
+    """Transactions of the month (or all, for the estimated table) that survive the type
+    filter and the account join. The later left joins never drop rows, so scalars over
+    these rows equal the reference's scalars over its transaction stage."""
+    base = transactions_for_month(trx, month) if month is not None else trx
+    base = base.where(not_in(c("lineitem_type"), K.MONTHLY_EXCLUDED_TYPES))
+    return base.join(accounts_lookup(accounts), c("linked_account_id") == c("ac_account_id"), "inner")
+
+
 def _lookups(trx: DataFrame, accounts: DataFrame, rifee: DataFrame, ruser: DataFrame, rtag: DataFrame,
              rifee_on_invoice: bool) -> DataFrame:
     ac = accounts_lookup(accounts)

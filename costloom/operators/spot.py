@@ -29,17 +29,17 @@ def fill_spot_daily(df: DataFrame, price_list: DataFrame) -> DataFrame:
     t, ut = c("line_item_line_item_type"), c("line_item_usage_type")
     spot = (t == K.USAGE) & ut.like("%Spot%")
     size = F.split_part(ut, F.lit(":"), F.lit(2))
-    df = (df.withColumn("product_instance_type", F.when(spot, size).otherwise(c("product_instance_type")))
-            .withColumn("product_instance_type_family",
-                        F.when(spot, F.split_part(size, F.lit("."), F.lit(1))).otherwise(c("product_instance_type_family"))))
+    df = df.withColumns({
+        "product_instance_type": F.when(spot, size).otherwise(c("product_instance_type")),
+        "product_instance_type_family":
+            F.when(spot, F.split_part(size, F.lit("."), F.lit(1))).otherwise(c("product_instance_type_family"))})
     j = df.join(_prices(price_list), spot & (c("product_instance_type") == c("pl_type")), "left")
     hit = F.coalesce(c("pl_hit"), F.lit(False))
-    return (j.withColumn("pricing_public_on_demand_rate",
-                         F.when(hit, c("pl_rate").cast("string")).otherwise(c("pricing_public_on_demand_rate")))
-             .withColumn("pricing_public_on_demand_cost",
-                         F.when(hit, (c("pl_rate") * c("line_item_usage_amount")).cast(K.MONEY))
-                         .otherwise(c("pricing_public_on_demand_cost")))
-             .drop("pl_type", "pl_rate", "pl_hit"))
+    return j.withColumns({
+        "pricing_public_on_demand_rate": F.when(hit, c("pl_rate").cast("string")).otherwise(c("pricing_public_on_demand_rate")),
+        "pricing_public_on_demand_cost": F.when(hit, (c("pl_rate") * c("line_item_usage_amount")).cast(K.MONEY))
+                                          .otherwise(c("pricing_public_on_demand_cost")),
+    }).drop("pl_type", "pl_rate", "pl_hit")
 
 
 def unmapped_spot_sizes(df: DataFrame, price_list: DataFrame, size_col: str = "product_instance_type",

@@ -1,10 +1,11 @@
 """RUN1: the daily job. Hourly bill -> normalised, repriced, amortised, reallocated daily
 cost rows by company, written one invoice month at a time.
 
-Stages are lazily built DataFrames. Two are materialised with a reliable checkpoint
-because several steps read them: the hourly stage (scalars + main flow) and the daily
-roll-up (kube guard, infra weights, infra split). Scalars (row count, billing state,
-last transaction time, guards) come from one aggregate each over a materialised stage.
+Stages are lazily built DataFrames. One is materialised (written as Parquet under the
+shared checkpoint folder) because several steps read it: the daily roll-up (kube guard,
+infra weights, infra split). The scalars the flow needs first (row count, billing state,
+last transaction time) come from one aggregate over a column-pruned scan of the filtered
+bill, so the much larger hourly stage flows through once without being written.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from costloom.operators import kube as KUB
 from costloom.operators import rollup as R
 from costloom.operators import spot as SPT
 from costloom.operators.calendar import month_calendar
-from costloom.operators.normalize import normalize_bill
+from costloom.operators.normalize import bill_rows, normalize_bill
 from costloom.session import bounded_broadcast, materialize
 from costloom.sources.catalog import Catalog
 
@@ -56,11 +57,15 @@ class DailyJob:
     # -- (1) scan, normalise, hourly aggregate ------------------------------------------
     @cached_property
     def hourly(self) -> DataFrame:
-        return self._keep(normalize_bill(self.cat.cost_usage_report, self.cat.account_config, self.month), "hourly")
+        return normalize_bill(self.cat.cost_usage_report, self.cat.account_config, self.month)
 
     @cached_property
     def scalars(self) -> dict:
-        return FEES.stage_scalars(self.hourly, "line_item_usage_start_date", "line_item_line_item_type",
+        """Row count, billing state and last transaction time in one aggregate over a
+        column-pruned scan of the filtered bill (the hour roll-up changes none of them),
+        so the hourly stage itself is read once and never materialised."""
+        rows = bill_rows(self.cat.cost_usage_report, self.cat.account_config, self.month)
+        return FEES.stage_scalars(rows, "line_item_usage_start_date", "line_item_line_item_type",
                                   "bill_invoice_id", cut_excludes_recurring=True)
 
     @property

@@ -1,8 +1,9 @@
 """RUN3: the monthly summary job, ``ACTUAL`` (one invoiced month) or ``ESTIMATED`` (the
 running month held by the estimated transactions).
 
-Materialised stages: the normalised transactions (scalars + main flow) and the
-retail-weighted final stage (infra weights + infra split both read it)."""
+One stage is materialised: the retail-weighted final stage (infra weights and infra
+split both read it). Scalars come from a column-pruned scan of the filtered
+transactions, so the transaction-grain stage flows through once without being written."""
 
 from __future__ import annotations
 
@@ -22,7 +23,7 @@ from costloom.operators import kube as KUB
 from costloom.operators import rollup as R
 from costloom.operators import spot as SPT
 from costloom.operators.calendar import month_calendar
-from costloom.operators.normalize import normalize_summary
+from costloom.operators.normalize import normalize_summary, transaction_rows
 from costloom.plans.detail import resolve_latest
 from costloom.session import bounded_broadcast, materialize
 from costloom.sources.catalog import Catalog
@@ -53,17 +54,20 @@ class SummaryJob:
         else:
             df = normalize_summary(c_.usage_transaction, c_.account_config, c_.rifee, c_.resource_user,
                                    c_.resource_tag, "ACTUAL", self.requested_month)
-        return self._keep(df, "trx")
+        return df
 
     @cached_property
     def scalars(self) -> dict:
-        """One pass: rows, months present, last transaction time (ESTIMATED ignores the
-        recurring savings-plan fee, ACTUAL takes every row)."""
-        ts, t = c("usage_date_hour"), c("lineitem_type")
+        """One aggregate over a column-pruned scan of the filtered transactions: rows,
+        months present, last transaction time (ESTIMATED ignores the recurring
+        savings-plan fee, ACTUAL takes every row)."""
+        trx = self.cat.usage_transaction_estimated if self.estimated else self.cat.usage_transaction
+        rows = transaction_rows(trx, self.cat.account_config, None if self.estimated else self.requested_month)
+        ts, t = c("usage_start_date"), c("lineitem_type")
         last = F.max(F.when(t != K.SP_RECURRING_FEE, ts)) if self.estimated else F.max(ts)
-        row = self.normalized.agg(F.count(F.lit(1)).alias("rows"), last.alias("last_trx"),
-                                  F.count_distinct("invoice_month").alias("months"),
-                                  F.max("invoice_month").alias("month")).first().asDict()
+        month = (F.year(ts) * 100 + F.month(ts)).cast("int")
+        row = rows.agg(F.count(F.lit(1)).alias("rows"), last.alias("last_trx"),
+                       F.count_distinct(month).alias("months"), F.max(month).alias("month")).first().asDict()
         if self.estimated and row["months"] > 1:
             raise ValueError("estimated transactions hold more than one invoice month")
         row["month"] = row["month"] if self.estimated else self.requested_month

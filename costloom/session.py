@@ -9,9 +9,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Derived lookup tables (allocation slots, kube weights) are broadcast only when counted
-# at or below this many rows; past it they stay on the shuffle (sort-merge) join path.
-MAX_BROADCAST_ROWS = 2_000_000
+# Derived lookup tables (allocation slots, kube weights) are broadcast only when they
+# hold at most this many rows; past it they stay on the shuffle (sort-merge) join path.
+MAX_BROADCAST_ROWS = 200_000
 
 
 def build_session(app: str = "costloom", master: str | None = None,
@@ -72,7 +72,12 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint behind a size check: Spark cannot estimate the size of small tables
-    derived through aggregates and generators, so count them (they are config-sized)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    """Broadcast behind a size check. Spark cannot estimate the size of small tables
+    derived through joins, aggregates and generators, so fetch at most ``max_rows + 1``
+    rows: within the bound the rows become a local relation that is broadcast (what a
+    broadcast join ships anyway, computed once); beyond it the derived frame is returned
+    unchanged and joins on the shuffle path."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
