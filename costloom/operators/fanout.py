@@ -28,11 +28,14 @@ def fan_out(df: DataFrame, is_target: Column, weights: DataFrame, fields: dict,
         def struct(values, hit):
             cols = [F.lit(v).cast(t).alias(n) for (n, t), v in zip(fields.items(), values)]
             return F.struct(*cols, F.lit(hit).alias("_w_hit"))
-        miss = struct([None] * len(fields), False)
-        hits = F.array(*[struct(list(r), True) for r in rows]) if rows else \
-            F.filter(F.array(miss), lambda x: F.lit(False))
-        out = df.withColumn("_w", F.explode(F.when(target, hits).otherwise(F.array(miss))))
-        return out.select(*[F.col(x) for x in df.columns], *[F.col("_w." + n).alias(n) for n in [*fields, "_w_hit"]])
+        if not rows:   # no weights: target rows go, the rest pass with empty weight columns
+            return df.where(~target).select("*", *[F.lit(None).cast(t).alias(n) for n, t in fields.items()],
+                                            F.lit(False).alias("_w_hit"))
+        hits = F.array(*[struct(list(r), True) for r in rows])
+        # explode_outer over a NULL array keeps a non-target row once, with NULL weight fields
+        out = df.select("*", F.explode_outer(F.when(target, hits)).alias("_w"))
+        return out.select(*[F.col(x) for x in df.columns], *[F.col("_w." + n).alias(n) for n in fields],
+                          F.coalesce(F.col("_w._w_hit"), F.lit(False)).alias("_w_hit"))
     n = weights.count()
     buckets = max(2, math.ceil(n / max_inline))
     w = (weights.select(*[F.col(k).cast(t).alias(k) for k, t in fields.items()])
