@@ -89,6 +89,14 @@ def dec(value: str) -> Column:
     return F.lit(Decimal(value))
 
 
+def ntz(value) -> Column:
+    """A TIMESTAMP_NTZ literal parsed from text, independent of the session time zone
+    (``F.lit(datetime)`` goes through a zoned timestamp first)."""
+    if value is None:
+        return F.lit(None).cast("timestamp_ntz")
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def month_bounds(month: int):
     """First day of the month and of the next month, as Python dates."""
     import datetime as dt

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costloom import constants as K
-from costloom.functions.columns import c, is_blank, keep_unless, not_in
+from costloom.functions.columns import c, is_blank, keep_unless, not_in, ntz
 
 
 def stage_scalars(df: DataFrame, ts_col: str, type_col: str, invoice_col: str | None = None,
@@ -33,7 +33,7 @@ def billing_state(df: DataFrame, invoice_col: str = "bill_invoice_id") -> DataFr
 
 
 def ts_literal(value: dt.datetime | None) -> Column:
-    return F.lit(value).cast("timestamp_ntz")
+    return ntz(value)
 
 
 def drop_future_recurring_fees(df: DataFrame, last_trx: dt.datetime | None,

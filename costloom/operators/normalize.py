@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from costloom import constants as K
 from costloom.functions.columns import (c, company_precedence, company_with_default, is_support,
-                                        month_bounds, not_in, product_precedence)
+                                        month_bounds, not_in, ntz, product_precedence)
 
 # Grouping keys of the hourly bill stage, in the reference's order.
 DAILY_KEYS = (
@@ -85,7 +85,7 @@ def transactions_for_month(trx: DataFrame, month: int) -> DataFrame:
     lo = dt.datetime.combine(first, dt.time())
     hi = dt.datetime.combine(nxt, dt.time())
     ts = c("usage_start_date")
-    return trx.where((ts >= F.lit(lo).cast("timestamp_ntz")) & (ts < F.lit(hi).cast("timestamp_ntz")))
+    return trx.where((ts >= ntz(lo)) & (ts < ntz(hi)))
 
 
 def latest_month(trx: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costloom import constants as K
-from costloom.functions.columns import c, rate_text_to_decimal
+from costloom.functions.columns import c, ntz, rate_text_to_decimal
 from costloom.operators.normalize import DAILY_KEYS, DAILY_MEASURES, accounts_lookup
 
 DAILY_OUTPUT = (
@@ -158,4 +158,4 @@ def summary_output(final: DataFrame, last_trx: dt.datetime | None) -> DataFrame:
                  F.round(F.sum("weighted_upfront_rifee_actual_cost"), 4).alias("weighted_upfront_rifee_actual_cost"),
                  F.round(F.sum("retail_cost"), 4).alias("retail_cost"),
                  F.round(F.sum("retail_cost_percent"), 10).alias("retail_cost_percent"))
-            .withColumn("t_last_trx_date", F.lit(last_trx).cast("timestamp_ntz")))
+            .withColumn("t_last_trx_date", ntz(last_trx)))

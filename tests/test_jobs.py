@@ -116,3 +116,21 @@ def test_oracle_parity_sf0001(spark, duck, name):
     assert cols == sorted(d_cols)
     assert len(s_rows) == len(d_rows)
     assert digest(s_rows, cols)[0] == digest(d_rows, cols)[0]
+
+
+def test_results_do_not_depend_on_session_time_zone(spark, duck):
+    """Month bounds, cut times and UTC+7 slots are wall-clock (timestamp_ntz) values."""
+    import __spark_entry__ as E
+    from tools.check_oracle import digest
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        for name in ("cut1_future_fee", "nrm2_normalize", "run3_estimated"):
+            sdf = E.queries()[name](spark, SF001)
+            rows, cols = [r.asDict() for r in sdf.collect()], sorted(sdf.columns)
+            rel = duck.execute(E.oracle_sql()[name])
+            d_cols = [d[0] for d in rel.description]
+            d_rows = [dict(zip(d_cols, r)) for r in rel.fetchall()]
+            assert digest(rows, cols)[0] == digest(d_rows, cols)[0], name
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
