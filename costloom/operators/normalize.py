@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costloom import constants as K
+from costloom.operators.lookup import SALT, lookup_join
 from costloom.functions.columns import (c, company_precedence, company_with_default, is_support,
                                         month_bounds, not_in, ntz, product_precedence)
 
@@ -112,15 +113,13 @@ def _lookups(trx: DataFrame, accounts: DataFrame, rifee: DataFrame, ruser: DataF
                       c("user_company").alias("ru_user_company"), c("user_product").alias("ru_user_product"))
     rt = rtag.select(c("resource_id").alias("rt_resource_id"), c("user_company").alias("rt_user_company"),
                      c("user_product").alias("rt_user_product"))
-    ri_cond = c("reservationarn") == c("ri_arn")
-    if rifee_on_invoice:
-        ri_cond = ri_cond & (c("ri_invoice_id") == c("invoice_id"))
+    ri_keys = [("reservationarn", "ri_arn")] + ([("invoice_id", "ri_invoice_id")] if rifee_on_invoice else [])
     ts = c("usage_start_date")
-    return (trx.join(ac, c("linked_account_id") == c("ac_account_id"), "inner")
-            .join(ri, ri_cond, "left")
-            # JOI4: equi key + inclusive range residual; a NULL end never matches
-            .join(ru, (c("resource_id") == c("ru_resource_id")) & (ts >= c("ru_start")) & (ts <= c("ru_end")), "left")
-            .join(rt, c("resource_id") == c("rt_resource_id"), "left"))
+    j = trx.join(ac, c("linked_account_id") == c("ac_account_id"), "inner")
+    j = lookup_join(j, ri, ri_keys).drop(SALT)
+    # JOI4: equi key + inclusive range residual; a NULL end never matches
+    j = lookup_join(j, ru, [("resource_id", "ru_resource_id")], residual=(ts >= c("ru_start")) & (ts <= c("ru_end")))
+    return lookup_join(j, rt, [("resource_id", "rt_resource_id")]).drop(SALT)
 
 
 def normalize_detail(trx: DataFrame, accounts: DataFrame, rifee: DataFrame, ruser: DataFrame,

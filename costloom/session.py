@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 # hold at most this many rows; past it they stay on the shuffle (sort-merge) join path.
 MAX_BROADCAST_ROWS = 200_000
 
+# Salt values per key when a lookup too large to broadcast is joined on the shuffle path:
+# a key holding a third of the big side is spread over this many tasks.
+SALT_BUCKETS = 16
+
 
 def build_session(app: str = "costloom", master: str | None = None,
                   shuffle_partitions: int | None = None,
@@ -71,13 +75,16 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def row_count_at_most(df: DataFrame, max_rows: int | None = None) -> bool:
+    """A distributed count that stops at ``max_rows + 1`` rows (nothing reaches the driver
+    but the number)."""
+    bound = MAX_BROADCAST_ROWS if max_rows is None else max_rows
+    return df.limit(bound + 1).count() <= bound
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Broadcast behind a size check. Spark cannot estimate the size of small tables
-    derived through joins, aggregates and generators, so fetch at most ``max_rows + 1``
-    rows: within the bound the rows become a local relation that is broadcast (what a
-    broadcast join ships anyway, computed once); beyond it the derived frame is returned
+    derived through joins, aggregates and generators, so count them up to the bound:
+    within it the frame is hinted for broadcast; beyond it the frame is returned
     unchanged and joins on the shuffle path."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df

@@ -21,6 +21,15 @@ def spark():
     s.stop()
 
 
+@pytest.fixture(scope="session")
+def duck():
+    import duckdb
+    con = duckdb.connect()
+    for t in ("events", "lineitem", "part"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
+    return con
+
+
 @pytest.fixture()
 def scratch():
     return tempfile.mkdtemp(prefix="costloom-test-")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 
-import duckdb
 import pytest
 
 from conftest import SF001
@@ -95,14 +94,6 @@ def _oracle_names():
     return sorted(E.oracle_sql())
 
 
-@pytest.fixture(scope="module")
-def duck():
-    con = duckdb.connect()
-    for t in ("events", "lineitem", "part"):
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
-    return con
-
-
 @pytest.mark.parametrize("name", _oracle_names())
 def test_oracle_parity_sf0001(spark, duck, name):
     import __spark_entry__ as E
