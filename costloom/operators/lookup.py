@@ -25,13 +25,16 @@ SALT = "_salt"
 
 def lookup_join(big: DataFrame, lookup: DataFrame, keys: list[tuple[str, str]], how: str = "left",
                 residual: Column | None = None, buckets: int | None = None,
-                max_rows: int | None = None) -> DataFrame:
+                max_rows: int | None = None, bounded: bool | None = None) -> DataFrame:
     """``big`` joined to ``lookup`` on ``keys`` (pairs of big / lookup column names, names
-    distinct between the sides) and an optional ``residual`` condition."""
+    distinct between the sides) and an optional ``residual`` condition. ``bounded`` is the
+    result of the size check when the caller has made it (``session.rows_at_most``)."""
     cond = reduce(lambda a, b: a & b, [c(l) == c(r) for l, r in keys])
     if residual is not None:
         cond = cond & residual
-    if session.row_count_at_most(lookup, max_rows):
+    if bounded is None:
+        bounded = session.row_count_at_most(lookup, max_rows)
+    if bounded:
         return big.join(F.broadcast(lookup), cond, how)
     n = buckets or session.SALT_BUCKETS
     if SALT not in big.columns:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costloom import constants as K
+from costloom import session
 from costloom.operators.lookup import SALT, lookup_join
 from costloom.functions.columns import (c, company_precedence, company_with_default, is_support,
                                         month_bounds, not_in, ntz, product_precedence)
@@ -115,11 +116,13 @@ def _lookups(trx: DataFrame, accounts: DataFrame, rifee: DataFrame, ruser: DataF
                      c("user_product").alias("rt_user_product"))
     ri_keys = [("reservationarn", "ri_arn")] + ([("invoice_id", "ri_invoice_id")] if rifee_on_invoice else [])
     ts = c("usage_start_date")
+    ri_ok, ru_ok, rt_ok = session.rows_at_most([ri, ru, rt])
     j = trx.join(ac, c("linked_account_id") == c("ac_account_id"), "inner")
-    j = lookup_join(j, ri, ri_keys).drop(SALT)
+    j = lookup_join(j, ri, ri_keys, bounded=ri_ok).drop(SALT)
     # JOI4: equi key + inclusive range residual; a NULL end never matches
-    j = lookup_join(j, ru, [("resource_id", "ru_resource_id")], residual=(ts >= c("ru_start")) & (ts <= c("ru_end")))
-    return lookup_join(j, rt, [("resource_id", "rt_resource_id")]).drop(SALT)
+    j = lookup_join(j, ru, [("resource_id", "ru_resource_id")], bounded=ru_ok,
+                    residual=(ts >= c("ru_start")) & (ts <= c("ru_end")))
+    return lookup_join(j, rt, [("resource_id", "rt_resource_id")], bounded=rt_ok).drop(SALT)
 
 
 def normalize_detail(trx: DataFrame, accounts: DataFrame, rifee: DataFrame, ruser: DataFrame,

@@ -75,16 +75,33 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def row_count_at_most(df: DataFrame, max_rows: int | None = None) -> bool:
-    """A distributed count that stops at ``max_rows + 1`` rows (nothing reaches the driver
-    but the number)."""
+def rows_at_most(frames: list[DataFrame], max_rows: int | None = None) -> list[bool]:
+    """For each frame, whether it holds at most ``max_rows`` rows: one distributed count
+    of all frames together (column-less scans, counted map-side; only one number per
+    frame reaches the driver)."""
     bound = MAX_BROADCAST_ROWS if max_rows is None else max_rows
-    return df.limit(bound + 1).count() <= bound
+    if not frames:
+        return []
+    tagged = [f.select(F.lit(i).alias("_frame")) for i, f in enumerate(frames)]
+    union = tagged[0]
+    for t in tagged[1:]:
+        union = union.unionByName(t)
+    counts = {r["_frame"]: r["n"] for r in union.groupBy("_frame").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return [counts.get(i, 0) <= bound for i in range(len(frames))]
+
+
+def row_count_at_most(df: DataFrame, max_rows: int | None = None) -> bool:
+    return rows_at_most([df], max_rows)[0]
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Broadcast behind a size check. Spark cannot estimate the size of small tables
-    derived through joins, aggregates and generators, so count them up to the bound:
-    within it the frame is hinted for broadcast; beyond it the frame is returned
-    unchanged and joins on the shuffle path."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+    derived through joins, aggregates and generators, so fetch at most ``max_rows + 1``
+    rows: within the bound the rows become a local relation that is broadcast (what a
+    broadcast join ships through the driver anyway, computed once); beyond it the derived
+    frame is returned unchanged and joins on the shuffle path."""
+    bound = MAX_BROADCAST_ROWS if max_rows is None else max_rows
+    rows = df.limit(bound + 1).collect()
+    if len(rows) > bound:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
