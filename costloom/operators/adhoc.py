@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from costloom import constants as K
 from costloom.functions.columns import c, scaled, shifted, weekday_code
+from costloom.operators.lookup import SALT, lookup_join
 
 
 def adhoc_schedule(billing: DataFrame, instances: DataFrame, schedule: DataFrame,
@@ -62,10 +63,8 @@ def reallocate_adhoc(usage: DataFrame, alloc: DataFrame, *, account_col: str, na
                      F.lit(True).alias("_a_hit"))
     local = shifted(c(ts_col))
     u = usage.withColumns({"_bkk_date": F.to_date(local), "_bkk_hour": F.hour(local)})
-    cond = ((c(account_col) == c("_a_account")) & (c(name_col) == c("_a_instance"))
-            & (c("_bkk_date") == c("_a_date")) & (c("_bkk_hour") == c("_a_hour"))
-            & ~c(type_col).isin(*skip_types))
-    j = u.join(a, cond, "left")
+    keys = [(account_col, "_a_account"), (name_col, "_a_instance"), ("_bkk_date", "_a_date"), ("_bkk_hour", "_a_hour")]
+    j = lookup_join(u, a, keys, residual=~c(type_col).isin(*skip_types)).drop(SALT)
     hit = F.coalesce(c("_a_hit"), F.lit(False))
     j = j.withColumns({
         company_col: F.when(hit, c("_a_company")).otherwise(c(company_col)),

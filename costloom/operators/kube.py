@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from costloom import constants as K
 from costloom.functions.columns import c, scaled
+from costloom.operators.lookup import SALT, lookup_join
 
 
 def kube_weights(usage: DataFrame, mapping: DataFrame, month: int, daily_notes: bool) -> DataFrame:
@@ -40,7 +41,7 @@ def reallocate_kube_daily(agg: DataFrame, weights: DataFrame) -> DataFrame:
     cluster become one row per weight (company, product, note from the weight)."""
     is_kube = (c("line_item_usage_account_id") == K.REGIONAL_ACCOUNT_ID) & \
               (c("resource_tags_user_company") == K.REGIONAL_COMPANY)
-    j = agg.join(_weights(weights), is_kube & (c("resource_tags_user_product") == c("k_product")), "left")
+    j = lookup_join(agg, _weights(weights), [("resource_tags_user_product", "k_product")], residual=is_kube).drop(SALT)
     hit = F.coalesce(c("k_hit"), F.lit(False))
     j = j.withColumns({
         "resource_tags_user_company": F.when(hit, c("k_company")).otherwise(c("resource_tags_user_company")),
@@ -56,7 +57,7 @@ def reallocate_kube_summary(agg: DataFrame, weights: DataFrame) -> DataFrame:
     weighted split; a product with no weights loses its cost (Q14)."""
     target = ((c("account_id") == K.REGIONAL_ACCOUNT_ID) & (c("user_company") == K.REGIONAL_COMPANY)
               & c("user_product").isin(*K.KUBE_PRODUCTS))
-    j = agg.join(_weights(weights), target & (c("user_product") == c("k_product")), "left")
+    j = lookup_join(agg, _weights(weights), [("user_product", "k_product")], residual=target).drop(SALT)
     hit = F.coalesce(c("k_hit"), F.lit(False))
     j = j.where(hit | ~F.coalesce(target, F.lit(False)))
     j = j.withColumns({
