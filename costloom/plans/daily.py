@@ -27,7 +27,7 @@ from costloom.operators import rollup as R
 from costloom.operators import spot as SPT
 from costloom.operators.calendar import month_calendar
 from costloom.operators.normalize import bill_rows, normalize_bill
-from costloom.session import bounded_broadcast, materialize
+from costloom.session import bounded_broadcast, materialize, remove_stages
 from costloom.sources.catalog import Catalog
 
 
@@ -50,9 +50,16 @@ class DailyJob:
         self.month = resolve_month(invoice_month)
         self.adhoc_scope = adhoc_scope
         self.checkpoint = checkpoint
+        self.stages: list[str] = []
 
     def _keep(self, df: DataFrame, name: str) -> DataFrame:
-        return materialize(df, f"daily-{self.month}-{name}") if self.checkpoint else df
+        return materialize(df, f"daily-{self.month}-{name}", self.stages) if self.checkpoint else df
+
+    def _release(self) -> None:
+        """Remove the staged tables and forget every cached stage (the job can run again)."""
+        remove_stages(self.spark, self.stages)
+        for k in [k for k, v in self.__dict__.items() if isinstance(v, DataFrame)]:
+            del self.__dict__[k]
 
     # -- (1) scan, normalise, hourly aggregate ------------------------------------------
     @cached_property
@@ -176,11 +183,14 @@ class DailyJob:
         if self.scalars["rows"] == 0:
             return {"invoice_month": self.month, "error": f"No bill rows exist for invoice month {self.month}",
                     "row_count": 0}
-        out = self.output().withColumn("t_created_date", F.current_timestamp().cast("timestamp_ntz"))
         status = {"invoice_month": self.month, "trx_source": self.scalars["trx_source"], "error": ""}
-        if target:
-            replace_month(out, target, self.month)
-            status.update(month_stats(self.spark, target, self.month, invoice_col="bill_invoice_id"))
+        try:
+            out = self.output().withColumn("t_created_date", F.current_timestamp().cast("timestamp_ntz"))
+            if target:
+                replace_month(out, target, self.month)
+                status.update(month_stats(self.spark, target, self.month, invoice_col="bill_invoice_id"))
+        finally:
+            self._release()
         return status
 
 

@@ -22,7 +22,7 @@ from costloom.operators import rollup as R
 from costloom.operators import spot as SPT
 from costloom.operators.calendar import month_calendar
 from costloom.operators.normalize import latest_month, normalize_detail
-from costloom.session import bounded_broadcast, materialize
+from costloom.session import bounded_broadcast, materialize, remove_stages
 from costloom.sources.catalog import Catalog
 
 
@@ -42,9 +42,16 @@ class DetailJob:
         self.month = resolve_latest(catalog, invoice_month)
         self.adhoc_scope = adhoc_scope
         self.checkpoint = checkpoint
+        self.stages: list[str] = []
 
     def _keep(self, df: DataFrame, name: str) -> DataFrame:
-        return materialize(df, f"detail-{self.month}-{name}") if self.checkpoint else df
+        return materialize(df, f"detail-{self.month}-{name}", self.stages) if self.checkpoint else df
+
+    def _release(self) -> None:
+        """Remove the staged tables and forget every cached stage (the job can run again)."""
+        remove_stages(self.spark, self.stages)
+        for k in [k for k, v in self.__dict__.items() if isinstance(v, DataFrame)]:
+            del self.__dict__[k]
 
     def latest_month(self) -> DataFrame:
         return latest_month(self.cat.usage_transaction)
@@ -93,9 +100,12 @@ class DetailJob:
 
     def run(self, target: str | None = None) -> dict:
         from costloom.plans.sink import replace_month
-        out = self.output().withColumn("t_created_date", F.current_timestamp().cast("timestamp_ntz"))
         status = {"invoice_month": self.month}
-        if target:
-            replace_month(out, target, self.month)
-            status["row_count"] = self.spark.read.parquet(f"{target}/invoice_month={self.month}").count()
+        try:
+            out = self.output().withColumn("t_created_date", F.current_timestamp().cast("timestamp_ntz"))
+            if target:
+                replace_month(out, target, self.month)
+                status["row_count"] = self.spark.read.parquet(f"{target}/invoice_month={self.month}").count()
+        finally:
+            self._release()
         return status

@@ -25,7 +25,7 @@ from costloom.operators import spot as SPT
 from costloom.operators.calendar import month_calendar
 from costloom.operators.normalize import normalize_summary, transaction_rows
 from costloom.plans.detail import resolve_latest
-from costloom.session import bounded_broadcast, materialize
+from costloom.session import bounded_broadcast, materialize, remove_stages
 from costloom.sources.catalog import Catalog
 
 
@@ -41,9 +41,16 @@ class SummaryJob:
         self.requested_month = None if self.estimated else resolve_latest(catalog, invoice_month)
         self.adhoc_scope = adhoc_scope
         self.checkpoint = checkpoint
+        self.stages: list[str] = []
 
     def _keep(self, df: DataFrame, name: str) -> DataFrame:
-        return materialize(df, f"summary-{self.source.lower()}-{name}") if self.checkpoint else df
+        return materialize(df, f"summary-{self.source.lower()}-{name}", self.stages) if self.checkpoint else df
+
+    def _release(self) -> None:
+        """Remove the staged tables and forget every cached stage (the job can run again)."""
+        remove_stages(self.spark, self.stages)
+        for k in [k for k, v in self.__dict__.items() if isinstance(v, DataFrame)]:
+            del self.__dict__[k]
 
     @cached_property
     def normalized(self) -> DataFrame:
@@ -153,9 +160,12 @@ class SummaryJob:
         if self.scalars["rows"] == 0:
             return {"invoice_month": self.month, "trx_source": self.source, "row_count": 0,
                     "error": f"No transactions for invoice month {self.month} ({self.source})"}
-        out = self.output().withColumn("t_created_date", F.current_timestamp().cast("timestamp_ntz"))
         status = {"invoice_month": self.month, "trx_source": self.source, "error": ""}
-        if target:
-            replace_month(out, target, self.month)
-            status["row_count"] = self.spark.read.parquet(f"{target}/invoice_month={self.month}").count()
+        try:
+            out = self.output().withColumn("t_created_date", F.current_timestamp().cast("timestamp_ntz"))
+            if target:
+                replace_month(out, target, self.month)
+                status["row_count"] = self.spark.read.parquet(f"{target}/invoice_month={self.month}").count()
+        finally:
+            self._release()
         return status

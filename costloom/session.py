@@ -66,15 +66,27 @@ def stage_root(spark: SparkSession) -> str:
     return ensure_checkpoint_dir(spark).rstrip("/") + "/costloom-stages"
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+def materialize(df: DataFrame, name: str = "stage", stages: list[str] | None = None) -> DataFrame:
     """Cut lineage by writing the stage as Parquet under the shared checkpoint folder and
     reading it back. Unlike an RDD checkpoint, the re-read prunes columns, pushes filters
-    and carries size statistics; and a lost executor costs a re-read, not a recompute."""
+    and carries size statistics; and a lost executor costs a re-read, not a recompute.
+    The path is appended to ``stages`` so the job can remove it when it is done."""
     path = f"{stage_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
+    if stages is not None:
+        stages.append(path)
     return df.sparkSession.read.parquet(path)
 
 
+def remove_stages(spark: SparkSession, stages: list[str]) -> None:
+    """Delete a job's staged tables once its output is written (Hadoop FileSystem API,
+    so it works on any shared store the checkpoint folder lives on)."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    while stages:
+        path = jvm.org.apache.hadoop.fs.Path(stages.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
 def rows_at_most(frames: list[DataFrame], max_rows: int | None = None) -> list[bool]:
     """For each frame, whether it holds at most ``max_rows`` rows: one distributed count
     of all frames together (column-less scans, counted map-side; only one number per

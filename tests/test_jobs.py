@@ -125,3 +125,17 @@ def test_results_do_not_depend_on_session_time_zone(spark, duck):
             assert digest(rows, cols)[0] == digest(d_rows, cols)[0], name
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_runs_remove_their_staged_tables(spark, scratch):
+    """Staged Parquet under the checkpoint folder is deleted once the month is written."""
+    from costloom.session import stage_root
+    root = stage_root(spark).replace("file:", "")
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    cat = FixtureCatalog(spark, SF001)
+    jobs = [DailyJob(cat, FX.DAILY_MONTH), DetailJob(cat, FX.DETAIL_MONTH), SummaryJob(cat, "ACTUAL")]
+    for i, job in enumerate(jobs):
+        status = job.run(os.path.join(scratch, f"t{i}"))
+        assert status["row_count"] > 0 and job.stages == []
+    after = set(os.listdir(root)) if os.path.isdir(root) else set()
+    assert after <= before
