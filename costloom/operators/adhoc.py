@@ -50,7 +50,8 @@ def adhoc_weights(adhoc: DataFrame, scope: str = "instance") -> DataFrame:
 
 
 def reallocate_adhoc(usage: DataFrame, alloc: DataFrame, *, account_col: str, name_col: str, ts_col: str,
-                     type_col: str, company_col: str, measures: dict, skip_types, note: str) -> DataFrame:
+                     type_col: str, company_col: str, measures: dict, skip_types, note: str,
+                     bounded: bool | None = None) -> DataFrame:
     """ADH2: rows whose UTC+7 (date, hour) falls in an allocation slot of their account and
     instance are replaced by one row per allocated company, measures times weight.
 
@@ -64,7 +65,7 @@ def reallocate_adhoc(usage: DataFrame, alloc: DataFrame, *, account_col: str, na
     local = shifted(c(ts_col))
     u = usage.withColumns({"_bkk_date": F.to_date(local), "_bkk_hour": F.hour(local)})
     keys = [(account_col, "_a_account"), (name_col, "_a_instance"), ("_bkk_date", "_a_date"), ("_bkk_hour", "_a_hour")]
-    j = lookup_join(u, a, keys, residual=~c(type_col).isin(*skip_types)).drop(SALT)
+    j = lookup_join(u, a, keys, residual=~c(type_col).isin(*skip_types), bounded=bounded).drop(SALT)
     hit = F.coalesce(c("_a_hit"), F.lit(False))
     j = j.withColumns({
         company_col: F.when(hit, c("_a_company")).otherwise(c(company_col)),

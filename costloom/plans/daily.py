@@ -27,7 +27,7 @@ from costloom.operators import rollup as R
 from costloom.operators import spot as SPT
 from costloom.operators.calendar import month_calendar
 from costloom.operators.normalize import bill_rows, normalize_bill
-from costloom.session import bounded_broadcast, materialize, remove_stages
+from costloom.session import bounded_lookup, materialize, remove_stages
 from costloom.sources.catalog import Catalog
 
 
@@ -109,11 +109,11 @@ class DailyJob:
                                   self.month)
 
     @cached_property
-    def _alloc(self) -> DataFrame:
-        return bounded_broadcast(ADH.adhoc_weights(self.adhoc_schedule(), self.adhoc_scope))
+    def _alloc(self) -> tuple[DataFrame, bool]:
+        return bounded_lookup(ADH.adhoc_weights(self.adhoc_schedule(), self.adhoc_scope))
 
     def adhoc_alloc(self) -> DataFrame:
-        return self._alloc
+        return self._alloc[0]
 
     def after_adhoc(self) -> DataFrame:
         measures = {m: K.MONEY for m in ("line_item_unblended_cost", "pricing_public_on_demand_cost",
@@ -122,7 +122,7 @@ class DailyJob:
                                     account_col="line_item_usage_account_id", name_col="resource_tags_user_name",
                                     ts_col="line_item_usage_start_date", type_col="line_item_line_item_type",
                                     company_col="resource_tags_user_company", measures=measures,
-                                    skip_types=K.FEE_TYPES, note=K.NOTE_ADHOC_DAILY)
+                                    skip_types=K.FEE_TYPES, note=K.NOTE_ADHOC_DAILY, bounded=self._alloc[1])
 
     # -- (4) daily grain, on-demand backfill ---------------------------------------------------
     def rolled(self) -> DataFrame:
@@ -152,7 +152,7 @@ class DailyJob:
     def _after_kube(self) -> DataFrame:
         if not self.kube_enabled:
             return self.backfilled
-        return KUB.reallocate_kube_daily(self.backfilled, bounded_broadcast(self.kube_weights()))
+        return KUB.reallocate_kube_daily(self.backfilled, *bounded_lookup(self.kube_weights()))
 
     def after_kube(self) -> DataFrame:
         return self._after_kube

@@ -22,7 +22,7 @@ from costloom.operators import rollup as R
 from costloom.operators import spot as SPT
 from costloom.operators.calendar import month_calendar
 from costloom.operators.normalize import latest_month, normalize_detail
-from costloom.session import bounded_broadcast, materialize, remove_stages
+from costloom.session import bounded_lookup, materialize, remove_stages
 from costloom.sources.catalog import Catalog
 
 
@@ -69,21 +69,21 @@ class DetailJob:
         return FEES.drop_rounded_zero(self.after_spot(), "retail_cost", 8)
 
     @cached_property
-    def _alloc(self) -> DataFrame:
+    def _alloc(self) -> tuple[DataFrame, bool]:
         sched = ADH.adhoc_schedule(self.cat.adhoc_billing, self.cat.adhoc_billing_instance,
                                    self.cat.adhoc_billing_schedule_hours, month_calendar(self.spark, self.month),
                                    self.month)
-        return bounded_broadcast(ADH.adhoc_weights(sched, self.adhoc_scope))
+        return bounded_lookup(ADH.adhoc_weights(sched, self.adhoc_scope))
 
     def adhoc_alloc(self) -> DataFrame:
-        return self._alloc
+        return self._alloc[0]
 
     def after_adhoc(self) -> DataFrame:
         return ADH.reallocate_adhoc(self.after_zero(), self.adhoc_alloc(), account_col="account_id",
                                     name_col="user_name", ts_col="usage_date_hour", type_col="lineitem_type",
                                     company_col="user_company",
                                     measures={"retail_cost": K.DEC38_8, "quantity": K.MONEY},
-                                    skip_types=K.DETAIL_ADHOC_SKIPPED_TYPES, note=K.NOTE_ADHOC_DETAIL)
+                                    skip_types=K.DETAIL_ADHOC_SKIPPED_TYPES, note=K.NOTE_ADHOC_DETAIL, bounded=self._alloc[1])
 
     @cached_property
     def rolled(self) -> DataFrame:

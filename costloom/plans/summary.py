@@ -25,7 +25,7 @@ from costloom.operators import spot as SPT
 from costloom.operators.calendar import month_calendar
 from costloom.operators.normalize import normalize_summary, transaction_rows
 from costloom.plans.detail import resolve_latest
-from costloom.session import bounded_broadcast, materialize, remove_stages
+from costloom.session import bounded_lookup, materialize, remove_stages
 from costloom.sources.catalog import Catalog
 
 
@@ -107,21 +107,21 @@ class SummaryJob:
         return AMO.amortize_rifee_estimated(self.after_spot(), self.last_trx)
 
     @cached_property
-    def _alloc(self) -> DataFrame:
+    def _alloc(self) -> tuple[DataFrame, bool]:
         sched = ADH.adhoc_schedule(self.cat.adhoc_billing, self.cat.adhoc_billing_instance,
                                    self.cat.adhoc_billing_schedule_hours, month_calendar(self.spark, self.month),
                                    self.month)
-        return bounded_broadcast(ADH.adhoc_weights(sched, self.adhoc_scope))
+        return bounded_lookup(ADH.adhoc_weights(sched, self.adhoc_scope))
 
     def adhoc_alloc(self) -> DataFrame:
-        return self._alloc
+        return self._alloc[0]
 
     def after_adhoc(self) -> DataFrame:
         return ADH.reallocate_adhoc(self.after_amortize(), self.adhoc_alloc(), account_col="account_id",
                                     name_col="user_name", ts_col="usage_date_hour", type_col="lineitem_type",
                                     company_col="user_company",
                                     measures={"unblended_cost": K.MONEY, "ondemand_cost": K.MONEY, "quantity": K.MONEY},
-                                    skip_types=K.FEE_TYPES, note=K.NOTE_ADHOC_SUMMARY)
+                                    skip_types=K.FEE_TYPES, note=K.NOTE_ADHOC_SUMMARY, bounded=self._alloc[1])
 
     def rolled(self) -> DataFrame:
         return R.summary_rollup(self.after_adhoc())
@@ -136,7 +136,7 @@ class SummaryJob:
         has_usage = not self.cat.kube_monthly_namespace_usage.where(c("month_id") == F.lit(self.month)).isEmpty()
         if not has_usage:
             return self.rolled()
-        return KUB.reallocate_kube_summary(self.rolled(), bounded_broadcast(self.kube_weights()))
+        return KUB.reallocate_kube_summary(self.rolled(), *bounded_lookup(self.kube_weights()))
 
     @cached_property
     def weighted(self) -> DataFrame:

@@ -107,7 +107,11 @@ def row_count_at_most(df: DataFrame, max_rows: int | None = None) -> bool:
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Broadcast behind a size check. Spark cannot estimate the size of small tables
+    return bounded_lookup(df, max_rows)[0]
+
+
+def bounded_lookup(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
+    """Broadcast behind a size check; also says whether the frame is within the bound. Spark cannot estimate the size of small tables
     derived through joins, aggregates and generators, so fetch at most ``max_rows + 1``
     rows: within the bound the rows become a local relation that is broadcast (what a
     broadcast join ships through the driver anyway, computed once); beyond it the derived
@@ -115,5 +119,5 @@ def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     bound = MAX_BROADCAST_ROWS if max_rows is None else max_rows
     rows = df.limit(bound + 1).collect()
     if len(rows) > bound:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+        return df, False
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema)), True
