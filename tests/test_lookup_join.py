@@ -61,3 +61,13 @@ def test_jobs_match_oracle_without_broadcast_of_derived_or_growing_lookups(spark
         d_rows = [dict(zip(d_cols, r)) for r in rel.fetchall()]
         assert len(rows) == len(d_rows), name
         assert digest(rows, cols)[0] == digest(d_rows, cols)[0], name
+
+
+def test_bounded_lookups_plan_as_broadcast_joins(spark):
+    """Within the bound, the RI / owner / tag lookups never shuffle the transactions."""
+    import __spark_entry__ as E
+    df = E.queries()["nrm2_normalize"](spark, SF001)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") >= 4       # accounts, RI fees, owners, tags
+    assert "SortMergeJoin" not in plan and "_salt" not in plan
