@@ -32,6 +32,11 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.score_documents(_docs(spark, sf_dir), read_table(spark, sf_dir, "labels"))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from costloom.llm import ngram_join as op
+    return op.group_documents(_docs(spark, sf_dir))
+
+
 def op6_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     from costloom.llm import suffix_tree as op
     return op.score_documents(_docs(spark, sf_dir))
@@ -42,13 +47,61 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.score_documents(_docs(spark, sf_dir), read_table(spark, sf_dir, "labels"))
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from costloom.llm import fingerprints as op
+    return op.digest(_docs(spark, sf_dir))
+
+
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from costloom.llm import secrets as op
+    return op.summary(op.scan(_docs(spark, sf_dir)))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from costloom.llm import warc as op
+    return op.round_trip(read_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op3_quality": op3_quality,
+    "op4_ngram_join": op4_ngram_join,
     "op6_suffix_tree": op6_suffix_tree,
     "op7_toxicity": op7_toxicity,
+    "op8_fingerprints": op8_fingerprints,
+    "op9_secrets": op9_secrets,
+    "op10_warc": op10_warc,
+}
+SQL: dict[str, str] = {
+    "op4_ngram_join": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+    ELSE [array_to_string(ws[i:i + 3], ' ') for i in range(1, len(ws) - 2)] END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 85 * (nx.n + ny.n - c)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r(a, b) AS (SELECT doc_id, doc_id FROM w UNION SELECT r.a, e.y FROM r JOIN e ON r.b = e.x)
+SELECT w.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.b) AS component_id
+FROM w LEFT JOIN n USING (doc_id) JOIN r ON r.a = w.doc_id GROUP BY w.doc_id""",
+    # base 32 of a SHA-1: each 10 hexadecimal digits are 40 bits, so 8 characters
+    "op10_warc": """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(encode(coalesce(html, ''))) AS h FROM pages),
+d AS (
+  SELECT page_id, payload_bytes,
+         array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + (((('0x' || substr(h, 1 + 10 * (i // 8)::INT, 10))::BIGINT) >> (35 - 5 * (i % 8))::INT) & 31)::INT, 1) for i in range(32)], '') AS payload_digest
+  FROM p),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS leader FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id < leader THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < leader THEN leader END AS refers_to
+FROM g""",
 }
-SQL: dict[str, str] = {}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
