@@ -17,16 +17,30 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents")
 
 
+def piece_model_path() -> str:
+    return os.environ.get("PIECE_MODEL", PIECES)
+
+
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
     from costloom.llm import sentencepiece as op
-    model = op.load_model(os.environ.get("PIECE_MODEL", PIECES))
+    model = op.load_model(piece_model_path())
     done = op.decode(op.encode(_docs(spark, sf_dir), model), model)
     return done.select("doc_id", F.size("ids").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"),
                        (F.col("decoded") == F.col("text")).alias("round_trip"))
 
 
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from costloom.llm import chat as op
+    from costloom.llm.common import remainder
+    raw = op.transcript(read_table(spark, sf_dir, "conversations"))
+    model = op.fit(raw.where(remainder(F.col("conv_id"), 5) != 0))
+    return op.parse(raw, model)
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from costloom.llm import quality as op
     return op.score_documents(_docs(spark, sf_dir), read_table(spark, sf_dir, "labels"))
@@ -37,6 +51,11 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.group_documents(_docs(spark, sf_dir))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from costloom.llm import decontaminate as op
+    return op.find_matches(_docs(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
+
+
 def op6_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     from costloom.llm import suffix_tree as op
     return op.score_documents(_docs(spark, sf_dir))
@@ -64,8 +83,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_chat": op2_chat,
     "op3_quality": op3_quality,
     "op4_ngram_join": op4_ngram_join,
+    "op5_decontaminate": op5_decontaminate,
     "op6_suffix_tree": op6_suffix_tree,
     "op7_toxicity": op7_toxicity,
     "op8_fingerprints": op8_fingerprints,
@@ -104,16 +125,18 @@ FROM g""",
 }
 
 
+def with_workers(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """``f`` with Python workers on this machine importing the package from here; a cluster gets
+    it by --py-files."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
+        return f(spark, sf_dir)
+    run.__name__ = f.__name__
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    def bound(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            # Python workers on this machine import the package from here; a cluster gets it by --py-files
-            spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
-            return f(spark, sf_dir)
-        run.__name__ = f.__name__
-        return run
-
-    return {name: bound(f) for name, f in QUERIES.items()}
+    return {name: with_workers(f) for name, f in QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:

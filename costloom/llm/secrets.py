@@ -133,9 +133,11 @@ def markov_spans(text: str, base: list[Span], ratio: np.ndarray, params: ScanPar
     return out
 
 
-def scan(docs: DataFrame, params: ScanParams = ScanParams()) -> DataFrame:
-    """(doc_id, text, spans: array of (start, end, kind)) for each row."""
-    docs = documents(docs)
+def scan(docs: DataFrame, params: ScanParams = ScanParams(), keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, text, the columns of ``keep``, spans: array of (start, end, kind)) for each row."""
+    docs = documents(docs, *keep)
+    names = docs.columns
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.schema)
     ratio = docs.sparkSession.sparkContext.broadcast(log_ratio(count_samples(docs), params.smoothing))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,9 +148,9 @@ def scan(docs: DataFrame, params: ScanParams = ScanParams()) -> DataFrame:
                 base = base_spans(t)
                 spans = sort_spans(base + markov_spans(t, base, ratio.value, params))
                 out.append([{"start": a, "end": z, "kind": k} for a, z, k in spans])
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text"), pa.array(out, kind)], ["doc_id", "text", "spans"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, kind)], [*names, "spans"])
 
-    return docs.mapInArrow(run, "doc_id long, text string, spans array<struct<start:int,end:int,kind:string>>")
+    return docs.mapInArrow(run, f"{schema}, spans array<struct<start:int,end:int,kind:string>>")
 
 
 def redact_text(text: str, spans: list[Span], mask: str = "[SECRET]") -> str:

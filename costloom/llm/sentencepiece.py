@@ -273,10 +273,11 @@ def spellings(model: PieceModel) -> list[bytes]:
     return out
 
 
-def encode(docs: DataFrame, model: PieceModel, broadcast_units: int = 8_000_000) -> DataFrame:
-    """(doc_id, text, ids) for every row of ``docs`` (doc_id, text)."""
+def encode(docs: DataFrame, model: PieceModel, broadcast_units: int = 8_000_000, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, text, the columns of ``keep``, ids) for every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
-    docs = documents(docs)
+    docs = documents(docs, *keep)
+    names = docs.columns
     counts = materialize(count_units(docs), "sp-units")
     total = counts.count()
     parts = shuffle_width(total, 150_000, spark.sparkContext.defaultParallelism)
@@ -301,17 +302,17 @@ def encode(docs: DataFrame, model: PieceModel, broadcast_units: int = 8_000_000)
                 lost = [u for u, g in zip(us, got) if g is None] if None in got else []
                 missing.append(list({u.replace(" ", SPACE) for u in lost}))
                 ids.append(None if lost else np.frombuffer(b"".join(got), "<i4"))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text"), pa.array(ids, pa.list_(pa.int32())),
-                                              pa.array(missing, pa.list_(pa.string()))], ["doc_id", "text", "ids", "missing"])
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in names], pa.array(ids, pa.list_(pa.int32())), pa.array(missing, pa.list_(pa.string()))],
+                                             [*names, "ids", "missing"])
 
-    schema = "doc_id long, text string, ids array<int>, missing array<string>"
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.schema) + ", ids array<int>, missing array<string>"
     if rest is None:
         return docs.mapInArrow(look_up, schema).drop("missing")
     first = materialize(docs.mapInArrow(look_up, schema).withColumn("row", F.monotonically_increasing_id()), "sp-first")
     extra = (first.where("ids is null").select("row", F.explode("missing").alias("unit")).join(rest, "unit")
              .groupBy("row").agg(F.collect_list(F.struct("unit", "ids")).alias("extra")))
-    late = first.where("ids is null").select("row", "doc_id", "text").join(extra, "row").select("doc_id", "text", "extra")
-    return first.where("ids is not null").select("doc_id", "text", "ids").unionByName(
+    late = first.where("ids is null").select("row", *names).join(extra, "row").select(*names, "extra")
+    return first.where("ids is not null").select(*names, "ids").unionByName(
         late.mapInArrow(look_up, schema).drop("missing"))
 
 
