@@ -71,8 +71,9 @@ class Shingler:
         known = self.words
         if len(known) > self.limit:
             known.clear()
-        for w in set(words) - known.keys():
-            known[w] = xxhash.xxh64_intdigest(w)
+        for w in set(words):
+            if w not in known:
+                known[w] = xxhash.xxh64_intdigest(w)
         h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         k = min(self.width, len(words))
         n = len(words) - k + 1

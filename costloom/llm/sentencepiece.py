@@ -201,7 +201,7 @@ def _viterbi_fold(edges: Column, size: Column, unknown: float) -> Column:
                                                      F.element_at(best, p + 1)["id"].alias("id"))), s["path"]).alias("path"))).otherwise(s))
     tokens = back["path"]
     return F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.coalesce(
-        F.element_at(F.transform(F.filter(tokens, lambda t: t["start"] == i), lambda t: F.struct(t["end"].alias("end"), t["id"].alias("id"))), 1),
+        F.get(F.transform(F.filter(tokens, lambda t: t["start"] == i), lambda t: F.struct(t["end"].alias("end"), t["id"].alias("id"))), F.lit(0)),
         F.struct(F.lit(0).alias("end"), F.lit(-1).alias("id"))))
 
 
@@ -292,7 +292,7 @@ def encode(docs: DataFrame, model: PieceModel, broadcast_units: int = 8_000_000,
             if len(cache) > 200_000:
                 cache.clear()
             extra = b.column("extra").to_pylist() if "extra" in b.schema.names else [None] * len(lists)
-            new = list(set().union(*lists) - cache.keys())
+            new = [u for u in set().union(*lists) if u not in cache]
             for u, i in zip(new, t.find([u.replace(" ", SPACE).encode() for u in new]).tolist()):
                 cache[u] = t.payload[t.offsets[i]:t.offsets[i + 1]].tobytes() if i >= 0 else None
             ids, missing = [], []

@@ -151,10 +151,10 @@ class SuffixTree:
         self.levels.append(runs)
         n = self.context_counts(level).astype(float)
         context, word = (runs.keys >> np.uint64(32)).astype(np.int64), (runs.keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        stored = np.bincount(context, runs.counts, len(n))
+        stored = np.bincount(context, runs.counts, len(n)).astype(float)
         suffix, lower = self._suffix_probability(level, context, word, unigram)
         share = runs.counts / np.maximum(n[context], 1)
-        kl = np.bincount(context, share * np.log(share / lower), len(n))
+        kl = np.bincount(context, share * np.log(share / lower), len(n)).astype(float)
         other, other_lower = np.maximum(1 - stored / np.maximum(n, 1), 0), np.maximum(1 - np.bincount(context, lower, len(n)), 1e-12)
         kl += np.where(other > 0, other * np.log(np.maximum(other, 1e-300) / other_lower), 0)
         self.suffixes = suffix
@@ -201,7 +201,7 @@ class WordCache:
     def lists(self, lists: list[list[bytes]]) -> np.ndarray:
         if len(self.at) > self.limit:
             self.at.clear()
-        new = list(set().union(*lists) - self.at.keys())
+        new = [w for w in set().union(*lists) if w not in self.at]
         self.at.update(zip(new, self.table.find(new).tolist()))
         return np.fromiter(map(self.at.__getitem__, chain.from_iterable(lists)), np.int64, sum(map(len, lists)))
 
