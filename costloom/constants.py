@@ -10,12 +10,15 @@ from pyspark.sql.types import DecimalType
 
 # --- working decimal types -------------------------------------------------------
 MONEY = DecimalType(28, 12)          # cost / quantity inside the jobs
-WEIGHT = DecimalType(18, 16)         # allocation weight
+WEIGHT = DecimalType(24, 16)         # allocation weight (credits can make a share exceed 1)
 DEC38_8 = DecimalType(38, 8)         # detail / summary cost columns
 DEC19_8 = DecimalType(19, 8)         # dividend of weights (detail, summary)
+TOTAL = DecimalType(22, 12)          # both sides of a share: a quotient keeps 16 places
 DEC38_15 = DecimalType(38, 15)       # daily output measures
 RATE = DecimalType(19, 10)           # daily output rates
-PERCENT = DecimalType(11, 10)        # summary retail percent
+DIVIDED = DecimalType(18, 8)         # factor of a (19,8) amount: the product is exact in 38 digits
+PERCENT = DecimalType(16, 10)        # summary retail percent (credits can make it exceed 10)
+LISTED = DecimalType(14, 8)          # listed hourly rate, narrow enough for exact products
 SPOT_RATE = DecimalType(8, 4)        # summary spot rate (rounds to 4 places)
 
 # --- FIXED VALUES (must equal the reference) -------------------------------------
@@ -63,8 +66,3 @@ UPFRONT_RI_TYPE = "ReservedInstanceUpfrontFee"
 SAVINGS_PLAN_PRODUCT_PATTERN = "%Savings Plan%"
 AWS_ENTITY = "AWS"
 AZURE_SOURCE = "AZURE"
-
-# --- scale guards ------------------------------------------------------------------
-# Weight tables attached to every target row as a literal array must stay below this
-# many entries; larger ones take a shuffle-based path (see operators/fanout.py).
-MAX_INLINE_WEIGHTS = 20_000

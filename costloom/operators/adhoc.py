@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costloom import constants as K
-from costloom.functions.columns import c, scaled, shifted, weekday_code
-from costloom.operators.lookup import SALT, lookup_join
+from costloom.functions.columns import c, scaled, shifted
+from costloom.operators.lookup import lookup_join
 
 
 def adhoc_schedule(billing: DataFrame, instances: DataFrame, schedule: DataFrame,
@@ -50,8 +50,7 @@ def adhoc_weights(adhoc: DataFrame, scope: str = "instance") -> DataFrame:
 
 
 def reallocate_adhoc(usage: DataFrame, alloc: DataFrame, *, account_col: str, name_col: str, ts_col: str,
-                     type_col: str, company_col: str, measures: dict, skip_types, note: str,
-                     bounded: bool | None = None) -> DataFrame:
+                     type_col: str, company_col: str, measures: dict, skip_types, note: str) -> DataFrame:
     """ADH2: rows whose UTC+7 (date, hour) falls in an allocation slot of their account and
     instance are replaced by one row per allocated company, measures times weight.
 
@@ -65,7 +64,7 @@ def reallocate_adhoc(usage: DataFrame, alloc: DataFrame, *, account_col: str, na
     local = shifted(c(ts_col))
     u = usage.withColumns({"_bkk_date": F.to_date(local), "_bkk_hour": F.hour(local)})
     keys = [(account_col, "_a_account"), (name_col, "_a_instance"), ("_bkk_date", "_a_date"), ("_bkk_hour", "_a_hour")]
-    j = lookup_join(u, a, keys, residual=~c(type_col).isin(*skip_types), bounded=bounded).drop(SALT)
+    j = lookup_join(u, a, keys, residual=~c(type_col).isin(*skip_types))
     hit = F.coalesce(c("_a_hit"), F.lit(False))
     j = j.withColumns({
         company_col: F.when(hit, c("_a_company")).otherwise(c(company_col)),
@@ -80,11 +79,3 @@ def adhoc_companies(billing: DataFrame, month: int) -> DataFrame:
     return (billing.where(c("invoice_month") == F.lit(int(month)))
             .groupBy("account_id")
             .agg(F.array_join(F.array_sort(F.collect_set("user_company")), ",").alias("user_company")))
-
-
-def off_hours_columns(df: DataFrame, ts_col: str) -> DataFrame:
-    """The UTC+7 date, hour and weekday code the allocation matches on (for reports/tests)."""
-    local = shifted(c(ts_col))
-    return (df.withColumn("usage_date_bkk", F.to_date(local))
-              .withColumn("hour_bkk", F.hour(local))
-              .withColumn("day_bkk", weekday_code(F.to_date(local))))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costloom import constants as K
@@ -10,10 +10,12 @@ from costloom.functions.columns import c, keep_unless, scaled
 from costloom.operators.fanout import fan_out
 
 
-def _share(col: str) -> F.Column:
-    """Share of the grand total. The frame is the tiny company table, so the single
-    window partition (WIN1) holds one row per company."""
-    return (c(col).cast("double") / F.sum(col).over(Window.partitionBy()).cast("double")).cast(K.WEIGHT)
+def with_share(g: DataFrame, col: str, name: str, dividend=K.TOTAL) -> DataFrame:
+    """WIN1: each row's share of the grand total. The total is a partial aggregate whose one
+    row is broadcast back, and the quotient is decimal (rounded once, at 16 places)."""
+    total = g.agg(F.sum(col).cast(K.TOTAL).alias("_total")).withColumn("_one", F.lit(1))
+    return (g.withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one")
+            .withColumn(name, (c(col).cast(dividend).cast(K.TOTAL) / c("_total")).cast(K.WEIGHT)).drop("_one", "_total"))
 
 
 def infra_weights_daily(agg: DataFrame, azure: DataFrame, month: int) -> DataFrame:
@@ -28,7 +30,7 @@ def infra_weights_daily(agg: DataFrame, azure: DataFrame, month: int) -> DataFra
           .agg(F.sum("retail_cost").cast(K.MONEY).alias("pricing_public_on_demand_cost")))
     g = (aws.unionByName(az).groupBy("cost_source", "resource_tags_user_company")
          .agg(F.sum("pricing_public_on_demand_cost").cast(K.MONEY).alias("pricing_public_on_demand_cost")))
-    return g.withColumn("retail_weight", _share("pricing_public_on_demand_cost"))
+    return with_share(g, "pricing_public_on_demand_cost", "retail_weight")
 
 
 def infra_weights_monthly(final: DataFrame, azure: DataFrame, month: int) -> DataFrame:
@@ -39,8 +41,7 @@ def infra_weights_monthly(final: DataFrame, azure: DataFrame, month: int) -> Dat
     az = (azure.where(c("billing_period") == F.lit(int(month)))
           .select(c("tag_company").alias("user_company"), c("retail_cost").cast(K.MONEY).alias("retail_cost")))
     g = aws.unionByName(az).groupBy("user_company").agg(F.sum("retail_cost").cast(K.MONEY).alias("retail_cost"))
-    total = F.sum("retail_cost").over(Window.partitionBy())
-    return g.withColumn("weight", (c("retail_cost").cast(K.DEC19_8).cast("double") / total.cast("double")).cast(K.WEIGHT))
+    return with_share(g, "retail_cost", "weight", K.DEC19_8)
 
 
 def redistribute_infra_daily(agg: DataFrame, weights: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from costloom import constants as K
 from costloom.functions.columns import c, scaled
-from costloom.operators.lookup import SALT, lookup_join
+from costloom.operators.lookup import lookup_join
 
 
 def kube_weights(usage: DataFrame, mapping: DataFrame, month: int, daily_notes: bool) -> DataFrame:
@@ -36,13 +36,12 @@ def _weights(weights: DataFrame) -> DataFrame:
                           c("note").alias("k_note"), F.lit(True).alias("k_hit"))
 
 
-def reallocate_kube_daily(agg: DataFrame, weights: DataFrame, bounded: bool | None = None) -> DataFrame:
+def reallocate_kube_daily(agg: DataFrame, weights: DataFrame) -> DataFrame:
     """Daily KUB2: Regional-account, Regional-company rows whose product is a weighted
     cluster become one row per weight (company, product, note from the weight)."""
     is_kube = (c("line_item_usage_account_id") == K.REGIONAL_ACCOUNT_ID) & \
               (c("resource_tags_user_company") == K.REGIONAL_COMPANY)
-    j = lookup_join(agg, _weights(weights), [("resource_tags_user_product", "k_product")], residual=is_kube,
-                    bounded=bounded).drop(SALT)
+    j = lookup_join(agg, _weights(weights), [("resource_tags_user_product", "k_product")], residual=is_kube)
     hit = F.coalesce(c("k_hit"), F.lit(False))
     j = j.withColumns({
         "resource_tags_user_company": F.when(hit, c("k_company")).otherwise(c("resource_tags_user_company")),
@@ -53,13 +52,12 @@ def reallocate_kube_daily(agg: DataFrame, weights: DataFrame, bounded: bool | No
     return j.drop("k_product", "k_company", "k_user_product", "k_weight", "k_note", "k_hit")
 
 
-def reallocate_kube_summary(agg: DataFrame, weights: DataFrame, bounded: bool | None = None) -> DataFrame:
+def reallocate_kube_summary(agg: DataFrame, weights: DataFrame) -> DataFrame:
     """Summary KUB2: every Regional row with one of the two kube products is replaced by its
     weighted split; a product with no weights loses its cost (Q14)."""
     target = ((c("account_id") == K.REGIONAL_ACCOUNT_ID) & (c("user_company") == K.REGIONAL_COMPANY)
               & c("user_product").isin(*K.KUBE_PRODUCTS))
-    j = lookup_join(agg, _weights(weights), [("user_product", "k_product")], residual=target,
-                    bounded=bounded).drop(SALT)
+    j = lookup_join(agg, _weights(weights), [("user_product", "k_product")], residual=target)
     hit = F.coalesce(c("k_hit"), F.lit(False))
     j = j.where(hit | ~F.coalesce(target, F.lit(False)))
     j = j.withColumns({

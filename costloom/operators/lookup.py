@@ -1,14 +1,11 @@
-"""Joins of the transaction grain to lookup tables that grow with the data (RI fees by
-ARN, resource owners and tags by resource id: JOI2-JOI5).
-
-A lookup within the broadcast bound (counted, ``session.MAX_BROADCAST_ROWS``) is broadcast:
-the big side is not shuffled and a hot key costs nothing. A larger lookup joins on the
-shuffle path with a salted key: every big-side row takes one of ``SALT_BUCKETS`` values
-from a hash of its own columns (deterministic, so a retried task rebuilds the same
-shuffle) and every lookup row is copied once per value. A key that holds a third of the
-big side is spread over ``SALT_BUCKETS`` tasks; the copies cost ``SALT_BUCKETS`` x the
-lookup, small next to the transactions. The salt stays on the big side as ``_salt`` so a
-second lookup on the same key reuses the partitioning; callers drop it at the end."""
+"""Left joins of the transaction grain to lookup tables (JOI2-JOI5, JOI10, JOI11, JOI13).
+
+A lookup that Spark's own size estimate (file sizes, for tables and stages) puts under the
+broadcast threshold is broadcast: the big side is not shuffled and a hot key costs nothing.
+A larger one is a sort-merge join with one exchange a side, which AQE splits where a key is
+hot (``spark.sql.adaptive.forceOptimizeSkewedJoin`` also where two joins follow each other on
+one key; ``session.build_session`` sets it). Rows whose key is NULL can match nothing: they
+go around the join and never enter the shuffle. No action runs here."""
 
 from __future__ import annotations
 
@@ -20,24 +17,20 @@ from pyspark.sql import functions as F
 from costloom import session
 from costloom.functions.columns import c
 
-SALT = "_salt"
-
 
 def lookup_join(big: DataFrame, lookup: DataFrame, keys: list[tuple[str, str]], how: str = "left",
-                residual: Column | None = None, buckets: int | None = None,
-                max_rows: int | None = None, bounded: bool | None = None) -> DataFrame:
+                residual: Column | None = None, null_keys_around: bool = False) -> DataFrame:
     """``big`` joined to ``lookup`` on ``keys`` (pairs of big / lookup column names, names
-    distinct between the sides) and an optional ``residual`` condition. ``bounded`` is the
-    result of the size check when the caller has made it (``session.rows_at_most``)."""
+    distinct between the sides) and an optional ``residual`` condition.
+
+    ``null_keys_around`` reads ``big`` twice to send its NULL-key rows around a shuffle join;
+    callers set it where ``big`` is a scan and NULL keys are common."""
     cond = reduce(lambda a, b: a & b, [c(l) == c(r) for l, r in keys])
-    if residual is not None:
-        cond = cond & residual
-    if bounded is None:
-        bounded = session.row_count_at_most(lookup, max_rows)
-    if bounded:
-        return big.join(F.broadcast(lookup), cond, how)
-    n = buckets or session.SALT_BUCKETS
-    if SALT not in big.columns:
-        big = big.withColumn(SALT, F.pmod(F.xxhash64(*big.columns), F.lit(n)))
-    copies = lookup.withColumn("_lookup_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<bigint>")))
-    return big.join(copies, cond & (c(SALT) == c("_lookup_salt")), how).drop("_lookup_salt")
+    on = cond if residual is None else cond & residual
+    if session.under_broadcast_threshold(lookup):
+        return big.join(F.broadcast(lookup), on, how)
+    if not null_keys_around or how != "left":
+        return big.join(lookup, on, how)
+    some_null = reduce(lambda a, b: a | b, [c(l).isNull() for l, _ in keys])
+    around = big.where(some_null).select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in lookup.schema])
+    return big.where(~some_null).join(lookup, on, how).unionByName(around)

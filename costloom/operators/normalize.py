@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costloom import constants as K
-from costloom import session
-from costloom.operators.lookup import SALT, lookup_join
+from costloom.operators.lookup import lookup_join
 from costloom.functions.columns import (c, company_precedence, company_with_default, is_support,
                                         month_bounds, not_in, ntz, product_precedence)
 
@@ -105,7 +104,7 @@ def transaction_rows(trx: DataFrame, accounts: DataFrame, month: int | None) ->
 
 
 def _lookups(trx: DataFrame, accounts: DataFrame, rifee: DataFrame, ruser: DataFrame, rtag: DataFrame,
-             rifee_on_invoice: bool) -> DataFrame:
+             rifee_on_invoice: bool, month: int | None) -> DataFrame:
     ac = accounts_lookup(accounts)
     ri = rifee.select(c("ri_reservationarn").alias("ri_arn"), c("invoice_id").alias("ri_invoice_id"),
                       c("ri_normalizationfactor").alias("ri_nf"))
@@ -116,13 +115,15 @@ def _lookups(trx: DataFrame, accounts: DataFrame, rifee: DataFrame, ruser: DataF
                      c("user_product").alias("rt_user_product"))
     ri_keys = [("reservationarn", "ri_arn")] + ([("invoice_id", "ri_invoice_id")] if rifee_on_invoice else [])
     ts = c("usage_start_date")
-    ri_ok, ru_ok, rt_ok = session.rows_at_most([ri, ru, rt])
+    if month is not None:  # owners whose interval meets the month
+        first, nxt = month_bounds(month)
+        ru = ru.where((c("ru_start") < ntz(dt.datetime.combine(nxt, dt.time()))) & (c("ru_end") >= ntz(dt.datetime.combine(first, dt.time()))))
     j = trx.join(ac, c("linked_account_id") == c("ac_account_id"), "inner")
-    j = lookup_join(j, ri, ri_keys, bounded=ri_ok).drop(SALT)
     # JOI4: equi key + inclusive range residual; a NULL end never matches
-    j = lookup_join(j, ru, [("resource_id", "ru_resource_id")], bounded=ru_ok,
+    j = lookup_join(j, ru, [("resource_id", "ru_resource_id")], null_keys_around=True,
                     residual=(ts >= c("ru_start")) & (ts <= c("ru_end")))
-    return lookup_join(j, rt, [("resource_id", "rt_resource_id")], bounded=rt_ok).drop(SALT)
+    j = lookup_join(j, rt, [("resource_id", "rt_resource_id")])
+    return lookup_join(j, ri, ri_keys)
 
 
 def normalize_detail(trx: DataFrame, accounts: DataFrame, rifee: DataFrame, ruser: DataFrame,
@@ -130,7 +131,7 @@ def normalize_detail(trx: DataFrame, accounts: DataFrame, rifee: DataFrame, ruse
     """NRM2: transaction rows of one month with tags and the detail retail-cost rule (PRJ7)."""
     t = c("lineitem_type")
     base = transactions_for_month(trx, month).where(not_in(t, K.MONTHLY_EXCLUDED_TYPES))
-    j = _lookups(base, accounts, rifee, ruser, rtag, rifee_on_invoice=True)
+    j = _lookups(base, accounts, rifee, ruser, rtag, rifee_on_invoice=True, month=month)
     od, ub = c("public_ondemand_cost"), c("unblended_cost")
     nvl0 = lambda x: F.coalesce(x, F.lit(0))
     discounted = F.lower(t) == "discountedusage"
@@ -167,7 +168,7 @@ def normalize_summary(trx: DataFrame, accounts: DataFrame, rifee: DataFrame, rus
     actual = source == "ACTUAL"
     base = transactions_for_month(trx, month) if actual else trx
     base = base.where(not_in(t, K.MONTHLY_EXCLUDED_TYPES))
-    j = _lookups(base, accounts, rifee, ruser, rtag, rifee_on_invoice=actual)
+    j = _lookups(base, accounts, rifee, ruser, rtag, rifee_on_invoice=actual, month=month)
     ub = c("unblended_cost")
     ts = c("usage_start_date")
     return j.select(

@@ -127,12 +127,14 @@ def weight_actual_cost(agg: DataFrame, accounts: DataFrame) -> DataFrame:
     totals = (cs.groupBy(c("invoice_id").alias("t_invoice_id"), c("account_id").alias("t_account_id"))
               .agg(F.sum("retail_cost").alias("total_retail_cost"), F.sum("actual_cost").alias("total_actual_cost")))
     j = cs.join(totals, (c("invoice_id") == c("t_invoice_id")) & (c("account_id") == c("t_account_id")), "inner")
-    ratio = c("retail_cost").cast(K.DEC19_8).cast("double") / c("total_retail_cost").cast("double")
+    part, retail, actual = (c(x).cast(t) for x, t in (("retail_cost", K.DEC19_8), ("total_retail_cost", K.DEC19_8),
+                                                      ("total_actual_cost", K.DIVIDED)))
     return j.select(
         *SUMMARY_KEYS, "actual_cost",
-        F.round(ratio * c("total_actual_cost").cast("double"), 8).cast(K.DEC38_8).alias("weighted_actual_cost"),
+        # multiplied before it is divided, all in decimals: exact up to the one rounding at 8 places
+        ((part * actual) / retail).cast(K.DEC38_8).alias("weighted_actual_cost"),
         "retail_cost",
-        F.round(ratio, 10).cast(K.PERCENT).alias("retail_cost_percent"),
+        (part / retail).cast(K.PERCENT).alias("retail_cost_percent"),
         F.lit("").alias("note"))
 
 

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costloom import constants as K
-from costloom.functions.columns import c
+from costloom.functions.columns import c, scaled
+from costloom.operators.lookup import lookup_join
 
 
 def assert_unique_key(df: DataFrame, key: str, what: str) -> None:
@@ -33,11 +34,11 @@ def fill_spot_daily(df: DataFrame, price_list: DataFrame) -> DataFrame:
         "product_instance_type": F.when(spot, size).otherwise(c("product_instance_type")),
         "product_instance_type_family":
             F.when(spot, F.split_part(size, F.lit("."), F.lit(1))).otherwise(c("product_instance_type_family"))})
-    j = df.join(_prices(price_list), spot & (c("product_instance_type") == c("pl_type")), "left")
+    j = lookup_join(df, _prices(price_list), [("product_instance_type", "pl_type")], residual=spot)
     hit = F.coalesce(c("pl_hit"), F.lit(False))
     return j.withColumns({
         "pricing_public_on_demand_rate": F.when(hit, c("pl_rate").cast("string")).otherwise(c("pricing_public_on_demand_rate")),
-        "pricing_public_on_demand_cost": F.when(hit, (c("pl_rate") * c("line_item_usage_amount")).cast(K.MONEY))
+        "pricing_public_on_demand_cost": F.when(hit, scaled(c("line_item_usage_amount"), c("pl_rate").cast(K.LISTED), K.MONEY))
                                           .otherwise(c("pricing_public_on_demand_cost")),
     }).drop("pl_type", "pl_rate", "pl_hit")
 
@@ -54,7 +55,7 @@ def unmapped_spot_sizes(df: DataFrame, price_list: DataFrame, size_col: str = "p
 def reprice_spot_detail(df: DataFrame, price_list: DataFrame) -> DataFrame:
     """Detail: ``retail_cost = rate * quantity`` for priced ``%SpotUsage%`` usage; else unchanged."""
     spot = (c("lineitem_type") == K.USAGE) & c("usage_type").like("%SpotUsage%")
-    j = df.join(_prices(price_list), spot & (c("instance_size") == c("pl_type")), "left")
+    j = lookup_join(df, _prices(price_list), [("instance_size", "pl_type")], residual=spot)
     hit = F.coalesce(c("pl_hit"), F.lit(False))
     return (j.withColumn("retail_cost", F.when(hit, (c("pl_rate") * c("quantity")).cast(K.DEC38_8))
                          .otherwise(c("retail_cost")))
@@ -65,7 +66,7 @@ def reprice_spot_summary(df: DataFrame, price_list: DataFrame) -> DataFrame:
     """Summary: rate rounded to NUMERIC(8,4); spot usage costs ``rate * qty``, or the
     unblended cost when no (non-zero) rate is listed."""
     spot = (c("lineitem_type") == K.USAGE) & c("usage_type").like("%SpotUsage%")
-    j = df.join(_prices(price_list), spot & (c("instance_size") == c("pl_type")), "left")
+    j = lookup_join(df, _prices(price_list), [("instance_size", "pl_type")], residual=spot)
     rate = F.when(F.coalesce(c("pl_hit"), F.lit(False)), c("pl_rate").cast(K.SPOT_RATE)) \
         .otherwise(F.lit(0).cast(K.SPOT_RATE))
     priced = F.when(rate != 0, (rate * c("quantity")).cast(K.MONEY)).otherwise(c("unblended_cost"))

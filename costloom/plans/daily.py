@@ -1,9 +1,9 @@
 """RUN1: the daily job. Hourly bill -> normalised, repriced, amortised, reallocated daily
 cost rows by company, written one invoice month at a time.
 
-Stages are lazily built DataFrames. One is materialised (written as Parquet under the
-shared checkpoint folder) because several steps read it: the daily roll-up (kube guard,
-infra weights, infra split). The scalars the flow needs first (row count, billing state,
+Stages are DataFrames. Written as Parquet under the shared checkpoint folder are the
+daily roll-up, which several steps read (kube guard, infra weights, infra split), and the
+small weight tables, whose file sizes then decide how they join. The scalars the flow needs first (row count, billing state,
 last transaction time) come from one aggregate over a column-pruned scan of the filtered
 bill, so the much larger hourly stage flows through once without being written.
 """
@@ -27,7 +27,7 @@ from costloom.operators import rollup as R
 from costloom.operators import spot as SPT
 from costloom.operators.calendar import month_calendar
 from costloom.operators.normalize import bill_rows, normalize_bill
-from costloom.session import bounded_lookup, materialize, remove_stages
+from costloom.session import materialize, remove_stages
 from costloom.sources.catalog import Catalog
 
 
@@ -47,18 +47,23 @@ class DailyJob:
                  checkpoint: bool = True):
         self.cat = catalog
         self.spark = catalog.spark
-        self.month = resolve_month(invoice_month)
+        self.invoice_month = invoice_month
         self.adhoc_scope = adhoc_scope
         self.checkpoint = checkpoint
         self.stages: list[str] = []
 
+    @cached_property
+    def month(self) -> int:
+        return resolve_month(self.invoice_month)
+
     def _keep(self, df: DataFrame, name: str) -> DataFrame:
         return materialize(df, f"daily-{self.month}-{name}", self.stages) if self.checkpoint else df
 
     def _release(self) -> None:
-        """Remove the staged tables and forget every cached stage (the job can run again)."""
+        """Remove the staged tables and forget everything computed from the inputs (the job can
+        run again and sees them as they are then)."""
         remove_stages(self.spark, self.stages)
-        for k in [k for k, v in self.__dict__.items() if isinstance(v, DataFrame)]:
+        for k in [k for k in self.__dict__ if isinstance(getattr(type(self), k, None), cached_property)]:
             del self.__dict__[k]
 
     # -- (1) scan, normalise, hourly aggregate ------------------------------------------
@@ -80,8 +85,8 @@ class DailyJob:
         return self.scalars["last_trx"]
 
     def billing_state(self) -> DataFrame:
-        """STA1 as a one-row frame."""
-        return FEES.billing_state(self.hourly, "bill_invoice_id")
+        """STA1 as a one-row frame, from a column-pruned scan (the hour roll-up keeps the invoice id)."""
+        return FEES.billing_state(bill_rows(self.cat.cost_usage_report, self.cat.account_config, self.month), "bill_invoice_id")
 
     # -- (1.a-c) future fee cut, spot pricing, zero-cost drop ----------------------------
     def after_cut(self) -> DataFrame:
@@ -109,11 +114,11 @@ class DailyJob:
                                   self.month)
 
     @cached_property
-    def _alloc(self) -> tuple[DataFrame, bool]:
-        return bounded_lookup(ADH.adhoc_weights(self.adhoc_schedule(), self.adhoc_scope))
+    def _alloc(self) -> DataFrame:
+        return self._keep(ADH.adhoc_weights(self.adhoc_schedule(), self.adhoc_scope), "adhoc")
 
     def adhoc_alloc(self) -> DataFrame:
-        return self._alloc[0]
+        return self._alloc
 
     def after_adhoc(self) -> DataFrame:
         measures = {m: K.MONEY for m in ("line_item_unblended_cost", "pricing_public_on_demand_cost",
@@ -122,7 +127,7 @@ class DailyJob:
                                     account_col="line_item_usage_account_id", name_col="resource_tags_user_name",
                                     ts_col="line_item_usage_start_date", type_col="line_item_line_item_type",
                                     company_col="resource_tags_user_company", measures=measures,
-                                    skip_types=K.FEE_TYPES, note=K.NOTE_ADHOC_DAILY, bounded=self._alloc[1])
+                                    skip_types=K.FEE_TYPES, note=K.NOTE_ADHOC_DAILY)
 
     # -- (4) daily grain, on-demand backfill ---------------------------------------------------
     def rolled(self) -> DataFrame:
@@ -152,7 +157,7 @@ class DailyJob:
     def _after_kube(self) -> DataFrame:
         if not self.kube_enabled:
             return self.backfilled
-        return KUB.reallocate_kube_daily(self.backfilled, *bounded_lookup(self.kube_weights()))
+        return KUB.reallocate_kube_daily(self.backfilled, self._keep(self.kube_weights(), "kube"))
 
     def after_kube(self) -> DataFrame:
         return self._after_kube
@@ -170,7 +175,7 @@ class DailyJob:
         return INF.infra_weights_daily(self.after_upfront(), self.cat.azure_cost_summary, self.month)
 
     def after_infra(self) -> DataFrame:
-        return INF.redistribute_infra_daily(self.after_upfront(), self.infra_weights())
+        return INF.redistribute_infra_daily(self.after_upfront(), self._keep(self.infra_weights(), "infra"))
 
     # -- (999) output ----------------------------------------------------------------------------
     def output(self) -> DataFrame:

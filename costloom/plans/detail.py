@@ -22,7 +22,7 @@ from costloom.operators import rollup as R
 from costloom.operators import spot as SPT
 from costloom.operators.calendar import month_calendar
 from costloom.operators.normalize import latest_month, normalize_detail
-from costloom.session import bounded_lookup, materialize, remove_stages
+from costloom.session import materialize, remove_stages
 from costloom.sources.catalog import Catalog
 
 
@@ -39,18 +39,23 @@ class DetailJob:
                  checkpoint: bool = True):
         self.cat = catalog
         self.spark = catalog.spark
-        self.month = resolve_latest(catalog, invoice_month)
+        self.invoice_month = invoice_month
         self.adhoc_scope = adhoc_scope
         self.checkpoint = checkpoint
         self.stages: list[str] = []
 
+    @cached_property
+    def month(self) -> int | None:
+        return resolve_latest(self.cat, self.invoice_month)
+
     def _keep(self, df: DataFrame, name: str) -> DataFrame:
         return materialize(df, f"detail-{self.month}-{name}", self.stages) if self.checkpoint else df
 
     def _release(self) -> None:
-        """Remove the staged tables and forget every cached stage (the job can run again)."""
+        """Remove the staged tables and forget everything computed from the inputs (the job can
+        run again and sees them as they are then)."""
         remove_stages(self.spark, self.stages)
-        for k in [k for k, v in self.__dict__.items() if isinstance(v, DataFrame)]:
+        for k in [k for k in self.__dict__ if isinstance(getattr(type(self), k, None), cached_property)]:
             del self.__dict__[k]
 
     def latest_month(self) -> DataFrame:
@@ -69,21 +74,21 @@ class DetailJob:
         return FEES.drop_rounded_zero(self.after_spot(), "retail_cost", 8)
 
     @cached_property
-    def _alloc(self) -> tuple[DataFrame, bool]:
+    def _alloc(self) -> DataFrame:
         sched = ADH.adhoc_schedule(self.cat.adhoc_billing, self.cat.adhoc_billing_instance,
                                    self.cat.adhoc_billing_schedule_hours, month_calendar(self.spark, self.month),
                                    self.month)
-        return bounded_lookup(ADH.adhoc_weights(sched, self.adhoc_scope))
+        return self._keep(ADH.adhoc_weights(sched, self.adhoc_scope), "adhoc")
 
     def adhoc_alloc(self) -> DataFrame:
-        return self._alloc[0]
+        return self._alloc
 
     def after_adhoc(self) -> DataFrame:
         return ADH.reallocate_adhoc(self.after_zero(), self.adhoc_alloc(), account_col="account_id",
                                     name_col="user_name", ts_col="usage_date_hour", type_col="lineitem_type",
                                     company_col="user_company",
                                     measures={"retail_cost": K.DEC38_8, "quantity": K.MONEY},
-                                    skip_types=K.DETAIL_ADHOC_SKIPPED_TYPES, note=K.NOTE_ADHOC_DETAIL, bounded=self._alloc[1])
+                                    skip_types=K.DETAIL_ADHOC_SKIPPED_TYPES, note=K.NOTE_ADHOC_DETAIL)
 
     @cached_property
     def rolled(self) -> DataFrame:
@@ -93,7 +98,7 @@ class DetailJob:
         return INF.infra_weights_monthly(self.rolled, self.cat.azure_cost_summary, self.month)
 
     def after_infra(self) -> DataFrame:
-        return INF.redistribute_infra_detail(self.rolled, self.infra_weights())
+        return INF.redistribute_infra_detail(self.rolled, self._keep(self.infra_weights(), "infra"))
 
     def output(self) -> DataFrame:
         return R.detail_output(self.after_infra())

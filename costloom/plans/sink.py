@@ -1,19 +1,48 @@
 """SNK1: replace one invoice month of a target dataset partitioned by ``invoice_month``.
 
-The month's rows are written to the partition directory itself with overwrite, so a
-rerun replaces the month and an empty result leaves the month empty (dynamic partition
-overwrite would keep the old partition when the new result is empty)."""
+The month's rows are written beside the month, then two renames swap them in. A write that
+fails leaves the month as it was; only a crash between the renames leaves it away, and then
+both versions still stand in the ``_staging`` folder. An empty result leaves the month empty."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def partition_path(target: str, month: int) -> str:
     return f"{target.rstrip('/')}/invoice_month={int(month)}"
 
 
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, path object) of a location on any store."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
 def replace_month(df: DataFrame, target: str, month: int) -> None:
     """Every job emits rows of its one month only (the scan is restricted to it), so the
-    partition column is implied by the directory."""
-    df.drop("invoice_month").write.mode("overwrite").parquet(partition_path(target, month))
+    partition column is implied by the directory. Folders that start with an underscore are
+    invisible to readers of the target."""
+    spark, own = df.sparkSession, f"{target.rstrip('/')}/_staging/{uuid.uuid4().hex}"
+    try:
+        df.drop("invoice_month").write.mode("errorifexists").parquet(f"{own}/new")
+        fs, place = file_system(spark, partition_path(target, month))
+        new, old = (file_system(spark, f"{own}/{x}")[1] for x in ("new", "old"))
+        had = fs.exists(place)
+        if had and not fs.rename(place, old):
+            raise OSError(f"{place} cannot be moved aside")
+        if not fs.rename(new, place):
+            if had:
+                fs.rename(old, place)
+            raise OSError(f"{new} cannot take the place of {place}")
+    except BaseException:
+        _remove(spark, f"{own}/new")
+        raise
+    _remove(spark, own)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    fs, p = file_system(spark, path)
+    fs.delete(p, True)

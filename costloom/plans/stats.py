@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costloom.functions.columns import is_blank
+from costloom.plans.sink import file_system, partition_path
 
 
 def month_stats_frame(target_df: DataFrame, month: int, invoice_col: str = "bill_invoice_id") -> DataFrame:
@@ -18,8 +19,9 @@ def month_stats_frame(target_df: DataFrame, month: int, invoice_col: str = "bill
 
 
 def month_stats(spark: SparkSession, target: str, month: int, invoice_col: str = "bill_invoice_id") -> dict:
-    try:
-        df = spark.read.parquet(target)
-    except Exception:  # no target yet
+    """Stats of one month; a month that was never written has none, an unreadable one raises."""
+    fs, place = file_system(spark, partition_path(target, month))
+    if not fs.exists(place):
         return {"is_invoiced": None, "created_date": None, "row_count": 0}
-    return month_stats_frame(df, month, invoice_col).first().asDict()
+    rows = spark.read.parquet(partition_path(target, month)).withColumn("invoice_month", F.lit(int(month)))
+    return month_stats_frame(rows, month, invoice_col).first().asDict()

@@ -25,7 +25,7 @@ from costloom.operators import spot as SPT
 from costloom.operators.calendar import month_calendar
 from costloom.operators.normalize import normalize_summary, transaction_rows
 from costloom.plans.detail import resolve_latest
-from costloom.session import bounded_lookup, materialize, remove_stages
+from costloom.session import materialize, remove_stages
 from costloom.sources.catalog import Catalog
 
 
@@ -38,18 +38,23 @@ class SummaryJob:
         self.spark = catalog.spark
         self.source = source
         self.estimated = source == "ESTIMATED"
-        self.requested_month = None if self.estimated else resolve_latest(catalog, invoice_month)
+        self.invoice_month = invoice_month
         self.adhoc_scope = adhoc_scope
         self.checkpoint = checkpoint
         self.stages: list[str] = []
 
+    @cached_property
+    def requested_month(self) -> int | None:
+        return None if self.estimated else resolve_latest(self.cat, self.invoice_month)
+
     def _keep(self, df: DataFrame, name: str) -> DataFrame:
         return materialize(df, f"summary-{self.source.lower()}-{name}", self.stages) if self.checkpoint else df
 
     def _release(self) -> None:
-        """Remove the staged tables and forget every cached stage (the job can run again)."""
+        """Remove the staged tables and forget everything computed from the inputs (the job can
+        run again and sees them as they are then)."""
         remove_stages(self.spark, self.stages)
-        for k in [k for k, v in self.__dict__.items() if isinstance(v, DataFrame)]:
+        for k in [k for k in self.__dict__ if isinstance(getattr(type(self), k, None), cached_property)]:
             del self.__dict__[k]
 
     @cached_property
@@ -107,21 +112,21 @@ class SummaryJob:
         return AMO.amortize_rifee_estimated(self.after_spot(), self.last_trx)
 
     @cached_property
-    def _alloc(self) -> tuple[DataFrame, bool]:
+    def _alloc(self) -> DataFrame:
         sched = ADH.adhoc_schedule(self.cat.adhoc_billing, self.cat.adhoc_billing_instance,
                                    self.cat.adhoc_billing_schedule_hours, month_calendar(self.spark, self.month),
                                    self.month)
-        return bounded_lookup(ADH.adhoc_weights(sched, self.adhoc_scope))
+        return self._keep(ADH.adhoc_weights(sched, self.adhoc_scope), "adhoc")
 
     def adhoc_alloc(self) -> DataFrame:
-        return self._alloc[0]
+        return self._alloc
 
     def after_adhoc(self) -> DataFrame:
         return ADH.reallocate_adhoc(self.after_amortize(), self.adhoc_alloc(), account_col="account_id",
                                     name_col="user_name", ts_col="usage_date_hour", type_col="lineitem_type",
                                     company_col="user_company",
                                     measures={"unblended_cost": K.MONEY, "ondemand_cost": K.MONEY, "quantity": K.MONEY},
-                                    skip_types=K.FEE_TYPES, note=K.NOTE_ADHOC_SUMMARY, bounded=self._alloc[1])
+                                    skip_types=K.FEE_TYPES, note=K.NOTE_ADHOC_SUMMARY)
 
     def rolled(self) -> DataFrame:
         return R.summary_rollup(self.after_adhoc())
@@ -136,7 +141,7 @@ class SummaryJob:
         has_usage = not self.cat.kube_monthly_namespace_usage.where(c("month_id") == F.lit(self.month)).isEmpty()
         if not has_usage:
             return self.rolled()
-        return KUB.reallocate_kube_summary(self.rolled(), *bounded_lookup(self.kube_weights()))
+        return KUB.reallocate_kube_summary(self.rolled(), self._keep(self.kube_weights(), "kube"))
 
     @cached_property
     def weighted(self) -> DataFrame:
@@ -146,7 +151,7 @@ class SummaryJob:
         return INF.infra_weights_monthly(self.weighted, self.cat.azure_cost_summary, self.month)
 
     def after_infra(self) -> DataFrame:
-        return INF.redistribute_infra_summary(self.weighted, self.infra_weights())
+        return INF.redistribute_infra_summary(self.weighted, self._keep(self.infra_weights(), "infra"))
 
     def with_upfront(self) -> DataFrame:
         return R.upfront_fee_column(self.after_infra(), self.cat.rifee_amortization_schedule, self.month,

@@ -7,16 +7,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Derived lookup tables (allocation slots, kube weights) are broadcast only when they
-# hold at most this many rows; past it they stay on the shuffle (sort-merge) join path.
-MAX_BROADCAST_ROWS = 200_000
-
-# Salt values per key when a lookup too large to broadcast is joined on the shuffle path:
-# a key holding a third of the big side is spread over this many tasks.
-SALT_BUCKETS = 16
-
 
 def build_session(app: str = "costloom", master: str | None = None,
                   shuffle_partitions: int | None = None,
@@ -32,6 +22,7 @@ def build_session(app: str = "costloom", master: str | None = None,
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
     }
     if shuffle_partitions:
@@ -87,37 +78,9 @@ def remove_stages(spark: SparkSession, stages: list[str]) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
-def rows_at_most(frames: list[DataFrame], max_rows: int | None = None) -> list[bool]:
-    """For each frame, whether it holds at most ``max_rows`` rows: one distributed count
-    of all frames together (column-less scans, counted map-side; only one number per
-    frame reaches the driver)."""
-    bound = MAX_BROADCAST_ROWS if max_rows is None else max_rows
-    if not frames:
-        return []
-    tagged = [f.select(F.lit(i).alias("_frame")) for i, f in enumerate(frames)]
-    union = tagged[0]
-    for t in tagged[1:]:
-        union = union.unionByName(t)
-    counts = {r["_frame"]: r["n"] for r in union.groupBy("_frame").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return [counts.get(i, 0) <= bound for i in range(len(frames))]
-
-
-def row_count_at_most(df: DataFrame, max_rows: int | None = None) -> bool:
-    return rows_at_most([df], max_rows)[0]
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    return bounded_lookup(df, max_rows)[0]
-
-
-def bounded_lookup(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
-    """Broadcast behind a size check; also says whether the frame is within the bound. Spark cannot estimate the size of small tables
-    derived through joins, aggregates and generators, so fetch at most ``max_rows + 1``
-    rows: within the bound the rows become a local relation that is broadcast (what a
-    broadcast join ships through the driver anyway, computed once); beyond it the derived
-    frame is returned unchanged and joins on the shuffle path."""
-    bound = MAX_BROADCAST_ROWS if max_rows is None else max_rows
-    rows = df.limit(bound + 1).collect()
-    if len(rows) > bound:
-        return df, False
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema)), True
+def under_broadcast_threshold(df: DataFrame) -> bool:
+    """Whether Spark's estimate of the frame (file sizes, for a stage) is under the session's
+    broadcast threshold. Reads the optimised plan only."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return limit > 0 and int(str(size)) <= int(limit)

@@ -177,17 +177,62 @@ def test_spot_pricing_daily(spark):
     assert [r.instance_size for r in job.unmapped_spot().collect()] == ["m5.xlarge"]
 
 
-def test_fan_out_shuffle_path_matches_inline_path(spark):
+def test_fan_out_shuffle_path_matches_broadcast_path(spark):
     df = spark.createDataFrame([(i, i % 3 == 0) for i in range(30)], "id INT, t BOOLEAN")
     w = spark.createDataFrame([(f"c{j}", D(j) / 10) for j in range(7)], "w_company STRING, w_weight DECIMAL(18,16)")
     fields = {"w_company": "string", "w_weight": K.WEIGHT}
-    inline = fan_out(df, F.col("t"), w, fields).collect()
-    shuffled = fan_out(df, F.col("t"), w, fields, max_inline=3).collect()
+    sent = fan_out(df, F.col("t"), w, fields).collect()
+    shuffled = fan_out(df, F.col("t"), w, fields, broadcast=False).collect()
     key = lambda r: (r.id, r.w_company or "", r._w_hit)
-    assert sorted(map(key, inline)) == sorted(map(key, shuffled))
-    assert len(inline) == 20 + 10 * 7
-    empty = fan_out(df, F.col("t"), w.limit(0), fields).collect()
-    assert len(empty) == 20          # target rows vanish without weights
+    assert sorted(map(key, sent)) == sorted(map(key, shuffled))
+    assert len(sent) == 20 + 10 * 7
+    for small in (True, False):
+        assert len(fan_out(df, F.col("t"), w.limit(0), fields, broadcast=small).collect()) == 20   # target rows vanish without weights
+
+
+def test_fan_out_plans_fast_and_spreads_rows(spark):
+    """The plan does not grow with the weights, and beyond the broadcast threshold the product
+    is spread over most shuffle partitions."""
+    import time
+    df = spark.range(2000).select(F.col("id"), F.lit(True).alias("t"))
+    fields = {"w_company": "string", "w_weight": K.WEIGHT}
+    many = spark.range(100_000).select(F.concat(F.lit("c"), "id").alias("w_company"), F.lit("0.00001").cast(K.WEIGHT).alias("w_weight"))
+    start = time.monotonic()
+    fan_out(df, F.col("t"), many, fields)._jdf.queryExecution().optimizedPlan()
+    assert time.monotonic() - start < 2
+    few = many.limit(45)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sizes = [r["count"] for r in fan_out(df, F.col("t"), few, fields, broadcast=False).where("_w_hit")
+                 .groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sum(sizes) == 90_000 and len(sizes) >= width - 1 and max(sizes) < 3 * 90_000 / width
+
+
+def test_shares_beyond_one_and_exact_weighting(spark):
+    """Credits can make a share exceed 1; weighted money is the exact decimal value rounded once."""
+    from costloom.operators.infra import with_share
+    from costloom.operators.rollup import weight_actual_cost
+    g = spark.createDataFrame([("a", D(1000)), ("b", D(-995))], "k STRING, v DECIMAL(28,12)")
+    assert {r.k: r.w for r in with_share(g, "v", "w").collect()} == {"a": D(200), "b": D(-199)}
+    rows, accounts = [], spark.createDataFrame([("1", "One", "C")], "account_id STRING, account_display_name STRING, default_cost_center STRING")
+    for i in range(300):
+        rows.append((199801, "I", "ACTUAL", "1", f"C{i}", "p", "Usage", D("31234567.12345671") + 7 * i, D("41234567.87654321") + 11 * i, ""))
+    agg = spark.createDataFrame(rows, "invoice_month INT, invoice_id STRING, trx_source STRING, account_id STRING, user_company STRING, user_product STRING, "
+                                      "lineitem_type STRING, actual_cost DECIMAL(38,8), retail_cost DECIMAL(38,8), note STRING")
+    got = {r.user_company: r for r in weight_actual_cost(agg, accounts).collect()}
+    actual, retail = sum(r[7] for r in rows), sum(r[8] for r in rows)
+    assert actual > D("9e9")
+    import decimal
+    with decimal.localcontext() as ctx:
+        ctx.prec = 80
+        for r in rows:
+            want = (r[8] * actual / retail).quantize(D("1e-8"), decimal.ROUND_HALF_UP)
+            assert got[r[4]].weighted_actual_cost == want
 
 
 def test_month_calendar_and_weekday_codes(spark):

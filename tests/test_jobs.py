@@ -139,3 +139,49 @@ def test_runs_remove_their_staged_tables(spark, scratch):
         assert status["row_count"] > 0 and job.stages == []
     after = set(os.listdir(root)) if os.path.isdir(root) else set()
     assert after <= before
+
+
+def test_second_run_on_one_job_sees_new_rows(spark, scratch):
+    """A job object that runs again computes everything from the inputs as they are then."""
+    from pyspark.sql import functions as F
+    fx = FixtureCatalog(spark, SF001)
+    cases = [("cost_usage_report", "line_item_usage_start_date", lambda c: DailyJob(c, FX.DAILY_MONTH)),
+             ("usage_transaction", "usage_start_date", lambda c: DetailJob(c, FX.DETAIL_MONTH)),
+             ("usage_transaction", "usage_start_date", lambda c: SummaryJob(c, "ACTUAL", FX.DETAIL_MONTH))]
+    for i, (table, ts, make) in enumerate(cases):
+        whole = getattr(fx, table)
+        cat = DictCatalog(spark, {table: whole.where(F.dayofmonth(ts) <= 9)}, fallback=fx)
+        job, target = make(cat), os.path.join(scratch, f"t{i}")
+        job.run(target)
+        few = spark.read.parquet(target).count()
+        cat.tables[table] = whole
+        job.run(target)
+        many = spark.read.parquet(target).count()
+        fresh = os.path.join(scratch, f"f{i}")
+        make(cat).run(fresh)
+        again, once = (spark.read.parquet(x).drop("t_created_date") for x in (target, fresh))
+        assert many > few and again.exceptAll(once).isEmpty() and once.exceptAll(again).isEmpty()
+
+
+def test_failing_write_leaves_the_month(spark, scratch):
+    from pyspark.sql import functions as F
+    target = os.path.join(scratch, "m")
+    good = spark.range(5).withColumn("invoice_month", F.lit(202401))
+    replace_month(good, target, 202401)
+    bad = good.withColumn("id", F.raise_error(F.lit("broken")).cast("long"))
+    with pytest.raises(Exception, match="broken"):
+        replace_month(bad, target, 202401)
+    assert spark.read.parquet(target).count() == 5
+    replace_month(good.limit(2), target, 202401)
+    assert spark.read.parquet(target).count() == 2
+
+
+def test_stats_of_an_unreadable_month_raise(spark, scratch):
+    from costloom.plans.sink import partition_path
+    target = os.path.join(scratch, "u")
+    assert month_stats(spark, target, 202401)["row_count"] == 0
+    os.makedirs(partition_path(target, 202401))
+    with open(partition_path(target, 202401) + "/part-0.parquet", "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception):
+        month_stats(spark, target, 202401)

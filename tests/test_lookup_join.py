@@ -1,12 +1,22 @@
-"""Lookup joins: broadcast within the bound, salted shuffle join beyond it (same rows)."""
+"""Lookup joins: broadcast under the threshold, split shuffle join beyond it (same rows)."""
 
 from __future__ import annotations
 
+import os
+
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001
-from costloom import session
-from costloom.operators.lookup import SALT, lookup_join
+from costloom.operators.lookup import lookup_join
+
+
+@pytest.fixture()
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def _frames(spark):
@@ -14,9 +24,8 @@ def _frames(spark):
     big = spark.createDataFrame(
         [(f"r-{1 if i % 3 else (i % 4)}", i) for i in range(300)] + [(None, 999)],
         "resource_id string, hour int")
-    lookup = spark.createDataFrame(
-        [("r-1", 0, 99, "alice"), ("r-1", 100, 400, "bob"), ("r-0", 0, 500, "carol"), ("r-2", 0, 10, "dave")],
-        "lk_id string, lk_from int, lk_to int, lk_user string")
+    lookup = spark.sql("SELECT * FROM VALUES ('r-1', 0, 99, 'alice'), ('r-1', 100, 400, 'bob'), ('r-0', 0, 500, 'carol'), "
+                       "('r-2', 0, 10, 'dave') AS t(lk_id, lk_from, lk_to, lk_user)")
     return big, lookup
 
 
@@ -24,36 +33,63 @@ def _rows(df):
     return sorted((tuple(r) for r in df.select("resource_id", "hour", "lk_user").collect()), key=repr)
 
 
-def test_salted_path_returns_the_broadcast_rows(spark):
+@pytest.mark.parametrize("around", [True, False])
+def test_shuffle_path_returns_the_broadcast_rows(spark, no_broadcast, around):
     big, lookup = _frames(spark)
     residual = (F.col("hour") >= F.col("lk_from")) & (F.col("hour") <= F.col("lk_to"))
     keys = [("resource_id", "lk_id")]
-    broadcast = lookup_join(big, lookup, keys, residual=residual)
-    salted = lookup_join(big, lookup, keys, residual=residual, max_rows=0, buckets=8)
-    assert _rows(salted) == _rows(broadcast)
-    assert salted.count() == big.count()          # left join, at most one owner per hour here
-    for how in ("inner",):
-        assert (_rows(lookup_join(big, lookup, keys, how, residual, max_rows=0, buckets=8))
-                == _rows(lookup_join(big, lookup, keys, how, residual)))
+    shuffled = lookup_join(big, lookup, keys, residual=residual, null_keys_around=around)
+    assert "BroadcastHashJoin" not in shuffled._jdf.queryExecution().executedPlan().toString()
+    rows = _rows(shuffled)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    sent = lookup_join(big, lookup, keys, residual=residual)
+    assert "BroadcastHashJoin" in sent._jdf.queryExecution().executedPlan().toString()
+    assert rows == _rows(sent) and len(rows) == big.count()
 
 
-def test_hot_key_spreads_over_salt_values(spark):
-    big, lookup = _frames(spark)
-    salted = lookup_join(big, lookup, [("resource_id", "lk_id")], max_rows=0, buckets=8)
-    per_salt = salted.where(F.col("resource_id") == "r-1").groupBy(SALT).count().collect()
-    assert len(per_salt) == 8
-    assert max(r["count"] for r in per_salt) < 0.3 * sum(r["count"] for r in per_salt)
-    plan = salted._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" not in plan
+def test_skewed_key_is_split_and_null_keys_and_unused_columns_stay_out(spark, no_broadcast, scratch):
+    """Two lookups in a row on a key that holds most rows: AQE splits both joins; NULL keys
+    never reach an exchange; the scan reads the used columns only."""
+    path = os.path.join(scratch, "big")
+    (spark.range(60_000).select(F.when(F.col("id") % 10 == 0, F.lit(None)).when(F.col("id") % 3 > 0, F.lit("hot"))
+                                .otherwise(F.concat(F.lit("r"), F.col("id"))).alias("resource_id"),
+                                F.col("id").alias("v"), F.sha2(F.col("id").cast("string"), 256).alias("pad"), F.lit(1).alias("unused"))
+     .repartition(8).write.parquet(path))
+    big = spark.read.parquet(path)
+    names = ("a", "b")
+    for n in names:
+        spark.range(3000).select(F.when(F.col("id") == 0, "hot").otherwise(F.concat(F.lit("r"), F.col("id"))).alias(f"{n}_id"),
+                                 F.sha2(F.col("id").cast("string"), 256).alias(f"{n}_user")).repartition(4).write.parquet(os.path.join(scratch, n))
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        j = big
+        for i, n in enumerate(names):
+            j = lookup_join(j, spark.read.parquet(os.path.join(scratch, n)), [("resource_id", f"{n}_id")], null_keys_around=i == 0)
+        out = j.select("resource_id", "v", "pad", "a_user", "b_user")
+        assert out.count() == 60_000
+        out.write.format("noop").mode("overwrite").save()
+        rows = out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("skew=true") >= 2
+    assert "unused" not in plan
+    assert "isnotnull(resource_id" in plan and "isnull(resource_id" in plan
+    assert sum(r.resource_id is None and r.a_user is None for r in rows) == 6_000
 
 
-def test_jobs_match_oracle_without_broadcast_of_derived_or_growing_lookups(spark, duck, monkeypatch):
-    """Every count-checked lookup (resource owners / tags, RI fees, ad hoc slots, kube
-    weights) on the shuffle path gives the oracle's results."""
+def test_jobs_match_oracle_without_broadcasts(spark, duck, no_broadcast):
+    """Every lookup (resource owners / tags, RI fees, prices, ad hoc slots, kube and infra weights)
+    on the shuffle path gives the oracle's results."""
     import __spark_entry__ as E
     from tools.check_oracle import digest
-    monkeypatch.setattr(session, "MAX_BROADCAST_ROWS", 0)
-    for name in ("run1_daily", "run2_detail", "run3_actual", "run3_estimated"):
+    for name in ("nrm2_normalize", "nrm3_actual", "nrm3_estimated", "run1_daily", "run2_detail", "run3_actual", "run3_estimated"):
         sdf = E.queries()[name](spark, SF001)
         rows, cols = [r.asDict() for r in sdf.collect()], sorted(sdf.columns)
         rel = duck.execute(E.oracle_sql()[name])
@@ -63,11 +99,11 @@ def test_jobs_match_oracle_without_broadcast_of_derived_or_growing_lookups(spark
         assert digest(rows, cols)[0] == digest(d_rows, cols)[0], name
 
 
-def test_bounded_lookups_plan_as_broadcast_joins(spark):
-    """Within the bound, the RI / owner / tag lookups never shuffle the transactions."""
+def test_small_lookups_plan_as_broadcast_joins(spark):
+    """Under the threshold, the RI / owner / tag lookups never shuffle the transactions."""
     import __spark_entry__ as E
     df = E.queries()["nrm2_normalize"](spark, SF001)
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("BroadcastHashJoin") >= 4       # accounts, RI fees, owners, tags
-    assert "SortMergeJoin" not in plan and "_salt" not in plan
+    assert "SortMergeJoin" not in plan
