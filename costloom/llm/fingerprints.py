@@ -109,13 +109,14 @@ def next_ids(docs: DataFrame) -> DataFrame:
 
 def with_neighbours(docs: DataFrame, width: int = 5, fraction: float = 0.125) -> DataFrame:
     """(doc_id, n_chars, text, sketch, edited, next_sketch) for each document."""
+    key = lambda c: F.coalesce(F.col(c), F.lit(-2 ** 63)).alias("key")
     sized = documents(docs, F.char_length(F.coalesce(F.col("text").cast("string"), F.lit(""))).cast("long").alias("n"))
-    own = sized.groupBy("doc_id").agg(F.min(F.struct("n", "text"))["text"].alias("text"))
     order = materialize(next_ids(sized.groupBy("doc_id").agg(F.min("n").alias("n_chars"))), "fp-next")
-    key = lambda c: F.coalesce(F.col(c), F.lit(-2 ** 63))
-    base = (own.withColumn("key", key("doc_id")).join(order.withColumn("key", key("doc_id")).drop("doc_id"), "key")
+    # grouped by the key of the joins that follow: the texts are exchanged this once
+    own = sized.select(key("doc_id"), "n", "text").groupBy("key").agg(F.min(F.struct("n", "text"))["text"].alias("text"))
+    base = (own.join(order.withColumn("key", key("doc_id")), "key")
             .select("key", "doc_id", "text", "n_chars", "previous", "previous_chars", sketch(F.col("text"), width, fraction).alias("sketch")))
-    following = base.select(key("previous").alias("key"), F.substring("text", F.lit(1), F.floor(F.col("previous_chars") / 3).cast("int")).alias("piece"),
+    following = base.select(key("previous"), F.substring("text", F.lit(1), F.floor(F.col("previous_chars") / 3).cast("int")).alias("piece"),
                             F.col("sketch").alias("next_sketch"))
     edited = F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - F.floor(F.col("n_chars") / 3)).cast("int")), F.col("piece"))
     return (base.select("key", "doc_id", "n_chars", "text", "sketch").join(following, "key")
