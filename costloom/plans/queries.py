@@ -35,7 +35,6 @@ def comparable(df: DataFrame, numeric: dict[str, int], columns: list[str] | None
                        for c in df.columns])
 
 
-
 def fixture_catalog(spark: SparkSession, sf_dir: str) -> FixtureCatalog:
     return FixtureCatalog(spark, sf_dir)
 
@@ -57,39 +56,74 @@ def summary_job(spark: SparkSession, sf_dir: str, source: str):
 
 
 def _specs() -> list[QuerySpec]:
-    from oracle import duck as O
+    """One row a query: name, Spark frame, the oracle's step, rounded columns."""
+    from oracle import daily as OD
     from oracle import monthly as OM
-
-    def daily(sel: str, numeric=None, columns=None, scope="instance"):
-        return lambda: O.with_ctes(O.daily_ctes(FX.DAILY_MONTH, scope), O.comparable(sel, numeric or {}, columns))
-
-    m3 = {c: 4 for c in M4}
-    specs = [
-        QuerySpec("nrm1_normalize", lambda s, d: daily_job(s, d).hourly, daily("d_norm", m3), m3),
-        QuerySpec("sta1_state", lambda s, d: daily_job(s, d).billing_state(), daily("d_state")),
-        QuerySpec("cut1_future_fee", lambda s, d: daily_job(s, d).after_cut(), daily("d_cut", m3), m3),
-        QuerySpec("spt1_daily", lambda s, d: daily_job(s, d).after_spot(), daily("d_spot", m3), m3),
-        QuerySpec("spt2_unmapped", lambda s, d: daily_job(s, d).unmapped_spot(), daily("d_unmapped")),
-        QuerySpec("zer1_drop", lambda s, d: daily_job(s, d).after_zero(), daily("d_zero", m3), m3),
-        QuerySpec("amo1_rifee", lambda s, d: daily_job(s, d).after_amortize(), daily("d_amort", m3), m3),
-        QuerySpec("adh2_realloc_instance", lambda s, d: daily_job(s, d).after_adhoc(), daily("d_adhoc", m3), m3),
-        QuerySpec("adh2_realloc_account", lambda s, d: daily_job(s, d, "account").after_adhoc(),
-                  daily("d_adhoc", m3, scope="account"), m3),
-        QuerySpec("dly1_rollup", lambda s, d: daily_job(s, d).rolled(), daily("d_rolled", m3), m3),
-        QuerySpec("bkf1_zero", lambda s, d: daily_job(s, d).backfilled, daily("d_bkf", m3), m3),
-        QuerySpec("kub2_daily", lambda s, d: daily_job(s, d).after_kube(), daily("d_kube", m3), m3),
-        QuerySpec("upf1_rows", lambda s, d: daily_job(s, d).after_upfront(), daily("d_upf", m3), m3),
-        QuerySpec("inf1_weights", lambda s, d: daily_job(s, d).infra_weights(),
-                  daily("retail_weights", {"pricing_public_on_demand_cost": 4, "retail_weight": 10}),
-                  {"pricing_public_on_demand_cost": 4, "retail_weight": 10}),
-        QuerySpec("inf2_daily", lambda s, d: daily_job(s, d).after_infra(), daily("d_infra", m3), m3),
-        QuerySpec("run1_daily", lambda s, d: daily_job(s, d).output(),
-                  daily("d_out", {**m3, "line_item_unblended_rate": 10, "pricing_public_on_demand_rate": 10}),
-                  {**m3, "line_item_unblended_rate": 10, "pricing_public_on_demand_rate": 10}),
+    from oracle.sqltext import comparable as compared
+
+    m3, rq = {c: 4 for c in M4}, {"retail_cost": 4, "quantity": 4}
+    rates = {**m3, "line_item_unblended_rate": 10, "pricing_public_on_demand_rate": 10}
+    shares = {"pricing_public_on_demand_cost": 4, "retail_weight": 10}
+    daily = [
+        ("nrm1_normalize", lambda j: j.hourly, "hours", m3),
+        ("sta1_state", lambda j: j.billing_state(), "invoiced", {}),
+        ("cut1_future_fee", lambda j: j.after_cut(), "running", m3),
+        ("spt1_daily", lambda j: j.after_spot(), "priced", m3),
+        ("spt2_unmapped", lambda j: j.unmapped_spot(), "unpriced", {}),
+        ("zer1_drop", lambda j: j.after_zero(), "costing", m3),
+        ("amo1_rifee", lambda j: j.after_amortize(), "sliced", m3),
+        ("adh2_realloc_instance", lambda j: j.after_adhoc(), "paid", m3),
+        ("adh2_realloc_account", lambda j: j.after_adhoc(), "paid", m3),
+        ("dly1_rollup", lambda j: j.rolled(), "days", m3),
+        ("bkf1_zero", lambda j: j.backfilled, "filled", m3),
+        ("kub2_daily", lambda j: j.after_kube(), "clustered", m3),
+        ("upf1_rows", lambda j: j.after_upfront(), "with_fees", m3),
+        ("inf1_weights", lambda j: j.infra_weights(), "cloud_shares", shares),
+        ("inf2_daily", lambda j: j.after_infra(), "spread", m3),
+        ("run1_daily", lambda j: j.output(), "daily_rows", rates),
+    ]
+    detail = [
+        ("mon2_latest", lambda j: j.latest_month(), "(SELECT max(year(usage_start_date) * 100 + month(usage_start_date)) AS invoice_month "
+                                                   "FROM usage_transaction)", {}),
+        ("nrm2_normalize", lambda j: j.normalized(), "lines", rq),
+        ("spt1_detail", lambda j: j.after_spot(), "priced", rq),
+        ("zer1_detail", lambda j: j.after_zero(), "costing", rq),
+        ("adh2_detail", lambda j: j.after_adhoc(), "paid", rq),
+        ("det1_rollup", lambda j: j.rolled, "grouped", rq),
+        ("inf1_weights_detail", lambda j: j.infra_weights(), "company_shares", {"retail_cost": 4, "weight": 10}),
+        ("inf2_detail", lambda j: j.after_infra(), "spread", rq),
+        ("run2_detail", lambda j: j.output(), "detail_rows", {"retail_cost": 4, "quantity": 8}),
     ]
-    specs += OM.specs(detail_job, summary_job, QuerySpec)
-    specs += _check_specs()
-    return specs
+    trx = {x: 4 for x in ("unblended_cost", "ondemand_cost", "quantity", "ri_normalizationfactor", "normalizationfactor")}
+    agg = {"actual_cost": 4, "retail_cost": 4}
+    fin = {**agg, "weighted_actual_cost": 4, "retail_cost_percent": 8}
+    out = {**fin, "weighted_upfront_rifee_actual_cost": 4}
+    summary = [
+        ("nrm3_{}", lambda j: j.normalized, "lines", trx),
+        ("spt1_summary_{}", lambda j: j.after_spot(), "priced", trx),
+        ("spt2_unmapped_{}", lambda j: j.unmapped_spot(), "unpriced", {}),
+        ("adh2_summary_{}", lambda j: j.after_adhoc(), "paid", trx),
+        ("sum1_rollup_{}", lambda j: j.rolled(), "products", agg),
+        ("kub2_summary_{}", lambda j: j.after_kube(), "clustered", agg),
+        ("wgt1_weighted_{}", lambda j: j.weighted, "weighted", fin),
+        ("inf2_summary_{}", lambda j: j.after_infra(), "spread", fin),
+        ("upf2_column_{}", lambda j: j.with_upfront(), "with_fees", out),
+        ("run3_{}", lambda j: j.output(), "summary_rows", out),
+    ]
+
+    def spec(name, job, frame, steps, rel, numeric) -> QuerySpec:
+        return QuerySpec(name, lambda s, d: frame(job(s, d)), lambda: steps().final(compared(rel, numeric)), numeric)
+
+    specs = []
+    for name, frame, rel, numeric in daily:
+        scope = "account" if name.endswith("_account") else "instance"
+        specs.append(spec(name, lambda s, d, scope=scope: daily_job(s, d, scope), frame, lambda scope=scope: OD.steps(FX.DAILY_MONTH, scope), rel, numeric))
+    specs += [spec(n, detail_job, f, OM.detail_steps, r, k) for n, f, r, k in detail]
+    for source in ("ACTUAL", "ESTIMATED"):
+        for name, frame, rel, numeric in summary + ([("amo1_{}", lambda j: j.after_amortize(), "sliced", trx)] if source == "ESTIMATED" else []):
+            specs.append(spec(name.format(source.lower()), lambda s, d, source=source: summary_job(s, d, source), frame,
+                              lambda source=source: OM.summary_steps(source), rel, numeric))
+    return specs + _check_specs()
 
 
 def _check_specs() -> list[QuerySpec]:

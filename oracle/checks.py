@@ -1,83 +1,62 @@
-"""DuckDB SQL for the reconciliation checks, over the same CTE chains as the jobs."""
+"""DuckDB SQL for the reconciliation checks, over the steps of the jobs' oracle."""
 
 from __future__ import annotations
 
-from costloom.sources import fixture_defs as FX
-from oracle.duck import TYPES_FEE, comparable, daily_ctes, with_ctes
-from oracle.monthly import detail_ctes, summary_ctes
+from oracle import daily, monthly
+from oracle.sqltext import FEES, comparable, quoted
 
-BKK = "CAST(u.line_item_usage_start_date + INTERVAL 7 HOUR AS DATE)"
-BKK_H = "hour(u.line_item_usage_start_date + INTERVAL 7 HOUR)"
-M3 = ("line_item_unblended_cost", "pricing_public_on_demand_cost", "line_item_usage_amount")
+M3 = daily.MEASURES
 
 
 def chk1() -> str:
-    body = f"""chk AS (SELECT account_id, instance_name, usage_date_bkk, hour_bkk, ROUND(SUM(m), 4) AS difference FROM (
-        SELECT u.line_item_usage_account_id AS account_id, u.resource_tags_user_name AS instance_name,
-               {BKK} AS usage_date_bkk, {BKK_H} AS hour_bkk, u.line_item_unblended_cost AS m
-        FROM d_amort u WHERE u.line_item_line_item_type NOT IN {TYPES_FEE}
-          AND EXISTS (SELECT 1 FROM adhoc_slots s WHERE s.account_id = u.line_item_usage_account_id
-                      AND s.instance_name = u.resource_tags_user_name AND s.calendar_date = {BKK} AND s.hour = {BKK_H})
-        UNION ALL
-        SELECT u.line_item_usage_account_id, u.resource_tags_user_name, {BKK}, {BKK_H}, -u.line_item_unblended_cost
-        FROM d_adhoc u WHERE u.note = 'REALLOCATED AD HOC USAGE') x GROUP BY 1, 2, 3, 4)"""
-    return with_ctes(daily_ctes(FX.DAILY_MONTH) + [body], comparable("chk", {"difference": 4}))
+    local = "(line_item_usage_start_date + INTERVAL 7 HOUR)"
+    rows = f"""SELECT line_item_usage_account_id AS account_id, resource_tags_user_name AS instance_name, {local}::DATE AS usage_date_bkk,
+        hour{local} AS hour_bkk, line_item_unblended_cost AS cost, note, line_item_line_item_type AS kind"""
+    s = daily.steps().add(
+        before=f"{rows} FROM sliced", after=f"{rows} FROM paid WHERE note = 'REALLOCATED AD HOC USAGE'",
+        moved=f"""SELECT account_id, instance_name, usage_date_bkk, hour_bkk, cost FROM before SEMI JOIN slot_shares s
+              ON s.account_id = before.account_id AND s.instance_name = before.instance_name AND s.calendar_date = usage_date_bkk AND s.hour = hour_bkk
+              WHERE kind NOT IN {quoted(FEES)}
+            UNION ALL SELECT account_id, instance_name, usage_date_bkk, hour_bkk, -cost FROM after""",
+        chk="""SELECT account_id, instance_name, usage_date_bkk, hour_bkk, round(sum(cost), 4) AS difference FROM moved GROUP BY ALL""")
+    return s.final(comparable("chk", {"difference": 4}))
 
 
 def chk3() -> str:
-    return with_ctes(daily_ctes(FX.DAILY_MONTH), comparable(
-        "(SELECT SUM(retail_weight) AS total_weight FROM retail_weights)", {"total_weight": 8}))
+    return daily.steps().final(comparable("(SELECT sum(retail_weight) AS total_weight FROM cloud_shares)", {"total_weight": 8}))
 
 
 def chk4() -> str:
-    target = ("bill_billing_entity = 'AWS' AND usage_account_name = 'Hosting' "
-              "AND resource_tags_user_company = 'COMPANY INFRASTRUCTURE'")
-    cols = ", ".join(M3)
-    sums = ", ".join(f"ROUND(SUM({m}), 4) AS {m}" for m in M3)
-    body = f"""chk AS (SELECT src, {sums} FROM (
-        SELECT 'ORIGINAL' AS src, {cols} FROM d_upf WHERE {target}
-        UNION ALL
-        SELECT 'ALLOCATED' AS src, {cols} FROM d_infra WHERE note LIKE 'REALLOCATED INFRA COSTS (%') x GROUP BY src)"""
-    return with_ctes(daily_ctes(FX.DAILY_MONTH) + [body], comparable("chk", {m: 4 for m in M3}))
+    sums = ", ".join(f"round(sum({m}), 4) AS {m}" for m in M3)
+    s = daily.steps().add(chk=f"""SELECT 'ORIGINAL' AS src, {sums} FROM with_fees r WHERE {daily.SHARED} HAVING count(*) > 0
+        UNION ALL SELECT 'ALLOCATED', {sums} FROM spread WHERE starts_with(note, 'REALLOCATED INFRA COSTS (') HAVING count(*) > 0""")
+    return s.final(comparable("chk", {m: 4 for m in M3}))
 
 
 def chk5() -> str:
-    body = """chk AS (SELECT account_id, account_name, invoice_id, SUM(actual_cost) AS actual_cost,
-        SUM(weighted_actual_cost) AS weighted_actual_cost, SUM(retail_cost) AS retail_cost,
-        SUM(retail_cost) - SUM(actual_cost) AS savings,
-        ROUND(SUM(actual_cost) - SUM(weighted_actual_cost), 6) AS actual_diff,
-        SUM(retail_cost_percent) AS total_weight
-      FROM s_final GROUP BY 1, 2, 3)"""
-    n = {"actual_cost": 4, "weighted_actual_cost": 4, "retail_cost": 4, "savings": 4, "actual_diff": 4,
-         "total_weight": 8}
-    return with_ctes(summary_ctes("ACTUAL") + [body], comparable("chk", n))
+    s = monthly.summary_steps("ACTUAL").add(chk="""SELECT *, retail_cost - actual_cost AS savings, round(actual_cost - weighted_actual_cost, 6) AS actual_diff
+        FROM (SELECT account_id, account_name, invoice_id, sum(actual_cost) AS actual_cost, sum(weighted_actual_cost) AS weighted_actual_cost,
+                     sum(retail_cost) AS retail_cost, sum(retail_cost_percent) AS total_weight FROM weighted GROUP BY ALL)""")
+    return s.final(comparable("chk", {"actual_cost": 4, "weighted_actual_cost": 4, "retail_cost": 4, "savings": 4, "actual_diff": 4, "total_weight": 8}))
 
 
 def chk7() -> str:
-    body = """chk AS (SELECT line_item_usage_type, product_instance_type, pricing_public_on_demand_rate,
-        SUM(line_item_usage_amount) AS quantity, SUM(line_item_unblended_cost) AS unblended_cost,
-        SUM(pricing_public_on_demand_cost) AS ondemand_cost,
-        CAST(SUM(line_item_unblended_cost) AS DOUBLE) / CAST(SUM(line_item_usage_amount) AS DOUBLE) AS unblended_rate_calc,
-        CAST(SUM(pricing_public_on_demand_cost) AS DOUBLE) / CAST(SUM(line_item_usage_amount) AS DOUBLE) AS ondemand_rate_calc,
-        CASE WHEN SUM(pricing_public_on_demand_cost) <> 0
-             THEN (CAST(SUM(pricing_public_on_demand_cost) AS DOUBLE) - CAST(SUM(line_item_unblended_cost) AS DOUBLE))
-                  / CAST(SUM(pricing_public_on_demand_cost) AS DOUBLE) END AS savings_percent,
-        COUNT(*) AS trx_cnt
-      FROM d_spot WHERE line_item_line_item_type = 'Usage' AND line_item_usage_type LIKE '%SpotUsage%'
-      GROUP BY 1, 2, 3)"""
-    n = {x: 4 for x in ("quantity", "unblended_cost", "ondemand_cost", "unblended_rate_calc",
-                        "ondemand_rate_calc", "savings_percent")}
-    return with_ctes(daily_ctes(FX.DAILY_MONTH) + [body], comparable("chk", n))
+    s = daily.steps().add(
+        spots="""SELECT line_item_usage_type, product_instance_type, pricing_public_on_demand_rate, sum(line_item_usage_amount)::DOUBLE AS quantity,
+            sum(line_item_unblended_cost)::DOUBLE AS unblended_cost, sum(pricing_public_on_demand_cost)::DOUBLE AS ondemand_cost, count(*) AS trx_cnt
+          FROM priced WHERE line_item_line_item_type = 'Usage' AND contains(line_item_usage_type, 'SpotUsage') GROUP BY ALL""",
+        chk="""SELECT *, unblended_cost / quantity AS unblended_rate_calc, ondemand_cost / quantity AS ondemand_rate_calc,
+            1 - unblended_cost / nullif(ondemand_cost, 0) AS savings_percent FROM spots""")
+    return s.final(comparable("chk", {x: 4 for x in ("quantity", "unblended_cost", "ondemand_cost", "unblended_rate_calc", "ondemand_rate_calc",
+                                                      "savings_percent")}))
 
 
 def chk8() -> str:
-    body = """chk AS (SELECT account_id, SUM(quantity) AS quantity, COUNT(*) AS n
-      FROM t_final WHERE retail_cost = 0 GROUP BY 1)"""
-    return with_ctes(detail_ctes() + [body], comparable("chk", {"quantity": 4}))
+    s = monthly.detail_steps().add(chk="SELECT account_id, sum(quantity) AS quantity, count(*) AS n FROM grouped WHERE retail_cost = 0 GROUP BY ALL")
+    return s.final(comparable("chk", {"quantity": 4}))
 
 
 def chk9() -> str:
-    body = """chk AS (SELECT CAST(line_item_usage_start_date AS DATE) AS usage_date,
-        SUM(line_item_unblended_cost) AS amort_unblended_cost
-      FROM d_amort WHERE note = 'AMORTIZED NON-UPFRONT RI FEE' GROUP BY 1)"""
-    return with_ctes(daily_ctes(FX.DAILY_MONTH) + [body], comparable("chk", {"amort_unblended_cost": 4}))
+    s = daily.steps().add(chk="""SELECT line_item_usage_start_date::DATE AS usage_date, sum(line_item_unblended_cost) AS amort_unblended_cost
+        FROM sliced WHERE note = 'AMORTIZED NON-UPFRONT RI FEE' GROUP BY ALL""")
+    return s.final(comparable("chk", {"amort_unblended_cost": 4}))
