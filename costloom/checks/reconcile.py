@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from costloom import constants as K
 from costloom.functions.columns import c, shifted
+from costloom.settings import DEFAULTS, Settings
 
 
 def adhoc_balance(before: DataFrame, after: DataFrame, alloc: DataFrame, *, account_col: str, name_col: str,
@@ -46,10 +47,10 @@ def kube_weight_totals(weights: DataFrame) -> DataFrame:
     return weights.groupBy("kube_product").agg(F.sum("weight").alias("total_weight"))
 
 
-def infra_totals_daily(before: DataFrame, after: DataFrame) -> DataFrame:
+def infra_totals_daily(before: DataFrame, after: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
     """CHK4 (daily): Hosting infrastructure cost before the split vs what the split wrote."""
-    target = ((c("bill_billing_entity") == K.AWS_ENTITY) & (c("usage_account_name") == K.HOSTING_ACCOUNT_NAME)
-              & (c("resource_tags_user_company") == K.INFRA_COMPANY))
+    target = ((c("bill_billing_entity") == K.AWS_ENTITY) & (c("usage_account_name") == cfg.hosting_account_name)
+              & (c("resource_tags_user_company") == cfg.infra_company))
     cols = ("line_item_unblended_cost", "pricing_public_on_demand_cost", "line_item_usage_amount")
     orig = before.where(target).select(F.lit("ORIGINAL").alias("src"), *cols)
     alloc = after.where(c("note").startswith(K.NOTE_INFRA_DAILY_PREFIX)).select(F.lit("ALLOCATED").alias("src"), *cols)

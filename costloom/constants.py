@@ -22,16 +22,7 @@ LISTED = DecimalType(14, 8)          # listed hourly rate, narrow enough for exa
 SPOT_RATE = DecimalType(8, 4)        # summary spot rate (rounds to 4 places)
 
 # --- FIXED VALUES (must equal the reference) -------------------------------------
-REGIONAL_ACCOUNT_ID = "082404710867"
-REGIONAL_COMPANY = "COMPANY REGIONAL"
-KUBE_PRODUCTS = ("COMPANY.K8S.LOCAL", "COMPANYDEV.K8S.LOCAL")
-HOSTING_ACCOUNT_NAME = "Hosting"
-INFRA_COMPANY = "COMPANY INFRASTRUCTURE"
-MARKETPLACE_PRODUCT = "AWS MARKETPLACE"
-MARKETPLACE_DESCRIPTION_PREFIX = "AWS Marketplace"
 SUPPORT_PRODUCT_PREFIX = "AWS Support"
-DEFENSIVE_CREDIT = "Defensive credit for Company"
-OFF_HOURS_OFFSET_HOURS = 7
 WEEKDAY_CODES = ("SUN", "MON", "TUE", "WED", "THU", "FRI", "SAT")
 
 USAGE = "Usage"

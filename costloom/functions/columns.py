@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from costloom import constants as K
+from costloom.settings import DEFAULTS, Settings
 
 
 def c(name: str) -> Column:
@@ -48,9 +49,9 @@ def company_precedence(tag_company: Column, user_company: Column,
             .otherwise(F.upper(user_company)))
 
 
-def product_precedence(description: Column, tag_product: Column, user_product: Column) -> Column:
+def product_precedence(description: Column, tag_product: Column, user_product: Column, cfg: Settings = DEFAULTS) -> Column:
     """Marketplace description > resource tag (raw) > ``UPPER(TRIM(NVL(user_product, '')))``."""
-    return (F.when(description.like(K.MARKETPLACE_DESCRIPTION_PREFIX + "%"), F.lit(K.MARKETPLACE_PRODUCT))
+    return (F.when(description.like(cfg.marketplace_description_prefix + "%"), F.lit(cfg.marketplace_product))
             .when(tag_product.isNotNull(), tag_product)
             .otherwise(F.upper(F.trim(F.coalesce(user_product, F.lit(""))))))
 
@@ -64,7 +65,7 @@ def rate_text_to_decimal(col: Column) -> Column:
     return F.when(col == "", F.lit(None)).otherwise(col).cast(K.RATE)
 
 
-def shifted(ts: Column, hours: int = K.OFF_HOURS_OFFSET_HOURS) -> Column:
+def shifted(ts: Column, hours: int = DEFAULTS.off_hours_offset_hours) -> Column:
     return F.timestamp_add("HOUR", F.lit(hours), ts)
 
 

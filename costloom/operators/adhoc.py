@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from costloom import constants as K
 from costloom.functions.columns import c, scaled, shifted
 from costloom.operators.lookup import lookup_join
+from costloom.settings import DEFAULTS, Settings
 
 
 def adhoc_schedule(billing: DataFrame, instances: DataFrame, schedule: DataFrame,
@@ -50,7 +51,7 @@ def adhoc_weights(adhoc: DataFrame, scope: str = "instance") -> DataFrame:
 
 
 def reallocate_adhoc(usage: DataFrame, alloc: DataFrame, *, account_col: str, name_col: str, ts_col: str,
-                     type_col: str, company_col: str, measures: dict, skip_types, note: str) -> DataFrame:
+                     type_col: str, company_col: str, measures: dict, skip_types, note: str, cfg: Settings = DEFAULTS) -> DataFrame:
     """ADH2: rows whose UTC+7 (date, hour) falls in an allocation slot of their account and
     instance are replaced by one row per allocated company, measures times weight.
 
@@ -61,7 +62,7 @@ def reallocate_adhoc(usage: DataFrame, alloc: DataFrame, *, account_col: str, na
                      c("calendar_date").alias("_a_date"), c("hour").alias("_a_hour"),
                      c("user_company").alias("_a_company"), c("weight").alias("_a_weight"),
                      F.lit(True).alias("_a_hit"))
-    local = shifted(c(ts_col))
+    local = shifted(c(ts_col), cfg.off_hours_offset_hours)
     u = usage.withColumns({"_bkk_date": F.to_date(local), "_bkk_hour": F.hour(local)})
     keys = [(account_col, "_a_account"), (name_col, "_a_instance"), ("_bkk_date", "_a_date"), ("_bkk_hour", "_a_hour")]
     j = lookup_join(u, a, keys, residual=~c(type_col).isin(*skip_types))

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from costloom import constants as K
 from costloom.functions.columns import c, scaled
 from costloom.operators.lookup import lookup_join
+from costloom.settings import DEFAULTS, Settings
 
 
-def kube_weights(usage: DataFrame, mapping: DataFrame, month: int, daily_notes: bool) -> DataFrame:
+def kube_weights(usage: DataFrame, mapping: DataFrame, month: int, daily_notes: bool, cfg: Settings = DEFAULTS) -> DataFrame:
     """KUB1: namespace portions of the month mapped to company products; an unmapped
     namespace keeps its cost in the cluster's own product. Portions are summed per
     (cluster product, company, product, note) and used as given (not normalised, Q15)."""
@@ -22,7 +23,7 @@ def kube_weights(usage: DataFrame, mapping: DataFrame, month: int, daily_notes:
     mapped_note = F.concat(F.lit(K.NOTE_K8_DAILY_PREFIX), cluster, F.lit(")")) if daily_notes \
         else F.lit(K.NOTE_K8_SUMMARY)
     return (k.select("month_id", cluster.alias("kube_product"),
-                     F.coalesce(c("m_company"), F.lit(K.REGIONAL_COMPANY)).alias("user_company"),
+                     F.coalesce(c("m_company"), F.lit(cfg.regional_company)).alias("user_company"),
                      F.coalesce(c("m_product"), cluster).alias("user_product"),
                      "usage_portion",
                      F.when(c("m_company").isNull(), F.lit(K.NOTE_K8_UNMAPPED)).otherwise(mapped_note).alias("note"))
@@ -36,11 +37,11 @@ def _weights(weights: DataFrame) -> DataFrame:
                           c("note").alias("k_note"), F.lit(True).alias("k_hit"))
 
 
-def reallocate_kube_daily(agg: DataFrame, weights: DataFrame) -> DataFrame:
+def reallocate_kube_daily(agg: DataFrame, weights: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
     """Daily KUB2: Regional-account, Regional-company rows whose product is a weighted
     cluster become one row per weight (company, product, note from the weight)."""
-    is_kube = (c("line_item_usage_account_id") == K.REGIONAL_ACCOUNT_ID) & \
-              (c("resource_tags_user_company") == K.REGIONAL_COMPANY)
+    is_kube = (c("line_item_usage_account_id") == cfg.regional_account_id) & \
+              (c("resource_tags_user_company") == cfg.regional_company)
     j = lookup_join(agg, _weights(weights), [("resource_tags_user_product", "k_product")], residual=is_kube)
     hit = F.coalesce(c("k_hit"), F.lit(False))
     j = j.withColumns({
@@ -52,11 +53,11 @@ def reallocate_kube_daily(agg: DataFrame, weights: DataFrame) -> DataFrame:
     return j.drop("k_product", "k_company", "k_user_product", "k_weight", "k_note", "k_hit")
 
 
-def reallocate_kube_summary(agg: DataFrame, weights: DataFrame) -> DataFrame:
+def reallocate_kube_summary(agg: DataFrame, weights: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
     """Summary KUB2: every Regional row with one of the two kube products is replaced by its
     weighted split; a product with no weights loses its cost (Q14)."""
-    target = ((c("account_id") == K.REGIONAL_ACCOUNT_ID) & (c("user_company") == K.REGIONAL_COMPANY)
-              & c("user_product").isin(*K.KUBE_PRODUCTS))
+    target = ((c("account_id") == cfg.regional_account_id) & (c("user_company") == cfg.regional_company)
+              & c("user_product").isin(*cfg.kube_products))
     j = lookup_join(agg, _weights(weights), [("user_product", "k_product")], residual=target)
     hit = F.coalesce(c("k_hit"), F.lit(False))
     j = j.where(hit | ~F.coalesce(target, F.lit(False)))
@@ -68,7 +69,7 @@ def reallocate_kube_summary(agg: DataFrame, weights: DataFrame) -> DataFrame:
     return j.drop("k_product", "k_company", "k_user_product", "k_weight", "k_note", "k_hit")
 
 
-def kube_guard_rows(agg: DataFrame, account_col: str, company_col: str, product_col: str):
+def kube_guard_rows(agg: DataFrame, account_col: str, company_col: str, product_col: str, cfg: Settings = DEFAULTS):
     """The reference's entry guard: any Regional row carrying one of the two kube products."""
-    return ((c(account_col) == K.REGIONAL_ACCOUNT_ID) & (c(company_col) == K.REGIONAL_COMPANY)
-            & c(product_col).isin(*K.KUBE_PRODUCTS))
+    return ((c(account_col) == cfg.regional_account_id) & (c(company_col) == cfg.regional_company)
+            & c(product_col).isin(*cfg.kube_products))

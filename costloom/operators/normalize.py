@@ -11,6 +11,7 @@ from costloom import constants as K
 from costloom.operators.lookup import lookup_join
 from costloom.functions.columns import (c, company_precedence, company_with_default, is_support,
                                         month_bounds, not_in, ntz, product_precedence)
+from costloom.settings import DEFAULTS, Settings
 
 # Grouping keys of the hourly bill stage, in the reference's order.
 DAILY_KEYS = (
@@ -35,20 +36,20 @@ def bill_for_month(cur: DataFrame, month: int) -> DataFrame:
     return cur.where(c("invoice_month") == F.lit(int(month)))
 
 
-def bill_rows(cur: DataFrame, accounts: DataFrame, month: int) -> DataFrame:
+def bill_rows(cur: DataFrame, accounts: DataFrame, month: int, cfg: Settings = DEFAULTS) -> DataFrame:
     """The month's bill rows that survive the type filters and the account join."""
     t = c("line_item_line_item_type")
     keep = (not_in(t, K.DAILY_EXCLUDED_TYPES)
             & ~((t == K.FEE) & (c("bill_bill_type") == K.PURCHASE_BILL_TYPE))
-            & ~((t == K.CREDIT) & (c("line_item_line_item_description") == K.DEFENSIVE_CREDIT)))
+            & ~((t == K.CREDIT) & (c("line_item_line_item_description") == cfg.defensive_credit)))
     bill = bill_for_month(cur, month).where(keep)
     return bill.join(accounts_lookup(accounts), c("line_item_usage_account_id") == c("ac_account_id"), "inner")
 
 
-def normalize_bill(cur: DataFrame, accounts: DataFrame, month: int) -> DataFrame:
+def normalize_bill(cur: DataFrame, accounts: DataFrame, month: int, cfg: Settings = DEFAULTS) -> DataFrame:
     """NRM1 + AGG1: filter, tag with account defaults, fix costs, roll up at hour grain."""
     t = c("line_item_line_item_type")
-    j = bill_rows(cur, accounts, month)
+    j = bill_rows(cur, accounts, month, cfg)
     unblended = F.when(t == K.SP_COVERED_USAGE, F.lit(0).cast(K.MONEY)).otherwise(c("line_item_unblended_cost"))
     ondemand = (F.when(is_support(c("product_product_name")), c("line_item_unblended_cost"))
                 .when(t.isin(K.RIFEE, K.SP_RECURRING_FEE), c("pricing_public_on_demand_cost"))
@@ -162,7 +163,7 @@ def normalize_detail(trx: DataFrame, accounts: DataFrame, rifee: DataFrame, ruse
 
 
 def normalize_summary(trx: DataFrame, accounts: DataFrame, rifee: DataFrame, ruser: DataFrame,
-                      rtag: DataFrame, source: str, month: int | None) -> DataFrame:
+                      rtag: DataFrame, source: str, month: int | None, cfg: Settings = DEFAULTS) -> DataFrame:
     """NRM3: ACTUAL (one month, RI factor by ARN + invoice) or ESTIMATED (whole table, by ARN)."""
     t = c("lineitem_type")
     actual = source == "ACTUAL"
@@ -179,7 +180,7 @@ def normalize_summary(trx: DataFrame, accounts: DataFrame, rifee: DataFrame, rus
         F.to_date(ts).alias("usage_date"),
         c("ru_user_name").alias("user_name"),
         company_precedence(c("rt_user_company"), c("ru_user_company"), c("ac_default_cost_center")).alias("user_company"),
-        product_precedence(c("item_description"), c("rt_user_product"), c("ru_user_product")).alias("user_product"),
+        product_precedence(c("item_description"), c("rt_user_product"), c("ru_user_product"), cfg).alias("user_product"),
         "lineitem_type",
         F.coalesce(ub, F.lit(0)).cast(K.MONEY).alias("unblended_cost"),
         F.coalesce(F.when(is_support(c("product_name")), ub).otherwise(c("public_ondemand_cost")),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from costloom import constants as K
 from costloom.functions.columns import c, ntz, rate_text_to_decimal
 from costloom.operators.normalize import DAILY_KEYS, DAILY_MEASURES, accounts_lookup
+from costloom.settings import DEFAULTS, Settings
 
 DAILY_OUTPUT = (
     "invoice_month", "bill_billing_entity", "line_item_usage_account_id", "usage_account_name", "bill_invoice_id",
@@ -37,7 +38,7 @@ def daily_rollup(trx: DataFrame) -> DataFrame:
     return trx.groupBy(*keys, "note").agg(*[F.sum(m).cast(K.MONEY).alias(m) for m in DAILY_MEASURES])
 
 
-def upfront_fee_rows(schedule: DataFrame, accounts: DataFrame, month: int, last_trx: dt.datetime | None) -> DataFrame:
+def upfront_fee_rows(schedule: DataFrame, accounts: DataFrame, month: int, last_trx: dt.datetime | None, cfg: Settings = DEFAULTS) -> DataFrame:
     """UPF1: the month's amortised upfront RI / savings-plan fees up to the last transaction
     date, as daily rows at company REGIONAL; columns the reference leaves out are NULL."""
     last_date = F.lit(last_trx.date() if last_trx else None).cast("date")
@@ -51,8 +52,8 @@ def upfront_fee_rows(schedule: DataFrame, accounts: DataFrame, month: int, last_
         c("invoice_id").alias("bill_invoice_id"), c("usage_date").alias("line_item_usage_date"),
         F.when(sp, F.lit(K.UPFRONT_SP_TYPE)).otherwise(F.lit(K.UPFRONT_RI_TYPE)).alias("line_item_line_item_type"),
         c("reservation_arn").alias("reservation_reservation_a_r_n"), c("product_name").alias("product_product_name"),
-        F.lit("").alias("pricing_unit"), F.lit(K.REGIONAL_COMPANY).alias("resource_tags_user_company"),
-        F.lit("").alias("resource_tags_user_product"), F.lit(K.REGIONAL_COMPANY).alias("resource_tags_user_company_original"),
+        F.lit("").alias("pricing_unit"), F.lit(cfg.regional_company).alias("resource_tags_user_company"),
+        F.lit("").alias("resource_tags_user_product"), F.lit(cfg.regional_company).alias("resource_tags_user_company_original"),
         F.lit("").alias("resource_tags_user_product_original"),
         c("amount").cast(K.MONEY).alias("line_item_unblended_cost"),
         F.lit(0).cast(K.MONEY).alias("pricing_public_on_demand_cost"),
@@ -138,7 +139,7 @@ def weight_actual_cost(agg: DataFrame, accounts: DataFrame) -> DataFrame:
         F.lit("").alias("note"))
 
 
-def upfront_fee_column(final: DataFrame, schedule: DataFrame, month: int, last_trx: dt.datetime | None) -> DataFrame:
+def upfront_fee_column(final: DataFrame, schedule: DataFrame, month: int, last_trx: dt.datetime | None, cfg: Settings = DEFAULTS) -> DataFrame:
     """UPF2: the month's amortised upfront RI fee per account (to the last transaction date)
     spread by retail percent; joined by account only (Q20); marketplace rows get none (Q21)."""
     last_date = F.lit(last_trx.date() if last_trx else None).cast("date")
@@ -146,7 +147,7 @@ def upfront_fee_column(final: DataFrame, schedule: DataFrame, month: int, last_t
            .groupBy(c("account_id").alias("u_account_id"))
            .agg(F.sum("rifee").alias("u_fee"))
            .withColumn("u_hit", F.lit(True)))
-    j = final.join(fee, (c("account_id") == c("u_account_id")) & (c("user_product") != K.MARKETPLACE_PRODUCT), "left")
+    j = final.join(fee, (c("account_id") == c("u_account_id")) & (c("user_product") != cfg.marketplace_product), "left")
     val = F.when(F.coalesce(c("u_hit"), F.lit(False)),
                  F.round(c("retail_cost_percent") * c("u_fee"), 8).cast(K.DEC38_8)).otherwise(F.lit(0).cast(K.DEC38_8))
     return j.withColumn("weighted_upfront_rifee_actual_cost", val).drop("u_account_id", "u_fee", "u_hit")

@@ -28,6 +28,7 @@ from costloom.operators import spot as SPT
 from costloom.operators.calendar import month_calendar
 from costloom.operators.normalize import bill_rows, normalize_bill
 from costloom.session import materialize, remove_stages
+from costloom.settings import DEFAULTS, Settings
 from costloom.sources.catalog import Catalog
 
 
@@ -42,14 +43,23 @@ def resolve_month(invoice_month: int | None, now: dt.datetime | None = None) ->
     return int(invoice_month)
 
 
+def warnings(job, most: int = 1000) -> dict:
+    """What a run should tell its operator: spot sizes without a price and the companies that
+    off-hours costs went to (at most ``most`` names each: a report, not data)."""
+    names = lambda df: [r[0] for r in df.orderBy(df.columns[0]).limit(most).collect()]
+    companies = ADH.adhoc_companies(job.cat.adhoc_billing, job.month).select("user_company") if job.month else None
+    return {"unmapped_spot_sizes": names(job.unmapped_spot()), "adhoc_companies": names(companies) if companies is not None else []}
+
+
 class DailyJob:
     def __init__(self, catalog: Catalog, invoice_month: int | None, adhoc_scope: str = "instance",
-                 checkpoint: bool = True):
+                 checkpoint: bool = True, settings: Settings = DEFAULTS):
         self.cat = catalog
         self.spark = catalog.spark
         self.invoice_month = invoice_month
         self.adhoc_scope = adhoc_scope
         self.checkpoint = checkpoint
+        self.cfg = settings
         self.stages: list[str] = []
 
     @cached_property
@@ -69,14 +79,14 @@ class DailyJob:
     # -- (1) scan, normalise, hourly aggregate ------------------------------------------
     @cached_property
     def hourly(self) -> DataFrame:
-        return normalize_bill(self.cat.cost_usage_report, self.cat.account_config, self.month)
+        return normalize_bill(self.cat.cost_usage_report, self.cat.account_config, self.month, self.cfg)
 
     @cached_property
     def scalars(self) -> dict:
         """Row count, billing state and last transaction time in one aggregate over a
         column-pruned scan of the filtered bill (the hour roll-up changes none of them),
         so the hourly stage itself is read once and never materialised."""
-        rows = bill_rows(self.cat.cost_usage_report, self.cat.account_config, self.month)
+        rows = bill_rows(self.cat.cost_usage_report, self.cat.account_config, self.month, self.cfg)
         return FEES.stage_scalars(rows, "line_item_usage_start_date", "line_item_line_item_type",
                                   "bill_invoice_id", cut_excludes_recurring=True)
 
@@ -86,7 +96,7 @@ class DailyJob:
 
     def billing_state(self) -> DataFrame:
         """STA1 as a one-row frame, from a column-pruned scan (the hour roll-up keeps the invoice id)."""
-        return FEES.billing_state(bill_rows(self.cat.cost_usage_report, self.cat.account_config, self.month), "bill_invoice_id")
+        return FEES.billing_state(bill_rows(self.cat.cost_usage_report, self.cat.account_config, self.month, self.cfg), "bill_invoice_id")
 
     # -- (1.a-c) future fee cut, spot pricing, zero-cost drop ----------------------------
     def after_cut(self) -> DataFrame:
@@ -127,7 +137,7 @@ class DailyJob:
                                     account_col="line_item_usage_account_id", name_col="resource_tags_user_name",
                                     ts_col="line_item_usage_start_date", type_col="line_item_line_item_type",
                                     company_col="resource_tags_user_company", measures=measures,
-                                    skip_types=K.FEE_TYPES, note=K.NOTE_ADHOC_DAILY)
+                                    skip_types=K.FEE_TYPES, note=K.NOTE_ADHOC_DAILY, cfg=self.cfg)
 
     # -- (4) daily grain, on-demand backfill ---------------------------------------------------
     def rolled(self) -> DataFrame:
@@ -140,7 +150,7 @@ class DailyJob:
     # -- (5) kube ------------------------------------------------------------------------------
     def kube_weights(self) -> DataFrame:
         return KUB.kube_weights(self.cat.kube_monthly_namespace_usage, self.cat.kube_namespace_product_mapping,
-                                self.month, daily_notes=True)
+                                self.month, daily_notes=True, cfg=self.cfg)
 
     @cached_property
     def kube_enabled(self) -> bool:
@@ -148,7 +158,7 @@ class DailyJob:
         rows for the month (the first matters: replacement targets any weighted product)."""
         has_rows = not self.backfilled.where(KUB.kube_guard_rows(
             self.backfilled, "line_item_usage_account_id", "resource_tags_user_company",
-            "resource_tags_user_product")).isEmpty()
+            "resource_tags_user_product", self.cfg)).isEmpty()
         has_usage = not self.cat.kube_monthly_namespace_usage.where(
             c("month_id") == F.lit(self.month)).isEmpty()
         return has_rows and has_usage
@@ -157,7 +167,7 @@ class DailyJob:
     def _after_kube(self) -> DataFrame:
         if not self.kube_enabled:
             return self.backfilled
-        return KUB.reallocate_kube_daily(self.backfilled, self._keep(self.kube_weights(), "kube"))
+        return KUB.reallocate_kube_daily(self.backfilled, self._keep(self.kube_weights(), "kube"), cfg=self.cfg)
 
     def after_kube(self) -> DataFrame:
         return self._after_kube
@@ -165,26 +175,31 @@ class DailyJob:
     # -- (6) upfront fee rows ------------------------------------------------------------------
     def upfront_rows(self) -> DataFrame:
         return R.upfront_fee_rows(self.cat.upfront_purchases_amortization_schedule, self.cat.account_config,
-                                  self.month, self.last_trx)
+                                  self.month, self.last_trx, self.cfg)
 
     def after_upfront(self) -> DataFrame:
         return self.after_kube().unionByName(self.upfront_rows(), allowMissingColumns=True)
 
     # -- (7) infra -----------------------------------------------------------------------------
     def infra_weights(self) -> DataFrame:
-        return INF.infra_weights_daily(self.after_upfront(), self.cat.azure_cost_summary, self.month)
+        return INF.infra_weights_daily(self.after_upfront(), self.cat.azure_cost_summary, self.month, self.cfg)
 
     def after_infra(self) -> DataFrame:
-        return INF.redistribute_infra_daily(self.after_upfront(), self._keep(self.infra_weights(), "infra"))
+        return INF.redistribute_infra_daily(self.after_upfront(), self._keep(self.infra_weights(), "infra"), self.cfg)
 
     # -- (999) output ----------------------------------------------------------------------------
     def output(self) -> DataFrame:
         return R.daily_output(self.after_infra())
 
-    def run(self, target: str | None = None) -> dict:
-        """Compute and (if ``target``) replace the month in the target dataset."""
+    def run(self, target: str | None = None, mode: str = "PROCESS_DATA") -> dict:
+        """``PROCESS_DATA`` (any case): compute and, if ``target``, replace the month in the target
+        dataset. ``STATS_ONLY``: the month's stats from the target, nothing recomputed."""
         from costloom.plans.sink import replace_month
         from costloom.plans.stats import month_stats
+        if mode.upper() == "STATS_ONLY":
+            return daily_stats_only(self.spark, target, self.month)
+        if mode.upper() != "PROCESS_DATA":
+            raise ValueError(f"mode must be PROCESS_DATA or STATS_ONLY, not {mode!r}")
         if self.scalars["rows"] == 0:
             return {"invoice_month": self.month, "error": f"No bill rows exist for invoice month {self.month}",
                     "row_count": 0}
@@ -194,6 +209,7 @@ class DailyJob:
             if target:
                 replace_month(out, target, self.month)
                 status.update(month_stats(self.spark, target, self.month, invoice_col="bill_invoice_id"))
+            status.update(warnings(self))
         finally:
             self._release()
         return status

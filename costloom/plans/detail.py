@@ -23,6 +23,7 @@ from costloom.operators import spot as SPT
 from costloom.operators.calendar import month_calendar
 from costloom.operators.normalize import latest_month, normalize_detail
 from costloom.session import materialize, remove_stages
+from costloom.settings import DEFAULTS, Settings
 from costloom.sources.catalog import Catalog
 
 
@@ -36,12 +37,13 @@ def resolve_latest(cat: Catalog, invoice_month: int | None, estimated: bool = Fa
 
 class DetailJob:
     def __init__(self, catalog: Catalog, invoice_month: int | None, adhoc_scope: str = "instance",
-                 checkpoint: bool = True):
+                 checkpoint: bool = True, settings: Settings = DEFAULTS):
         self.cat = catalog
         self.spark = catalog.spark
         self.invoice_month = invoice_month
         self.adhoc_scope = adhoc_scope
         self.checkpoint = checkpoint
+        self.cfg = settings
         self.stages: list[str] = []
 
     @cached_property
@@ -88,17 +90,17 @@ class DetailJob:
                                     name_col="user_name", ts_col="usage_date_hour", type_col="lineitem_type",
                                     company_col="user_company",
                                     measures={"retail_cost": K.DEC38_8, "quantity": K.MONEY},
-                                    skip_types=K.DETAIL_ADHOC_SKIPPED_TYPES, note=K.NOTE_ADHOC_DETAIL)
+                                    skip_types=K.DETAIL_ADHOC_SKIPPED_TYPES, note=K.NOTE_ADHOC_DETAIL, cfg=self.cfg)
 
     @cached_property
     def rolled(self) -> DataFrame:
         return self._keep(R.detail_rollup(self.after_adhoc(), self.cat.account_config), "final")
 
     def infra_weights(self) -> DataFrame:
-        return INF.infra_weights_monthly(self.rolled, self.cat.azure_cost_summary, self.month)
+        return INF.infra_weights_monthly(self.rolled, self.cat.azure_cost_summary, self.month, self.cfg)
 
     def after_infra(self) -> DataFrame:
-        return INF.redistribute_infra_detail(self.rolled, self._keep(self.infra_weights(), "infra"))
+        return INF.redistribute_infra_detail(self.rolled, self._keep(self.infra_weights(), "infra"), self.cfg)
 
     def output(self) -> DataFrame:
         return R.detail_output(self.after_infra())

@@ -7,6 +7,7 @@ the two engines' decimal typing does not decide the comparison.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -127,10 +128,11 @@ def _specs() -> list[QuerySpec]:
 
 
 def _check_specs() -> list[QuerySpec]:
-    """Reconciliation checks over job stages (data-derived ones only; the config-only
-    weight totals CHK2/CHK6 and the target-table count CHK10 are covered by tests)."""
+    """Reconciliation checks over job stages and written months (data-derived ones only; the
+    config-only weight totals CHK2/CHK6 are covered by tests)."""
     from costloom import constants as K
     from costloom.checks import reconcile as CHK
+    from costloom.plans.stats import month_stats_frame
     from oracle import checks as OC
 
     def chk1(s, d):
@@ -144,6 +146,22 @@ def _check_specs() -> list[QuerySpec]:
         job = daily_job(s, d)
         return CHK.infra_totals_daily(job.after_upfront(), job.after_infra())
 
+    def written(s, job) -> DataFrame:
+        """The month as the job's sink leaves it."""
+        from costloom.session import stage_root
+        target = f"{stage_root(s)}/target-{uuid.uuid4().hex}"
+        job.run(target)
+        return s.read.parquet(target)
+
+    def stt1(s, d):
+        return month_stats_frame(written(s, daily_job(s, d)), FX.DAILY_MONTH).drop("created_date")
+
+    def chk10(s, d):
+        return CHK.rows_per_month(written(s, summary_job(s, d, "ACTUAL")).unionByName(written(s, summary_job(s, d, "ESTIMATED"))))
+
+    def joi4(s, d):
+        return detail_job(s, d).normalized().groupBy("user_name", "user_company", "usage_date").agg(F.count(F.lit(1)).alias("n"))
+
     spot_n = {x: 4 for x in ("quantity", "unblended_cost", "ondemand_cost", "unblended_rate_calc",
                              "ondemand_rate_calc", "savings_percent")}
     chk5_n = {"actual_cost": 4, "weighted_actual_cost": 4, "retail_cost": 4, "savings": 4, "actual_diff": 4,
@@ -160,6 +178,9 @@ def _check_specs() -> list[QuerySpec]:
                   {"quantity": 4}),
         QuerySpec("chk9_amortized_per_day", lambda s, d: CHK.amortized_fee_per_day(daily_job(s, d).after_amortize()),
                   OC.chk9, {"amort_unblended_cost": 4}),
+        QuerySpec("chk10_rows", chk10, OC.chk10),
+        QuerySpec("stt1_stats", stt1, OC.stt1),
+        QuerySpec("joi4_interval", joi4, OC.joi4),
     ]
 
 

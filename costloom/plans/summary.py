@@ -26,12 +26,13 @@ from costloom.operators.calendar import month_calendar
 from costloom.operators.normalize import normalize_summary, transaction_rows
 from costloom.plans.detail import resolve_latest
 from costloom.session import materialize, remove_stages
+from costloom.settings import DEFAULTS, Settings
 from costloom.sources.catalog import Catalog
 
 
 class SummaryJob:
     def __init__(self, catalog: Catalog, source: str, invoice_month: int | None = None,
-                 adhoc_scope: str = "instance", checkpoint: bool = True):
+                 adhoc_scope: str = "instance", checkpoint: bool = True, settings: Settings = DEFAULTS):
         if source not in ("ACTUAL", "ESTIMATED"):
             raise ValueError(f"source must be ACTUAL or ESTIMATED, not {source!r}")
         self.cat = catalog
@@ -41,6 +42,7 @@ class SummaryJob:
         self.invoice_month = invoice_month
         self.adhoc_scope = adhoc_scope
         self.checkpoint = checkpoint
+        self.cfg = settings
         self.stages: list[str] = []
 
     @cached_property
@@ -62,10 +64,10 @@ class SummaryJob:
         c_ = self.cat
         if self.estimated:
             df = normalize_summary(c_.usage_transaction_estimated, c_.account_config, c_.rifee_estimated,
-                                   c_.resource_user_estimated, c_.resource_tag, "ESTIMATED", None)
+                                   c_.resource_user_estimated, c_.resource_tag, "ESTIMATED", None, self.cfg)
         else:
             df = normalize_summary(c_.usage_transaction, c_.account_config, c_.rifee, c_.resource_user,
-                                   c_.resource_tag, "ACTUAL", self.requested_month)
+                                   c_.resource_tag, "ACTUAL", self.requested_month, self.cfg)
         return df
 
     @cached_property
@@ -126,14 +128,14 @@ class SummaryJob:
                                     name_col="user_name", ts_col="usage_date_hour", type_col="lineitem_type",
                                     company_col="user_company",
                                     measures={"unblended_cost": K.MONEY, "ondemand_cost": K.MONEY, "quantity": K.MONEY},
-                                    skip_types=K.FEE_TYPES, note=K.NOTE_ADHOC_SUMMARY)
+                                    skip_types=K.FEE_TYPES, note=K.NOTE_ADHOC_SUMMARY, cfg=self.cfg)
 
     def rolled(self) -> DataFrame:
         return R.summary_rollup(self.after_adhoc())
 
     def kube_weights(self) -> DataFrame:
         return KUB.kube_weights(self.cat.kube_monthly_namespace_usage, self.cat.kube_namespace_product_mapping,
-                                self.month, daily_notes=False)
+                                self.month, daily_notes=False, cfg=self.cfg)
 
     def after_kube(self) -> DataFrame:
         """The reference's second guard matters here: with no kube usage for the month the
@@ -141,21 +143,21 @@ class SummaryJob:
         has_usage = not self.cat.kube_monthly_namespace_usage.where(c("month_id") == F.lit(self.month)).isEmpty()
         if not has_usage:
             return self.rolled()
-        return KUB.reallocate_kube_summary(self.rolled(), self._keep(self.kube_weights(), "kube"))
+        return KUB.reallocate_kube_summary(self.rolled(), self._keep(self.kube_weights(), "kube"), cfg=self.cfg)
 
     @cached_property
     def weighted(self) -> DataFrame:
         return self._keep(R.weight_actual_cost(self.after_kube(), self.cat.account_config), "final")
 
     def infra_weights(self) -> DataFrame:
-        return INF.infra_weights_monthly(self.weighted, self.cat.azure_cost_summary, self.month)
+        return INF.infra_weights_monthly(self.weighted, self.cat.azure_cost_summary, self.month, self.cfg)
 
     def after_infra(self) -> DataFrame:
-        return INF.redistribute_infra_summary(self.weighted, self._keep(self.infra_weights(), "infra"))
+        return INF.redistribute_infra_summary(self.weighted, self._keep(self.infra_weights(), "infra"), self.cfg)
 
     def with_upfront(self) -> DataFrame:
         return R.upfront_fee_column(self.after_infra(), self.cat.rifee_amortization_schedule, self.month,
-                                    self.last_trx)
+                                    self.last_trx, self.cfg)
 
     def output(self) -> DataFrame:
         return R.summary_output(self.with_upfront(), self.last_trx)
@@ -171,6 +173,8 @@ class SummaryJob:
             if target:
                 replace_month(out, target, self.month)
                 status["row_count"] = self.spark.read.parquet(f"{target}/invoice_month={self.month}").count()
+            from costloom.plans.daily import warnings
+            status.update(warnings(self))
         finally:
             self._release()
         return status

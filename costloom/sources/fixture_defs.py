@@ -107,12 +107,25 @@ _TRX_COLUMNS = [
 
 TRX_VIEW = {"source": "lineitem", "where": None, "columns": _TRX_COLUMNS}
 
-TRX_ESTIMATED_VIEW = {
-    "source": "lineitem",
-    "where": {"spark": "l_shipdate >= TIMESTAMP_NTZ '1998-02-01 00:00:00' AND l_shipdate < TIMESTAMP_NTZ '1998-03-01 00:00:00'",
-              "duckdb": "l_shipdate >= TIMESTAMP '1998-02-01 00:00:00' AND l_shipdate < TIMESTAMP '1998-03-01 00:00:00'"},
-    "columns": _TRX_COLUMNS,
-}
+# Every line item, its ship date folded into the first 26 days of 1998-02: the estimated table
+# holds one running month, so the jobs read all of it.
+TRX_ESTIMATED_VIEW = {"source": "lineitem", "where": None, "columns": [
+    ("usage_start_date", {
+        "spark": "timestampadd(HOUR, CAST(l_orderkey % 24 + 24 * (datediff(l_shipdate, DATE '1992-01-01') % 26) AS INT), "
+                 "TIMESTAMP_NTZ '1998-02-01 00:00:00')",
+        "duckdb": "TIMESTAMP '1998-02-01 00:00:00' + to_hours(CAST(l_orderkey % 24 "
+                  "+ 24 * (date_diff('day', DATE '1992-01-01', CAST(l_shipdate AS DATE)) % 26) AS BIGINT))"}),
+    *_TRX_COLUMNS[1:]]}
+
+
+def _reversed(sign: str) -> dict:
+    """A charge (or its reversal) that leaves its group at zero cost (CHK8)."""
+    own = {"lineitem_type": "'Usage'", "usage_type": "concat('Reversed-', CAST(l_orderkey AS STRING))", "product_name": "'Amazon Reversed'",
+           "item_description": "'usage'",
+           "unblended_cost": f"CAST({sign}{money('l_extendedprice')} AS DECIMAL(28,12))",
+           "public_ondemand_cost": f"CAST({sign}{money('l_extendedprice')} AS DECIMAL(28,12))"}
+    return {"source": "lineitem", "where": "l_linenumber = 1 AND l_orderkey % 20 = 0",
+            "columns": [(n, own.get(n, e)) for n, e in _TRX_COLUMNS]}
 
 
 def _ts(text: str) -> dict:
@@ -168,7 +181,7 @@ RESOURCE_TAG_VIEWS = [
 
 DERIVED_VIEWS = {
     "cost_usage_report": [CUR_VIEW],
-    "usage_transaction": [TRX_VIEW],
+    "usage_transaction": [TRX_VIEW, _reversed(""), _reversed("-")],
     "usage_transaction_estimated": [TRX_ESTIMATED_VIEW],
     "resource_user": RESOURCE_USER_VIEWS,
     "resource_user_estimated": RESOURCE_USER_VIEWS,

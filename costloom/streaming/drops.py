@@ -33,7 +33,9 @@ def watch_bill_drops(spark: SparkSession, drop_path: str, schema: StructType,
 
     def run_batch(batch: DataFrame, epoch_id: int) -> None:
         for month in months_in_batch(batch):
-            DailyJob(catalog_for_month(month), month).run(target)
+            status = DailyJob(catalog_for_month(month), month).run(target)
+            if status["error"]:  # the batch stays unprocessed and is tried again
+                raise RuntimeError(status["error"])
 
     stream = spark.readStream.schema(schema).parquet(drop_path).select("invoice_month")
     writer = stream.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint_location)

@@ -60,3 +60,17 @@ def chk9() -> str:
     s = daily.steps().add(chk="""SELECT line_item_usage_start_date::DATE AS usage_date, sum(line_item_unblended_cost) AS amort_unblended_cost
         FROM sliced WHERE note = 'AMORTIZED NON-UPFRONT RI FEE' GROUP BY ALL""")
     return s.final(comparable("chk", {"amort_unblended_cost": 4}))
+
+
+def chk10() -> str:
+    parts = [monthly.summary_steps(x).final("SELECT invoice_month, trx_source, count(*) AS n FROM summary_rows GROUP BY ALL") for x in ("ACTUAL", "ESTIMATED")]
+    return " UNION ALL ".join(f"SELECT * FROM ({p})" for p in parts)
+
+
+def stt1() -> str:
+    return daily.steps().final("""SELECT if(bool_and(trim(coalesce(bill_invoice_id, '')) <> ''), 1, 0) AS is_invoiced, count(*) AS row_count
+        FROM daily_rows HAVING count(*) > 0""")
+
+
+def joi4() -> str:
+    return monthly.detail_steps().final("SELECT user_name, user_company, usage_date, count(*) AS n FROM lines GROUP BY ALL")
