@@ -17,7 +17,8 @@ words ``[^\\x20\\x09-\\x0D]+``; a shorter text is one shingle). Two texts link w
 5. Pairs within one component need no test. So that near copies do not meet as all pairs,
    some rounds first test each node against one pivot per round (of the shared shingle's
    nodes outside its component), linking most of a group; a last round then tests all
-   remaining pairs between different components. Together: the exact components.
+   remaining pairs between different components. It comes as soon as those are no more
+   than ``open_factor`` times the shared prefix rows. Together: the exact components.
 
 Defined cases: null and word-less texts have an empty set and link with nothing; repeated rows
 are copies of each other; a row with a null doc_id belongs to the texts with its very set, and
@@ -49,6 +50,7 @@ class JoinParams:
     percent: int = 85
     count_bits: int = 20
     pivot_rounds: int = 4
+    open_factor: int = 4
     group: int = 256
 
 
@@ -270,11 +272,11 @@ def link_nodes(shared: DataFrame, sets: DataFrame, params: JoinParams) -> DataFr
     spark = shared.sparkSession
     links = tried = spark.createDataFrame([], "a long, b long")
     roots = spark.createDataFrame([], "node long, root long")
+    rows = shared.count()
     for step in range(params.pivot_rounds + 1):
-        last = step == params.pivot_rounds
-        known = shared if step == 0 else materialize(shared.join(roots, "node", "left").select(*shared.columns, F.coalesce("root", "node").alias("root")), "nj-known")
-        if step == 0:
-            known = known.withColumn("root", F.col("node"))
+        known = shared.withColumn("root", F.col("node")) if step == 0 else materialize(
+            shared.join(roots, "node", "left").select(*shared.columns, F.coalesce("root", "node").alias("root")), "nj-known")
+        last = step == params.pivot_rounds or open_pairs(known) <= params.open_factor * rows
         mixed = materialize(known.groupBy("gram").agg(
             F.min("root").alias("low"), F.max("root").alias("high"),
             F.min(F.struct(F.xxhash64("node", F.lit(step)).alias("order"), F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("pos").alias("b_pos"),
@@ -292,18 +294,23 @@ def link_nodes(shared: DataFrame, sets: DataFrame, params: JoinParams) -> DataFr
         if not last:  # the pivot that shares most prefix shingles
             pairs = pairs.groupBy("a").agg(F.max_by(F.col("b"), F.struct("count", "b")).alias("b"))
         pairs = materialize(pairs.select("a", "b"), "nj-pairs")
-        n = pairs.count()
-        if not n and not last:
-            continue
-        if n:
+        if pairs.count():
             good = materialize(verify(materialize(suffix_filter(pairs, sets, params.percent), "nj-likely"), sets, params), "nj-links")
             tried = materialize(tried.unionByName(pairs), "nj-tried")
             if good.count():
                 links = materialize(links.unionByName(good), "nj-all-links")
                 roots = connected_components(links)
+        if last:
+            return roots
     return roots
 
 
+def open_pairs(known: DataFrame) -> int:
+    """How many rows the last round would look at: pairs of different components by shingle."""
+    sizes = known.groupBy("gram", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("gram").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
+    return int(sizes.agg(F.sum((F.col("n") * F.col("n") - F.col("own")) / 2)).first()[0] or 0)
+
+
 def group_documents(docs: DataFrame, params: JoinParams = JoinParams()) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row; component_id is the smallest doc_id of
     the group."""

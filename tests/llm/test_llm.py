@@ -233,7 +233,7 @@ def test_join_equals_brute_force(spark, width, percent, rounds):
             rows.append((len(rows), " ".join(t)))
     rows += [(len(rows) + i, t) for i, t in enumerate([None, "", "a b", "A  B", "w1"])]
     rng.shuffle(rows)
-    got = ngram_join.group_documents(docs_frame(spark, rows), ngram_join.JoinParams(width=width, percent=percent, pivot_rounds=rounds, group=4)).collect()
+    got = ngram_join.group_documents(docs_frame(spark, rows), ngram_join.JoinParams(width=width, percent=percent, pivot_rounds=rounds, open_factor=0, group=4)).collect()
     sets = word_sets(rows, width)
     assert {r["doc_id"]: r["component_id"] for r in got} == brute_groups(sets, percent)
     assert {r["doc_id"]: r["n_shingles"] for r in got} == {i: len(s) for i, s in sets.items()}
