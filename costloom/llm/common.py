@@ -112,11 +112,15 @@ def pack_table(table: DataFrame, key: str, weight: str, values: dict[str, str],
     out = PackedTable(hashes[order], {c: join(1 + i, t)[order] for i, (c, t) in enumerate(values.items())})
     if payload:
         lengths, flat = join(n - 2, "<u4").astype(np.int64), join(n - 1, payload_dtype)
-        starts = np.concatenate([[0], np.cumsum(lengths)])[:-1]
-        lengths, starts = lengths[order], starts[order]
+        got.clear()
+        starts = (np.cumsum(lengths) - lengths)[order]
+        lengths = lengths[order]
         out.offsets = np.concatenate([[0], np.cumsum(lengths)])
-        index = np.repeat(starts - out.offsets[:-1], lengths) + np.arange(int(lengths.sum()))
-        out.payload = flat[index]
+        out.payload = np.empty(len(flat), payload_dtype)
+        for a in range(0, len(lengths), 200_000):  # in steps, so the index arrays stay small
+            z = min(a + 200_000, len(lengths))
+            first, last = out.offsets[a], out.offsets[z]
+            out.payload[first:last] = flat[np.repeat(starts[a:z] - out.offsets[a:z], lengths[a:z]) + np.arange(first, last)]
     return out, rest
 
 

@@ -282,7 +282,8 @@ def encode(docs: DataFrame, model: PieceModel, broadcast_units: int = 8_000_000,
     total = counts.count()
     parts = shuffle_width(total, 150_000, spark.sparkContext.defaultParallelism)
     lexicon = materialize(lattice(counts.repartition(parts, "unit"), model), "sp-lexicon")
-    table, rest = pack_table(lexicon, "unit", "n", {}, broadcast_units, payload="ids", payload_dtype="<i4")
+    kind = "<u2" if max([model.unknown, *model.byte_ids, *model.ids.values()]) < 1 << 16 else "<u4"
+    table, rest = pack_table(lexicon, "unit", "n", {}, broadcast_units, payload="ids", payload_dtype=kind)
     packed = spark.sparkContext.broadcast(table)
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,11 +298,11 @@ def encode(docs: DataFrame, model: PieceModel, broadcast_units: int = 8_000_000,
                 cache[u] = t.payload[t.offsets[i]:t.offsets[i + 1]].tobytes() if i >= 0 else None
             ids, missing = [], []
             for us, more in zip(lists, extra):
-                own = {e["unit"].replace(SPACE, " "): np.array(e["ids"], "<i4").tobytes() for e in more} if more else {}
+                own = {e["unit"].replace(SPACE, " "): np.array(e["ids"], kind).tobytes() for e in more} if more else {}
                 got = [own[u] if u in own else cache[u] for u in us] if own else list(map(cache.__getitem__, us))
                 lost = [u for u, g in zip(us, got) if g is None] if None in got else []
                 missing.append(list({u.replace(" ", SPACE) for u in lost}))
-                ids.append(None if lost else np.frombuffer(b"".join(got), "<i4"))
+                ids.append(None if lost else np.frombuffer(b"".join(got), kind).astype("<i4"))
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in names], pa.array(ids, pa.list_(pa.int32())), pa.array(missing, pa.list_(pa.string()))],
                                              [*names, "ids", "missing"])
 
