@@ -3,19 +3,19 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costloom.session import materialize
 
-__all__ = ["materialize", "read_table", "documents", "remainder", "map_batches", "PackedTable", "pack_table",
-           "NotPacked"]
+__all__ = ["materialize", "read_table", "documents", "remainder", "slices", "PackedTable", "pack_table", "shuffle_width"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,10 +34,16 @@ def remainder(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-                schema: str) -> DataFrame:
-    """``mapInArrow``; the batches of a partition stream through ``fn`` one by one."""
-    return df.mapInArrow(fn, schema)
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of about ``max_bytes`` of text, so that what a task makes of one part
+    stays small however large Spark's batches are. A longer text is a part of its own."""
+    for b in batches:
+        if not b.num_rows:
+            continue
+        step = np.cumsum(pc.binary_length(b.column(column)).to_numpy(zero_copy_only=False)) // max_bytes
+        cuts = [0, *(np.flatnonzero(np.diff(step)) + 1).tolist(), b.num_rows]
+        for a, z in zip(cuts, cuts[1:]):
+            yield b.slice(a, z - a)
 
 
 def key_hash(keys: list[bytes]) -> np.ndarray:
@@ -64,10 +70,6 @@ class PackedTable:
         return np.where(self.hashes[at] == h, at, -1)
 
 
-class NotPacked(Exception):
-    """A key is neither in the packed table nor in the rows sent beside a document."""
-
-
 def pack_table(table: DataFrame, key: str, weight: str, values: dict[str, str], max_rows: int,
                payload: str | None = None, payload_dtype: str = "<u2") -> tuple[PackedTable, DataFrame | None]:
     """The ``max_rows`` heaviest rows of ``table`` packed for a broadcast, and a frame of

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from costloom.llm.common import documents
+from costloom.llm.common import documents, slices
 
 KINDS = ("assign", "access", "hex", "markov")
 # The base patterns and their least lengths.
@@ -87,7 +87,7 @@ def count_samples(docs: DataFrame) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, SIZE * SIZE), np.int64)
-        for b in batches:
+        for b in slices(batches):
             whole, found = b.column("text").cast(pa.binary()), []
             for t in b.column("text").to_pylist():
                 for m in ASSIGN.finditer(t):

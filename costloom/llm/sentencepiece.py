@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costloom.llm.common import documents, materialize, pack_table, shuffle_width
+from costloom.llm.common import documents, materialize, pack_table, shuffle_width, slices
 
 SPACE = "▁"
 UNIT = re.compile(r" *[^ \n]+| +|\n+")
@@ -288,7 +288,7 @@ def encode(docs: DataFrame, model: PieceModel, broadcast_units: int = 8_000_000,
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t, cache = packed.value, {}
-        for b in batches:
+        for b in slices(batches):
             lists = [units(x) for x in b.column("text").to_pylist()]
             if len(cache) > 200_000:
                 cache.clear()

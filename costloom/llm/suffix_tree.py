@@ -34,7 +34,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from costloom.llm.common import PackedTable, documents, materialize, pack_table, remainder
+from costloom.llm.common import PackedTable, documents, materialize, pack_table, remainder, slices
 
 END = b"\xff"
 
@@ -237,14 +237,14 @@ def count_runs(docs: DataFrame, tree: Broadcast, least: int, parts: int) -> Data
                  pa.array([keys[r].tobytes() for r in rows if len(r)], pa.binary()),
                  pa.array([counts[r].astype("<u4").tobytes() for r in rows if len(r)], pa.binary())], ["part", "keys", "counts"])
 
-        for b in batches:
+        for b in slices(batches):
             lists, _, starts = token_batch(b.column("text").cast(pa.binary()).to_pylist())
             words = cache.lists(lists)
             context = t.contexts(words, starts)[-1]
             ok = (context >= 0) & (words >= 0)
             pending.append(pair_keys(context[ok], words[ok]))
             size += len(pending[-1])
-            if size > 6_000_000:
+            if size > 3_000_000:
                 yield flush()
                 size = 0
         if pending:
@@ -298,7 +298,7 @@ def score_documents(docs: DataFrame, modulus: int = 7, held: int = 2, params: Tr
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, frequent = (np.append(x.values["train"], 0) for x in (packed.value, tree.value.vocabulary))
         cache, symbols = WordCache(packed.value), WordCache(tree.value.vocabulary)
-        for b in batches:
+        for b in slices(batches):
             lists, first, starts = token_batch(b.column("text").cast(pa.binary()).to_pylist())
             at, symbol = cache.lists(lists), symbols.lists(lists)
             c = np.where(at >= 0, counts[at], frequent[symbol])
