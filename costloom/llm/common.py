@@ -70,10 +70,11 @@ class PackedTable:
         return np.where(self.hashes[at] == h, at, -1)
 
 
-def pack_table(table: DataFrame, key: str, weight: str, values: dict[str, str], max_rows: int,
+def pack_table(table: DataFrame, key: str, weight: str, values: dict[str, str], max_rows: int, always: Column | None = None,
                payload: str | None = None, payload_dtype: str = "<u2") -> tuple[PackedTable, DataFrame | None]:
-    """The ``max_rows`` heaviest rows of ``table`` packed for a broadcast, and a frame of
-    the rest (None if all fit), which the caller joins by a shuffle.
+    """The ``max_rows`` heaviest rows of ``table`` and those of ``always`` (whose number the caller
+    bounds) packed for a broadcast, and a frame of the rest (None if all fit), which the
+    caller joins by a shuffle.
 
     ``max_rows`` bounds what passes the driver. Rows are taken by a weight cut-off that
     one small histogram decides, so nothing is sorted globally."""
@@ -85,7 +86,10 @@ def pack_table(table: DataFrame, key: str, weight: str, values: dict[str, str],
             cut = b
             break
         total += sizes[b]
-    head, rest = (table, None) if cut is None else (table.where(bucket > cut), table.where(bucket <= cut))
+    head, rest = (table, None)
+    if cut is not None:
+        heavy = (bucket > cut) if always is None else (bucket > cut) | always
+        head, rest = table.where(heavy), table.where(~heavy)
     cols = [F.col(key).alias("k"), *[F.col(c).alias(c) for c in values], *([F.col(payload)] if payload else [])]
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,7 +8,8 @@ tokens are the symbols. A state is a run of up to ``depth`` preceding tokens of
   the training tokens, at least 2. A run can only be that frequent if the run without its
   last word and that word are, so each pass looks at extensions of the last pass's runs
   only. At most 1 / ``entry_share`` runs of a length can pass, whatever the corpus, so the
-  tables of runs have a proven bound and go to all tasks as broadcasts;
+  tables of runs have a proven bound and go to all tasks as broadcasts. The passes read
+  the texts as places in the word table, written once;
 * divergence test: a context stays if n(context) * KL(next | context, next | its suffix) is
   at least ``min_divergence`` nats, next words below the count bound taken as one symbol;
 * smoothing: P(w | context) = c(context, w) / (n + k) + rest * P(w | suffix), where rest is
@@ -45,7 +46,7 @@ class TreeParams:
     entry_share: float = 1e-7
     min_divergence: float = 6.0
     smoothing: float = 5.0
-    broadcast_words: int = 6_000_000
+    broadcast_words: int = 8_000_000
 
 
 def word_list(text: bytes) -> list[bytes]:
@@ -106,19 +107,19 @@ class Runs:
 
 @dataclass
 class SuffixTree:
-    """``vocabulary`` finds a word's index; ``levels[l]`` holds the runs of l + 2 words, thus
-    the next words of contexts of l + 1 words; ``kept[l]`` and ``rest[l]`` belong to those
-    contexts."""
+    """``words`` holds the counts of the frequent words, whose places are the symbols;
+    ``levels[l]`` holds the runs of l + 2 words, thus the next words of contexts of l + 1
+    words; ``kept[l]`` and ``rest[l]`` belong to those contexts."""
 
     params: TreeParams
-    vocabulary: PackedTable
+    words: np.ndarray
     levels: list[Runs] = field(default_factory=list)
     kept: list[np.ndarray] = field(default_factory=list)
     rest: list[np.ndarray] = field(default_factory=list)
     suffixes: np.ndarray | None = None
 
     def context_counts(self, level: int) -> np.ndarray:
-        return self.vocabulary.values["train"] if level == 0 else self.levels[level - 1].counts
+        return self.words if level == 0 else self.levels[level - 1].counts
 
     def contexts(self, words: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
         """For each token and l, the index of the context of l + 1 tokens before it, or -1.
@@ -193,7 +194,7 @@ class SuffixTree:
 
 
 class WordCache:
-    """Indices of words in a packed table, remembered between the batches of a task."""
+    """Places of words in a packed table, remembered between the batches of a task."""
 
     def __init__(self, table: PackedTable, limit: int = 400_000):
         self.table, self.limit, self.at = table, limit, {}
@@ -203,27 +204,53 @@ class WordCache:
             self.at.clear()
         new = [w for w in set().union(*lists) if w not in self.at]
         self.at.update(zip(new, self.table.find(new).tolist()))
-        return np.fromiter(map(self.at.__getitem__, chain.from_iterable(lists)), np.int64, sum(map(len, lists)))
+        return np.fromiter(map(self.at.__getitem__, chain.from_iterable(lists)), np.int32, sum(map(len, lists)))
 
 
-def token_batch(texts: list[bytes]) -> tuple[list[list[bytes]], np.ndarray, np.ndarray]:
-    """Tokens of each text, the place of each text's first token, and a mark on those."""
-    lists = [word_list(t) + [END] for t in texts]
-    first = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64)
-    starts = np.zeros(first[-1], bool)
-    starts[first[:-1]] = True
-    return lists, first[:-1], starts
+def place_words(docs: DataFrame, packed: Broadcast) -> DataFrame:
+    """(doc_id, train, places, tail): each token's place in the table; words that are not in it
+    have place -1 and stand in ``tail``."""
 
-
-def count_runs(docs: DataFrame, tree: Broadcast, least: int, parts: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = WordCache(packed.value)
+        for b in slices(batches):
+            lists = [word_list(t) + [END] for t in b.column("text").cast(pa.binary()).to_pylist()]
+            at = cache.lists(lists)
+            ends = np.cumsum([len(x) for x in lists])
+            out = at < 0
+            tails = [[w for w, o in zip(ws, out[z - len(ws):z]) if o] for ws, z in zip(lists, ends)] if out.any() else [[]] * len(lists)
+            places = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(at))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("train"), places, pa.array(tails, pa.list_(pa.binary()))],
+                                             ["doc_id", "train", "places", "tail"])
+
+    return docs.mapInArrow(run, "doc_id long, train boolean, places array<int>, tail array<binary>")
+
+
+def token_parts(batches: Iterator[pa.RecordBatch], tokens: int = 1_000_000) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
+    """Parts of the batches with their tokens' places one after the other, the place of each
+    row's first token, and a mark on those."""
+    for b in batches:
+        if not b.num_rows:
+            continue
+        sizes = np.diff(b.column("places").offsets.to_numpy()).astype(np.int64)
+        cuts = [0, *(np.flatnonzero(np.diff(np.cumsum(sizes) // tokens)) + 1).tolist(), b.num_rows]
+        for a, z in zip(cuts, cuts[1:]):
+            part = b.slice(a, z - a)
+            flat = part.column("places").flatten().to_numpy(zero_copy_only=False)
+            first = np.cumsum(sizes[a:z]) - sizes[a:z]
+            starts = np.zeros(len(flat), bool)
+            starts[first] = True
+            yield part, flat, first, starts
+
+
+def count_runs(placed: DataFrame, tree: Broadcast, symbols: Broadcast, least: int, parts: int) -> DataFrame:
     """Runs one word longer than the tree's longest, as (keys, counts) blobs by key range.
 
     A task adds up its own runs first, so a run that fills a third of the corpus is one
     entry a task; ranges are by a hash of the key, hence even."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = tree.value
-        cache, pending, size = WordCache(t.vocabulary), [], 0
+        t, pending, size = tree.value, [], 0
 
         def flush() -> pa.RecordBatch:
             keys, counts = np.unique(np.concatenate(pending), return_counts=True)
@@ -237,14 +264,13 @@ def count_runs(docs: DataFrame, tree: Broadcast, least: int, parts: int) -> Data
                  pa.array([keys[r].tobytes() for r in rows if len(r)], pa.binary()),
                  pa.array([counts[r].astype("<u4").tobytes() for r in rows if len(r)], pa.binary())], ["part", "keys", "counts"])
 
-        for b in slices(batches):
-            lists, _, starts = token_batch(b.column("text").cast(pa.binary()).to_pylist())
-            words = cache.lists(lists)
+        for _, places, _, starts in token_parts(batches):
+            words = symbols.value[places]
             context = t.contexts(words, starts)[-1]
             ok = (context >= 0) & (words >= 0)
             pending.append(pair_keys(context[ok], words[ok]))
             size += len(pending[-1])
-            if size > 3_000_000:
+            if size > 4_000_000:
                 yield flush()
                 size = 0
         if pending:
@@ -258,20 +284,18 @@ def count_runs(docs: DataFrame, tree: Broadcast, least: int, parts: int) -> Data
         keys, counts = keys[counts >= least], counts[counts >= least]
         return pa.table({"keys": pa.array([keys.astype("<u8").tobytes()], pa.binary()), "counts": pa.array([counts.tobytes()], pa.binary())})
 
-    return (docs.where("train").select("text").mapInArrow(count, "part int, keys binary, counts binary")
+    return (placed.where("train").select("places").mapInArrow(count, "part int, keys binary, counts binary")
             .groupBy("part").applyInArrow(add, "keys binary, counts binary"))
 
 
-def fit_tree(docs: DataFrame, words: DataFrame, tokens: int, distinct: int, params: TreeParams) -> SuffixTree:
-    spark = docs.sparkSession
-    least = max(2, math.ceil(params.entry_share * tokens))
-    vocabulary, _ = pack_table(words.where(F.col("train") >= least), "word", "train", {"train": "<i8"}, 2**31)
-    unigram = np.log10(vocabulary.values["train"] + 1.0) - math.log10(tokens + distinct + 1)
-    tree = SuffixTree(params, vocabulary)
-    parts = max(12, 2 * docs.rdd.getNumPartitions())
+def fit_tree(placed: DataFrame, symbols: Broadcast, frequent: np.ndarray, tokens: int, distinct: int, least: int, params: TreeParams) -> SuffixTree:
+    spark = placed.sparkSession
+    unigram = np.log10(frequent + 1.0) - math.log10(tokens + distinct + 1)
+    tree = SuffixTree(params, frequent)
+    parts = max(12, 2 * placed.rdd.getNumPartitions())
     for _ in range(params.depth):
         shared = spark.sparkContext.broadcast(tree)
-        got = count_runs(docs, shared, least, parts).collect()
+        got = count_runs(placed, shared, symbols, least, parts).collect()
         keys = np.concatenate([np.frombuffer(r[0], "<u8") for r in got] or [np.empty(0, "<u8")])
         counts = np.concatenate([np.frombuffer(r[1], "<i8") for r in got] or [np.empty(0, "<i8")])
         order = np.argsort(keys)
@@ -290,34 +314,28 @@ def score_documents(docs: DataFrame, modulus: int = 7, held: int = 2, params: Tr
     words = materialize(count_words(docs), "lm-words")
     n, v = words.agg(F.sum("train"), F.sum(F.when(F.col("train") > 0, 1).otherwise(0))).first()
     n, v = n or 0, v or 0
-    unit = math.log10(n + v + 1)
-    tree = spark.sparkContext.broadcast(fit_tree(docs, words, n, v, params))
-    table, rest = pack_table(words, "word", "total", {"train": "<i4"}, params.broadcast_words)
-    packed = spark.sparkContext.broadcast(table)
+    unit, least = math.log10(n + v + 1), max(2, math.ceil(params.entry_share * n))
+    table, rest = pack_table(words, "word", "total", {"train": "<i4"}, params.broadcast_words, F.col("train") >= least)
+    placed = materialize(place_words(docs, spark.sparkContext.broadcast(table)), "lm-places")
+    train = np.append(table.values["train"], 0)  # place -1 has count 0
+    often = train >= least
+    symbols = spark.sparkContext.broadcast(np.where(often, np.cumsum(often) - 1, -1).astype(np.int32))
+    counts = spark.sparkContext.broadcast(train)
+    tree = spark.sparkContext.broadcast(fit_tree(placed, symbols, train[often].astype(np.int64), n, v, least, params))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, frequent = (np.append(x.values["train"], 0) for x in (packed.value, tree.value.vocabulary))
-        cache, symbols = WordCache(packed.value), WordCache(tree.value.vocabulary)
-        for b in slices(batches):
-            lists, first, starts = token_batch(b.column("text").cast(pa.binary()).to_pylist())
-            at, symbol = cache.lists(lists), symbols.lists(lists)
-            c = np.where(at >= 0, counts[at], frequent[symbol])
+        for b, places, first, starts in token_parts(batches):
+            c = counts.value[places]
             base = np.log10(c + 1.0) - unit
-            model = tree.value.log_probability(symbol, starts, base)
-            known = (c > 0).astype(np.int64)
-            add = lambda x: pa.array(np.add.reduceat(x, first) if len(first) else x)
-            tails = [[]] * len(lists)
-            out = (at < 0) & (symbol < 0)
-            if rest_rows and out.any():
-                ends = [*first[1:], len(at)]
-                tails = [[w for w, o in zip(ws, out[a:z]) if o] for ws, a, z in zip(lists, first, ends)]
+            model = tree.value.log_probability(symbols.value[places], starts, base)
+            add = lambda x: pa.array(np.add.reduceat(x, first))
+            sizes = np.diff(np.append(first, len(places)))
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([not x for x in b.column("train").to_pylist()]),
-                 pa.array([len(x) for x in lists], pa.int64()), add(known), add(base), add(model), pa.array(tails, pa.list_(pa.binary()))],
+                [b.column("doc_id"), pa.array([not x for x in b.column("train").to_pylist()]), pa.array(sizes, pa.int64()),
+                 add((c > 0).astype(np.int64)), add(base), add(model), b.column("tail")],
                 ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "tail"])
 
-    rest_rows = rest is not None
-    scored = docs.mapInArrow(score, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, "
+    scored = placed.mapInArrow(score, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, "
                                     "score double, tail array<binary>")
     if rest is not None:
         scored = _add_tail(materialize(scored.withColumn("row", F.monotonically_increasing_id()), "lm-scored"), rest)
