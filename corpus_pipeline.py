@@ -54,7 +54,7 @@ def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, the ids of each text, their number, and whether they decode to it."""
     docs = docs.select(*COLUMNS)
     model = sentencepiece.load_model(piece_model_path())
-    done = sentencepiece.decode(sentencepiece.encode(docs, model, keep=("lang", "source")), model)
+    done = sentencepiece.encode(docs, model, keep=("lang", "source"), decoded=True)
     return done.select("doc_id", "lang", "source", F.size("ids").alias("n_tokens"), "ids", (F.col("decoded") == F.col("text")).alias("round_trip"))
 
 

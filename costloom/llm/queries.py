@@ -26,7 +26,7 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from costloom.llm import sentencepiece as op
     model = op.load_model(piece_model_path())
-    done = op.decode(op.encode(_docs(spark, sf_dir), model), model)
+    done = op.encode(_docs(spark, sf_dir), model, decoded=True)
     return done.select("doc_id", F.size("ids").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"),
                        (F.col("decoded") == F.col("text")).alias("round_trip"))
 

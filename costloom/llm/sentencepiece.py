@@ -1,8 +1,9 @@
 """SentencePiece encoding and decoding through a relational lattice.
 
-1. ``count_units``: the distinct units of the corpus. A unit is a run of spaces with the
-   word after it; the model's pieces never reach across a unit's border (the loader checks
-   that), so a text's ids are the ids of its units in order.
+1. ``count_units``: the distinct units of the corpus. A unit is a run of letters or a run of
+   other characters, with the spaces before it; the model's pieces never reach across a
+   unit's border (``unit_pattern`` makes sure), so a text's ids are the ids of its units in
+   order.
 2. ``lattice``: explode every substring of a unit up to the longest piece, equi-join it to
    the piece table, group the edges by unit, and fold them with a Spark higher-order
    ``aggregate``. The units arrive hash-partitioned from step 1 and the piece table (its
@@ -45,7 +46,6 @@ from pyspark.sql import functions as F
 from costloom.llm.common import documents, materialize, pack_table, shuffle_width, slices
 
 SPACE = "▁"
-UNIT = re.compile(r" *[^ \n]+| +|\n+")
 NORMAL, UNKNOWN, BYTE = 1, 2, 6
 
 
@@ -61,14 +61,13 @@ class PieceModel:
     rank: dict[str, float] = field(init=False)
     longest: int = field(init=False)
     odd: list[str] = field(init=False)
+    pattern: re.Pattern = field(init=False)
 
     def __post_init__(self) -> None:
         self.ids = {p: i for p, i, _ in self.pieces}
         self.rank = {p: -s for p, _, s in self.pieces}
         self.longest = max((len(p) for p in self.ids), default=1)
-        for p in self.ids:
-            if SPACE in p.lstrip(SPACE) or ("\n" in p and len(p) > 1):
-                raise ValueError(f"a piece reaches across units: {p!r}")
+        self.pattern = unit_pattern(list(self.ids))
         self.odd = [p for p in self.ids if self.kind == "bpe" and len(p) > 1 and fold_by_rank(p, self) != [p]]
 
     def table(self, spark: SparkSession) -> DataFrame:
@@ -83,6 +82,25 @@ class PieceModel:
         return [self.byte_ids[b] for b in token.encode()] if self.byte_ids else [self.unknown]
 
 
+def unit_pattern(pieces: list[str]) -> re.Pattern:
+    """Splits a text (with plain spaces) where no piece can reach across: between letters and
+    other characters, and around line ends. Letters that share a piece with other characters
+    count as such; if that does not end, a unit is what stands between spaces."""
+    across, own = [], ""
+    for _ in range(6):
+        x = re.escape(own)
+        found = re.compile(rf" *[^\W\d_{x}]+| *(?:[^\w \n]|[\d_{x}])+| +|\n+")
+        across = [p for p in pieces if len(p) > 1 and len(found.findall(p.replace(SPACE, " "))) > 1]
+        if not across:
+            return found
+        own = "".join(sorted(set(own) | {c for p in across for c in p if re.match(r"[^\W\d_]", c)}))
+    coarse = re.compile(r" *[^ \n]+| +|\n+")
+    for p in pieces:
+        if len(p) > 1 and len(coarse.findall(p.replace(SPACE, " "))) > 1:
+            raise ValueError(f"a piece reaches across units: {p!r}")
+    return coarse
+
+
 def load_model(path: str) -> PieceModel:
     from sentencepiece import sentencepiece_model_pb2 as pb
     m = pb.ModelProto()
@@ -136,11 +154,11 @@ def merge_by_rank(unit: str, model: PieceModel) -> list[str]:
     return [unit[s:e] for s, e in enumerate(end) if e]
 
 
-def units(text: str) -> list[str]:
-    return UNIT.findall(" " + text.replace(SPACE, " ")) if text else []
+def units(text: str, pattern: re.Pattern) -> list[str]:
+    return pattern.findall(" " + text.replace(SPACE, " ")) if text else []
 
 
-def count_units(docs: DataFrame, max_pending: int = 300_000) -> DataFrame:
+def count_units(docs: DataFrame, pattern: re.Pattern, max_pending: int = 300_000) -> DataFrame:
     """(unit, n): every distinct unit, spaces as the model writes them."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,7 +172,7 @@ def count_units(docs: DataFrame, max_pending: int = 300_000) -> DataFrame:
 
         for b in batches:
             for t in b.column("text").to_pylist():
-                seen.update(units(t))
+                seen.update(units(t, pattern))
                 if len(seen) > max_pending:
                     yield flush()
         if seen:
@@ -235,15 +253,25 @@ def lattice(unit_counts: DataFrame, model: PieceModel, long_unit: int = 256) ->
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for b in batches:
-            us, ts, out = b.column("unit").to_pylist(), b.column("tokens"), []
-            bounds, ends, ids = ts.offsets.to_pylist(), ts.flatten().field("end").to_pylist(), ts.flatten().field("id").to_pylist()
-            for u, a, z in zip(us, bounds, bounds[1:]):
-                one: list[int] = []
-                for s in range(z - a):
-                    if ends[a + s] > 0:
-                        one.extend([ids[a + s]] if ids[a + s] >= 0 else m.spell(u[s:ends[a + s]]))
-                out.append(one)
-            yield pa.RecordBatch.from_arrays([b.column("unit"), b.column("n"), pa.array(out, pa.list_(pa.int32()))], ["unit", "n", "ids"])
+            if not b.num_rows:
+                continue
+            us, ts = b.column("unit").to_pylist(), b.column("tokens")
+            bounds, flat = ts.offsets.to_numpy() - ts.offsets[0].as_py(), ts.flatten()
+            ends, ids = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("end", "id"))
+            token = np.flatnonzero(ends > 0)
+            row = np.searchsorted(bounds, token, "right") - 1
+            start, value = token - bounds[row], ids[token]
+            bare = np.flatnonzero(value < 0)  # tokens without a merge: their own piece or bytes
+            spelled = [m.spell(us[r][s:e]) for r, s, e in zip(row[bare].tolist(), start[bare].tolist(), ends[token[bare]].tolist())]
+            size = np.ones(len(token), np.int64)
+            size[bare] = [len(x) for x in spelled]
+            place = np.cumsum(size) - size
+            out = np.empty(int(size.sum()), np.int32)
+            out[place] = value
+            for k, x in zip(place[bare].tolist(), spelled):
+                out[k:k + len(x)] = x
+            offsets = np.concatenate([[0], np.cumsum(np.bincount(row, size, b.num_rows).astype(np.int64))])
+            yield pa.RecordBatch.from_arrays([b.column("unit"), b.column("n"), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(out))], ["unit", "n", "ids"])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -273,23 +301,25 @@ def spellings(model: PieceModel) -> list[bytes]:
     return out
 
 
-def encode(docs: DataFrame, model: PieceModel, broadcast_units: int = 8_000_000, keep: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, text, the columns of ``keep``, ids) for every row of ``docs`` (doc_id, text)."""
+def encode(docs: DataFrame, model: PieceModel, broadcast_units: int = 8_000_000, keep: tuple[str, ...] = (), decoded: bool = False) -> DataFrame:
+    """(doc_id, text, the columns of ``keep``, ids) for every row of ``docs`` (doc_id, text); with
+    ``decoded`` also what ``decode`` gives, in the same pass."""
     spark = docs.sparkSession
     docs = documents(docs, *keep)
     names = docs.columns
-    counts = materialize(count_units(docs), "sp-units")
+    counts = materialize(count_units(docs, model.pattern), "sp-units")
     total = counts.count()
     parts = shuffle_width(total, 150_000, spark.sparkContext.defaultParallelism)
     lexicon = materialize(lattice(counts.repartition(parts, "unit"), model), "sp-lexicon")
     kind = "<u2" if max([model.unknown, *model.byte_ids, *model.ids.values()]) < 1 << 16 else "<u4"
     table, rest = pack_table(lexicon, "unit", "n", {}, broadcast_units, payload="ids", payload_dtype=kind)
     packed = spark.sparkContext.broadcast(table)
+    pattern, spelling = model.pattern, spark.sparkContext.broadcast(spellings(model) if decoded else [])
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t, cache = packed.value, {}
         for b in slices(batches):
-            lists = [units(x) for x in b.column("text").to_pylist()]
+            lists = [units(x, pattern) for x in b.column("text").to_pylist()]
             if len(cache) > 200_000:
                 cache.clear()
             extra = b.column("extra").to_pylist() if "extra" in b.schema.names else [None] * len(lists)
@@ -303,17 +333,20 @@ def encode(docs: DataFrame, model: PieceModel, broadcast_units: int = 8_000_000,
                 lost = [u for u, g in zip(us, got) if g is None] if None in got else []
                 missing.append(list({u.replace(" ", SPACE) for u in lost}))
                 ids.append(None if lost else np.frombuffer(b"".join(got), kind).astype("<i4"))
-            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in names], pa.array(ids, pa.list_(pa.int32())), pa.array(missing, pa.list_(pa.string()))],
-                                             [*names, "ids", "missing"])
+            back = [[None if x is None else decode_ids(x.tolist(), spelling.value) for x in ids]] if decoded else []
+            yield pa.RecordBatch.from_arrays(
+                [*[b.column(c) for c in names], pa.array(ids, pa.list_(pa.int32())), *[pa.array(x, pa.string()) for x in back], pa.array(missing, pa.list_(pa.string()))],
+                [*names, "ids", *made, "missing"])
 
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.schema) + ", ids array<int>, missing array<string>"
+    made = ["decoded"] if decoded else []
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.schema) + ", ids array<int>, " + ("decoded string, " if decoded else "") + "missing array<string>"
     if rest is None:
         return docs.mapInArrow(look_up, schema).drop("missing")
     first = materialize(docs.mapInArrow(look_up, schema).withColumn("row", F.monotonically_increasing_id()), "sp-first")
     extra = (first.where("ids is null").select("row", F.explode("missing").alias("unit")).join(rest, "unit")
              .groupBy("row").agg(F.collect_list(F.struct("unit", "ids")).alias("extra")))
     late = first.where("ids is null").select("row", *names).join(extra, "row").select(*names, "extra")
-    return first.where("ids is not null").select(*names, "ids").unionByName(
+    return first.where("ids is not null").select(*names, "ids", *made).unionByName(
         late.mapInArrow(look_up, schema).drop("missing"))
 
 
