@@ -90,8 +90,8 @@ def test_production_catalog_prunes_and_pushes_down(spark, scratch):
 
 
 def _oracle_names():
-    import __spark_entry__ as E
-    return sorted(E.oracle_sql())
+    from costloom.plans.queries import registry
+    return sorted(n for n, spec in registry().items() if spec.oracle is not None)
 
 
 @pytest.mark.parametrize("name", _oracle_names())
