@@ -556,6 +556,37 @@ def test_warc_reader_rejects_broken_archives():
             list(warc.read_archive(content))
 
 
+# SQL
+
+
+@pytest.mark.parametrize("name", ["op4_ngram_join", "op10_warc"])
+def test_queries_equal_their_sql(spark, name):
+    import duckdb
+
+    from costloom.llm import queries
+    from tools.check_oracle import digest
+    con = duckdb.connect()
+    for t in ("documents", "pages"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    got = queries.queries()[name](spark, SF)
+    cols = sorted(got.columns)
+    rel = con.execute(queries.oracle_sql()[name])
+    names = [d[0] for d in rel.description]
+    want = [dict(zip(names, r)) for r in rel.fetchall()]
+    assert sorted(names) == cols and digest([r.asDict() for r in got.collect()], cols)[0] == digest(want, cols)[0]
+
+
+@pytest.mark.parametrize("name", ["op1_sentencepiece", "op2_chat", "op3_quality", "op5_decontaminate", "op6_suffix_tree", "op7_toxicity", "op8_fingerprints", "op9_secrets"])
+def test_queries_return_their_columns(spark, name):
+    from costloom.llm import queries
+    got = queries.queries()[name](spark, SF)
+    want = {"op3_quality": "doc_id held_out score predicted", "op6_suffix_tree": "doc_id held_out n_tokens n_known train_tokens base_score score",
+            "op7_toxicity": "doc_id held_out score predicted", "op8_fingerprints": "doc_id n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next",
+            "op9_secrets": "doc_id n_assign n_access n_hex base_sha256 spans"}.get(name, "").split()
+    assert set(want) <= set(got.columns)
+    assert got.count() > 0 or name == "op5_decontaminate"
+
+
 # shared helpers, pipeline
 
 
