@@ -34,7 +34,7 @@ def remainder(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text", max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", max_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The batches in parts of about ``max_bytes`` of text, so that what a task makes of one part
     stays small however large Spark's batches are. A longer text is a part of its own."""
     for b in batches:
@@ -113,9 +113,13 @@ def pack_table(table: DataFrame, key: str, weight: str, values: dict[str, str],
     def join(i: int, dtype: str) -> np.ndarray:
         return np.frombuffer(b"".join(r[i] for r in got), dtype)
 
+    columns = {c: join(1 + i, t) for i, (c, t) in enumerate(values.items())}
     hashes = join(0, "<u8")
+    if not payload:
+        got.clear()  # the driver holds each part once
     order = np.argsort(hashes, kind="stable")
-    out = PackedTable(hashes[order], {c: join(1 + i, t)[order] for i, (c, t) in enumerate(values.items())})
+    out = PackedTable(hashes[order], {c: columns.pop(c)[order] for c in list(columns)})
+    del hashes
     if payload:
         lengths, flat = join(n - 2, "<u4").astype(np.int64), join(n - 1, payload_dtype)
         got.clear()

@@ -226,7 +226,7 @@ def place_words(docs: DataFrame, packed: Broadcast) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, train boolean, places array<int>, tail array<binary>")
 
 
-def token_parts(batches: Iterator[pa.RecordBatch], tokens: int = 1_000_000) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
+def token_parts(batches: Iterator[pa.RecordBatch], tokens: int = 400_000) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
     """Parts of the batches with their tokens' places one after the other, the place of each
     row's first token, and a mark on those."""
     for b in batches:
@@ -270,7 +270,7 @@ def count_runs(placed: DataFrame, tree: Broadcast, symbols: Broadcast, least: in
             ok = (context >= 0) & (words >= 0)
             pending.append(pair_keys(context[ok], words[ok]))
             size += len(pending[-1])
-            if size > 4_000_000:
+            if size > 3_000_000:
                 yield flush()
                 size = 0
         if pending:
@@ -298,6 +298,7 @@ def fit_tree(placed: DataFrame, symbols: Broadcast, frequent: np.ndarray, tokens
         got = count_runs(placed, shared, symbols, least, parts).collect()
         keys = np.concatenate([np.frombuffer(r[0], "<u8") for r in got] or [np.empty(0, "<u8")])
         counts = np.concatenate([np.frombuffer(r[1], "<i8") for r in got] or [np.empty(0, "<i8")])
+        del got
         order = np.argsort(keys)
         tree = replace(tree, levels=list(tree.levels), kept=list(tree.kept), rest=list(tree.rest), suffixes=tree.suffixes)
         tree.add_level(Runs(keys[order], counts[order]), unigram)
@@ -318,6 +319,7 @@ def score_documents(docs: DataFrame, modulus: int = 7, held: int = 2, params: Tr
     table, rest = pack_table(words, "word", "total", {"train": "<i4"}, params.broadcast_words, F.col("train") >= least)
     placed = materialize(place_words(docs, spark.sparkContext.broadcast(table)), "lm-places")
     train = np.append(table.values["train"], 0)  # place -1 has count 0
+    del table
     often = train >= least
     symbols = spark.sparkContext.broadcast(np.where(often, np.cumsum(often) - 1, -1).astype(np.int32))
     counts = spark.sparkContext.broadcast(train)
