@@ -49,9 +49,10 @@ class JoinParams:
     width: int = 4
     percent: int = 85
     count_bits: int = 20
-    pivot_rounds: int = 4
-    open_factor: int = 4
+    pivot_rounds: int = 6
+    open_factor: int = 1
     group: int = 256
+    broadcast_rows: int = 2_000_000
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -201,6 +202,12 @@ def can_link(a: str, b: str, percent: int) -> Column:
     return (100 * F.least(an, bn) >= percent * F.greatest(an, bn)) & ((100 + percent) * bound >= percent * (an + bn))
 
 
+def only(rows: DataFrame, keys: DataFrame, on: str, params: JoinParams) -> DataFrame:
+    """``rows`` whose ``on`` is among ``keys`` (one long column, counted first): at most
+    ``broadcast_rows`` keys go to the tasks, so texts or sets need no shuffle; more are joined."""
+    return rows.join(F.broadcast(keys) if keys.count() <= params.broadcast_rows else keys, on, "left_semi")
+
+
 def candidate_sets(docs: DataFrame, listed: DataFrame, shared: DataFrame, params: JoinParams) -> DataFrame:
     """(node, histogram, shingles) for nodes with a shared prefix shingle, from one text each."""
     wanted = materialize(shared.select("node").distinct(), "nj-wanted")
@@ -218,7 +225,7 @@ def candidate_sets(docs: DataFrame, listed: DataFrame, shared: DataFrame, params
             yield pa.RecordBatch.from_arrays([pa.array(list(sets), pa.int64()), pa.array([histogram(s) for s in sets.values()], pa.binary()),
                                               pa.array([s.tobytes() for s in sets.values()], pa.binary())], ["node", "histogram", "shingles"])
 
-    some = docs.where("doc_id is not null").join(one, "doc_id", "left_semi")
+    some = only(docs.where("doc_id is not null"), one, "doc_id", params)
     return some.select("text").mapInArrow(run, "node long, histogram binary, shingles binary")
 
 
@@ -247,7 +254,8 @@ def verify(pairs: DataFrame, sets: DataFrame, params: JoinParams) -> DataFrame:
     percent = params.percent
     sizes = materialize(pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / params.group).cast("int").alias("buckets")), "nj-hubs")
     dealt = materialize(pairs.join(sizes, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("buckets")).cast("int").alias("bucket")), "nj-dealt")
-    own = sets.select("node", "shingles")
+    needed = materialize(dealt.select(F.col("a").alias("node")).union(dealt.select("b")).distinct(), "nj-needed")
+    own = only(sets.select("node", "shingles"), needed, "node", params)
     members = dealt.join(own.withColumnRenamed("node", "a"), "a").select("b", "bucket", F.col("a").alias("node"), "shingles")
     hubs = dealt.select("b", "bucket").distinct().join(own.withColumnRenamed("node", "b"), "b").select("b", "bucket", F.col("b").alias("node"), "shingles")
 
