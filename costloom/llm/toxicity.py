@@ -101,10 +101,10 @@ def fit(places: list[np.ndarray], y: np.ndarray, params: MachineParams) -> Machi
     empty = Machine(np.empty(0, np.int32), float(np.log((n1 + 0.5) / (len(y) - n1 + 0.5))), np.empty(0), np.empty((0, params.factors)))
     if not 0 < n1 < len(y):
         return empty
-    flat = np.concatenate(places)
-    label = np.repeat(y, [len(p) for p in places])
-    term, at = np.unique(flat, return_inverse=True)
-    seen, pos = np.bincount(at).astype(float), np.bincount(at, label)
+    term, seen = np.unique(np.concatenate(places), return_counts=True)
+    own, hits = np.unique(np.concatenate([p for p, label in zip(places, y) if label] + [np.empty(0, np.int32)]).astype(np.int32), return_counts=True)
+    pos = np.zeros(len(term))
+    pos[np.searchsorted(term, own)] = hits
     share = n1 / len(y)
     chi = (pos - seen * share) ** 2 / (seen * share * (1 - share))
     chi[seen < params.min_documents] = 0
@@ -115,7 +115,7 @@ def fit(places: list[np.ndarray], y: np.ndarray, params: MachineParams) -> Machi
     m = Machine(np.sort(term[best]), empty.w0, np.zeros(len(best)), np.empty(0))
     rng = np.random.default_rng(params.seed)
     m.v = rng.normal(0, 0.05, (len(best), params.factors))
-    index, starts = m.select(places)
+    index, starts = m.select([p[np.isin(p, m.places)] for p in places])  # few terms are left, so the arrays stay small
     g0, gw, gv = 1e-8, np.full(len(best), 1e-8), np.full(m.v.shape, 1e-8)
     rows = np.arange(len(y))
     for _ in range(params.epochs):
