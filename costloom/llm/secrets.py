@@ -12,7 +12,7 @@ other runs of identifier characters (of ``least`` characters or more and all the
 ordinary ones; each sample counts once per occurrence, repeated over the corpus as one
 aggregate of 64 x 64 counts. A run of 16 or more identifier characters outside base spans is
 a secret if its log-likelihood ratio per character, random against ordinary, exceeds
-``margin`` and it mixes digits with letters.
+``margin``; nothing else decides, so a random string of letters alone is found like any other.
 
 Spans are code points, end exclusive. Defined cases: a null text is the empty text with no
 spans; an empty table gives an empty result and leaves uniform models; repeated rows are
@@ -53,7 +53,6 @@ Span = tuple[int, int, str]
 @dataclass(frozen=True)
 class ScanParams:
     margin: float = 0.35
-    least_digits: int = 2
     smoothing: float = 0.5
 
 
@@ -123,8 +122,6 @@ def markov_spans(text: str, base: list[Span], ratio: np.ndarray, params: ScanPar
     for m in RUN.finditer(text):
         a, z = m.span()
         run = m[0]
-        if sum(ch.isdigit() for ch in run) < params.least_digits or run.isdigit():
-            continue
         if any(s < z and a < e for s, e, _ in base):
             continue
         c = _CODE[np.frombuffer(run.encode(), np.uint8)]

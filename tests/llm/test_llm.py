@@ -495,6 +495,17 @@ def test_markov_model_tells_random_strings_from_names(spark):
     assert sum(hit[:60]) >= 50 and sum(hit[60:]) <= 3
 
 
+def test_markov_model_needs_no_digits(spark):
+    rng = random.Random(5)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    strings = ["".join(rng.choice(secrets.ALPHABET[:52]) for _ in range(n)) + d for n in (16, 20, 24, 32) for d in ("", "7") for _ in range(10)]
+    names = ["_".join(x) for x in itertools.islice(itertools.permutations(["theation", "ouring", "inthe", "reading", "thering"], 3), 40)]
+    added = spark.createDataFrame([(10 ** 6 + k, f"so {s} it is") for k, s in enumerate(strings + names)], "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in secrets.summary(secrets.scan(docs.union(added))).collect()}
+    assert [got[10 ** 6 + k] for k in range(80)] == [f"markov:3:{3 + len(s)}" for s in strings]
+    assert not any(got[10 ** 6 + 80 + k] for k in range(40))
+
+
 def test_redaction_and_edge_rows(spark, empty):
     got = {r["doc_id"]: r["redacted"] for r in secrets.redact(secrets.scan(docs_frame(spark, SECRET_ROWS[:4]))).collect()}
     assert got[1] == '[SECRET]"' and got[3] == "[SECRET] x" and "AKIA" not in got[2]
