@@ -1,7 +1,7 @@
 """Benchmark decontamination: SimHash windows, multi-index Hamming blocks, exact check.
 
 For each benchmark item of L words, every window of L words of a document is a candidate
-place. A window is worth a fingerprint only if it can pass the exact check, for which it must
+place; a document of fewer words is one window as a whole. A window is worth a fingerprint only if it can pass the exact check, for which it must
 share a shingle with the item: one Aho-Corasick pass over the normalised text (lower-case
 words, ``\\w+``, single spaces) finds all shared shingles, and only windows around those are
 fingerprinted (windows without a shared shingle have similarity 0). Then:
@@ -130,19 +130,20 @@ class Index:
                 hits[length].append(first)
         best: dict[int, tuple[float, int, int, int]] = {}
         for length, at in hits.items():
-            grams = length - self.params.width + 1
-            least = -(-2 * grams * self.params.percent // (100 + self.params.percent))
+            size = min(length, len(words))  # a shorter document is one window
+            grams, own = length - self.params.width + 1, size - self.params.width + 1
+            least = -(-(grams + own) * self.params.percent // (100 + self.params.percent))
             at, windows = np.array(sorted(at)), set()
             for a in at:
-                windows.update(range(max(0, a - grams + 1), min(a, len(words) - length) + 1))
+                windows.update(range(max(0, a - own + 1), min(a, len(words) - size) + 1))
             for a in sorted(windows):
-                if np.searchsorted(at, a + grams) - np.searchsorted(at, a) < least:
+                if np.searchsorted(at, a + own) - np.searchsorted(at, a) < least:
                     continue
-                counts = Counter(shingles_of(words[a:a + length], self.params.width))
+                counts = Counter(shingles_of(words[a:a + size], self.params.width))
                 for k, d in self.near(length, simhash(counts)):
                     s = weighted_similarity(counts, self.sets[k])
                     if 100 * s >= self.params.percent and (k not in best or (-s, a) < (-best[k][0], best[k][1])):
-                        best[k] = (s, a, a + length, d)
+                        best[k] = (s, a, a + size, d)
         return [(self.ids[k], a, z, d, s) for k, (s, a, z, d) in sorted(best.items())]
 
 

@@ -279,6 +279,24 @@ def test_matches_equal_brute_force(spark, texts):
     assert {(r["doc_id"], r["item_id"]): r["similarity"] for r in split.collect()} == want
 
 
+def test_documents_shorter_than_the_item_match_whole(spark):
+    bench = [(r[0], r[1]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()][:12]
+    rows = []
+    for k, (_, t) in enumerate(bench):
+        w = decontaminate.words_of(t)
+        rows += [(100 + k, " ".join(w[:-1])), (200 + k, " ".join(w[1:-1])), (300 + k, " ".join(w[:len(w) // 2])), (400 + k, " ".join(w[:3]))]
+    items = spark.createDataFrame(bench, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): (r["start_word"], r["end_word"], r["similarity"]) for r in decontaminate.find_matches(docs_frame(spark, rows), items).collect()}
+    want = {}
+    for (d, t), (i, b) in itertools.product(rows, bench):
+        w, b = decontaminate.words_of(t), decontaminate.words_of(b)
+        if len(w) < len(b):
+            s = decontaminate.weighted_similarity(Counter(decontaminate.shingles_of(w, 5)), Counter(decontaminate.shingles_of(b, 5)))
+            if s >= 0.8:
+                want[d, i] = (0, len(w), s)
+    assert {k: v for k, v in got.items() if k in want} == want and got.keys() == want.keys() and len(want) >= 24
+
+
 def test_blocks_hold_every_fingerprint_within_the_radius():
     rng = random.Random(1)
     radius = decontaminate.MatchParams().radius
