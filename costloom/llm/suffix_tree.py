@@ -4,12 +4,16 @@ A text is its words (``[^\\x20\\x09-\\x0D]+``, A-Z lower-cased) and one end toke
 tokens are the symbols. A state is a run of up to ``depth`` preceding tokens of the text.
 
 * counts: one pass gathers the count of every distinct word, and one pass a length gathers
-  the runs of 2 .. ``depth`` + 1 words whose count reaches ``min_count``: ``entry_share`` of
-  the training tokens, at least 2. A run can only be that frequent if the run without its
-  last word and that word are, so each pass looks at extensions of the last pass's runs
-  only. At most 1 / ``entry_share`` runs of a length can pass, whatever the corpus, so the
-  tables of runs have a proven bound and go to all tasks as broadcasts. The passes read
-  the texts as places in the word table, written once;
+  the runs of 2 .. ``depth`` + 1 words that occur ``LEAST`` times or more, at every size of
+  corpus. A run can only be that frequent if the run without its last word and that word
+  are, so each pass looks at extensions of the last pass's runs only. The passes read the
+  texts as places in the word table, written once;
+* while no length has more than ``broadcast_runs`` runs (counted before anything is
+  collected), the tables of runs go to all tasks as broadcasts. Beyond, runs and contexts are
+  Spark tables keyed by 64-bit hashes: a run meets its suffix and its context by equi-joins,
+  contexts are sums over their runs, and texts are scored in blocks, whose distinct runs and
+  contexts are joined with the tables. Bitmaps of a fixed size leave out most runs that no
+  table holds; they decide nothing. Both ways give the same scores;
 * divergence test: a context stays if n(context) * KL(next | context, next | its suffix) is
   at least ``min_divergence`` nats, next words below the count bound taken as one symbol;
 * smoothing: P(w | context) = c(context, w) / (n + k) + rest * P(w | suffix), where rest is
@@ -31,22 +35,25 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from costloom.llm.common import PackedTable, documents, materialize, pack_table, remainder, slices
+from costloom.llm.common import PackedTable, documents, key_hash, materialize, pack_table, remainder, slices
+from costloom.session import remove_stages
 
 END = b"\xff"
+LEAST = 2  # occurrences of a stored run
+FILTER_BITS, FILTER_CHUNKS = 27, 64
 
 
 @dataclass(frozen=True)
 class TreeParams:
     depth: int = 3
-    entry_share: float = 1e-7
     min_divergence: float = 6.0
     smoothing: float = 5.0
     broadcast_words: int = 8_000_000
+    broadcast_runs: int = 1_500_000
 
 
 def word_list(text: bytes) -> list[bytes]:
@@ -208,22 +215,24 @@ class WordCache:
 
 
 def place_words(docs: DataFrame, packed: Broadcast) -> DataFrame:
-    """(doc_id, train, places, tail): each token's place in the table; words that are not in it
-    have place -1 and stand in ``tail``."""
+    """(doc_id, train, places, tail, block): each token's place in the table; words that are not
+    in it have place -1 and stand in ``tail``. A block is some 2 MB of text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordCache(packed.value)
-        for b in slices(batches):
+        first = TaskContext.get().partitionId() << 32
+        for block, b in enumerate(slices(batches), first):
             lists = [word_list(t) + [END] for t in b.column("text").cast(pa.binary()).to_pylist()]
             at = cache.lists(lists)
             ends = np.cumsum([len(x) for x in lists])
             out = at < 0
             tails = [[w for w, o in zip(ws, out[z - len(ws):z]) if o] for ws, z in zip(lists, ends)] if out.any() else [[]] * len(lists)
             places = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(at))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("train"), places, pa.array(tails, pa.list_(pa.binary()))],
-                                             ["doc_id", "train", "places", "tail"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("train"), places, pa.array(tails, pa.list_(pa.binary())),
+                                              pa.array([block] * b.num_rows, pa.int64())],
+                                             ["doc_id", "train", "places", "tail", "block"])
 
-    return docs.mapInArrow(run, "doc_id long, train boolean, places array<int>, tail array<binary>")
+    return docs.mapInArrow(run, "doc_id long, train boolean, places array<int>, tail array<binary>, block long")
 
 
 def token_parts(batches: Iterator[pa.RecordBatch], tokens: int = 400_000) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
@@ -288,14 +297,21 @@ def count_runs(placed: DataFrame, tree: Broadcast, symbols: Broadcast, least: in
             .groupBy("part").applyInArrow(add, "keys binary, counts binary"))
 
 
-def fit_tree(placed: DataFrame, symbols: Broadcast, frequent: np.ndarray, tokens: int, distinct: int, least: int, params: TreeParams) -> SuffixTree:
+def fit_tree(placed: DataFrame, symbols: Broadcast, frequent: np.ndarray, tokens: int, distinct: int, params: TreeParams) -> SuffixTree | None:
+    """The tree, or None if a length has more runs than may be broadcast."""
     spark = placed.sparkSession
     unigram = np.log10(frequent + 1.0) - math.log10(tokens + distinct + 1)
     tree = SuffixTree(params, frequent)
     parts = max(12, 2 * placed.rdd.getNumPartitions())
     for _ in range(params.depth):
         shared = spark.sparkContext.broadcast(tree)
-        got = count_runs(placed, shared, symbols, least, parts).collect()
+        written: list[str] = []
+        runs = materialize(count_runs(placed, shared, symbols, LEAST, parts), "lm-runs", written)
+        few = (runs.agg(F.sum(F.octet_length("keys"))).first()[0] or 0) <= 8 * params.broadcast_runs
+        got = runs.collect() if few else []
+        remove_stages(spark, written)
+        if not few:
+            return None
         keys = np.concatenate([np.frombuffer(r[0], "<u8") for r in got] or [np.empty(0, "<u8")])
         counts = np.concatenate([np.frombuffer(r[1], "<i8") for r in got] or [np.empty(0, "<i8")])
         del got
@@ -315,15 +331,24 @@ def score_documents(docs: DataFrame, modulus: int = 7, held: int = 2, params: Tr
     words = materialize(count_words(docs), "lm-words")
     n, v = words.agg(F.sum("train"), F.sum(F.when(F.col("train") > 0, 1).otherwise(0))).first()
     n, v = n or 0, v or 0
-    unit, least = math.log10(n + v + 1), max(2, math.ceil(params.entry_share * n))
-    table, rest = pack_table(words, "word", "total", {"train": "<i4"}, params.broadcast_words, F.col("train") >= least)
+    unit = math.log10(n + v + 1)
+    often = words.where(F.col("train") >= LEAST).count()
+    whole = often <= params.broadcast_words  # else stored words lie beyond the table
+    table, rest = pack_table(words, "word", "total", {"train": "<i4"}, params.broadcast_words, F.col("train") >= LEAST if whole else None)
     placed = materialize(place_words(docs, spark.sparkContext.broadcast(table)), "lm-places")
     train = np.append(table.values["train"], 0)  # place -1 has count 0
-    del table
-    often = train >= least
-    symbols = spark.sparkContext.broadcast(np.where(often, np.cumsum(often) - 1, -1).astype(np.int32))
     counts = spark.sparkContext.broadcast(train)
-    tree = spark.sparkContext.broadcast(fit_tree(placed, symbols, train[often].astype(np.int64), n, v, least, params))
+    fitted = None
+    if whole and params.broadcast_runs:
+        stored = train >= LEAST
+        symbols = spark.sparkContext.broadcast(np.where(stored, np.cumsum(stored) - 1, -1).astype(np.int32))
+        fitted = fit_tree(placed, symbols, train[stored].astype(np.int64), n, v, params)
+    if fitted is None:
+        hashes = spark.sparkContext.broadcast(table.hashes)
+        del table
+        return _score_joined(placed if rest is None else _tail_counts(placed, rest), counts, hashes, n, v, params)
+    del table
+    tree = spark.sparkContext.broadcast(fitted)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, places, first, starts in token_parts(batches):
@@ -356,3 +381,171 @@ def _add_tail(scored: DataFrame, rest: DataFrame) -> DataFrame:
     add = lambda c, d: (F.col(c) + F.coalesce(F.col(d), F.lit(0))).alias(c)
     return scored.join(sums, "row", "left").select("doc_id", "held_out", "n_tokens", add("n_known", "k"),
                                                    add("base_score", "b"), add("score", "b"))
+
+
+def _tail_counts(placed: DataFrame, rest: DataFrame) -> DataFrame:
+    """``placed`` with the counts of its tails' words beside them: one shuffle of those words."""
+    rows = materialize(placed.withColumn("row", F.monotonically_increasing_id()), "lm-rows")
+    found = (rows.select("row", F.posexplode("tail").alias("at", "word")).join(rest.select("word", F.col("train").alias("c")), "word")
+             .groupBy("row").agg(F.sort_array(F.collect_list(F.struct("at", "c"))).alias("found")))
+    tail_train = F.coalesce(F.col("found.c"), F.array().cast("array<long>")).alias("tail_train")
+    return materialize(rows.join(found, "row", "left").select("doc_id", "train", "places", "tail", "block", tail_train), "lm-tails")
+
+
+def _mix(run: np.ndarray, word: np.ndarray) -> np.ndarray:
+    x = run * np.uint64(0x9E3779B97F4A7C15) + word
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _shift(x: np.ndarray) -> np.ndarray:
+    """Values of the token before (the first one's own stays; no run reaches across it)."""
+    return np.concatenate([x[:1], x[:-1]])
+
+
+def _keyed(part: pa.RecordBatch, places: np.ndarray, first: np.ndarray, counts: np.ndarray, hashes: np.ndarray,
+           depth: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """Training count of each token; the key of the run of l + 1 tokens that ends there; and how
+    many tokens of the text stand before it."""
+    c, out = counts[places].astype(np.int64), places < 0
+    word = np.append(hashes, np.uint64(0))[places]
+    if out.any():
+        word[out] = key_hash(part.column("tail").flatten().to_pylist())
+        c[out] = part.column("tail_train").flatten().to_numpy(zero_copy_only=False)
+    keys = [word]
+    for _ in range(depth):
+        keys.append(_mix(_shift(keys[-1]), word))
+    before = np.arange(len(places)) - np.repeat(first, np.diff(np.append(first, len(places))))
+    return c, keys, before
+
+
+def _key_filter(keys: DataFrame) -> Broadcast:
+    """A bitmap of the keys' top bits, of a fixed size: whatever is not in it is no key."""
+    size = (1 << FILTER_BITS) // 8 // FILTER_CHUNKS
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = None
+        for b in batches:
+            bits = np.zeros(1 << FILTER_BITS, bool) if bits is None else bits
+            bits[b.column(0).to_numpy().view(np.uint64) >> np.uint64(64 - FILTER_BITS)] = True
+        if bits is not None:
+            packed = np.packbits(bits).reshape(FILTER_CHUNKS, size)
+            for k in range(FILTER_CHUNKS):
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([packed[k].tobytes()], pa.binary())], ["chunk", "bits"])
+
+    def add(table: pa.Table) -> pa.Table:
+        rows = [np.frombuffer(x, np.uint8) for x in table.column("bits").to_pylist()]
+        return pa.table({"chunk": table.column("chunk")[:1], "bits": pa.array([np.bitwise_or.reduce(rows).tobytes()], pa.binary())})
+
+    out = np.zeros((FILTER_CHUNKS, size), np.uint8)
+    for r in keys.mapInArrow(mark, "chunk int, bits binary").groupBy("chunk").applyInArrow(add, "chunk int, bits binary").collect():
+        out[r["chunk"]] = np.frombuffer(r["bits"], np.uint8)
+    return keys.sparkSession.sparkContext.broadcast(out.ravel())
+
+
+def _may_hold(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = keys >> np.uint64(64 - FILTER_BITS)
+    return (bits[at >> np.uint64(3)] >> (np.uint8(7) - (at & np.uint64(7)).astype(np.uint8))) & 1 == 1
+
+
+def _stored_runs(placed: DataFrame, level: int, lower: Broadcast | None, counts: Broadcast, hashes: Broadcast) -> DataFrame:
+    """(run, context, suffix, c): the stored runs of ``level`` + 1 words, the keys of the run
+    without its last and without its first word, and its count; for two words, instead of
+    the suffix, the counts u of the last word and m of the one before it. A task adds up
+    parts of its texts first."""
+    names = ("context", "u", "m") if level == 1 else ("context", "suffix")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, places, first, _ in token_parts(batches, 1_000_000):
+            c, keys, before = _keyed(b, places, first, counts.value, hashes.value, level)
+            context, last = _shift(keys[level - 1]), _shift(c)
+            ok = (before >= level) & (c >= LEAST) & (last >= LEAST)
+            if lower is not None:
+                ok &= _may_hold(lower.value, context) & _may_hold(lower.value, keys[level - 1])
+            at = np.flatnonzero(ok)
+            _, i, n = np.unique(keys[level][at], return_index=True, return_counts=True)
+            at = at[i]
+            more = [c[at], last[at]] if level == 1 else [keys[level - 1][at].view(np.int64)]
+            longs = [keys[level][at].view(np.int64), context[at].view(np.int64), *more, n]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in longs], ["run", *names, "c"])
+
+    return (placed.where("train").drop("doc_id", "train").mapInArrow(count, ", ".join(f"{x} long" for x in ("run", *names, "c")))
+            .groupBy("run").agg(*[F.max(x).alias(x) for x in names], F.sum("c").alias("c")).where(F.col("c") >= LEAST))
+
+
+def _score_joined(placed: DataFrame, counts: Broadcast, hashes: Broadcast, n: int, v: int, params: TreeParams) -> DataFrame:
+    """``score_documents`` with runs and contexts as Spark tables.
+
+    A stored run's suffix is stored too, so a run's lower probability is its suffix's own. The
+    probability of a token is that of the longest stored run that ends with it, times the
+    rest of each longer kept context."""
+    k, unit, lower, below, model = params.smoothing, math.log10(n + v + 1), None, None, None
+    for level in range(1, params.depth + 1):
+        runs = _stored_runs(placed, level, lower, counts, hashes)
+        if below is None:
+            runs = runs.withColumn("low", (F.col("u") + 1) / F.lit(n + v + 1.0)).withColumnRenamed("m", "n")
+        else:
+            runs = (runs.join(below.select(F.col("run").alias("suffix"), F.col("p").alias("low")), "suffix")
+                    .join(below.select(F.col("run").alias("context"), F.col("c").alias("n")), "context"))
+        written: list[str] = []
+        runs = materialize(runs.select("run", "context", "c", "n", "low"), "lm-lower", written)
+        other, other_low = 1 - F.col("stored") / F.col("n"), F.greatest(1 - F.col("lows"), F.lit(1e-12))
+        contexts = (runs.groupBy("context").agg(F.max("n").alias("n"), F.sum("c").alias("stored"), F.sum("low").alias("lows"),
+                                                F.sum(F.col("c") * F.log(F.col("c") / F.col("n") / F.col("low"))).alias("kl"))
+                    .withColumn("kl", F.col("kl") + F.when(other > 0, F.col("n") * other * F.log(other / other_low)).otherwise(0.0))
+                    .where(F.col("kl") >= params.min_divergence)
+                    .select("context", ((F.col("n") - F.col("stored") + k) / (F.col("n") + k)).alias("rest")))
+        contexts = materialize(contexts, "lm-contexts")
+        own = F.col("c") / (F.col("n") + k) + F.col("rest") * F.col("low")
+        below = materialize(runs.join(contexts, "context", "left").select("run", "c", F.coalesce(own, "low").alias("p")), "lm-model")
+        remove_stages(placed.sparkSession, written)
+        none = F.lit(None).cast("double")
+        entries = below.select(F.col("run").alias("key"), "p", none.alias("rest")).union(contexts.select(F.col("context").alias("key"), none.alias("p"), "rest"))
+        model = entries if model is None else model.union(entries)
+        lower = _key_filter(below.select("run"))
+    model = materialize(model.groupBy("key").agg(F.max("p").alias("p"), F.max("rest").alias("rest")), "lm-entries")
+    held = _key_filter(model.select("key"))
+
+    def request(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, places, first, _ in token_parts(batches):
+            _, keys, before = _keyed(b, places, first, counts.value, hashes.value, params.depth)
+            blocks = b.column("block").to_numpy()
+            ends = np.append(first[1:], len(places))
+            for block in np.unique(blocks):
+                rows = np.flatnonzero(blocks == block)
+                a, z = first[rows[0]], ends[rows[-1]]
+                wanted = np.unique(np.concatenate([x[a:z][before[a:z] >= level] for level, x in enumerate(keys)]))
+                wanted = wanted[_may_hold(held.value, wanted)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(wanted), block), pa.int64()), pa.array(wanted.view(np.int64))], ["block", "key"])
+
+    def score(texts: pa.Table, found: pa.Table) -> pa.Table:
+        key, i = np.unique(found.column("key").to_numpy().view(np.uint64), return_index=True)
+        p, rest = (np.append(found.column(x).to_numpy()[i], np.nan) for x in ("p", "rest"))
+
+        def find(keys: np.ndarray, ok: np.ndarray) -> np.ndarray:
+            if not len(key):
+                return np.full(len(keys), -1)
+            at = np.minimum(np.searchsorted(key, keys), len(key) - 1)
+            return np.where(ok & (key[at] == keys), at, -1)
+
+        out = []
+        for b, places, first, _ in token_parts(iter(texts.combine_chunks().to_batches())):
+            c, keys, before = _keyed(b, places, first, counts.value, hashes.value, params.depth)
+            base = np.log10(c + 1.0) - unit
+            now = 10.0 ** base
+            for level in range(1, params.depth + 1):
+                ok = before >= level
+                whole, left = p[find(keys[level], ok)], rest[find(_shift(keys[level - 1]), ok)]
+                now = np.where(np.isnan(whole), now * np.where(np.isnan(left), 1.0, left), whole)
+            add = lambda x: pa.array(np.add.reduceat(x, first))
+            sizes = np.diff(np.append(first, len(places)))
+            out.append(pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), pa.array([not x for x in b.column("train").to_pylist()]), pa.array(sizes, pa.int64()),
+                 add((c > 0).astype(np.int64)), pa.array([n] * b.num_rows, pa.int64()), add(base), add(np.log10(now))],
+                ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]))
+        return pa.Table.from_batches(out)
+
+    found = placed.drop("doc_id", "train").mapInArrow(request, "block long, key long").join(model, "key")
+    return (placed.groupBy("block").cogroup(found.groupBy("block"))
+            .applyInArrow(score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"))

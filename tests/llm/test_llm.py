@@ -389,6 +389,34 @@ def test_suffix_tree_gains_on_held_out_texts_and_needs_no_whole_broadcast(spark,
     assert h.score.sum() > h.base_score.sum()
 
 
+@pytest.mark.parametrize("words", [8_000_000, 300])
+def test_suffix_tree_by_joins_equals_dictionaries(spark, texts, words):
+    params = suffix_tree.TreeParams(broadcast_runs=0, broadcast_words=words)
+    rows = [(i, " ".join((t or "").split()[:60])) for i, t in texts[:120]]
+    rows += [(1000 + i, "the same few words come again and again here") for i in range(5)] + [(None, None)]
+    held = lambda i: zlib.crc32(str(i if i is not None else "").encode()) % 7 == 2
+    score, uni = brute_tree([lm_tokens(t) for i, t in rows if not held(i)], params, 2)
+    by = dict(rows)
+    got = suffix_tree.score_documents(docs_frame(spark, rows), params=params).collect()
+    assert sorted(r["doc_id"] or -1 for r in got) == sorted(i or -1 for i, _ in rows)
+    for r in got:
+        t = lm_tokens(by[r["doc_id"]])
+        assert (r["held_out"], r["n_tokens"]) == (held(r["doc_id"]), len(t))
+        assert math.isclose(r["base_score"], sum(math.log10(uni(w)) for w in t), rel_tol=1e-9)
+        assert math.isclose(r["score"], score(t), rel_tol=1e-9)
+
+
+def test_runs_seen_twice_count_at_every_size(spark):
+    """A run of four rare words that occurs twice is stored however many tokens surround it."""
+    rare = "quagga zyzzyva ocelot numbat"
+    train = [i for i in range(100) if zlib.crc32(str(i).encode()) % 7 != 2][:2]
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
+    filler = spark.range(1000, 4500, 1, 16).select(F.col("id").alias("doc_id"), F.expr("repeat('one two three four five six seven eight ', 1250)").alias("text"))
+    added = spark.createDataFrame([(i, rare) for i in (*train, held)], "doc_id long, text string")
+    got = suffix_tree.score_documents(filler.union(added)).where(F.col("doc_id") == held).first()
+    assert got["train_tokens"] > 2.5e7 and got["score"] > got["base_score"] + 15
+
+
 def test_suffix_tree_edge_rows(spark, empty):
     got = suffix_tree.score_documents(docs_frame(spark, EDGE)).collect()
     assert len(got) == len(EDGE) and min(r["n_tokens"] for r in got) == 1
