@@ -10,8 +10,8 @@ The method adds ``markov`` spans. Two first-order character Markov models are tr
 whole corpus from labelled samples: the values of base spans are the random strings, all
 other runs of identifier characters (of ``least`` characters or more and all their words) the
 ordinary ones; each sample counts once per occurrence, repeated over the corpus as one
-aggregate of 64 x 64 counts. A run of 16 or more identifier characters outside base spans is
-a secret if its log-likelihood ratio per character, random against ordinary, exceeds
+aggregate of 64 x 64 counts. Base spans are cut out of the runs of identifier characters; what
+is left of a run, in pieces of 16 or more characters, is a secret if its log-likelihood ratio per character, random against ordinary, exceeds
 ``margin``; nothing else decides, so a random string of letters alone is found like any other.
 
 Spans are code points, end exclusive. Defined cases: a null text is the empty text with no
@@ -41,7 +41,8 @@ HEX = re.compile(r"[0-9a-f]+")
 HEX_LONG = re.compile(r"[0-9a-f]{24,}")
 LEAST_ASSIGN, LEAST_ACCESS, LEAST_HEX = 6, 20, 24
 
-RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+LEAST_RUN = 16
+RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST_RUN)
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 SIZE = len(ALPHABET)
 _CODE = np.full(256, 255, np.uint8)
@@ -117,16 +118,24 @@ def log_ratio(counts: np.ndarray, smoothing: float) -> np.ndarray:
     return p[0] - p[1]
 
 
+def pieces(a: int, z: int, base: list[Span]) -> Iterator[tuple[int, int]]:
+    """What the base spans leave of a run, where ``LEAST_RUN`` characters or more."""
+    for s, e, _ in sorted(base):
+        if s < z and a < e:
+            if s - a >= LEAST_RUN:
+                yield a, s
+            a = max(a, e)
+    if z - a >= LEAST_RUN:
+        yield a, z
+
+
 def markov_spans(text: str, base: list[Span], ratio: np.ndarray, params: ScanParams) -> list[Span]:
     out = []
     for m in RUN.finditer(text):
-        a, z = m.span()
-        run = m[0]
-        if any(s < z and a < e for s, e, _ in base):
-            continue
-        c = _CODE[np.frombuffer(run.encode(), np.uint8)]
-        if ratio[c[:-1], c[1:]].mean() > params.margin:
-            out.append((a, z, "markov"))
+        for a, z in pieces(*m.span(), base):
+            c = _CODE[np.frombuffer(text[a:z].encode(), np.uint8)]
+            if ratio[c[:-1], c[1:]].mean() > params.margin:
+                out.append((a, z, "markov"))
     return out
 
 

@@ -552,6 +552,18 @@ def test_markov_model_needs_no_digits(spark):
     assert not any(got[10 ** 6 + 80 + k] for k in range(40))
 
 
+def test_what_base_spans_leave_of_a_run_is_scored(spark):
+    rng = random.Random(6)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    access = ["AKIA" + "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(16)) for _ in range(20)]
+    keys = ["".join(rng.choice(secrets.ALPHABET[:62]) for _ in range(40)) for _ in range(20)]
+    rows = [(10 ** 6 + k, f"so {x}/{y} it is") for k, (x, y) in enumerate(zip(access, keys))]
+    added = spark.createDataFrame([*rows, (10 ** 6 + 20, f"so {keys[0]}/{access[0]}/{keys[1]} or {access[0]}/short")], "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in secrets.summary(secrets.scan(docs.union(added))).collect()}
+    assert [got[10 ** 6 + k] for k in range(20)] == ["access:3:23,markov:23:64"] * 20
+    assert got[10 ** 6 + 20] == "markov:3:44,access:44:64,markov:64:105,access:109:129"
+
+
 def test_redaction_and_edge_rows(spark, empty):
     got = {r["doc_id"]: r["redacted"] for r in secrets.redact(secrets.scan(docs_frame(spark, SECRET_ROWS[:4]))).collect()}
     assert got[1] == '[SECRET]"' and got[3] == "[SECRET] x" and "AKIA" not in got[2]
