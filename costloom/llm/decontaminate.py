@@ -3,15 +3,15 @@
 For each benchmark item of L words, every window of L words of a document is a candidate
 place; a document of fewer words is one window as a whole. A window is worth a fingerprint only if it can pass the exact check, for which it must
 share a shingle with the item: one Aho-Corasick pass over the normalised text (lower-case
-words, ``\\w+``, single spaces) finds all shared shingles, and only windows around those are
-fingerprinted (windows without a shared shingle have similarity 0). Then:
+words, ``\\w+``, single spaces) finds all shared shingles, and only windows with enough of
+those to pass are fingerprinted. So this search chooses the windows, and of what follows:
 
 * SimHash: 64 bits, each the sign of the sum of the shingles' hash bits, weighted by how
   often the shingle occurs in the window;
 * multi-index blocks: the fingerprints are cut into 8 blocks of 8 bits; item fingerprints are
   listed under every block value within ``radius // 8`` bits. Two fingerprints within
-  ``radius`` bits have such a block, so the equi-join on (item length, block, value) finds
-  all pairs within the radius;
+  ``radius`` bits have such a block, so a lookup in the task by (item length, block, value)
+  finds all pairs within the radius; true matches beyond it (rare) are dropped;
 * exact check: weighted Jaccard similarity of the two shingle multisets (sum of the smaller
   over sum of the larger counts) of at least ``percent`` / 100.
 
