@@ -1,8 +1,9 @@
 """The corpus pipeline: five operators of ``costloom.llm`` in a row over ``documents``.
 
 Every stage works on all rows its predecessor kept and, but for the last, returns the columns
-of ``documents`` (one row per kept document row). Defined cases are those of the operators; a
-document with a null doc_id passes the stages that decide by doc_id.
+of ``documents`` (one row per kept document row). Defined cases are those of the operators. A
+stage decides on rows, by a written row key, so rows that share a doc_id or have none are
+judged each by their own text.
 """
 
 from __future__ import annotations
@@ -17,28 +18,39 @@ from costloom.llm.queries import piece_model_path
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """The columns of ``documents`` and a row key, written so that it stays the same."""
+    return materialize(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "pipeline-rows")
+
+
+def by_row(rows: DataFrame) -> DataFrame:
+    """The texts under their row keys, for operators that name a row by its doc_id."""
+    return rows.select(F.col("row").alias("doc_id"), "text")
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts; labels teach, they decide on no document."""
-    docs = docs.select(*COLUMNS)
-    scores = quality.score_documents(docs, read_table(spark, sf_dir, "labels"))
-    rejected = scores.where("predicted = 0").select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti").select(*COLUMNS)
+    rows = keyed(docs)
+    scores = quality.score_documents(rows, read_table(spark, sf_dir, "labels"), keep=("row",))
+    return rows.join(scores.where("predicted = 0").select("row"), "row", "left_anti").select(*COLUMNS)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates (runs of five words, Jaccard similarity of 0.8 or more) the
-    document with the smallest doc_id."""
-    docs = docs.select(*COLUMNS)
-    groups = ngram_join.group_documents(docs, ngram_join.JoinParams(width=5, percent=80))
-    copies = groups.where("component_id != doc_id").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*COLUMNS)
+    one row with the smallest doc_id (a null one comes last)."""
+    rows = keyed(docs)
+    groups = ngram_join.group_documents(by_row(rows), ngram_join.JoinParams(width=5, percent=80))
+    members = groups.select(F.col("doc_id").alias("row"), "component_id").join(rows.select("row", "doc_id"), "row")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
+    kept = members.groupBy("component_id").agg(first.alias("first")).select(F.col("first.row").alias("row"))
+    return rows.join(kept, "row", "left_semi").select(*COLUMNS)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    docs = docs.select(*COLUMNS)
-    found = decontaminate.find_matches(docs, read_table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*COLUMNS)
+    rows = keyed(docs)
+    found = decontaminate.find_matches(by_row(rows), read_table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("row")).distinct()
+    return rows.join(found, "row", "left_anti").select(*COLUMNS)
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

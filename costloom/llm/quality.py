@@ -136,9 +136,10 @@ def fit(rows: DataFrame, params: QualityParams) -> Discriminant:
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, modulus: int = 5,
-                    params: QualityParams = QualityParams()) -> DataFrame:
-    """(doc_id, held_out, score, predicted) for each row; rows whose remainder is 0 never teach."""
-    rows = documents(docs).withColumn("held_out", remainder(F.col("doc_id"), modulus) == 0)
+                    params: QualityParams = QualityParams(), keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, the columns of ``keep``, held_out, score, predicted) for each row; rows whose
+    remainder is 0 never teach."""
+    rows = documents(docs, *keep).withColumn("held_out", remainder(F.col("doc_id"), modulus) == 0)
     table = materialize(features(rows), "quality-features")
     model = fit(table.where(~F.col("held_out")).join(clean_labels(labels, "quality"), "doc_id").select("label", "x"), params)
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -146,8 +147,9 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.3,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x = b.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(shared.value.score(x))],
-                                             ["doc_id", "held_out", "score"])
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in names], pa.array(shared.value.score(x))], [*names, "score"])
 
-    return (table.mapInArrow(run, "doc_id long, held_out boolean, score double")
+    names = ["doc_id", *keep, "held_out"]
+    schema = ", ".join(f"`{c}` {table.schema[c].dataType.simpleString()}" for c in names)
+    return (table.mapInArrow(run, f"{schema}, score double")
             .withColumn("predicted", (F.col("score") >= threshold).cast("int")))

@@ -696,3 +696,22 @@ def test_pipeline_stages_against_brute_force(spark):
     assert set(masked.doc_id) == set(clean.doc_id) and not any(brute_base(t) for t in masked.text)
     assert (masked.n_chars == masked.text.str.len()).all()
     assert set(tokens.doc_id) == set(masked.doc_id) and tokens.round_trip.all() and (tokens.n_tokens == tokens.ids.str.len()).all()
+
+
+def test_pipeline_stages_decide_on_rows_not_ids(spark):
+    import corpus_pipeline as pipeline
+    a = " ".join(f"alpha{k} of" for k in range(40))
+    b = " ".join(f"beta{k} by" for k in range(40))
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first()["text"]
+    frame = lambda rows: spark.createDataFrame([(i, t, "en", "x", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    same = lambda df: sorted([(r["doc_id"] or -1, r["text"]) for r in df.collect()])
+    rows = [(3, a), (3, b), (1, b + " more"), (7, a + " more"), (9, "one row twice of five words"), (9, "one row twice of five words"),
+            (None, "no id but the same text here"), (None, "no id but the same text here"), (None, b)]
+    assert same(pipeline.near_duplicate_stage(spark, frame(rows), SF)) == sorted([(3, a), (1, b + " more"), (9, rows[4][1]), (-1, rows[6][1])])
+    assert same(pipeline.decontamination_stage(spark, frame([(5, item), (5, a), (None, item), (None, b)]), SF)) == sorted([(5, a), (-1, b)])
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select(*pipeline.COLUMNS)
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    shared = docs.withColumn("doc_id", F.col("doc_id") % 40)
+    good = quality.score_documents(shared.withColumn("key", F.md5("text")), labels, keep=("key",)).where("predicted = 1").select("doc_id", "key").toPandas()
+    got = pipeline.quality_stage(spark, shared, SF).select("doc_id", F.md5("text").alias("key")).toPandas()
+    assert sorted(zip(got.doc_id, got.key)) == sorted(zip(good.doc_id, good.key)) and 0 < len(got) < docs.count()
