@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from costloom.llm.common import read_table
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+BYTES = "/opt/tokenizers/byte_bpe_50k.json"
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -21,6 +22,10 @@ def piece_model_path() -> str:
     return os.environ.get("PIECE_MODEL", PIECES)
 
 
+def byte_model_path() -> str:
+    return os.environ.get("BYTE_MODEL", BYTES)
+
+
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
@@ -81,6 +86,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.round_trip(read_table(spark, sf_dir, "pages"))
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from costloom.llm import bpe as op
+    return op.encode(_docs(spark, sf_dir), op.load_model(byte_model_path()), decoded=True, then=op.DIGESTS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_chat": op2_chat,
@@ -92,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_secrets": op9_secrets,
     "op10_warc": op10_warc,
+    "op11_bpe": op11_bpe,
 }
 SQL: dict[str, str] = {
     "op4_ngram_join": r"""
