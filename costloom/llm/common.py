@@ -137,3 +137,25 @@ def pack_table(table: DataFrame, key: str, weight: str, values: dict[str, str],
 def shuffle_width(rows: int, per_partition: int = 200_000, least: int = 12) -> int:
     """Partitions for an explicit repartition, in step with the rows."""
     return max(least, math.ceil(rows / per_partition))
+
+
+def vector_rows(vector: np.ndarray, slot: int = 8192) -> tuple[pa.Array, pa.Array]:
+    """A task's vector of counts as (slot, bytes) columns, ``slot`` numbers a row."""
+    parts = [vector[a:a + slot].astype("<i8").tobytes() for a in range(0, len(vector), slot)]
+    return pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())
+
+
+def sum_vectors(rows: DataFrame, branches: int = 256) -> np.ndarray:
+    """The sum of all tasks' vectors, given as rows (slot, vector). First the vectors of
+    ``branches`` groups of tasks meet, then the groups' sums, so no group holds a row of every task."""
+
+    def add(table: pa.Table) -> pa.Table:
+        total = 0
+        for x in table.column("vector").to_pylist():
+            total = total + np.frombuffer(x, "<i8")
+        return pa.table({"slot": pa.array([table.column("slot")[0].as_py()], pa.int32()), "vector": pa.array([total.tobytes()], pa.binary())})
+
+    some = (rows.withColumn("branch", F.pmod(F.spark_partition_id(), F.lit(branches))).groupBy("slot", "branch")
+            .applyInArrow(lambda t: add(t.select(["slot", "vector"])), "slot int, vector binary"))
+    got = some.groupBy("slot").applyInArrow(add, "slot int, vector binary").collect()
+    return np.concatenate([np.frombuffer(r[1], "<i8") for r in sorted(got)]) if got else np.zeros(0, np.int64)

@@ -91,6 +91,11 @@ def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.encode(_docs(spark, sf_dir), op.load_model(byte_model_path()), decoded=True, then=op.DIGESTS)
 
 
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from costloom.llm import ranked_search as op
+    return op.search(_docs(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_chat": op2_chat,
@@ -103,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secrets": op9_secrets,
     "op10_warc": op10_warc,
     "op11_bpe": op11_bpe,
+    "op13_search": op13_search,
 }
 SQL: dict[str, str] = {
     "op4_ngram_join": r"""
@@ -133,6 +139,22 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN page_id < leader THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN page_id < leader THEN leader END AS refers_to
 FROM g""",
+    "op13_search": r"""
+WITH d AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM documents),
+tf AS (SELECT doc_id, t, count(*) AS tf FROM d GROUP BY ALL),
+len AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM tf GROUP BY doc_id),
+total AS (SELECT count(*) AS big_n, sum(n)::BIGINT AS big_l FROM len),
+w AS (SELECT t, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, total GROUP BY t, big_n),
+q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+s AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * big_n) // big_l))))::BIGINT AS score
+  FROM q JOIN w USING (t) JOIN tf USING (t) JOIN len USING (doc_id), total GROUP BY item_id, doc_id),
+r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 50""",
 }
 
 
