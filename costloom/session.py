@@ -57,13 +57,13 @@ def stage_root(spark: SparkSession) -> str:
     return ensure_checkpoint_dir(spark).rstrip("/") + "/costloom-stages"
 
 
-def materialize(df: DataFrame, name: str = "stage", stages: list[str] | None = None) -> DataFrame:
+def materialize(df: DataFrame, name: str = "stage", stages: list[str] | None = None, codec: str = "snappy") -> DataFrame:
     """Cut lineage by writing the stage as Parquet under the shared checkpoint folder and
     reading it back. Unlike an RDD checkpoint, the re-read prunes columns, pushes filters
     and carries size statistics; and a lost executor costs a re-read, not a recompute.
     The path is appended to ``stages`` so the job can remove it when it is done."""
     path = f"{stage_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").parquet(path, compression=codec)
     if stages is not None:
         stages.append(path)
     return df.sparkSession.read.parquet(path)
