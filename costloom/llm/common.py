@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from costloom.session import materialize
 
-__all__ = ["materialize", "read_table", "documents", "remainder", "slices", "PackedTable", "pack_table", "shuffle_width"]
+__all__ = ["materialize", "read_table", "documents", "remainder", "slices", "PackedTable", "heaviest", "pack_table", "shuffle_width", "sum_vectors", "vector_rows"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,14 +70,8 @@ class PackedTable:
         return np.where(self.hashes[at] == h, at, -1)
 
 
-def pack_table(table: DataFrame, key: str, weight: str, values: dict[str, str], max_rows: int, always: Column | None = None,
-               payload: str | None = None, payload_dtype: str = "<u2") -> tuple[PackedTable, DataFrame | None]:
-    """The ``max_rows`` heaviest rows of ``table`` and those of ``always`` (whose number the caller
-    bounds) packed for a broadcast, and a frame of the rest (None if all fit), which the
-    caller joins by a shuffle.
-
-    ``max_rows`` bounds what passes the driver. Rows are taken by a weight cut-off that
-    one small histogram decides, so nothing is sorted globally."""
+def heaviest(table: DataFrame, weight: str, max_rows: int, always: Column | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """At most ``max_rows`` rows of the greatest weight (and those of ``always``), and the rest, None if all fit."""
     bucket = F.floor(F.log2(F.greatest(F.col(weight), F.lit(1)).cast("double")) * 16).cast("int")
     sizes = {r[0]: r[1] for r in table.groupBy(bucket.alias("b")).count().collect()}
     total, cut = 0, None
@@ -86,10 +80,21 @@ def pack_table(table: DataFrame, key: str, weight: str, values: dict[str, str],
             cut = b
             break
         total += sizes[b]
-    head, rest = (table, None)
-    if cut is not None:
-        heavy = (bucket > cut) if always is None else (bucket > cut) | always
-        head, rest = table.where(heavy), table.where(~heavy)
+    if cut is None:
+        return table, None
+    heavy = (bucket > cut) if always is None else (bucket > cut) | always
+    return table.where(heavy), table.where(~heavy)
+
+
+def pack_table(table: DataFrame, key: str, weight: str, values: dict[str, str], max_rows: int, always: Column | None = None,
+               payload: str | None = None, payload_dtype: str = "<u2") -> tuple[PackedTable, DataFrame | None]:
+    """The ``max_rows`` heaviest rows of ``table`` and those of ``always`` (whose number the caller
+    bounds) packed for a broadcast, and a frame of the rest (None if all fit), which the
+    caller joins by a shuffle.
+
+    ``max_rows`` bounds what passes the driver. Rows are taken by a weight cut-off that
+    one small histogram decides, so nothing is sorted globally."""
+    head, rest = heaviest(table, weight, max_rows, always)
     cols = [F.col(key).alias("k"), *[F.col(c).alias(c) for c in values], *([F.col(payload)] if payload else [])]
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -91,6 +91,11 @@ def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.encode(_docs(spark, sf_dir), op.load_model(byte_model_path()), decoded=True, then=op.DIGESTS)
 
 
+def op12_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from costloom.llm import alignment as op
+    return op.digest(_docs(spark, sf_dir), op.load(byte_model_path(), piece_model_path()))
+
+
 def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     from costloom.llm import ranked_search as op
     return op.search(_docs(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
@@ -108,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secrets": op9_secrets,
     "op10_warc": op10_warc,
     "op11_bpe": op11_bpe,
+    "op12_align": op12_align,
     "op13_search": op13_search,
 }
 SQL: dict[str, str] = {
