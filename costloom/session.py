@@ -5,9 +5,12 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+
 def build_session(app: str = "costloom", master: str | None = None,
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
@@ -46,7 +49,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if sc.master.startswith("local"):
+    if sc.master == "local" or sc.master.startswith("local["):
         path = tempfile.mkdtemp(prefix="costloom-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         sc.setCheckpointDir(path)
         return sc.getCheckpointDir()
@@ -57,25 +60,54 @@ def stage_root(spark: SparkSession) -> str:
     return ensure_checkpoint_dir(spark).rstrip("/") + "/costloom-stages"
 
 
-def materialize(df: DataFrame, name: str = "stage", stages: list[str] | None = None, codec: str = "snappy") -> DataFrame:
+#: Paths that the session owns: one list for each open ``stages`` block, innermost last.
+_BLOCKS: list[list[str]] = []
+
+
+@contextmanager
+def stages(spark: SparkSession) -> Iterator[list[str]]:
+    """Every stage that is written inside the block is removed at its end, so frames that read
+    one must be consumed before. Blocks may stand in each other; an inner one keeps its own."""
+    _BLOCKS.append([])
+    try:
+        yield _BLOCKS[-1]
+    finally:
+        remove_stages(spark, _BLOCKS.pop())
+
+
+def own(spark: SparkSession, path: str) -> str:
+    """Gives a path below the stage folder to the open ``stages`` block. What no block or job
+    removes goes when the driver ends: the file system deletes it as it closes."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+    if _BLOCKS:
+        _BLOCKS[-1].append(path)
+    return path
+
+
+def materialize(df: DataFrame, name: str = "stage", kept: list[str] | None = None, codec: str = "snappy") -> DataFrame:
     """Cut lineage by writing the stage as Parquet under the shared checkpoint folder and
     reading it back. Unlike an RDD checkpoint, the re-read prunes columns, pushes filters
     and carries size statistics; and a lost executor costs a re-read, not a recompute.
-    The path is appended to ``stages`` so the job can remove it when it is done."""
+    The path is appended to ``kept`` so a job can remove it when it is done; an open ``stages``
+    block and the end of the driver remove it too."""
     path = f"{stage_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path, compression=codec)
-    if stages is not None:
-        stages.append(path)
+    own(df.sparkSession, path)
+    if kept is not None:
+        kept.append(path)
     return df.sparkSession.read.parquet(path)
 
 
-def remove_stages(spark: SparkSession, stages: list[str]) -> None:
-    """Delete a job's staged tables once its output is written (Hadoop FileSystem API,
+def remove_stages(spark: SparkSession, paths: list[str]) -> None:
+    """Delete staged tables once their readers are done (Hadoop FileSystem API,
     so it works on any shared store the checkpoint folder lives on)."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    while stages:
-        path = jvm.org.apache.hadoop.fs.Path(stages.pop())
-        path.getFileSystem(conf).delete(path, True)
+    while paths:
+        path = jvm.org.apache.hadoop.fs.Path(paths.pop())
+        fs = path.getFileSystem(conf)
+        fs.delete(path, True)
+        fs.cancelDeleteOnExit(path)
 
 
 def under_broadcast_threshold(df: DataFrame) -> bool:
