@@ -1,10 +1,12 @@
 """Toxicity: a factorization machine over hashed terms.
 
-Terms are the distinct lower-cased words (``\\w+``) of a text, hashed to ``2 ** bits`` places.
-From a sample of at most ``max_train`` labelled rows (a documented bound; the rows with the
-smallest hash of doc_id, so the same at every size) the terms that tell the classes apart
-best by a chi-square test become features: at most ``max_terms``, seen in at least
-``min_documents`` different texts. The machine
+Terms are the distinct lower-cased words (``\\w+``) of a text and their first 3 to 6 and last 4 and 5
+characters, hashed to ``2 ** bits`` places. From a sample of at most ``max_train`` labelled rows (a documented
+bound; the rows with the smallest hash of doc_id, so the same at every size) the terms whose likelihood
+ratio between the classes stands out among all terms tried (twice the logarithm of their number) become features,
+however few texts hold them: at most the ``max_terms`` most telling ones, the size of the model. Terms are counted by Spark; the driver
+gets the features' counts and, of each sampled text, the features it holds.
+The machine
     w0 + sum w_i + 1/2 * sum_f ((sum_i v_if)^2 - sum_i v_if^2)
 is fitted on that sample by Adagrad with the logistic loss; the pairwise part learns
 combinations (an insult with the mention of a group) that single weights miss. Scoring runs
@@ -13,11 +15,13 @@ over every whole text.
 Defined cases: a null text is the empty text, its score follows from w0; label rows with a
 null doc_id or label are left out, a document labelled twice counts once (mean of its labels
 at least one half); without both classes among the training rows every score is the smoothed
-share of class 1; an empty table gives an empty result; repeated rows are scored each.
+share of class 1; an empty table gives an empty result; repeated rows are scored each; a text
+of any length is scored whole; terms that tell the classes apart equally are taken in the order of their places.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -28,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from costloom.llm.common import documents, materialize, remainder
+from costloom.llm.common import documents, materialize, remainder, slices
 from costloom.llm.quality import clean_labels
 
 WORD = re.compile(r"\w+")
@@ -38,8 +42,7 @@ WORD = re.compile(r"\w+")
 class MachineParams:
     bits: int = 26
     max_train: int = 20_000
-    max_terms: int = 1024
-    min_documents: int = 8
+    max_terms: int = 4096
     factors: int = 8
     epochs: int = 25
     rate: float = 0.1
@@ -96,26 +99,46 @@ class Machine:
         return at[ok], np.concatenate([[0], np.cumsum(np.bincount(row[ok], minlength=len(places)))])
 
 
-def fit(places: list[np.ndarray], y: np.ndarray, params: MachineParams) -> Machine:
-    n1 = int(y.sum())
-    empty = Machine(np.empty(0, np.int32), float(np.log((n1 + 0.5) / (len(y) - n1 + 0.5))), np.empty(0), np.empty((0, params.factors)))
-    if not 0 < n1 < len(y):
-        return empty
-    term, seen = np.unique(np.concatenate(places), return_counts=True)
-    own, hits = np.unique(np.concatenate([p for p, label in zip(places, y) if label] + [np.empty(0, np.int32)]).astype(np.int32), return_counts=True)
-    pos = np.zeros(len(term))
-    pos[np.searchsorted(term, own)] = hits
-    share = n1 / len(y)
-    chi = (pos - seen * share) ** 2 / (seen * share * (1 - share))
-    chi[seen < params.min_documents] = 0
-    best = np.argsort(-chi, kind="stable")[:params.max_terms]
-    best = best[chi[best] > 30]
-    if not len(best):
+def share_margin(n1: int, n: int) -> float:
+    return float(np.log((n1 + 0.5) / (n - n1 + 0.5)))
+
+
+def count_terms(sample: DataFrame) -> DataFrame:
+    """(place, seen, pos): how many sampled texts, and how many of class 1, hold each term."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "places", 8 << 20):
+            flat = [np.frombuffer(x, np.int32) for x in b.column("places").to_pylist()]
+            label = np.repeat(b.column("label").to_numpy(), [len(x) for x in flat])
+            place, back = np.unique(np.concatenate(flat), return_inverse=True)
+            yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(np.bincount(back, minlength=len(place))),
+                                              pa.array(np.bincount(back, label, len(place)).astype(np.int64))], ["place", "seen", "pos"])
+
+    return (sample.select("label", "places").mapInArrow(count, "place int, seen long, pos long")
+            .groupBy("place").agg(F.sum("seen").alias("seen"), F.sum("pos").alias("pos")))
+
+
+def telling(counts: DataFrame, n1: int, n: int, params: MachineParams) -> list[int]:
+    """Places of the features: terms with a likelihood ratio (G) above that of chance."""
+    share = n1 / n
+    part = lambda k, expected: F.when(k > 0, k * F.log(k / expected)).otherwise(0.0)
+    seen, pos = F.col("seen").cast("double"), F.col("pos").cast("double")
+    g = 2 * (part(pos, seen * share) + part(seen - pos, seen * (1 - share)))
+    tried = counts.count()
+    best = counts.select("place", g.alias("g")).where(F.col("g") > 2 * math.log(max(tried, 2))).orderBy(F.desc("g"), "place").limit(params.max_terms)
+    return sorted(r["place"] for r in best.collect())
+
+
+def fit(features: list[int], places: list[np.ndarray], y: np.ndarray, params: MachineParams) -> Machine:
+    """The machine over ``features`` for texts that hold ``places``."""
+    empty = Machine(np.empty(0, np.int32), share_margin(int(y.sum()), len(y)), np.empty(0), np.empty((0, params.factors)))
+    if not features:
         return empty
-    m = Machine(np.sort(term[best]), empty.w0, np.zeros(len(best)), np.empty(0))
+    best = np.array(sorted(features), np.int32)
+    m = Machine(best, empty.w0, np.zeros(len(best)), np.empty(0))
     rng = np.random.default_rng(params.seed)
     m.v = rng.normal(0, 0.05, (len(best), params.factors))
-    index, starts = m.select([p[np.isin(p, m.places)] for p in places])  # few terms are left, so the arrays stay small
+    index, starts = m.select(places)
     g0, gw, gv = 1e-8, np.full(len(best), 1e-8), np.full(m.v.shape, 1e-8)
     rows = np.arange(len(y))
     for _ in range(params.epochs):
@@ -141,32 +164,54 @@ def fit(places: list[np.ndarray], y: np.ndarray, params: MachineParams) -> Machi
     return m
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, modulus: int = 5,
-                    params: MachineParams = MachineParams()) -> DataFrame:
-    """(doc_id, held_out, score, predicted) for each row; rows whose remainder is 0 never teach."""
-    rows = documents(docs).withColumn("held_out", remainder(F.col("doc_id"), modulus) == 0)
+def train(texts: DataFrame, params: MachineParams) -> Machine:
+    """From distinct sampled texts (label, places)."""
+    n, n1 = (int(x or 0) for x in texts.agg(F.count(F.lit(1)), F.sum("label")).first())
+    features = telling(count_terms(texts), n1, n, params) if 0 < n1 < n else []
+    if not features:
+        return Machine(np.empty(0, np.int32), share_margin(n1, n), np.empty(0), np.empty((0, params.factors)))
+    wanted = texts.sparkSession.sparkContext.broadcast(np.array(features, np.int32))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = [np.frombuffer(x, np.int32) for x in b.column("places").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("digest"), b.column("label"), pa.array([x[np.isin(x, wanted.value)].tobytes() for x in own], pa.binary())], ["digest", "label", "places"])
+
+    got = sorted(texts.mapInArrow(keep, "digest long, label int, places binary").collect())
+    return fit(features, [np.frombuffer(r["places"], np.int32) for r in got], np.array([r["label"] for r in got], float), params)
+
+
+def sampled_texts(rows: DataFrame, labels: DataFrame, modulus: int, params: MachineParams) -> DataFrame:
+    """(digest, places, label): distinct labelled texts that may teach, at most ``max_train`` documents."""
     known = clean_labels(labels, "toxic").where(remainder(F.col("doc_id"), modulus) != 0)
     chosen = materialize(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(params.max_train), "toxic-sample")
     bits = params.bits
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = TermCache(bits)
-        for b in batches:
+        for b in slices(batches):
             texts = b.column("text").to_pylist()
             yield pa.RecordBatch.from_arrays(
                 [pa.array([zlib.crc32(t.encode()) for t in texts], pa.int64()), b.column("label"),
                  pa.array([cache.text(t).tobytes() for t in texts], pa.binary())], ["digest", "label", "places"])
 
-    got = (rows.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "label")
-           .mapInArrow(sample, "digest long, label int, places binary")
-           .groupBy("digest", "places").agg(F.max("label").alias("label")).collect())
-    model = fit([np.frombuffer(r["places"], np.int32) for r in got], np.array([r["label"] for r in got], float), params)
+    return materialize(rows.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "label")
+                       .mapInArrow(sample, "digest long, label int, places binary")
+                       .groupBy("digest", "places").agg(F.max("label").alias("label")), "toxic-texts")
+
+
+def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, modulus: int = 5,
+                    params: MachineParams = MachineParams()) -> DataFrame:
+    """(doc_id, held_out, score, predicted) for each row; rows whose remainder is 0 never teach."""
+    rows = documents(docs).withColumn("held_out", remainder(F.col("doc_id"), modulus) == 0)
+    bits = params.bits
+    model = train(sampled_texts(rows, labels, modulus, params), params)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         cache = TermCache(bits, frozenset(m.places.tolist()))
-        for b in batches:
+        for b in slices(batches):
             margin = m.margin(*m.select([cache.text(t) for t in b.column("text").to_pylist()]))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(1 / (1 + np.exp(-np.clip(margin, -60, 60))))],
                                              ["doc_id", "held_out", "score"])
