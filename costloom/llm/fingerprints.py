@@ -11,14 +11,14 @@ means (the largest kept hash, or none if all are kept), so short texts have usab
 estimate of the Jaccard similarity); ``containment`` relates them to one side's.
 Fingerprint string: the bound and the sorted hashes in hexadecimal, joined by "-".
 
-``with_neighbours`` pairs each document with the next in descending doc_id order. The order
-comes from a range sort of ids alone; a document's text crosses the network once, and of the
+``with_neighbours`` pairs each row with the next in descending doc_id order. The order
+comes from a range sort of ids, lengths and text hashes alone; a document's text crosses the network once, and of the
 next document only the piece the edit needs.
 
 Defined cases: a null text is the empty text (empty sketch; two empty sketches are alike 1,
-an empty and another 0); repeated rows of a doc_id count as one document, with the shortest
-text (the smaller of equals); a null doc_id comes last; a single document is its own next; an empty table gives an
-empty result.
+an empty and another 0); every row counts: of rows with one doc_id the shorter text comes first (of equals the
+one with the smaller 64-bit hash), and rows with one doc_id and one text follow each other; a null doc_id comes
+last; a single row is its own next; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -87,40 +87,59 @@ def as_text(s: Column) -> Column:
     return F.concat_ws("-", F.lower(F.hex(s["bound"])), F.transform(s["hashes"], lambda h: F.lower(F.hex(h))))
 
 
+#: What tells documents apart. Rows that agree in it are copies with one doc_id and one text.
+#: ``id`` is 0 where ``none`` says that there is no doc_id, so the key has no nulls and plain joins and groups share exchanges.
+KEY = ("id", "none", "n_chars", "digest")
+
+
 def next_ids(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_chars, previous, previous_chars): the document that each one follows in
-    descending order. Ranks come from a range sort and the row counts of its parts."""
-    ids = docs.select("doc_id", "n_chars")
-    order = materialize(ids.orderBy(F.col("doc_id").desc_nulls_last()).select("*", F.monotonically_increasing_id().alias("place")), "fp-order")
+    """KEY, copies, and KEY with ``p_`` for distinct documents with their
+    number of copies: the document whose last copy each one follows in descending order. Ranks come from
+    a range sort and the row counts of its parts."""
+    order = materialize(docs.orderBy("none", F.col("id").desc(), "n_chars", "digest")
+                        .select("*", F.monotonically_increasing_id().alias("place")), "fp-order")
     part = F.shiftright("place", 33)
     sizes = sorted((r[0], r[1]) for r in order.groupBy(part.alias("p")).count().collect())
     before, starts = 0, []
     for p, n in sizes:
         starts.append((p, before))
         before += n
-    if not before:
-        return ids.select("*", F.lit(None).cast("long").alias("previous"), F.lit(None).cast("long").alias("previous_chars"))
     offsets = F.broadcast(docs.sparkSession.createDataFrame(starts, "p long, start long"))
     rank = (F.col("start") + F.col("place").bitwiseAND((1 << 33) - 1)).alias("rank")
-    ranked = materialize(order.join(offsets, part == F.col("p")).select("doc_id", "n_chars", rank), "fp-ranks")
-    earlier = ranked.select(((F.col("rank") + 1) % before).alias("rank"), F.col("doc_id").alias("previous"), F.col("n_chars").alias("previous_chars"))
-    return ranked.join(earlier, "rank").select("doc_id", "n_chars", "previous", "previous_chars")
+    ranked = materialize(order.join(offsets, part == F.col("p")).select(*KEY, "copies", rank), "fp-ranks")
+    earlier = ranked.select(((F.col("rank") + 1) % max(before, 1)).alias("rank"), *[F.col(k).alias(f"p_{k}") for k in KEY])
+    return ranked.join(earlier, "rank").drop("rank")
+
+
+def edited_text(text: Column, n_chars: Column, piece: Column) -> Column:
+    return F.concat(F.substring(text, F.lit(1), (n_chars - F.floor(n_chars / 3)).cast("int")), piece)
+
+
+def first_part(text: Column, n_chars: Column) -> Column:
+    """What the edit of a text of ``n_chars`` code points takes of the next."""
+    return F.substring(text, F.lit(1), F.floor(n_chars / 3).cast("int"))
 
 
 def with_neighbours(docs: DataFrame, width: int = 5, fraction: float = 0.125) -> DataFrame:
-    """(doc_id, n_chars, text, sketch, edited, next_sketch) for each document."""
-    key = lambda c: F.coalesce(F.col(c), F.lit(-2 ** 63)).alias("key")
-    sized = documents(docs, F.char_length(F.coalesce(F.col("text").cast("string"), F.lit(""))).cast("long").alias("n"))
-    order = materialize(next_ids(sized.groupBy("doc_id").agg(F.min("n").alias("n_chars"))), "fp-next")
+    """(doc_id, n_chars, text, sketch, edited, next_sketch) for each row."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    sized = documents(docs, F.char_length(text).cast("long").alias("n_chars"), F.xxhash64(text).alias("digest")).select(
+        F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), "n_chars", "digest", "text")
+    order = materialize(next_ids(sized.groupBy(*KEY).agg(F.count(F.lit(1)).alias("copies"))), "fp-next")
     # grouped by the key of the joins that follow: the texts are exchanged this once
-    own = sized.select(key("doc_id"), "n", "text").groupBy("key").agg(F.min(F.struct("n", "text"))["text"].alias("text"))
-    base = (own.join(order.withColumn("key", key("doc_id")), "key")
-            .select("key", "doc_id", "text", "n_chars", "previous", "previous_chars", sketch(F.col("text"), width, fraction).alias("sketch")))
-    following = base.select(key("previous"), F.substring("text", F.lit(1), F.floor(F.col("previous_chars") / 3).cast("int")).alias("piece"),
+    own = sized.groupBy(*KEY).agg(F.min("text").alias("text"))
+    base = (own.join(order, list(KEY))
+            .select(*KEY, "copies", "text", *[f"p_{k}" for k in KEY], sketch(F.col("text"), width, fraction).alias("sketch")))
+    following = base.select(*[F.col(f"p_{k}").alias(k) for k in KEY], first_part(F.col("text"), F.col("p_n_chars")).alias("piece"),
                             F.col("sketch").alias("next_sketch"))
-    edited = F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - F.floor(F.col("n_chars") / 3)).cast("int")), F.col("piece"))
-    return (base.select("key", "doc_id", "n_chars", "text", "sketch").join(following, "key")
-            .select("doc_id", "n_chars", "text", "sketch", edited.alias("edited"), "next_sketch"))
+    last = base.select(*KEY, "copies", "text", "sketch").join(following, list(KEY))
+    # the last copy is followed by the next document, the others by a copy
+    copies = F.when(F.col("copies") > 1, F.sequence(F.lit(1).cast("long"), F.col("copies"))).otherwise(F.array(F.col("copies")))
+    each = last.withColumn("copy", F.explode(copies))
+    end = F.col("copy") == F.col("copies")
+    return each.select(F.when(~F.col("none"), F.col("id")).alias("doc_id"), "n_chars", "text", "sketch",
+                       edited_text(F.col("text"), F.col("n_chars"), F.when(end, F.col("piece")).otherwise(first_part(F.col("text"), F.col("n_chars")))).alias("edited"),
+                       F.when(end, F.col("next_sketch")).otherwise(F.col("sketch")).alias("next_sketch"))
 
 
 def digest(docs: DataFrame, width: int = 5, fraction: float = 0.125) -> DataFrame:

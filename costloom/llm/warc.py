@@ -4,12 +4,14 @@ Writing: each partition of records becomes files of at most ``max_bytes`` in a f
 executors share; a file starts with a skippable frame (magic 0x184D2A5D) that holds the
 dictionary, then one frame per record. File names carry a random part, and readers take the
 names from the writer's committed manifest, so the files of a lost or repeated task are never
-read. Reading: Spark's binary file source lists and loads the files, each is decoded frame by
+read. Reading: a task opens the archives that its part of the manifest names, each is decoded frame by
 frame with its own dictionary, and headers, lengths and digests are checked; an archive that
 breaks a rule raises ``WarcError``.
 
 Of records with equal payloads of at least ``least_bytes`` the one with the largest id is the
-response, the others revisit it (``assign_types``; its shuffle carries only ids and digests).
+response, the others revisit it (``assign_types``; its shuffle carries only ids and digests). The revisits are
+joined to the pages on page_id: under Spark's broadcast threshold the html stays where it is, beyond it the pages
+are exchanged once, html included.
 
 Defined cases: a null html is the empty payload; a record with a null page_id is always
 a response and nothing refers to it; of repeated rows of the largest id each is a response; an empty table writes no
@@ -33,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costloom.llm.common import materialize
-from costloom.session import stage_root
+from costloom.session import own, stage_root
 
 # Fixed values of the formats.
 DICTIONARY_MAGIC = 0x184D2A5D
@@ -210,13 +212,12 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, max_byte
     return materialize(typed.mapInArrow(write, "path string, records long, bytes long"), "warc-manifest")
 
 
-def read_archives(spark: SparkSession, manifest: DataFrame, with_payload: bool = True) -> DataFrame:
-    """Records of the archives that ``manifest`` lists. Its paths (one per some MB of archive)
-    are the only thing that passes the driver."""
-    paths = [r[0] for r in manifest.select("path").collect()]
+def read_archives(spark: SparkSession, manifest: DataFrame, with_payload: bool = True, task_bytes: int = 64 << 20) -> DataFrame:
+    """Records of the archives that ``manifest`` lists. Each task opens the paths of its part of
+    the manifest, about ``task_bytes`` of archives, one archive at a time; only their total size
+    passes the driver."""
     names = [f for f in RECORD_SCHEMA.split(", ") if with_payload or not f.startswith("payload binary")]
-    if not paths:
-        return spark.createDataFrame([], ", ".join(names))
+    total = manifest.agg(F.sum("bytes")).first()[0] or 0
     types = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
     fields = [tuple(f.split(" ")) for f in names]
 
@@ -224,25 +225,28 @@ def read_archives(spark: SparkSession, manifest: DataFrame, with_payload: bool =
         def out(rows: list[dict]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], types[t]) for n, t in fields], [n for n, _ in fields])
 
-        for b in batches:
-            for content in b.column("content").to_pylist():
-                rows, size = [], 0
-                for r in read_archive(content):
-                    rows.append(r)
-                    size += r["payload_bytes"]
-                    if size > 16 << 20:
-                        yield out(rows)
-                        rows, size = [], 0
-                if rows:
+        for path in (p for b in batches for p in b.column("path").to_pylist()):
+            fs, place = pafs.FileSystem.from_uri(path)
+            with fs.open_input_stream(place, compression=None) as f:
+                content = f.read()
+            rows, size = [], 0
+            for r in read_archive(content):
+                rows.append(r)
+                size += r["payload_bytes"]
+                if size > 16 << 20:
                     yield out(rows)
+                    rows, size = [], 0
+            if rows:
+                yield out(rows)
 
-    return spark.read.format("binaryFile").load(paths).select("content").mapInArrow(read, ", ".join(names))
+    parts = max(spark.sparkContext.defaultParallelism, -(-total // task_bytes))
+    return manifest.select("path").repartition(parts, "path").mapInArrow(read, ", ".join(names))
 
 
 def round_trip(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """Write the pages, read the archives back: (page_id, payload_bytes, payload_digest, record_type, refers_to)."""
     spark = pages.sparkSession
-    folder = f"{stage_root(spark)}/warc-{uuid.uuid4().hex}"
+    folder = own(spark, f"{stage_root(spark)}/warc-{uuid.uuid4().hex}")
     folder = folder if "://" in folder else re.sub(r"^(file:)?/+", "file:///", folder)
     manifest = write_archives(pages, folder, least_bytes)
     return read_archives(spark, manifest, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

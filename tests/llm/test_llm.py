@@ -495,12 +495,22 @@ def test_fingerprint_edge_rows_and_native_plan(spark, empty):
     plan = got._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
     ids = [r["doc_id"] for r in got.collect()]
-    assert sorted(ids, key=str) == sorted({i for i, _ in EDGE}, key=str)
+    assert sorted(ids, key=str) == sorted((i for i, _ in EDGE), key=str)
     assert fingerprints.digest(empty).count() == 0
     one = fingerprints.digest(docs_frame(spark, [(3, "abcdef")])).first()
     assert one["edited_sha256"] == hashlib.sha256(b"abcdab").hexdigest() and one["near_next"] == 1.0
 
 
+def test_every_row_is_fingerprinted_whatever_its_id(spark):
+    """Rows of one id with other texts, copies, and rows without an id: each is followed by the next."""
+    low = -2 ** 63
+    rows = [(3, "abc def ghi jkl"), (3, "xyz uvw"), (3, "xyz uvw"), (None, "no id here at all"), (None, "none"), (low, "the least id there is"), (8, "eight of them")]
+    got = sorted(((r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in fingerprints.digest(docs_frame(spark, rows)).collect()), key=str)
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), len(r[1])))
+    want = [(i, len(t), hashlib.sha256((t[:len(t) - len(t) // 3] + u[:len(t) // 3]).encode()).hexdigest()) for (i, t), (_, u) in zip(order, order[1:] + order[:1])]
+    assert got == sorted(want, key=str)
+
+
 # 9 secrets
 
 
