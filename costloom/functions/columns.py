@@ -92,12 +92,19 @@ def dec(value: str) -> Column:
 
 def ntz(value) -> Column:
     """A TIMESTAMP_NTZ literal parsed from text, independent of the session time zone
-    (``F.lit(datetime)`` goes through a zoned timestamp first)."""
+    (``F.lit(datetime)`` goes through a zoned timestamp first). A scalar of the plan stays as it is."""
+    if isinstance(value, Column):
+        return value
     if value is None:
         return F.lit(None).cast("timestamp_ntz")
     return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
+def month_of(value) -> Column:
+    """An invoice month given as a number or as a scalar of the plan."""
+    return value if isinstance(value, Column) else F.lit(int(value))
+
+
 def month_bounds(month: int):
     """First day of the month and of the next month, as Python dates."""
     import datetime as dt

@@ -5,20 +5,20 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costloom import constants as K
-from costloom.functions.columns import c, scaled, shifted
+from costloom.functions.columns import c, month_of, scaled, shifted
 from costloom.operators.lookup import lookup_join
 from costloom.settings import DEFAULTS, Settings
 
 
 def adhoc_schedule(billing: DataFrame, instances: DataFrame, schedule: DataFrame,
-                   calendar: DataFrame, month: int) -> DataFrame:
+                   calendar: DataFrame, month: Column | int) -> DataFrame:
     """Billing rows of the month expanded to (instance, date, hour): equi joins on group and
     schedule ids, then the month calendar by weekday with an inclusive date range."""
-    b = billing.where(c("invoice_month") == F.lit(int(month)))
+    b = billing.where(c("invoice_month") == month_of(month))
     return (b.join(instances, "instance_group_id")
              .join(schedule, "schedule_id")
              .join(calendar, (c("day_of_week") == c("weekday"))
@@ -75,8 +75,8 @@ def reallocate_adhoc(usage: DataFrame, alloc: DataFrame, *, account_col: str, na
                   "_bkk_date", "_bkk_hour")
 
 
-def adhoc_companies(billing: DataFrame, month: int) -> DataFrame:
+def adhoc_companies(billing: DataFrame, month: Column | int) -> DataFrame:
     """ADH3: companies with an ad hoc allocation per account, distinct, sorted, comma-joined."""
-    return (billing.where(c("invoice_month") == F.lit(int(month)))
+    return (billing.where(c("invoice_month") == month_of(month))
             .groupBy("account_id")
             .agg(F.array_join(F.array_sort(F.collect_set("user_company")), ",").alias("user_company")))

@@ -11,19 +11,13 @@ from costloom import constants as K
 from costloom.functions.columns import c, is_blank, keep_unless, not_in, ntz
 
 
-def stage_scalars(df: DataFrame, ts_col: str, type_col: str, invoice_col: str | None = None,
-                  cut_excludes_recurring: bool = True) -> dict:
-    """One aggregate pass returning the scalars a job needs from a materialised stage:
-    row count, any blank invoice (STA1) and the last transaction time (AGG12)."""
-    ts, t = c(ts_col), c(type_col)
-    last = F.max(F.when(t != K.SP_RECURRING_FEE, ts)) if cut_excludes_recurring else F.max(ts)
-    aggs = [F.count(F.lit(1)).alias("rows"), last.alias("last_trx")]
-    if invoice_col:
-        aggs.append(F.max(F.when(is_blank(c(invoice_col)), 1).otherwise(0)).alias("any_blank_invoice"))
-    row = df.agg(*aggs).first()
-    out = row.asDict()
-    out["trx_source"] = "ESTIMATED" if out.get("any_blank_invoice") else "ACTUAL"
-    return out
+def stage_scalars(df: DataFrame, ts_col: str, type_col: str, invoice_col: str) -> DataFrame:
+    """One row: the row count, the billing state (STA1) and the last transaction time, recurring
+    savings-plan fees left out (AGG12)."""
+    blank = F.max(F.when(is_blank(c(invoice_col)), 1).otherwise(0)) == 1
+    return df.agg(F.count(F.lit(1)).alias("rows"),
+                  F.max(F.when(c(type_col) != K.SP_RECURRING_FEE, c(ts_col))).alias("last_trx"),
+                  F.when(blank, F.lit("ESTIMATED")).otherwise(F.lit("ACTUAL")).alias("trx_source"))
 
 
 def billing_state(df: DataFrame, invoice_col: str = "bill_invoice_id") -> DataFrame:
@@ -32,15 +26,11 @@ def billing_state(df: DataFrame, invoice_col: str = "bill_invoice_id") -> DataFr
                   .otherwise(F.lit("ACTUAL")).alias("trx_source"))
 
 
-def ts_literal(value: dt.datetime | None) -> Column:
-    return ntz(value)
-
-
-def drop_future_recurring_fees(df: DataFrame, last_trx: dt.datetime | None,
+def drop_future_recurring_fees(df: DataFrame, last_trx: Column | dt.datetime | None,
                                ts_col: str, type_col: str) -> DataFrame:
     """CUT1: delete recurring savings-plan fees after the last real transaction.
     A NULL last time deletes nothing (DELETE keeps NULL predicates)."""
-    return df.where(keep_unless((c(type_col) == K.SP_RECURRING_FEE) & (c(ts_col) > ts_literal(last_trx))))
+    return df.where(keep_unless((c(type_col) == K.SP_RECURRING_FEE) & (c(ts_col) > ntz(last_trx))))
 
 
 def drop_zero_cost_rows(df: DataFrame, a: str = "line_item_unblended_cost",

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costloom import constants as K
-from costloom.functions.columns import c, keep_unless, scaled
+from costloom.functions.columns import c, keep_unless, month_of, scaled
 from costloom.operators.fanout import fan_out
 from costloom.settings import DEFAULTS, Settings
 
@@ -19,14 +19,14 @@ def with_share(g: DataFrame, col: str, name: str, dividend=K.TOTAL) -> DataFrame
             .withColumn(name, (c(col).cast(dividend).cast(K.TOTAL) / c("_total")).cast(K.WEIGHT)).drop("_one", "_total"))
 
 
-def infra_weights_daily(agg: DataFrame, azure: DataFrame, month: int, cfg: Settings = DEFAULTS) -> DataFrame:
+def infra_weights_daily(agg: DataFrame, azure: DataFrame, month: Column | int, cfg: Settings = DEFAULTS) -> DataFrame:
     """INF1, daily variant: weights per (cost source, company) from Hosting on-demand cost
     (infrastructure itself excluded) and the month's Azure retail cost (Q16)."""
     aws = (agg.where((c("bill_billing_entity") == K.AWS_ENTITY) & (c("usage_account_name") == cfg.hosting_account_name)
                      & (c("resource_tags_user_company") != cfg.infra_company))
            .groupBy(c("bill_billing_entity").alias("cost_source"), "resource_tags_user_company")
            .agg(F.sum("pricing_public_on_demand_cost").cast(K.MONEY).alias("pricing_public_on_demand_cost")))
-    az = (azure.where(c("billing_period") == F.lit(int(month)))
+    az = (azure.where(c("billing_period") == month_of(month))
           .groupBy(F.lit(K.AZURE_SOURCE).alias("cost_source"), c("tag_company").alias("resource_tags_user_company"))
           .agg(F.sum("retail_cost").cast(K.MONEY).alias("pricing_public_on_demand_cost")))
     g = (aws.unionByName(az).groupBy("cost_source", "resource_tags_user_company")
@@ -34,12 +34,12 @@ def infra_weights_daily(agg: DataFrame, azure: DataFrame, month: int, cfg: Setti
     return with_share(g, "pricing_public_on_demand_cost", "retail_weight")
 
 
-def infra_weights_monthly(final: DataFrame, azure: DataFrame, month: int, cfg: Settings = DEFAULTS) -> DataFrame:
+def infra_weights_monthly(final: DataFrame, azure: DataFrame, month: Column | int, cfg: Settings = DEFAULTS) -> DataFrame:
     """INF1, detail/summary variant: weights per company over Hosting retail cost and Azure
     (a company present in both clouds merges); dividend at DECIMAL(19,8)."""
     aws = (final.where((c("account_name") == cfg.hosting_account_name) & (c("user_company") != cfg.infra_company))
            .select("user_company", c("retail_cost").cast(K.MONEY).alias("retail_cost")))
-    az = (azure.where(c("billing_period") == F.lit(int(month)))
+    az = (azure.where(c("billing_period") == month_of(month))
           .select(c("tag_company").alias("user_company"), c("retail_cost").cast(K.MONEY).alias("retail_cost")))
     g = aws.unionByName(az).groupBy("user_company").agg(F.sum("retail_cost").cast(K.MONEY).alias("retail_cost"))
     return with_share(g, "retail_cost", "weight", K.DEC19_8)
@@ -62,7 +62,7 @@ def redistribute_infra_daily(agg: DataFrame, weights: DataFrame, cfg: Settings =
     return x.drop("w_source", "w_company", "w_weight", "_w_hit")
 
 
-def _monthly_target(cfg: Settings = DEFAULTS):
+def monthly_target(cfg: Settings = DEFAULTS):
     return (c("account_name") == cfg.hosting_account_name) & (c("user_company") == cfg.infra_company)
 
 
@@ -73,21 +73,21 @@ def _monthly_weights(weights: DataFrame) -> DataFrame:
 def redistribute_infra_detail(final: DataFrame, weights: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
     """INF2, detail: split, drop rows whose retail cost rounds to zero at 8 places, then drop
     every Hosting infrastructure row (an Azure infrastructure share goes too, Q17)."""
-    x = fan_out(final, _monthly_target(cfg), _monthly_weights(weights), {"w_company": "string", "w_weight": K.WEIGHT})
+    x = fan_out(final, monthly_target(cfg), _monthly_weights(weights), {"w_company": "string", "w_weight": K.WEIGHT})
     hit = c("_w_hit")
     x = x.withColumns({
         "user_company": F.when(hit, c("w_company")).otherwise(c("user_company")),
         "retail_cost": F.when(hit, scaled(c("retail_cost"), c("w_weight"), K.DEC38_8)).otherwise(c("retail_cost")),
         "quantity": F.when(hit, scaled(c("quantity"), c("w_weight"), K.MONEY)).otherwise(c("quantity")),
         "note": F.when(hit, F.lit(K.NOTE_INFRA_DETAIL)).otherwise(c("note"))})
-    x = x.where(keep_unless(F.round(c("retail_cost"), 8) == 0)).where(keep_unless(_monthly_target(cfg)))
+    x = x.where(keep_unless(F.round(c("retail_cost"), 8) == 0)).where(keep_unless(monthly_target(cfg)))
     return x.drop("w_company", "w_weight", "_w_hit")
 
 
 def redistribute_infra_summary(final: DataFrame, weights: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
     """INF2, summary: split the four measures, product becomes ``''``, note ``INFRA COSTS``;
     then drop every Hosting infrastructure row (Q17)."""
-    x = fan_out(final, _monthly_target(cfg), _monthly_weights(weights), {"w_company": "string", "w_weight": K.WEIGHT})
+    x = fan_out(final, monthly_target(cfg), _monthly_weights(weights), {"w_company": "string", "w_weight": K.WEIGHT})
     hit = c("_w_hit")
     x = x.withColumns({
         "user_company": F.when(hit, c("w_company")).otherwise(c("user_company")),
@@ -96,4 +96,4 @@ def redistribute_infra_summary(final: DataFrame, weights: DataFrame, cfg: Settin
         **{m: F.when(hit, scaled(c(m), c("w_weight"), t)).otherwise(c(m))
            for m, t in (("actual_cost", K.DEC38_8), ("weighted_actual_cost", K.DEC38_8),
                         ("retail_cost", K.DEC38_8), ("retail_cost_percent", K.PERCENT))}})
-    return x.where(keep_unless(_monthly_target(cfg))).drop("w_company", "w_weight", "_w_hit")
+    return x.where(keep_unless(monthly_target(cfg))).drop("w_company", "w_weight", "_w_hit")

@@ -2,22 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costloom import constants as K
-from costloom.functions.columns import c, scaled
+from costloom.functions.columns import c, month_of, scaled
 from costloom.operators.lookup import lookup_join
 from costloom.settings import DEFAULTS, Settings
 
 
-def kube_weights(usage: DataFrame, mapping: DataFrame, month: int, daily_notes: bool, cfg: Settings = DEFAULTS) -> DataFrame:
+def kube_weights(usage: DataFrame, mapping: DataFrame, month: Column | int, daily_notes: bool, cfg: Settings = DEFAULTS) -> DataFrame:
     """KUB1: namespace portions of the month mapped to company products; an unmapped
     namespace keeps its cost in the cluster's own product. Portions are summed per
     (cluster product, company, product, note) and used as given (not normalised, Q15)."""
     m = mapping.select(c("kube_namespace").alias("m_ns"), c("company").alias("m_company"),
                        c("company_product").alias("m_product"))
-    k = (usage.where(c("month_id") == F.lit(int(month)))
+    k = (usage.where(c("month_id") == month_of(month))
          .join(m, c("kube_namespace") == c("m_ns"), "left"))
     cluster = F.upper(c("cluster_name"))
     mapped_note = F.concat(F.lit(K.NOTE_K8_DAILY_PREFIX), cluster, F.lit(")")) if daily_notes \
@@ -53,14 +53,15 @@ def reallocate_kube_daily(agg: DataFrame, weights: DataFrame, cfg: Settings = DE
     return j.drop("k_product", "k_company", "k_user_product", "k_weight", "k_note", "k_hit")
 
 
-def reallocate_kube_summary(agg: DataFrame, weights: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
+def reallocate_kube_summary(agg: DataFrame, weights: DataFrame, has_usage: Column, cfg: Settings = DEFAULTS) -> DataFrame:
     """Summary KUB2: every Regional row with one of the two kube products is replaced by its
-    weighted split; a product with no weights loses its cost (Q14)."""
+    weighted split; a product with no weights loses its cost (Q14). Without usage rows in the
+    month (``has_usage``, a scalar of the plan) everything stays."""
     target = ((c("account_id") == cfg.regional_account_id) & (c("user_company") == cfg.regional_company)
               & c("user_product").isin(*cfg.kube_products))
     j = lookup_join(agg, _weights(weights), [("user_product", "k_product")], residual=target)
     hit = F.coalesce(c("k_hit"), F.lit(False))
-    j = j.where(hit | ~F.coalesce(target, F.lit(False)))
+    j = j.where(hit | ~F.coalesce(target, F.lit(False)) | ~has_usage)
     j = j.withColumns({
         "user_company": F.when(hit, c("k_company")).otherwise(c("user_company")),
         "user_product": F.when(hit, c("k_user_product")).otherwise(c("user_product")),
@@ -69,7 +70,7 @@ def reallocate_kube_summary(agg: DataFrame, weights: DataFrame, cfg: Settings =
     return j.drop("k_product", "k_company", "k_user_product", "k_weight", "k_note", "k_hit")
 
 
-def kube_guard_rows(agg: DataFrame, account_col: str, company_col: str, product_col: str, cfg: Settings = DEFAULTS):
+def kube_guard_rows(account_col: str, company_col: str, product_col: str, cfg: Settings = DEFAULTS) -> Column:
     """The reference's entry guard: any Regional row carrying one of the two kube products."""
     return ((c(account_col) == cfg.regional_account_id) & (c(company_col) == cfg.regional_company)
             & c(product_col).isin(*cfg.kube_products))

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from costloom import constants as K
+from costloom import constants as K, session
+from costloom.operators import interval as IVL
 from costloom.operators.lookup import lookup_join
 from costloom.functions.columns import (c, company_precedence, company_with_default, is_support,
                                         month_bounds, not_in, ntz, product_precedence)
@@ -104,8 +106,25 @@ def transaction_rows(trx: DataFrame, accounts: DataFrame, month: int | None) ->
     return base.join(accounts_lookup(accounts), c("linked_account_id") == c("ac_account_id"), "inner")
 
 
+#: Columns that tell transactions apart; all are read anyway.
+TRX_IDENTITY = ("usage_start_date", "linked_account_id", "usage_type", "usage_quantity", "unblended_cost")
+
+
+def month_span(month: int) -> tuple[Column, Column]:
+    """First and last moment of a month."""
+    first, nxt = month_bounds(month)
+    last = dt.datetime.combine(nxt, dt.time()) - dt.timedelta(microseconds=1)
+    return ntz(dt.datetime.combine(first, dt.time())), ntz(last)
+
+
+def unkept(df: DataFrame, name: str) -> DataFrame:
+    return df
+
+
 def _lookups(trx: DataFrame, accounts: DataFrame, rifee: DataFrame, ruser: DataFrame, rtag: DataFrame,
-             rifee_on_invoice: bool, month: int | None) -> DataFrame:
+             rifee_on_invoice: bool, span: tuple[Column, Column], keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """``span``: time of the data, which owners must meet. ``keep`` stages the grid of resources with
+    many owners, whose file size then decides how it joins."""
     ac = accounts_lookup(accounts)
     ri = rifee.select(c("ri_reservationarn").alias("ri_arn"), c("invoice_id").alias("ri_invoice_id"),
                       c("ri_normalizationfactor").alias("ri_nf"))
@@ -116,23 +135,26 @@ def _lookups(trx: DataFrame, accounts: DataFrame, rifee: DataFrame, ruser: DataF
                      c("user_product").alias("rt_user_product"))
     ri_keys = [("reservationarn", "ri_arn")] + ([("invoice_id", "ri_invoice_id")] if rifee_on_invoice else [])
     ts = c("usage_start_date")
-    if month is not None:  # owners whose interval meets the month
-        first, nxt = month_bounds(month)
-        ru = ru.where((c("ru_start") < ntz(dt.datetime.combine(nxt, dt.time()))) & (c("ru_end") >= ntz(dt.datetime.combine(first, dt.time()))))
     j = trx.join(ac, c("linked_account_id") == c("ac_account_id"), "inner")
-    # JOI4: equi key + inclusive range residual; a NULL end never matches
-    j = lookup_join(j, ru, [("resource_id", "ru_resource_id")], null_keys_around=True,
+    # JOI4: equi keys + inclusive range residual; a NULL end never matches
+    ru = IVL.within_span(ru, "ru_start", "ru_end", *span)
+    small = [session.under_broadcast_threshold(x) for x in (ru, rt)]
+    grid = keep(IVL.dense_grid(ru, "ru_resource_id", "ru_start", "ru_end", *span), "grid")
+    j = IVL.bucket_events(j, grid, "resource_id", "usage_start_date", "_bucket", TRX_IDENTITY)
+    ru = IVL.bucket_intervals(ru, grid, "ru_resource_id", "ru_start", "ru_end", "ru_bucket")
+    rt = IVL.bucket_all(rt, grid, "rt_resource_id", "rt_bucket")
+    j = lookup_join(j, ru, [("resource_id", "ru_resource_id"), ("_bucket", "ru_bucket")], spread_by=TRX_IDENTITY, small=small[0],
                     residual=(ts >= c("ru_start")) & (ts <= c("ru_end")))
-    j = lookup_join(j, rt, [("resource_id", "rt_resource_id")])
-    return lookup_join(j, ri, ri_keys)
+    j = lookup_join(j, rt, [("resource_id", "rt_resource_id"), ("_bucket", "rt_bucket")], spread_by=TRX_IDENTITY, small=small[1])
+    return lookup_join(j, ri, ri_keys, spread_by=TRX_IDENTITY)
 
 
 def normalize_detail(trx: DataFrame, accounts: DataFrame, rifee: DataFrame, ruser: DataFrame,
-                     rtag: DataFrame, month: int) -> DataFrame:
+                     rtag: DataFrame, month: int, keep: Callable[[DataFrame, str], DataFrame] = unkept) -> DataFrame:
     """NRM2: transaction rows of one month with tags and the detail retail-cost rule (PRJ7)."""
     t = c("lineitem_type")
     base = transactions_for_month(trx, month).where(not_in(t, K.MONTHLY_EXCLUDED_TYPES))
-    j = _lookups(base, accounts, rifee, ruser, rtag, rifee_on_invoice=True, month=month)
+    j = _lookups(base, accounts, rifee, ruser, rtag, rifee_on_invoice=True, span=month_span(month), keep=keep)
     od, ub = c("public_ondemand_cost"), c("unblended_cost")
     nvl0 = lambda x: F.coalesce(x, F.lit(0))
     discounted = F.lower(t) == "discountedusage"
@@ -163,13 +185,15 @@ def normalize_detail(trx: DataFrame, accounts: DataFrame, rifee: DataFrame, ruse
 
 
 def normalize_summary(trx: DataFrame, accounts: DataFrame, rifee: DataFrame, ruser: DataFrame,
-                      rtag: DataFrame, source: str, month: int | None, cfg: Settings = DEFAULTS) -> DataFrame:
-    """NRM3: ACTUAL (one month, RI factor by ARN + invoice) or ESTIMATED (whole table, by ARN)."""
+                      rtag: DataFrame, source: str, month: int | None, cfg: Settings = DEFAULTS,
+                      span: tuple[Column, Column] | None = None, keep: Callable[[DataFrame, str], DataFrame] = unkept) -> DataFrame:
+    """NRM3: ACTUAL (one month, RI factor by ARN + invoice) or ESTIMATED (whole table, by ARN;
+    ``span`` gives the time that the table covers)."""
     t = c("lineitem_type")
     actual = source == "ACTUAL"
     base = transactions_for_month(trx, month) if actual else trx
     base = base.where(not_in(t, K.MONTHLY_EXCLUDED_TYPES))
-    j = _lookups(base, accounts, rifee, ruser, rtag, rifee_on_invoice=actual, month=month)
+    j = _lookups(base, accounts, rifee, ruser, rtag, rifee_on_invoice=actual, span=span or month_span(month), keep=keep)
     ub = c("unblended_cost")
     ts = c("usage_start_date")
     return j.select(

@@ -4,13 +4,14 @@ upfront fees (UPF1, UPF2). Every aggregate is a partial + final hash aggregate."
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costloom import constants as K
-from costloom.functions.columns import c, ntz, rate_text_to_decimal
-from costloom.operators.normalize import DAILY_KEYS, DAILY_MEASURES, accounts_lookup
+from costloom.functions.columns import c, month_of, ntz, rate_text_to_decimal
+from costloom.operators.normalize import DAILY_KEYS, DAILY_MEASURES, accounts_lookup, unkept
 from costloom.settings import DEFAULTS, Settings
 
 DAILY_OUTPUT = (
@@ -38,12 +39,12 @@ def daily_rollup(trx: DataFrame) -> DataFrame:
     return trx.groupBy(*keys, "note").agg(*[F.sum(m).cast(K.MONEY).alias(m) for m in DAILY_MEASURES])
 
 
-def upfront_fee_rows(schedule: DataFrame, accounts: DataFrame, month: int, last_trx: dt.datetime | None, cfg: Settings = DEFAULTS) -> DataFrame:
+def upfront_fee_rows(schedule: DataFrame, accounts: DataFrame, month: Column | int, last_trx: Column | dt.datetime | None, cfg: Settings = DEFAULTS) -> DataFrame:
     """UPF1: the month's amortised upfront RI / savings-plan fees up to the last transaction
     date, as daily rows at company REGIONAL; columns the reference leaves out are NULL."""
-    last_date = F.lit(last_trx.date() if last_trx else None).cast("date")
+    last_date = F.to_date(ntz(last_trx))
     sp = c("product_name").like(K.SAVINGS_PLAN_PRODUCT_PATTERN)
-    s = (schedule.where((c("invoice_month") == F.lit(int(month))) & (c("usage_date") <= last_date))
+    s = (schedule.where((c("invoice_month") == month_of(month)) & (c("usage_date") <= last_date))
          .join(accounts_lookup(accounts), c("usage_account_id") == c("ac_account_id"), "inner"))
     return s.select(
         "invoice_month", F.lit(K.AWS_ENTITY).alias("bill_billing_entity"),
@@ -116,15 +117,16 @@ def summary_rollup(trx: DataFrame) -> DataFrame:
             .withColumn("note", F.lit("")))
 
 
-def weight_actual_cost(agg: DataFrame, accounts: DataFrame) -> DataFrame:
+def weight_actual_cost(agg: DataFrame, accounts: DataFrame, keep: Callable[[DataFrame, str], DataFrame] = unkept) -> DataFrame:
     """WGT1: within (invoice, account), retail share of each company/product and the
     actual cost spread by it. Account totals are a small aggregate joined back (JOI15),
-    which stays balanced when one account holds most rows."""
-    cs = (agg.join(accounts_lookup(accounts), c("account_id") == c("ac_account_id"), "inner")
+    which stays balanced when one account holds most rows. ``keep`` stages the costs (output
+    grain), which both sides read, so the flow behind them runs once."""
+    cs = keep(agg.join(accounts_lookup(accounts), c("account_id") == c("ac_account_id"), "inner")
           .groupBy("invoice_month", F.coalesce(c("invoice_id"), F.lit("")).alias("invoice_id"), "trx_source",
                    "account_id", c("ac_account_display_name").alias("account_name"), "user_company", "user_product")
           .agg(F.sum("actual_cost").cast(K.DEC38_8).alias("actual_cost"),
-               F.sum("retail_cost").cast(K.DEC38_8).alias("retail_cost")))
+               F.sum("retail_cost").cast(K.DEC38_8).alias("retail_cost")), "costs")
     totals = (cs.groupBy(c("invoice_id").alias("t_invoice_id"), c("account_id").alias("t_account_id"))
               .agg(F.sum("retail_cost").alias("total_retail_cost"), F.sum("actual_cost").alias("total_actual_cost")))
     j = cs.join(totals, (c("invoice_id") == c("t_invoice_id")) & (c("account_id") == c("t_account_id")), "inner")
@@ -139,11 +141,11 @@ def weight_actual_cost(agg: DataFrame, accounts: DataFrame) -> DataFrame:
         F.lit("").alias("note"))
 
 
-def upfront_fee_column(final: DataFrame, schedule: DataFrame, month: int, last_trx: dt.datetime | None, cfg: Settings = DEFAULTS) -> DataFrame:
+def upfront_fee_column(final: DataFrame, schedule: DataFrame, month: Column | int, last_trx: Column | dt.datetime | None, cfg: Settings = DEFAULTS) -> DataFrame:
     """UPF2: the month's amortised upfront RI fee per account (to the last transaction date)
     spread by retail percent; joined by account only (Q20); marketplace rows get none (Q21)."""
-    last_date = F.lit(last_trx.date() if last_trx else None).cast("date")
-    fee = (schedule.where((c("invoice_month") == F.lit(int(month))) & (c("usage_date") <= last_date))
+    last_date = F.to_date(ntz(last_trx))
+    fee = (schedule.where((c("invoice_month") == month_of(month)) & (c("usage_date") <= last_date))
            .groupBy(c("account_id").alias("u_account_id"))
            .agg(F.sum("rifee").alias("u_fee"))
            .withColumn("u_hit", F.lit(True)))
@@ -153,7 +155,7 @@ def upfront_fee_column(final: DataFrame, schedule: DataFrame, month: int, last_t
     return j.withColumn("weighted_upfront_rifee_actual_cost", val).drop("u_account_id", "u_fee", "u_hit")
 
 
-def summary_output(final: DataFrame, last_trx: dt.datetime | None) -> DataFrame:
+def summary_output(final: DataFrame, last_trx: Column | dt.datetime | None) -> DataFrame:
     """AGG7: final grain with rounded sums and the run's last transaction time."""
     return (final.groupBy(*SUMMARY_KEYS)
             .agg(F.round(F.sum("actual_cost"), 4).alias("actual_cost"),

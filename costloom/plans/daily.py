@@ -1,22 +1,24 @@
 """RUN1: the daily job. Hourly bill -> normalised, repriced, amortised, reallocated daily
 cost rows by company, written one invoice month at a time.
 
-Stages are DataFrames. Written as Parquet under the shared checkpoint folder are the
-daily roll-up, which several steps read (kube guard, infra weights, infra split), and the
-small weight tables, whose file sizes then decide how they join. The scalars the flow needs first (row count, billing state,
-last transaction time) come from one aggregate over a column-pruned scan of the filtered
-bill, so the much larger hourly stage flows through once without being written.
+Stages are DataFrames. Written as Parquet under the shared checkpoint folder are the scalars that the
+flow needs first (one aggregate over a column-pruned scan of the filtered bill), the daily roll-up, which
+several steps read (kube guard, infra weights, infra split), and the small weight tables, whose file
+sizes then decide how they join. The much larger hourly stage flows through once without being written.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costloom import constants as K
+from costloom.checks import reconcile as CHK
+from costloom.checks.gates import Gate
 from costloom.functions.columns import c
 from costloom.operators import adhoc as ADH
 from costloom.operators import amortize as AMO
@@ -27,9 +29,8 @@ from costloom.operators import rollup as R
 from costloom.operators import spot as SPT
 from costloom.operators.calendar import month_calendar
 from costloom.operators.normalize import bill_rows, normalize_bill
-from costloom.session import materialize, remove_stages
-from costloom.settings import DEFAULTS, Settings
-from costloom.sources.catalog import Catalog
+from costloom.plans.job import MonthJob, Shares
+from costloom.plans.stats import month_stats
 
 
 def resolve_month(invoice_month: int | None, now: dt.datetime | None = None) -> int:
@@ -43,56 +44,24 @@ def resolve_month(invoice_month: int | None, now: dt.datetime | None = None) ->
     return int(invoice_month)
 
 
-def warnings(job, most: int = 1000) -> dict:
-    """What a run should tell its operator: spot sizes without a price and the companies that
-    off-hours costs went to (at most ``most`` names each: a report, not data)."""
-    names = lambda df: [r[0] for r in df.orderBy(df.columns[0]).limit(most).collect()]
-    companies = ADH.adhoc_companies(job.cat.adhoc_billing, job.month).select("user_company") if job.month else None
-    return {"unmapped_spot_sizes": names(job.unmapped_spot()), "adhoc_companies": names(companies) if companies is not None else []}
-
-
-class DailyJob:
-    def __init__(self, catalog: Catalog, invoice_month: int | None, adhoc_scope: str = "instance",
-                 checkpoint: bool = True, settings: Settings = DEFAULTS):
-        self.cat = catalog
-        self.spark = catalog.spark
-        self.invoice_month = invoice_month
-        self.adhoc_scope = adhoc_scope
-        self.checkpoint = checkpoint
-        self.cfg = settings
-        self.stages: list[str] = []
+class DailyJob(MonthJob):
+    label = "daily"
+    invoice_col = "bill_invoice_id"
 
     @cached_property
     def month(self) -> int:
         return resolve_month(self.invoice_month)
 
-    def _keep(self, df: DataFrame, name: str) -> DataFrame:
-        return materialize(df, f"daily-{self.month}-{name}", self.stages) if self.checkpoint else df
-
-    def _release(self) -> None:
-        """Remove the staged tables and forget everything computed from the inputs (the job can
-        run again and sees them as they are then)."""
-        remove_stages(self.spark, self.stages)
-        for k in [k for k in self.__dict__ if isinstance(getattr(type(self), k, None), cached_property)]:
-            del self.__dict__[k]
-
     # -- (1) scan, normalise, hourly aggregate ------------------------------------------
     @cached_property
     def hourly(self) -> DataFrame:
         return normalize_bill(self.cat.cost_usage_report, self.cat.account_config, self.month, self.cfg)
 
-    @cached_property
-    def scalars(self) -> dict:
-        """Row count, billing state and last transaction time in one aggregate over a
-        column-pruned scan of the filtered bill (the hour roll-up changes none of them),
-        so the hourly stage itself is read once and never materialised."""
+    def _scalar_rows(self) -> DataFrame:
+        """Row count, billing state and last transaction time (the hour roll-up changes none of
+        them, so the hourly stage itself is read once and never written)."""
         rows = bill_rows(self.cat.cost_usage_report, self.cat.account_config, self.month, self.cfg)
-        return FEES.stage_scalars(rows, "line_item_usage_start_date", "line_item_line_item_type",
-                                  "bill_invoice_id", cut_excludes_recurring=True)
-
-    @property
-    def last_trx(self) -> dt.datetime | None:
-        return self.scalars["last_trx"]
+        return FEES.stage_scalars(rows, "line_item_usage_start_date", "line_item_line_item_type", "bill_invoice_id")
 
     def billing_state(self) -> DataFrame:
         """STA1 as a one-row frame, from a column-pruned scan (the hour roll-up keeps the invoice id)."""
@@ -104,8 +73,7 @@ class DailyJob:
                                                "line_item_line_item_type")
 
     def after_spot(self) -> DataFrame:
-        SPT.assert_unique_key(self.cat.price_list, "product_instance_type", "price_list")
-        return SPT.fill_spot_daily(self.after_cut(), self.cat.price_list)
+        return SPT.fill_spot_daily(self.after_cut(), self.cat.price_list, self._watch)
 
     def unmapped_spot(self) -> DataFrame:
         return SPT.unmapped_spot_sizes(SPT.fill_spot_daily(self.after_cut(), self.cat.price_list), self.cat.price_list)
@@ -153,24 +121,16 @@ class DailyJob:
                                 self.month, daily_notes=True, cfg=self.cfg)
 
     @cached_property
-    def kube_enabled(self) -> bool:
-        """Both reference guards: a Regional row with a literal kube product, and kube usage
-        rows for the month (the first matters: replacement targets any weighted product)."""
-        has_rows = not self.backfilled.where(KUB.kube_guard_rows(
-            self.backfilled, "line_item_usage_account_id", "resource_tags_user_company",
-            "resource_tags_user_product", self.cfg)).isEmpty()
-        has_usage = not self.cat.kube_monthly_namespace_usage.where(
-            c("month_id") == F.lit(self.month)).isEmpty()
-        return has_rows and has_usage
-
-    @cached_property
-    def _after_kube(self) -> DataFrame:
-        if not self.kube_enabled:
-            return self.backfilled
-        return KUB.reallocate_kube_daily(self.backfilled, self._keep(self.kube_weights(), "kube"), cfg=self.cfg)
+    def kube_alloc(self) -> DataFrame:
+        """The month's weights, none unless a Regional row carries a literal kube product (the
+        reference's first guard, part of the plan; it matters, as replacement targets any weighted
+        product. Its second guard, usage rows of the month, holds by itself: no rows, no weights)."""
+        guarded = KUB.kube_guard_rows("line_item_usage_account_id", "resource_tags_user_company", "resource_tags_user_product", self.cfg)
+        has_rows = self.backfilled.where(guarded).agg((F.count(F.lit(1)) > 0).alias("has_rows")).scalar()
+        return self._keep(self.kube_weights().where(has_rows), "kube")
 
     def after_kube(self) -> DataFrame:
-        return self._after_kube
+        return KUB.reallocate_kube_daily(self.backfilled, self.kube_alloc, cfg=self.cfg)
 
     # -- (6) upfront fee rows ------------------------------------------------------------------
     def upfront_rows(self) -> DataFrame:
@@ -184,39 +144,47 @@ class DailyJob:
     def infra_weights(self) -> DataFrame:
         return INF.infra_weights_daily(self.after_upfront(), self.cat.azure_cost_summary, self.month, self.cfg)
 
+    @cached_property
+    def infra_alloc(self) -> DataFrame:
+        return self._keep(self.infra_weights(), "infra")
+
     def after_infra(self) -> DataFrame:
-        return INF.redistribute_infra_daily(self.after_upfront(), self._keep(self.infra_weights(), "infra"), self.cfg)
+        return INF.redistribute_infra_daily(self.after_upfront(), self.infra_alloc, self.cfg)
 
     # -- (999) output ----------------------------------------------------------------------------
     def output(self) -> DataFrame:
         return R.daily_output(self.after_infra())
 
+    def gates(self, written: DataFrame) -> list[Gate]:
+        """Infra weights add up to one (CHK3), and the split leaves the cost as it was (CHK4)."""
+        total = self.infra_alloc.agg(F.sum("retail_weight").alias("w"), F.count(F.lit(1)).alias("n")).first()
+        out = [*self.adhoc_gates(), Shares(total["w"], total["w"] or Decimal(0), total["n"]).gate()]
+        sides = {r["src"]: r for r in CHK.infra_totals_daily(self.after_upfront(), written, self.cfg).collect()}
+        # each written row is rounded once at the scale of the measure
+        for m in ("line_item_unblended_cost", "pricing_public_on_demand_cost", "line_item_usage_amount") if total["n"] else ():
+            before, after = (sides[k][m] if k in sides else None for k in ("ORIGINAL", "ALLOCATED"))
+            out.append(Gate(f"infra {m}", after, before, max(Decimal("0.001"), abs(before or 0) * Decimal("1e-9"))))
+        return out
+
+    def _empty(self) -> dict | None:
+        if self.scalars["rows"]:
+            return None
+        return {"invoice_month": self.month, "error": f"No bill rows exist for invoice month {self.month}", "row_count": 0}
+
+    def _status(self) -> dict:
+        return {"invoice_month": self.month, "trx_source": self.scalars["trx_source"], "error": ""}
+
     def run(self, target: str | None = None, mode: str = "PROCESS_DATA") -> dict:
         """``PROCESS_DATA`` (any case): compute and, if ``target``, replace the month in the target
         dataset. ``STATS_ONLY``: the month's stats from the target, nothing recomputed."""
-        from costloom.plans.sink import replace_month
-        from costloom.plans.stats import month_stats
         if mode.upper() == "STATS_ONLY":
             return daily_stats_only(self.spark, target, self.month)
         if mode.upper() != "PROCESS_DATA":
             raise ValueError(f"mode must be PROCESS_DATA or STATS_ONLY, not {mode!r}")
-        if self.scalars["rows"] == 0:
-            return {"invoice_month": self.month, "error": f"No bill rows exist for invoice month {self.month}",
-                    "row_count": 0}
-        status = {"invoice_month": self.month, "trx_source": self.scalars["trx_source"], "error": ""}
-        try:
-            out = self.output().withColumn("t_created_date", F.current_timestamp().cast("timestamp_ntz"))
-            if target:
-                replace_month(out, target, self.month)
-                status.update(month_stats(self.spark, target, self.month, invoice_col="bill_invoice_id"))
-            status.update(warnings(self))
-        finally:
-            self._release()
-        return status
+        return super().run(target)
 
 
 def daily_stats_only(spark, target: str, invoice_month: int | None) -> dict:
     """``STATS_ONLY`` mode: the month's stats from the target, nothing recomputed."""
-    from costloom.plans.stats import month_stats
     m = resolve_month(invoice_month)
     return {"invoice_month": m, **month_stats(spark, target, m, invoice_col="bill_invoice_id")}

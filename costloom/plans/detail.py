@@ -9,56 +9,43 @@ split both read it."""
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costloom import constants as K
+from costloom.checks.gates import Gate
 from costloom.operators import adhoc as ADH
 from costloom.operators import fees as FEES
 from costloom.operators import infra as INF
 from costloom.operators import rollup as R
 from costloom.operators import spot as SPT
 from costloom.operators.calendar import month_calendar
-from costloom.operators.normalize import latest_month, normalize_detail
-from costloom.session import materialize, remove_stages
-from costloom.settings import DEFAULTS, Settings
+from costloom.operators.normalize import latest_month, normalize_detail, transaction_rows
+from costloom.plans.job import MonthJob
 from costloom.sources.catalog import Catalog
 
 
 def resolve_latest(cat: Catalog, invoice_month: int | None, estimated: bool = False) -> int | None:
-    """MON2: NULL/0 -> the latest month present in the transactions."""
+    """MON2: NULL/0 -> the latest month present in the transactions (None if there are none)."""
     if invoice_month:
         return int(invoice_month)
     trx = cat.usage_transaction_estimated if estimated else cat.usage_transaction
     return latest_month(trx).first()["invoice_month"]
 
 
-class DetailJob:
-    def __init__(self, catalog: Catalog, invoice_month: int | None, adhoc_scope: str = "instance",
-                 checkpoint: bool = True, settings: Settings = DEFAULTS):
-        self.cat = catalog
-        self.spark = catalog.spark
-        self.invoice_month = invoice_month
-        self.adhoc_scope = adhoc_scope
-        self.checkpoint = checkpoint
-        self.cfg = settings
-        self.stages: list[str] = []
+class DetailJob(MonthJob):
+    label = "detail"
 
     @cached_property
     def month(self) -> int | None:
+        """A month that is not given is looked up, which is an action."""
         return resolve_latest(self.cat, self.invoice_month)
 
-    def _keep(self, df: DataFrame, name: str) -> DataFrame:
-        return materialize(df, f"detail-{self.month}-{name}", self.stages) if self.checkpoint else df
-
-    def _release(self) -> None:
-        """Remove the staged tables and forget everything computed from the inputs (the job can
-        run again and sees them as they are then)."""
-        remove_stages(self.spark, self.stages)
-        for k in [k for k in self.__dict__ if isinstance(getattr(type(self), k, None), cached_property)]:
-            del self.__dict__[k]
+    def _scalar_rows(self) -> DataFrame:
+        return transaction_rows(self.cat.usage_transaction, self.cat.account_config, self.month).agg(F.count(F.lit(1)).alias("rows"))
 
     def latest_month(self) -> DataFrame:
         return latest_month(self.cat.usage_transaction)
@@ -66,11 +53,10 @@ class DetailJob:
     def normalized(self) -> DataFrame:
         c = self.cat
         return normalize_detail(c.usage_transaction, c.account_config, c.rifee, c.resource_user,
-                                c.resource_tag, self.month)
+                                c.resource_tag, self.month, keep=self._keep)
 
     def after_spot(self) -> DataFrame:
-        SPT.assert_unique_key(self.cat.price_list, "product_instance_type", "price_list")
-        return SPT.reprice_spot_detail(self.normalized(), self.cat.price_list)
+        return SPT.reprice_spot_detail(self.normalized(), self.cat.price_list, self._watch)
 
     def after_zero(self) -> DataFrame:
         return FEES.drop_rounded_zero(self.after_spot(), "retail_cost", 8)
@@ -99,20 +85,26 @@ class DetailJob:
     def infra_weights(self) -> DataFrame:
         return INF.infra_weights_monthly(self.rolled, self.cat.azure_cost_summary, self.month, self.cfg)
 
+    @cached_property
+    def infra_alloc(self) -> DataFrame:
+        return self._keep(self.infra_weights(), "infra")
+
     def after_infra(self) -> DataFrame:
-        return INF.redistribute_infra_detail(self.rolled, self._keep(self.infra_weights(), "infra"), self.cfg)
+        return INF.redistribute_infra_detail(self.rolled, self.infra_alloc, self.cfg)
 
     def output(self) -> DataFrame:
         return R.detail_output(self.after_infra())
 
-    def run(self, target: str | None = None) -> dict:
-        from costloom.plans.sink import replace_month
-        status = {"invoice_month": self.month}
-        try:
-            out = self.output().withColumn("t_created_date", F.current_timestamp().cast("timestamp_ntz"))
-            if target:
-                replace_month(out, target, self.month)
-                status["row_count"] = self.spark.read.parquet(f"{target}/invoice_month={self.month}").count()
-        finally:
-            self._release()
-        return status
+    def gates(self, written: DataFrame) -> list[Gate]:
+        """Infra weights add up to one (CHK3); the written shares hold the cost that was split, less the
+        share of infrastructure itself, which the job drops (CHK4). Rows are written at four places."""
+        return [*self.adhoc_gates(), *self.infra_gates(self.rolled, written.where(F.col("note") == K.NOTE_INFRA_DETAIL), ("retail_cost",), Decimal("0.00005"))]
+
+    def _empty(self) -> dict | None:
+        """Before anything else, as a run over no transactions has no month either."""
+        if self.month is not None and self.scalars["rows"]:
+            return None
+        return {"invoice_month": self.month, "row_count": 0, "error": "No transactions exist" if self.month is None else f"No transactions for invoice month {self.month}"}
+
+    def _status(self) -> dict:
+        return {"invoice_month": self.month, "error": ""}

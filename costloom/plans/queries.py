@@ -132,6 +132,7 @@ def _check_specs() -> list[QuerySpec]:
     config-only weight totals CHK2/CHK6 are covered by tests)."""
     from costloom import constants as K
     from costloom.checks import reconcile as CHK
+    from costloom.plans.sink import read_target
     from costloom.plans.stats import month_stats_frame
     from oracle import checks as OC
 
@@ -148,10 +149,10 @@ def _check_specs() -> list[QuerySpec]:
 
     def written(s, job) -> DataFrame:
         """The month as the job's sink leaves it."""
-        from costloom.session import stage_root
-        target = f"{stage_root(s)}/target-{uuid.uuid4().hex}"
+        from costloom.session import own, stage_root
+        target = own(s, f"{stage_root(s)}/target-{uuid.uuid4().hex}")
         job.run(target)
-        return s.read.parquet(target)
+        return read_target(s, target)
 
     def stt1(s, d):
         return month_stats_frame(written(s, daily_job(s, d)), FX.DAILY_MONTH).drop("created_date")

@@ -6,6 +6,7 @@ import os
 from decimal import Decimal
 
 from conftest import SF001, SF01
+from costloom.plans.sink import read_target
 from costloom.checks import reconcile as CHK
 from costloom.plans.queries import daily_job, detail_job, summary_job
 from costloom.plans.summary import SummaryJob
@@ -65,5 +66,5 @@ def test_chk10_rows_per_month_and_source(spark, scratch):
     target = os.path.join(scratch, "summary")
     SummaryJob(cat, "ACTUAL", 199801).run(target)
     SummaryJob(cat, "ESTIMATED").run(target)
-    counts = {(r.invoice_month, r.trx_source): r.n for r in CHK.rows_per_month(spark.read.parquet(target)).collect()}
+    counts = {(r.invoice_month, r.trx_source): r.n for r in CHK.rows_per_month(read_target(spark, target)).collect()}
     assert set(counts) == {(199801, "ACTUAL"), (199802, "ESTIMATED")}

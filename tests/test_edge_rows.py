@@ -160,8 +160,18 @@ def test_q22_duplicate_price_key_is_refused(spark):
                        "('c5.large', CAST(0.2 AS DECIMAL(18,8))) AS t(product_instance_type, pricing_public_on_demand_rate)")
     cur = cur_rows(spark, {"line_item_usage_type": "APS1-SpotUsage:c5.large"})
     job = DailyJob(catalog(spark, cost_usage_report=cur, price_list=prices), 202401)
-    with pytest.raises(ValueError, match="not unique"):
-        job.after_spot()
+    priced = job.after_spot()          # the plan raises, when it meets the key
+    with pytest.raises(Exception, match="price_list: key product_instance_type=c5.large is not unique"):
+        priced.collect()
+
+
+def test_repeated_null_price_keys_match_nothing(spark):
+    prices = spark.sql("SELECT * FROM VALUES ('c5.large', CAST(0.1 AS DECIMAL(18,8))), (CAST(NULL AS STRING), CAST(0.2 AS DECIMAL(18,8))), "
+                       "(NULL, CAST(0.3 AS DECIMAL(18,8))) AS t(product_instance_type, pricing_public_on_demand_rate)")
+    cur = cur_rows(spark, {"line_item_usage_type": "APS1-SpotUsage:c5.large", "line_item_usage_amount": D("10")},
+                   {"product_instance_type": None, "resource_tags_user_name": "null"})
+    rows = {r.resource_tags_user_name: r for r in DailyJob(catalog(spark, cost_usage_report=cur, price_list=prices), 202401).after_spot().collect()}
+    assert rows["i-9"].pricing_public_on_demand_cost == Decimal("1") and rows["null"].pricing_public_on_demand_cost == Decimal("15")
 
 
 def test_spot_pricing_daily(spark):

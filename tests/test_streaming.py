@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 
 from conftest import SF001
+from costloom.plans.sink import read_target
 from costloom.plans.daily import DailyJob
 from costloom.sources import fixture_defs as FX
 from costloom.sources.catalog import DictCatalog, FixtureCatalog
@@ -20,11 +21,11 @@ def test_drops_trigger_month_rerun(spark, scratch):
     target = os.path.join(scratch, "daily")
     q = watch_bill_drops(spark, drops, bill.schema, lambda m: cat, target, os.path.join(scratch, "ckpt"))
     q.awaitTermination(600)
-    written = spark.read.parquet(target)
+    written = read_target(spark, target)
     assert {r.invoice_month for r in written.select("invoice_month").distinct().collect()} == {FX.DAILY_MONTH}
     assert written.count() == DailyJob(cat, FX.DAILY_MONTH).output().count()
     # a second trigger with no new files does nothing and leaves the month as it was
     n = written.count()
     q2 = watch_bill_drops(spark, drops, bill.schema, lambda m: cat, target, os.path.join(scratch, "ckpt"))
     q2.awaitTermination(600)
-    assert spark.read.parquet(target).count() == n
+    assert read_target(spark, target).count() == n
