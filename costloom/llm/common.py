@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from costloom.session import materialize
 
-__all__ = ["materialize", "read_table", "documents", "remainder", "slices", "PackedTable", "heaviest", "pack_table", "shuffle_width", "sum_vectors", "vector_rows"]
+__all__ = ["materialize", "read_table", "documents", "remainder", "slices", "Store", "PackedTable", "heaviest", "pack_table", "shuffle_width", "sum_vectors", "vector_rows"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,7 +24,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def documents(df: DataFrame, *extra: str) -> DataFrame:
     """Only the columns an operator works on, so further columns of the caller (whatever
-    their names) cannot clash with its own; a null text counts as the empty text."""
+    their names) cannot clash with its own; a null text counts as the empty text. Texts are long rows: where
+    the session still has Spark's 10,000 rows an Arrow batch, batches of 1,000 bound what a task holds."""
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) == 10_000:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return df.select(F.col("doc_id").cast("long").alias("doc_id"),
                      F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *extra)
 
@@ -51,15 +55,40 @@ def key_hash(keys: list[bytes]) -> np.ndarray:
     return np.fromiter((digest(k) for k in keys), np.uint64, len(keys))
 
 
+class Store(dict):
+    """What a worker remembers between texts: at most about ``limit`` recent entries and as many
+    before them. Entries that are used again move on, so the frequent ones stay."""
+
+    def __init__(self, limit: int):
+        super().__init__()
+        self.limit, self.older = limit, {}
+
+    def lacking(self, keys: Iterable) -> list:
+        """The keys that must be made; makes room for them first."""
+        if len(self) > self.limit:
+            self.older = dict(self)
+            self.clear()
+        out = []
+        for k in set(keys):
+            if k not in self:
+                if k in self.older:
+                    self[k] = self.older[k]
+                else:
+                    out.append(k)
+        return out
+
+
 @dataclass
 class PackedTable:
     """A lookup table as sorted key hashes with aligned value arrays: about 8 bytes a key
-    plus its values, shared by all tasks of an executor's worker as one broadcast."""
+    plus its values, shared by all tasks of an executor's worker as one broadcast. ``known``
+    is a bounded store that a worker keeps beside it."""
 
     hashes: np.ndarray
     values: dict[str, np.ndarray] = field(default_factory=dict)
     offsets: np.ndarray | None = None
     payload: np.ndarray | None = None
+    known: Store = field(default_factory=lambda: Store(150_000))
 
     def find(self, keys: list[bytes]) -> np.ndarray:
         """Row of each key, or -1."""
