@@ -32,12 +32,21 @@ def main() -> None:
     from costloom.sources import fixture_defs as FX
     from costloom.sources.catalog import DictCatalog
 
+    fx = Q.fixture_catalog(spark, sf_dir)
+    # Every line item is a transaction of the detail month (the estimated table, four weeks
+    # earlier), so detail and ACTUAL work on all rows as ESTIMATED does. The inputs are written as
+    # Parquet before any clock runs, as jobs find them; the bill by month.
+    estimated = fx.usage_transaction_estimated
+    inputs = {"usage_transaction": estimated.withColumn("usage_start_date", F.expr("usage_start_date - INTERVAL 28 DAYS")),
+              "usage_transaction_estimated": estimated, "cost_usage_report": fx.cost_usage_report,
+              "resource_user": fx.resource_user, "resource_user_estimated": fx.resource_user_estimated, "resource_tag": fx.resource_tag}
+    root = f"{stage_root(spark)}/bench-{os.getpid()}"
+    for name, df in inputs.items():
+        out = df.repartition(int(cpus)).write
+        (out.partitionBy("invoice_month") if name == "cost_usage_report" else out).parquet(f"{root}/in/{name}")
+
     def catalog():
-        """Every line item is a transaction of the detail month (the estimated table, four weeks
-        earlier), so detail and ACTUAL work on all rows as ESTIMATED does."""
-        fx = Q.fixture_catalog(spark, sf_dir)
-        trx = fx.usage_transaction_estimated.withColumn("usage_start_date", F.expr("usage_start_date - INTERVAL 28 DAYS"))
-        return DictCatalog(spark, {"usage_transaction": trx}, fallback=fx)
+        return DictCatalog(spark, {n: spark.read.parquet(f"{root}/in/{n}") for n in inputs}, fallback=fx)
 
     jobs = {
         "run1_daily": lambda: DailyJob(catalog(), FX.DAILY_MONTH),
@@ -45,7 +54,7 @@ def main() -> None:
         "run3_actual": lambda: SummaryJob(catalog(), "ACTUAL", FX.DETAIL_MONTH),
         "run3_estimated": lambda: SummaryJob(catalog(), "ESTIMATED"),
     }
-    target = f"{stage_root(spark)}/bench"
+    target = f"{root}/out"
     # warm-up: one untimed run of every job (JVM JIT, parquet footers, codegen caches)
     for name, build in jobs.items():
         build().run(f"{target}-{name}")
