@@ -82,27 +82,26 @@ def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 def _align_batches(batches: Iterator[pa.RecordBatch], t: Tokenizers) -> Iterator[pa.RecordBatch]:
     import sentencepiece
-    encode_a = t.a.encoder(True, 400_000)
+    encode_a = t.a.encoder(True, 300_000)
     encode_b = sentencepiece.SentencePieceProcessor(model_proto=t.b_file)
     a_len, b_len = (np.array(list(map(len, s)), np.int64) for s in (t.a.spelling, t.b_spelling))
     none = np.empty(0, np.int64)
-    for batch in slices(batches):
+    for batch in slices(batches, max_bytes=1 << 20):
         texts = batch.column("text").to_pylist()
         a_ids, b_ids = [], []
         for text, ids in zip(texts, encode_b.encode(texts, num_threads=1)):
             raw = (" " + text).encode()
-            if not text or b"".join(map(t.b_spelling.__getitem__, ids)) != raw:
-                a_ids.append(none), b_ids.append(none)
-                continue
-            own = np.frombuffer(encode_a(" " + text), "<u4").astype(np.int64)
-            if b"".join(map(t.a.spelling.__getitem__, own.tolist())) != raw:
+            own = np.frombuffer(encode_a(" " + text), "<u4").astype(np.int64) if text else none
+            # A's tokens are cut from the bytes themselves, so their total length tells
+            if not text or int(a_len[own].sum()) != len(raw) or b"".join(map(t.b_spelling.__getitem__, ids)) != raw:
                 own, ids = none, none
             a_ids.append(own), b_ids.append(np.array(ids, np.int64))
         a_n, b_n = (np.array(list(map(len, x)), np.int64) for x in (a_ids, b_ids))
         a, b = np.concatenate(a_ids), np.concatenate(b_ids)
         a_end, b_end = np.cumsum(a_len[a]), np.cumsum(b_len[b])
-        both = np.intersect1d(a_end, b_end, assume_unique=True)
-        a_cut, b_cut = np.searchsorted(a_end, both) + 1, np.searchsorted(b_end, both) + 1
+        at = np.minimum(np.searchsorted(b_end, a_end), max(len(b_end) - 1, 0))
+        both = b_end[at] == a_end
+        a_cut, b_cut = np.flatnonzero(both) + 1, at[both] + 1
         groups = np.diff(np.searchsorted(a_cut, np.concatenate([[0], np.cumsum(a_n)]), "right"))
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _lists(a, a_n), _lists(b, b_n),
                                           _lists(np.diff(a_cut, prepend=0), groups), _lists(np.diff(b_cut, prepend=0), groups)],
@@ -142,7 +141,8 @@ def _link_batches(batches: Iterator[pa.RecordBatch], t: Tokenizers) -> Iterator[
             digests.append(hashlib.sha256(b"".join(words[word[z - n:z]].tolist())[:-1]).hexdigest() if n else "")
         # links: stretches between ends of either side
         a_end, b_end = np.cumsum(a_len[a]), np.cumsum(b_len[b])
-        cuts = np.union1d(a_end, b_end)
+        cuts = np.sort(np.concatenate([a_end, b_end]), kind="stable")
+        cuts = cuts[np.diff(cuts, prepend=-1) > 0]
         i, j = np.searchsorted(a_end, cuts), np.searchsorted(b_end, cuts)
         doc = np.repeat(np.arange(len(a_n)), a_n)[i]
         left, right = a[i], b[j]

@@ -8,7 +8,7 @@ A word costs O(n log n) whatever its length. ``decode`` concatenates vocabulary
 them as UTF-8 (a broken sequence becomes U+FFFD).
 
 Rows are independent: one pass, no shuffle. The model (a vocabulary, whatever the corpus) is
-broadcast; a worker remembers the ids of at most ``remember`` words between texts and works through a
+broadcast; a worker remembers the ids of about ``remember`` recent pieces and as many before them, and works through a
 batch in parts of 2 MB, so its memory does not follow the corpus.
 
 Defined cases: a null text is the empty text, which has no ids and decodes to the empty text; an
@@ -32,7 +32,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from costloom.llm.common import documents, slices
+from costloom.llm.common import Store, documents, slices
 
 #: Fixed value: the split rule of byte-level models.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -105,36 +105,40 @@ def load_model(path: str) -> ByteModel:
 
 
 def merge(symbols: list[int], merges: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
-    """The symbols after all merges."""
-    n = len(symbols)
+    """The symbols after all merges. A queue entry is rank * 2^32 + place."""
+    n, get = len(symbols), merges.get
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    queue = [(m[0], i, m[1]) for i, pair in enumerate(zip(symbols, symbols[1:])) if (m := merges.get(pair))]
+    queue = [(m[0] << 32) + i for i, pair in enumerate(zip(symbols, symbols[1:])) if (m := get(pair))]
     heapq.heapify(queue)
     while queue:
-        rank, i, merged = heapq.heappop(queue)
+        entry = heapq.heappop(queue)
+        i = entry & 0xFFFFFFFF
         j = after[i]
-        if symbols[i] < 0 or j >= n or merges.get((symbols[i], symbols[j]), (-1,))[0] != rank:
+        if j >= n or symbols[i] < 0 or not (m := get((symbols[i], symbols[j]))) or m[0] != entry >> 32:
             continue  # stale
+        merged = m[1]
         symbols[i], symbols[j] = merged, -1
         after[i] = k = after[j]
         if k < n:
             before[k] = i
-            m = merges.get((merged, symbols[k]))
-            if m:
-                heapq.heappush(queue, (m[0], i, m[1]))
+            if m := get((merged, symbols[k])):
+                heapq.heappush(queue, (m[0] << 32) + i)
         h = before[i]
-        if h >= 0:
-            m = merges.get((symbols[h], merged))
-            if m:
-                heapq.heappush(queue, (m[0], h, m[1]))
+        if h >= 0 and (m := get((symbols[h], merged))):
+            heapq.heappush(queue, (m[0] << 32) + h)
     return [s for s in symbols if s >= 0]
 
 
+#: A longer piece is merged anew wherever it occurs, so the store holds no long strings.
+LONG_PIECE = 64
+
+
 class Encoder:
-    """Encodes texts in a task. With ``whole`` the strings of added tokens are ordinary text."""
+    """Encodes texts in a task. With ``whole`` the strings of added tokens are ordinary text.
+    Remembers the ids of the split rule's pieces."""
 
-    def __init__(self, model: ByteModel, whole: bool = False, remember: int = 400_000):
-        self.model, self.remember, self.words = model, remember, {}
+    def __init__(self, model: ByteModel, whole: bool = False, remember: int = 300_000):
+        self.model, self.known = model, Store(remember)
         self.added = None if whole or not model.added else re.compile("(" + "|".join(map(re.escape, sorted(model.added, key=len, reverse=True))) + ")")
 
     def pieces(self, text: str) -> list[str]:
@@ -142,18 +146,20 @@ class Encoder:
             return [text[m.start():m.end()] for m in _SPLIT.finditer(_YOUNGER.sub(PRIVATE, text))]
         return _SPLIT.findall(text)
 
+    def _merged(self, piece: str) -> bytes:
+        single = self.model.single
+        return np.array(merge([single[b] for b in piece.encode()], self.model.merges), "<u4").tobytes()
+
     def _plain(self, text: str) -> bytes:
-        found, words = self.pieces(text), self.words
+        """The ids of a text by its pieces."""
+        found, known = self.pieces(text), self.known
         try:
-            return b"".join(map(words.__getitem__, found))
+            return b"".join(map(known.__getitem__, found))
         except KeyError:
-            if len(words) > self.remember:
-                words.clear()
-            single, merges = self.model.single, self.model.merges
-            for w in set(found):
-                if w not in words:
-                    words[w] = np.array(merge([single[b] for b in w.encode()], merges), "<u4").tobytes()
-            return b"".join(map(words.__getitem__, found))
+            long = {}
+            for p in known.lacking(found):
+                (known if len(p) <= LONG_PIECE else long)[p] = self._merged(p)
+            return b"".join(long[p] if p in long else known[p] for p in found)
 
     def __call__(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
@@ -180,7 +186,7 @@ def _fields(df: DataFrame) -> str:
     return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
 
 
-def encode(docs: DataFrame, model: ByteModel, keep: tuple[str, ...] = (), decoded: bool = False, whole: bool = False, remember: int = 400_000,
+def encode(docs: DataFrame, model: ByteModel, keep: tuple[str, ...] = (), decoded: bool = False, whole: bool = False, remember: int = 300_000,
            then: tuple[Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], str] | None = None) -> DataFrame:
     """(doc_id, text, the columns of ``keep``, ids) for every row of ``docs`` (doc_id, text); with
     ``decoded`` also what ``decode`` gives. ``then`` is a function over the batches of that result
