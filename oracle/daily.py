@@ -7,10 +7,13 @@ from oracle import sqltext as T
 
 MEASURES = ("line_item_unblended_cost", "pricing_public_on_demand_cost", "line_item_usage_amount")
 _MONEY = {m: T.MONEY for m in MEASURES}
-COPIED = ("invoice_month bill_billing_entity line_item_usage_account_id bill_invoice_id line_item_usage_start_date line_item_line_item_type "
-          "line_item_usage_type line_item_unblended_rate line_item_line_item_description line_item_resource_id reservation_reservation_a_r_n "
-          "savings_plan_savings_plan_a_r_n product_product_name product_instance_type product_instance_type_family pricing_public_on_demand_rate "
-          "pricing_unit resource_tags_user_name").split()
+# FIXED VALUES: the bill's columns that pass as they are.
+COPIED = (
+    "invoice_month", "bill_billing_entity", "line_item_usage_account_id", "bill_invoice_id", "line_item_usage_start_date",
+    "line_item_line_item_type", "line_item_usage_type", "line_item_unblended_rate", "line_item_line_item_description",
+    "line_item_resource_id", "reservation_reservation_a_r_n", "savings_plan_savings_plan_a_r_n", "product_product_name",
+    "product_instance_type", "product_instance_type_family", "pricing_public_on_demand_rate", "pricing_unit", "resource_tags_user_name",
+)
 SHARED = (f"r.bill_billing_entity = 'AWS' AND r.usage_account_name = '{T.SHARED_ACCOUNT}' AND r.resource_tags_user_company = '{T.SHARED_COMPANY}'")
 SPOT = "r.line_item_line_item_type = 'Usage' AND contains(r.line_item_usage_type, 'Spot')"
 
