@@ -4,7 +4,7 @@
    other characters, with the spaces before it; the model's pieces never reach across a
    unit's border (``unit_pattern`` makes sure), so a text's ids are the ids of its units in
    order.
-2. ``lattice``: explode every substring of a unit up to the longest piece, equi-join it to
+2. ``lattice``: explode every substring of a unit that may be a piece by its first three characters, equi-join it to
    the piece table, group the edges by unit, and fold them with a Spark higher-order
    ``aggregate``. The units arrive hash-partitioned from step 1 and the piece table (its
    size is the model's vocabulary) is broadcast, so explode, join and grouping need no
@@ -47,6 +47,7 @@ from costloom.llm.common import documents, materialize, pack_table, shuffle_widt
 
 SPACE = "▁"
 NORMAL, UNKNOWN, BYTE = 1, 2, 6
+HEAD = 3
 
 
 @dataclass
@@ -74,6 +75,15 @@ class PieceModel:
         rows = [(p, i, float(s if self.kind == "unigram" else -s)) for p, i, s in self.pieces]
         return spark.createDataFrame(rows, "piece string, id int, weight double")
 
+    def reach(self) -> list[tuple[str, int]]:
+        """The length of the longest piece by its first ``HEAD`` characters; a start with another head
+        begins no piece as long as that."""
+        out: dict[str, int] = {}
+        for p in self.ids:
+            if len(p) >= HEAD:
+                out[p[:HEAD]] = max(len(p), out.get(p[:HEAD], 0))
+        return list(out.items())
+
     def spell(self, token: str) -> list[int]:
         """Ids of a token that may have no piece."""
         i = self.ids.get(token)
@@ -154,6 +164,10 @@ def merge_by_rank(unit: str, model: PieceModel) -> list[str]:
     return [unit[s:e] for s, e in enumerate(end) if e]
 
 
+#: A longer unit is looked up anew wherever it occurs, so the store holds no long strings.
+LONG_UNIT = 64
+
+
 def units(text: str, pattern: re.Pattern) -> list[str]:
     return pattern.findall(" " + text.replace(SPACE, " ")) if text else []
 
@@ -170,11 +184,11 @@ def count_units(docs: DataFrame, pattern: re.Pattern, max_pending: int = 300_000
             seen.clear()
             return out
 
-        for b in batches:
+        for b in slices(batches):
             for t in b.column("text").to_pylist():
                 seen.update(units(t, pattern))
-                if len(seen) > max_pending:
-                    yield flush()
+            if len(seen) > max_pending:
+                yield flush()
         if seen:
             yield flush()
 
@@ -232,9 +246,12 @@ def lattice(unit_counts: DataFrame, model: PieceModel, long_unit: int = 256) ->
     for p in model.odd:
         odd = odd | F.contains("unit", F.lit(p))
     apart = (size > long_unit) | odd if model.kind == "bpe" else F.lit(False)
-    edges = (unit_counts.where(~apart)
-             .select("unit", "n", F.explode(F.sequence(F.lit(0), size - 1)).alias("start"))
-             .select("unit", "n", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(model.longest), size - F.col("start")))).alias("len"))
+    reach = F.broadcast(spark.createDataFrame(model.reach(), "head string, reach int"))
+    starts = (unit_counts.where(~apart)
+              .select("unit", "n", F.explode(F.sequence(F.lit(0), size - 1)).alias("start"))
+              .withColumn("head", F.substring("unit", F.col("start") + 1, F.lit(HEAD)))
+              .join(reach, "head", "left"))
+    edges = (starts.select("unit", "n", "start", F.explode(F.sequence(F.lit(1), F.least(F.coalesce("reach", F.lit(HEAD - 1)), size - F.col("start")))).alias("len"))
              .select("unit", "n", "start", (F.col("start") + F.col("len")).alias("end"),
                      F.substring("unit", F.col("start") + 1, F.col("len")).alias("piece")))
     least = 2 if model.kind == "bpe" else 1
@@ -317,22 +334,26 @@ def encode(docs: DataFrame, model: PieceModel, broadcast_units: int = 8_000_000,
     pattern, spelling = model.pattern, spark.sparkContext.broadcast(spellings(model) if decoded else [])
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t, cache = packed.value, {}
+        t, numbers = packed.value, np.dtype(kind)
+        known = t.known  # ids of units, None beyond the broadcast; shared by a worker's tasks
+
+        def fetch(found: list[str]) -> dict[str, bytes | None]:
+            rows = t.find([u.replace(" ", SPACE).encode() for u in found]).tolist()
+            return {u: t.payload[t.offsets[i]:t.offsets[i + 1]].tobytes() if i >= 0 else None for u, i in zip(found, rows)}
+
         for b in slices(batches):
             lists = [units(x, pattern) for x in b.column("text").to_pylist()]
-            if len(cache) > 200_000:
-                cache.clear()
             extra = b.column("extra").to_pylist() if "extra" in b.schema.names else [None] * len(lists)
-            new = [u for u in set().union(*lists) if u not in cache]
-            for u, i in zip(new, t.find([u.replace(" ", SPACE).encode() for u in new]).tolist()):
-                cache[u] = t.payload[t.offsets[i]:t.offsets[i + 1]].tobytes() if i >= 0 else None
+            got = fetch(known.lacking(u for us in lists for u in us))
+            long = {u: x for u, x in got.items() if len(u) > LONG_UNIT}
+            known.update((u, x) for u, x in got.items() if u not in long)
             ids, missing = [], []
             for us, more in zip(lists, extra):
-                own = {e["unit"].replace(SPACE, " "): np.array(e["ids"], kind).tobytes() for e in more} if more else {}
-                got = [own[u] if u in own else cache[u] for u in us] if own else list(map(cache.__getitem__, us))
-                lost = [u for u, g in zip(us, got) if g is None] if None in got else []
-                missing.append(list({u.replace(" ", SPACE) for u in lost}))
-                ids.append(None if lost else np.frombuffer(b"".join(got), kind).astype("<i4"))
+                own = long | {e["unit"].replace(SPACE, " "): np.array(e["ids"], numbers).tobytes() for e in more} if more else long
+                found = [own[u] if u in own else known[u] for u in us] if own else list(map(known.__getitem__, us))
+                lost = sorted({u.replace(" ", SPACE) for u, x in zip(us, found) if x is None}) if None in found else []
+                ids.append(None if lost else np.frombuffer(b"".join(found), numbers).astype("<i4"))
+                missing.append(lost)
             back = [[None if x is None else decode_ids(x.tolist(), spelling.value) for x in ids]] if decoded else []
             yield pa.RecordBatch.from_arrays(
                 [*[b.column(c) for c in names], pa.array(ids, pa.list_(pa.int32())), *[pa.array(x, pa.string()) for x in back], pa.array(missing, pa.list_(pa.string()))],
