@@ -12,11 +12,9 @@ from pyspark.sql.types import DecimalType
 MONEY = DecimalType(28, 12)          # cost / quantity inside the jobs
 WEIGHT = DecimalType(24, 16)         # allocation weight (credits can make a share exceed 1)
 DEC38_8 = DecimalType(38, 8)         # detail / summary cost columns
-DEC19_8 = DecimalType(19, 8)         # dividend of weights (detail, summary)
-TOTAL = DecimalType(22, 12)          # both sides of a share: a quotient keeps 16 places
+DIVIDEND = DecimalType(24, 8)        # dividend of weights (detail, summary)
 DEC38_15 = DecimalType(38, 15)       # daily output measures
 RATE = DecimalType(19, 10)           # daily output rates
-DIVIDED = DecimalType(18, 8)         # factor of a (19,8) amount: the product is exact in 38 digits
 PERCENT = DecimalType(16, 10)        # summary retail percent (credits can make it exceed 10)
 LISTED = DecimalType(14, 8)          # listed hourly rate, narrow enough for exact products
 SPOT_RATE = DecimalType(8, 4)        # summary spot rate (rounds to 4 places)

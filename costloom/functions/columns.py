@@ -86,6 +86,35 @@ def scaled(measure: Column, weight: Column, dtype=K.MONEY) -> Column:
     return (measure.cast(narrow) * weight).cast(dtype)
 
 
+def times_over(part: Column, factor: Column, total: Column) -> Column:
+    """``part * factor / total`` of whole numbers in DECIMAL(38,0), half up to a whole number. The product
+    needs more than 38 digits once totals are large, so it is divided digit by digit in base 10**8: exact
+    for a part and a total of up to 28 digits and a factor of up to 28."""
+    whole, base = DecimalType(38, 0), 10 ** 8
+    zero, base_of = F.lit(Decimal(0)).cast(whole), F.lit(Decimal(base))
+    p, f, t = F.abs(part), F.abs(factor), F.abs(total)
+    below = [p % F.lit(Decimal(base ** k)) for k in range(1, 5)]
+    digits = F.array(*[((below[k] - below[k - 1]) / F.lit(Decimal(base ** k))).cast(whole) for k in (3, 2, 1)], below[0].cast(whole))
+
+    def step(acc: Column, digit: Column) -> Column:
+        due = (acc["rest"] * base_of + digit * f).cast(whole)
+        rest = (due % t).cast(whole)
+        return F.struct((acc["found"] * base_of + (due - rest) / t).cast(whole).alias("found"), rest.alias("rest"))
+
+    size = F.aggregate(digits, F.struct(zero.alias("found"), zero.alias("rest")), step,
+                       lambda acc: acc["found"] + F.when(acc["rest"] * 2 >= t, 1).otherwise(0)).cast(whole)
+    return F.when(((part < 0) != (factor < 0)) != (total < 0), -size).otherwise(size)
+
+
+def units(amount: Column, places: int) -> Column:
+    """An amount as a whole number of its last place, for ``times_over``; at most 28 digits."""
+    return (amount.cast(DecimalType(28, places)) * F.lit(Decimal(10 ** places))).cast(DecimalType(38, 0))
+
+
+def from_units(number: Column, places: int, dtype: DecimalType) -> Column:
+    return (number.cast(DecimalType(37 - places, 0)) * F.lit(Decimal(1).scaleb(-places)).cast(DecimalType(places, places))).cast(dtype)
+
+
 def dec(value: str) -> Column:
     return F.lit(Decimal(value))
 

@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costloom import constants as K
-from costloom.functions.columns import c, keep_unless, month_of, scaled
+from costloom.functions.columns import c, from_units, keep_unless, month_of, scaled, times_over, units
 from costloom.operators.fanout import fan_out
 from costloom.settings import DEFAULTS, Settings
 
 
-def with_share(g: DataFrame, col: str, name: str, dividend=K.TOTAL) -> DataFrame:
+def with_share(g: DataFrame, col: str, name: str, dividend=K.MONEY) -> DataFrame:
     """WIN1: each row's share of the grand total. The total is a partial aggregate whose one
-    row is broadcast back, and the quotient is decimal (rounded once, at 16 places)."""
-    total = g.agg(F.sum(col).cast(K.TOTAL).alias("_total")).withColumn("_one", F.lit(1))
+    row is broadcast back, and the quotient is exact (rounded once, at 16 places)."""
+    total = g.agg(F.sum(col).cast(K.MONEY).alias("_total")).withColumn("_one", F.lit(1))
+    share = times_over(units(c(col).cast(dividend), 12), F.lit(Decimal(10 ** 16)), units(c("_total"), 12))
     return (g.withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one")
-            .withColumn(name, (c(col).cast(dividend).cast(K.TOTAL) / c("_total")).cast(K.WEIGHT)).drop("_one", "_total"))
+            .withColumn(name, from_units(share, 16, K.WEIGHT)).drop("_one", "_total"))
 
 
 def infra_weights_daily(agg: DataFrame, azure: DataFrame, month: Column | int, cfg: Settings = DEFAULTS) -> DataFrame:
@@ -36,13 +39,13 @@ def infra_weights_daily(agg: DataFrame, azure: DataFrame, month: Column | int, c
 
 def infra_weights_monthly(final: DataFrame, azure: DataFrame, month: Column | int, cfg: Settings = DEFAULTS) -> DataFrame:
     """INF1, detail/summary variant: weights per company over Hosting retail cost and Azure
-    (a company present in both clouds merges); dividend at DECIMAL(19,8)."""
+    (a company present in both clouds merges); dividend at 8 places."""
     aws = (final.where((c("account_name") == cfg.hosting_account_name) & (c("user_company") != cfg.infra_company))
            .select("user_company", c("retail_cost").cast(K.MONEY).alias("retail_cost")))
     az = (azure.where(c("billing_period") == month_of(month))
           .select(c("tag_company").alias("user_company"), c("retail_cost").cast(K.MONEY).alias("retail_cost")))
     g = aws.unionByName(az).groupBy("user_company").agg(F.sum("retail_cost").cast(K.MONEY).alias("retail_cost"))
-    return with_share(g, "retail_cost", "weight", K.DEC19_8)
+    return with_share(g, "retail_cost", "weight", K.DIVIDEND)
 
 
 def redistribute_infra_daily(agg: DataFrame, weights: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:

@@ -5,12 +5,13 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costloom import constants as K
-from costloom.functions.columns import c, month_of, ntz, rate_text_to_decimal
+from costloom.functions.columns import c, from_units, month_of, ntz, rate_text_to_decimal, times_over, units
 from costloom.operators.normalize import DAILY_KEYS, DAILY_MEASURES, accounts_lookup, unkept
 from costloom.settings import DEFAULTS, Settings
 
@@ -130,14 +131,13 @@ def weight_actual_cost(agg: DataFrame, accounts: DataFrame, keep: Callable[[Data
     totals = (cs.groupBy(c("invoice_id").alias("t_invoice_id"), c("account_id").alias("t_account_id"))
               .agg(F.sum("retail_cost").alias("total_retail_cost"), F.sum("actual_cost").alias("total_actual_cost")))
     j = cs.join(totals, (c("invoice_id") == c("t_invoice_id")) & (c("account_id") == c("t_account_id")), "inner")
-    part, retail, actual = (c(x).cast(t) for x, t in (("retail_cost", K.DEC19_8), ("total_retail_cost", K.DEC19_8),
-                                                      ("total_actual_cost", K.DIVIDED)))
+    part, retail, actual = (units(c(x), 8) for x in ("retail_cost", "total_retail_cost", "total_actual_cost"))
     return j.select(
         *SUMMARY_KEYS, "actual_cost",
-        # multiplied before it is divided, all in decimals: exact up to the one rounding at 8 places
-        ((part * actual) / retail).cast(K.DEC38_8).alias("weighted_actual_cost"),
+        # multiplied before it is divided, in whole numbers: exact up to the one rounding at 8 places
+        from_units(times_over(part, actual, retail), 8, K.DEC38_8).alias("weighted_actual_cost"),
         "retail_cost",
-        (part / retail).cast(K.PERCENT).alias("retail_cost_percent"),
+        from_units(times_over(part, F.lit(Decimal(10 ** 10)), retail), 10, K.PERCENT).alias("retail_cost_percent"),
         F.lit("").alias("note"))
 
 

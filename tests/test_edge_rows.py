@@ -269,3 +269,33 @@ def test_billing_state(spark):
     b = DailyJob(catalog(spark, cost_usage_report=pending), 202401)
     assert a.billing_state().first().trx_source == "ACTUAL" and a.scalars["trx_source"] == "ACTUAL"
     assert b.billing_state().first().trx_source == "ESTIMATED"
+
+
+def test_shares_of_large_totals(spark):
+    """Totals of a large bill: products and quotients of more than 38 digits, exact at the last place."""
+    from costloom.functions.columns import from_units, times_over, units
+    from costloom.operators.infra import with_share
+    from costloom.operators.rollup import weight_actual_cost
+    import decimal
+    amounts = [("x", "A", D("1234567890123.12345678"), D("2345678901234.87654321")), ("x", "B", D("-99999999999.5"), D("33333333333.33333333")),
+               ("x", "C", D("0.00000001"), D("0.00000001"))]
+    agg = spark.createDataFrame([(199801, "INV", "ESTIMATED", FX.HOSTING, k, x, "Usage", a, r) for x, k, a, r in amounts],
+                                "invoice_month int, invoice_id string, trx_source string, account_id string, user_company string, user_product string, "
+                                "lineitem_type string, actual_cost decimal(38,8), retail_cost decimal(38,8)")
+    got = {r.user_company: r for r in weight_actual_cost(agg, catalog(spark).account_config).collect()}
+    with decimal.localcontext(prec=90, rounding=decimal.ROUND_HALF_UP):
+        actual, retail = (sum(x[i] for x in amounts) for i in (2, 3))
+        for _, k, _, part in amounts:
+            assert got[k].weighted_actual_cost == (part * actual / retail).quantize(D("1e-8"))
+            assert got[k].retail_cost_percent == (part / retail).quantize(D("1e-10"))
+        rows = [("a", D("123456789012345.123456789012")), ("b", D("-23456789012345.5")), ("c", None)]
+        shares = {r.k: r.w for r in with_share(spark.createDataFrame(rows, "k string, v decimal(28,12)"), "v", "w").collect()}
+        total = rows[0][1] + rows[1][1]
+        assert shares == {"a": (rows[0][1] / total).quantize(D("1e-16")), "b": (rows[1][1] / total).quantize(D("1e-16")), "c": None}
+        cases = [(D(p), D(f), D(t)) for p in ("0", "1", "-7", "99999999999999999999.99999999", "12345678.00000001") for f in ("0", "3", "-99999999999999999999.99999999")
+                 for t in ("7", "-99999999999999999999.99999999", "2", "3333333333333.33333333")
+                 if abs(D(p) * D(f) / D(t)) < D("1e20")]
+        df = spark.createDataFrame(cases, "p decimal(28,8), f decimal(28,8), t decimal(28,8)")
+        found = df.select("*", from_units(times_over(*(units(F.col(x), 8) for x in "pft")), 8, K.DEC38_8).alias("q")).collect()
+        assert len(found) == len(cases)
+        assert [r.q for r in found] == [(r.p * r.f / r.t).quantize(D("1e-8")) for r in found]
