@@ -43,17 +43,18 @@ def company_with_default(tag: Column, default_cost_center: Column) -> Column:
 
 def company_precedence(tag_company: Column, user_company: Column,
                        default_cost_center: Column) -> Column:
-    """Resource tag (raw) > account default when the user company trims blank > user company."""
+    """Resource tag (raw) > account default when the user company trims blank > user company. The latter two
+    come in upper case from their lookups."""
     return (F.when(tag_company.isNotNull(), tag_company)
-            .when(is_trim_blank(user_company), F.upper(default_cost_center))
-            .otherwise(F.upper(user_company)))
+            .when(is_trim_blank(user_company), default_cost_center)
+            .otherwise(user_company))
 
 
 def product_precedence(description: Column, tag_product: Column, user_product: Column, cfg: Settings = DEFAULTS) -> Column:
-    """Marketplace description > resource tag (raw) > ``UPPER(TRIM(NVL(user_product, '')))``."""
+    """Marketplace description > resource tag (raw) > user product, which its lookup has trimmed and put in upper case."""
     return (F.when(description.like(cfg.marketplace_description_prefix + "%"), F.lit(cfg.marketplace_product))
             .when(tag_product.isNotNull(), tag_product)
-            .otherwise(F.upper(F.trim(F.coalesce(user_product, F.lit(""))))))
+            .otherwise(F.coalesce(user_product, F.lit(""))))
 
 
 def is_support(product_name: Column) -> Column:
@@ -86,6 +87,12 @@ def scaled(measure: Column, weight: Column, dtype=K.MONEY) -> Column:
     return (measure.cast(narrow) * weight).cast(dtype)
 
 
+def second_part(text: Column, separator: str) -> Column:
+    """``split_part(text, separator, 2)`` without a regular expression for each row."""
+    at = F.locate(separator, text)
+    return F.when(at == 0, F.lit("")).otherwise(F.substring_index(text.substr(at + len(separator), F.length(text)), separator, 1))
+
+
 def times_over(part: Column, factor: Column, total: Column) -> Column:
     """``part * factor / total`` of whole numbers in DECIMAL(38,0), half up to a whole number. The product
     needs more than 38 digits once totals are large, so it is divided digit by digit in base 10**8: exact

@@ -12,7 +12,7 @@ from costloom import constants as K, session
 from costloom.operators import interval as IVL
 from costloom.operators.lookup import lookup_join
 from costloom.functions.columns import (c, company_precedence, company_with_default, is_support,
-                                        month_bounds, not_in, ntz, product_precedence)
+                                        month_bounds, not_in, ntz, product_precedence, second_part)
 from costloom.settings import DEFAULTS, Settings
 
 # Grouping keys of the hourly bill stage, in the reference's order.
@@ -124,13 +124,13 @@ def unkept(df: DataFrame, name: str) -> DataFrame:
 def _lookups(trx: DataFrame, accounts: DataFrame, rifee: DataFrame, ruser: DataFrame, rtag: DataFrame,
              rifee_on_invoice: bool, span: tuple[Column, Column], keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
     """``span``: time of the data, which owners must meet. ``keep`` stages the grid of resources with
-    many owners, whose file size then decides how it joins."""
-    ac = accounts_lookup(accounts)
+    many owners, whose file size then decides how it joins. Names are put in upper case once a lookup row."""
+    ac = accounts_lookup(accounts).withColumn("ac_default_cost_center", F.upper("ac_default_cost_center"))
     ri = rifee.select(c("ri_reservationarn").alias("ri_arn"), c("invoice_id").alias("ri_invoice_id"),
                       c("ri_normalizationfactor").alias("ri_nf"))
     ru = ruser.select(c("resource_id").alias("ru_resource_id"), c("resource_start_dt").alias("ru_start"),
                       c("resource_end_dt").alias("ru_end"), c("user_name").alias("ru_user_name"),
-                      c("user_company").alias("ru_user_company"), c("user_product").alias("ru_user_product"))
+                      F.upper("user_company").alias("ru_user_company"), F.upper(F.trim("user_product")).alias("ru_user_product"))
     rt = rtag.select(c("resource_id").alias("rt_resource_id"), c("user_company").alias("rt_user_company"),
                      c("user_product").alias("rt_user_product"))
     ri_keys = [("reservationarn", "ri_arn")] + ([("invoice_id", "ri_invoice_id")] if rifee_on_invoice else [])
@@ -180,7 +180,7 @@ def normalize_detail(trx: DataFrame, accounts: DataFrame, rifee: DataFrame, ruse
         F.coalesce(retail, F.lit(0)).cast(K.DEC38_8).alias("retail_cost"),
         F.coalesce(c("usage_quantity"), F.lit(0)).cast(K.MONEY).alias("quantity"),
         F.lit("").alias("note"),
-        F.split_part(c("usage_type"), F.lit(":"), F.lit(2)).alias("instance_size"),
+        second_part(c("usage_type"), ":").alias("instance_size"),
     )
 
 
@@ -215,5 +215,5 @@ def normalize_summary(trx: DataFrame, accounts: DataFrame, rifee: DataFrame, rus
         F.lit(source).alias("trx_source"),
         F.lit(None).cast("string").alias("note"),
         "usage_type",
-        F.split_part(c("usage_type"), F.lit(":"), F.lit(2)).alias("instance_size"),
+        second_part(c("usage_type"), ":").alias("instance_size"),
     )

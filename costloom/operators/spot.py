@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costloom import constants as K
-from costloom.functions.columns import c, scaled
+from costloom.functions.columns import c, scaled, second_part
 from costloom.operators.lookup import lookup_join
 
 #: (rows, name, facts about them) -> rows: how a job gathers facts while rows pass.
@@ -46,7 +46,7 @@ def fill_spot_daily(df: DataFrame, price_list: DataFrame, watch: Watch = unwatch
     the listed on-demand rate and ``rate * usage_amount``; a missing price leaves the row."""
     t, ut = c("line_item_line_item_type"), c("line_item_usage_type")
     spot = (t == K.USAGE) & ut.like("%Spot%")
-    size = F.split_part(ut, F.lit(":"), F.lit(2))
+    size = second_part(ut, ":")
     df = df.withColumns({
         "product_instance_type": F.when(spot, size).otherwise(c("product_instance_type")),
         "product_instance_type_family":

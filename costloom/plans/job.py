@@ -23,7 +23,7 @@ from costloom.operators import adhoc as ADH
 from costloom.operators import infra as INF
 from costloom.plans.sink import replace_month
 from costloom.plans.stats import stats_columns
-from costloom.session import materialize, remove_stages
+from costloom.session import compile_joins, materialize, remove_stages
 from costloom.settings import DEFAULTS, Settings
 from costloom.sources.catalog import Catalog
 
@@ -52,6 +52,7 @@ class MonthJob:
                  checkpoint: bool = True, settings: Settings = DEFAULTS):
         self.cat = catalog
         self.spark = catalog.spark
+        compile_joins(self.spark)
         self.invoice_month = invoice_month
         self.adhoc_scope = adhoc_scope
         self.checkpoint = checkpoint

@@ -11,6 +11,11 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Longer methods are interpreted by the JVM (HotSpot's HugeMethodLimit). The joins of the transaction grain in one
+#: generated method are longer; with this limit Spark generates one method an operator instead.
+METHOD_LIMIT, COMPILED_BYTES = "spark.sql.codegen.hugeMethodLimit", "8000"
+
+
 def build_session(app: str = "costloom", master: str | None = None,
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
@@ -27,6 +32,7 @@ def build_session(app: str = "costloom", master: str | None = None,
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        METHOD_LIMIT: COMPILED_BYTES,
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -38,6 +44,12 @@ def build_session(app: str = "costloom", master: str | None = None,
     return spark
 
 
+def compile_joins(spark: SparkSession) -> None:
+    """Lowers Spark's default limit on generated methods to what the JVM compiles; another setting stays."""
+    if spark.conf.get(METHOD_LIMIT) == "65535":
+        spark.conf.set(METHOD_LIMIT, COMPILED_BYTES)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; only a local session may fall back
     to a scratch folder of its own."""

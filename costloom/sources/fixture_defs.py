@@ -29,9 +29,11 @@ def money(x: str) -> str:
     return f"CAST(CAST({x} AS DECIMAL(12,2)) AS DECIMAL(28,12))"
 
 
-def _case(key: str, values, default: str) -> str:
+def _case(key: str, values, default: str) -> dict:
+    """The value at place ``key``, ``default`` outside and for NULL. Spark looks it up: its CASE computes the key
+    again for each arm, code too long for the JVM to compile."""
     arms = " ".join(f"WHEN {i} THEN {v}" for i, v in enumerate(values))
-    return f"CASE {key} {arms} ELSE {default} END"
+    return {"spark": f"coalesce(get(array({', '.join(values)}), CAST({key} AS INT)), {default})", "duckdb": f"CASE {key} {arms} ELSE {default} END"}
 
 
 def _q(s: str) -> str:

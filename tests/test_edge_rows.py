@@ -299,3 +299,27 @@ def test_shares_of_large_totals(spark):
         found = df.select("*", from_units(times_over(*(units(F.col(x), 8) for x in "pft")), 8, K.DEC38_8).alias("q")).collect()
         assert len(found) == len(cases)
         assert [r.q for r in found] == [(r.p * r.f / r.t).quantize(D("1e-8")) for r in found]
+
+
+def test_second_part_equals_split_part(spark):
+    from costloom.functions.columns import second_part
+    texts = ["", ":", "a", "a:", ":b", "a:b", "a:b:c", "::c", "APS1-SpotUsage:c5.large", "\u00e9:\u00fc\U0001F600:x", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    rows = df.select("t", second_part(F.col("t"), ":").alias("got"), F.split_part("t", F.lit(":"), F.lit(2)).alias("want")).collect()
+    assert [r.got for r in rows] == [r.want for r in rows]
+
+
+def test_transaction_grain_is_compiled(spark):
+    """Each row computes the key of a fixture list once and no text is put in upper case or split by a pattern above
+    the joins, and generated methods are no longer than what the JVM compiles."""
+    from costloom.session import METHOD_LIMIT
+    job = SummaryJob(FixtureCatalog(spark, SF001), "ESTIMATED", checkpoint=False)
+    assert int(spark.conf.get(METHOD_LIMIT)) <= 8000
+    plan = job.normalized._jdf.queryExecution().optimizedPlan().toString()
+    assert "upper(" not in plan.split("\n")[0].lower() and "split_part" not in plan
+    kind = dict(FX.DERIVED_VIEWS["usage_transaction"][0]["columns"])["lineitem_type"]
+    assert FX.expr_for(kind, "spark").count("l_orderkey") == 1
+    keys = [(k,) for k in (None, -1, 0, 1, 2, 3)]
+    text = {d: FX.expr_for(FX._case("k", ["'a'", "''", "'c'"], "'z'"), d) for d in ("spark", "duckdb")}
+    rows = spark.createDataFrame(keys, "k bigint").select(F.expr(text["spark"]).alias("got"), F.expr(text["duckdb"]).alias("want")).collect()
+    assert [r.got for r in rows] == [r.want for r in rows] == ["z", "z", "a", "", "c", "z"]
