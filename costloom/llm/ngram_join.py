@@ -69,7 +69,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 _LOWER = np.array([b | 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _BASE = 0x9FB21C651E98DF25
-_BLOCK = 1 << 20
+_BLOCK = 1 << 16  # bytes of text that are hashed at once
 
 
 def powers(n: int, base: int) -> np.ndarray:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from costloom.llm import ngram_join as nj
@@ -65,3 +67,18 @@ def test_big_group_of_near_copies_and_outsiders(spark):
     got = {r["doc_id"]: r["component_id"] for r in nj.group_documents(docs_frame(spark, rows).repartition(5)).collect()}
     assert got.pop(5000) == 5000
     assert set(got.values()) == {0}
+
+
+def test_shingler_holds_little_whatever_the_block(monkeypatch):
+    """Hashes do not depend on the block, and what a task holds besides its texts and their hashes is small."""
+    rng = random.Random(11)
+    texts = [" ".join(f"W{rng.randrange(50_000)}" for _ in range(300)).encode() for _ in range(900)]
+    texts += [b"", b" \t ", b"x" * 200_000, b"a b", "Ä 　 b c d".encode()]
+    tracemalloc.start()
+    got = nj.Shingler(4)(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 28e6
+    for block in (1 << 9, 1 << 20):
+        monkeypatch.setattr(nj, "_BLOCK", block)
+        assert all(np.array_equal(x, y) for x, y in zip(got, nj.Shingler(4)(texts), strict=True))
