@@ -81,21 +81,21 @@ class Store(dict):
 @dataclass
 class PackedTable:
     """A lookup table as sorted key hashes with aligned value arrays: about 8 bytes a key
-    plus its values, shared by all tasks of an executor's worker as one broadcast. ``known``
-    is a bounded store that a worker keeps beside it."""
+    plus its values, shared by all tasks of an executor's worker as one broadcast."""
 
     hashes: np.ndarray
     values: dict[str, np.ndarray] = field(default_factory=dict)
     offsets: np.ndarray | None = None
     payload: np.ndarray | None = None
-    known: Store = field(default_factory=lambda: Store(150_000))
 
     def find(self, keys: list[bytes]) -> np.ndarray:
         """Row of each key, or -1."""
         if not len(self.hashes):
             return np.full(len(keys), -1, np.int64)
         h = key_hash(keys)
-        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+        order = np.argsort(h)  # searched in order, so near places of the table are read together
+        at = np.empty(len(h), np.int64)
+        at[order] = np.minimum(np.searchsorted(self.hashes, h[order]), len(self.hashes) - 1)
         return np.where(self.hashes[at] == h, at, -1)
 
 
@@ -142,29 +142,39 @@ def pack_table(table: DataFrame, key: str, weight: str, values: dict[str, str],
                                              [f"p{i}" for i in range(len(parts))])
 
     n = 1 + len(values) + (2 if payload else 0)
-    got = head.select(*cols).mapInArrow(pack, ", ".join(f"p{i} binary" for i in range(n))).collect()
+    got = head.select(*cols).mapInArrow(pack, ", ".join(f"p{i} binary" for i in range(n))).toArrow()
 
     def join(i: int, dtype: str) -> np.ndarray:
-        return np.frombuffer(b"".join(r[i] for r in got), dtype)
+        """The parts of a column in one array; the driver holds each part once."""
+        nonlocal got
+        chunks = [c for c in got.column(f"p{i}").chunks if len(c)]
+        got = got.drop_columns(f"p{i}")
+        sizes = [pc.sum(pc.binary_length(c)).as_py() for c in chunks]
+        whole, at = np.empty(sum(sizes), np.uint8), 0
+        while chunks:
+            chunk, size = chunks.pop(0), sizes.pop(0)
+            first = int(np.frombuffer(chunk.buffers()[1], "<i4")[chunk.offset])
+            whole[at:at + size] = np.frombuffer(chunk.buffers()[2], np.uint8, size, first)
+            at += size
+        return whole.view(dtype)
 
-    columns = {c: join(1 + i, t) for i, (c, t) in enumerate(values.items())}
     hashes = join(0, "<u8")
-    if not payload:
-        got.clear()  # the driver holds each part once
     order = np.argsort(hashes, kind="stable")
-    out = PackedTable(hashes[order], {c: columns.pop(c)[order] for c in list(columns)})
+    out = PackedTable(hashes[order], {c: join(1 + i, t)[order] for i, (c, t) in enumerate(values.items())})
     del hashes
     if payload:
-        lengths, flat = join(n - 2, "<u4").astype(np.int64), join(n - 1, payload_dtype)
-        got.clear()
-        starts = (np.cumsum(lengths) - lengths)[order]
+        lengths, flat = join(n - 2, "<u4"), join(n - 1, payload_dtype)
+        place = np.uint32 if len(flat) < 1 << 32 else np.int64
+        starts = (np.cumsum(lengths, dtype=place) - lengths)[order].astype(place)
         lengths = lengths[order]
-        out.offsets = np.concatenate([[0], np.cumsum(lengths)])
+        del order
+        out.offsets = np.zeros(len(lengths) + 1, place)
+        np.cumsum(lengths, out=out.offsets[1:])
         out.payload = np.empty(len(flat), payload_dtype)
         for a in range(0, len(lengths), 200_000):  # in steps, so the index arrays stay small
             z = min(a + 200_000, len(lengths))
-            first, last = out.offsets[a], out.offsets[z]
-            out.payload[first:last] = flat[np.repeat(starts[a:z] - out.offsets[a:z], lengths[a:z]) + np.arange(first, last)]
+            first, last = int(out.offsets[a]), int(out.offsets[z])
+            out.payload[first:last] = flat[np.repeat(starts[a:z].astype(np.int64) - out.offsets[a:z], lengths[a:z]) + np.arange(first, last)]
     return out, rest
 
 

@@ -34,12 +34,13 @@ from __future__ import annotations
 
 import heapq
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -164,8 +165,8 @@ def merge_by_rank(unit: str, model: PieceModel) -> list[str]:
     return [unit[s:e] for s, e in enumerate(end) if e]
 
 
-#: A longer unit is looked up anew wherever it occurs, so the store holds no long strings.
-LONG_UNIT = 64
+#: Bytes of text that a task splits into units at once; each unit is a Python string meanwhile.
+SLICE = 1 << 20
 
 
 def units(text: str, pattern: re.Pattern) -> list[str]:
@@ -176,35 +177,46 @@ def count_units(docs: DataFrame, pattern: re.Pattern, max_pending: int = 300_000
     """(unit, n): every distinct unit, spaces as the model writes them."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-
-        def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array([u.replace(" ", SPACE) for u in seen], pa.string()),
-                                              pa.array(list(seen.values()), pa.int64())], ["unit", "n"])
-            seen.clear()
-            return out
-
-        for b in slices(batches):
-            for t in b.column("text").to_pylist():
-                seen.update(units(t, pattern))
-            if len(seen) > max_pending:
-                yield flush()
-        if seen:
-            yield flush()
+        held, size = [], 0
+
+        def combine() -> pa.Table:
+            return pa.concat_tables(held).group_by("unit", use_threads=False).aggregate([("n", "sum")]).rename_columns({"n_sum": "n"})
+
+        def flush(seen: pa.Table) -> Iterator[pa.RecordBatch]:
+            unit = pc.replace_substring(seen.column("unit"), " ", SPACE)
+            return iter(pa.table({"unit": unit, "n": seen.column("n")}).combine_chunks().to_batches())
+
+        for b in slices(batches, max_bytes=SLICE):
+            found = pa.array(list(chain.from_iterable(units(t, pattern) for t in b.column("text").to_pylist())), pa.string()).value_counts()
+            held.append(pa.table({"unit": found.field("values"), "n": found.field("counts")}))
+            size += len(found)
+            if size > max_pending:
+                held[:] = [combine()]
+                size = len(held[0])
+                if size > max_pending // 2:
+                    yield from flush(held.pop())
+                    size = 0
+        if size:
+            yield from flush(combine())
 
     return (docs.select("text").mapInArrow(count, "unit string, n long")
             .groupBy("unit").agg(F.sum("n").alias("n")))
 
 
+def _token(end: Column, piece: Column) -> Column:
+    """A token's end and piece (-1: none) in one number; 0 where no token starts."""
+    return F.shiftleft(end.cast("long"), 32) + piece + 1
+
+
 def _merge_fold(edges: Column, size: Column) -> Column:
-    """Tokens as (end, id) by their start; end 0 where no token starts."""
-    first = F.transform(F.sequence(F.lit(1), size), lambda e: F.struct(e.cast("int").alias("end"), F.lit(-1).alias("id")))
+    """Tokens by their start, as ``_token`` writes them."""
+    end = lambda state, at: F.shiftright(F.element_at(state, at + 1), 32)
+    first = F.transform(F.sequence(F.lit(1), size), lambda e: _token(e, F.lit(-1)))
 
     def take(state: Column, edge: Column) -> Column:
-        mid = F.element_at(state, edge["start"] + 1)["end"]
-        fits = (mid > 0) & (mid < edge["end"]) & (F.element_at(state, F.greatest(mid + 1, F.lit(1)))["end"] == edge["end"])
-        merged = F.transform(state, lambda t, i: F.when(i == edge["start"], F.struct(edge["end"].alias("end"), edge["id"].alias("id")))
-                             .when(i == mid, F.struct(F.lit(0).alias("end"), F.lit(-1).alias("id"))).otherwise(t))
+        mid = end(state, edge["start"])
+        fits = (mid > 0) & (mid < edge["end"]) & (end(state, F.greatest(mid, F.lit(0)).cast("int")) == edge["end"])
+        merged = F.transform(state, lambda t, i: F.when(i == edge["start"], _token(edge["end"], edge["id"])).when(i == mid, F.lit(0).cast("long")).otherwise(t))
         return F.when(F.coalesce(fits, F.lit(False)), merged).otherwise(state)
 
     return F.aggregate(F.filter(edges, lambda e: e["end"] > e["start"] + 1), first, take)
@@ -233,8 +245,7 @@ def _viterbi_fold(edges: Column, size: Column, unknown: float) -> Column:
                                                      F.element_at(best, p + 1)["id"].alias("id"))), s["path"]).alias("path"))).otherwise(s))
     tokens = back["path"]
     return F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.coalesce(
-        F.get(F.transform(F.filter(tokens, lambda t: t["start"] == i), lambda t: F.struct(t["end"].alias("end"), t["id"].alias("id"))), F.lit(0)),
-        F.struct(F.lit(0).alias("end"), F.lit(-1).alias("id"))))
+        F.get(F.transform(F.filter(tokens, lambda t: t["start"] == i), lambda t: _token(t["end"], t["id"])), F.lit(0)), F.lit(0).cast("long")))
 
 
 def lattice(unit_counts: DataFrame, model: PieceModel, long_unit: int = 256) -> DataFrame:
@@ -261,7 +272,7 @@ def lattice(unit_counts: DataFrame, model: PieceModel, long_unit: int = 256) ->
                .groupBy("unit").agg(F.first("n").alias("n"), F.collect_list(F.when(F.col("id").isNotNull(), edge)).alias("edges")))
     length = F.char_length("unit")
     if model.kind == "bpe":
-        tokens = _merge_fold(F.array_sort("edges"), length)
+        tokens = _merge_fold(F.sort_array("edges"), length)
     else:
         tokens = _viterbi_fold(F.col("edges"), length, min((s for _, _, s in model.pieces), default=0.0) - 10.0)
     folded = grouped.select("unit", "n", tokens.alias("tokens"))
@@ -273,8 +284,8 @@ def lattice(unit_counts: DataFrame, model: PieceModel, long_unit: int = 256) ->
             if not b.num_rows:
                 continue
             us, ts = b.column("unit").to_pylist(), b.column("tokens")
-            bounds, flat = ts.offsets.to_numpy() - ts.offsets[0].as_py(), ts.flatten()
-            ends, ids = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("end", "id"))
+            bounds, flat = ts.offsets.to_numpy() - ts.offsets[0].as_py(), ts.flatten().to_numpy(zero_copy_only=False)
+            ends, ids = flat >> 32, (flat & 0xFFFFFFFF) - 1  # as ``_token`` wrote them
             token = np.flatnonzero(ends > 0)
             row = np.searchsorted(bounds, token, "right") - 1
             start, value = token - bounds[row], ids[token]
@@ -318,6 +329,22 @@ def spellings(model: PieceModel) -> list[bytes]:
     return out
 
 
+def pick(offsets: np.ndarray, flat: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The lists number ``rows`` of a table of lists (``offsets`` into ``flat``), as one of the same form."""
+    first = offsets[rows].astype(np.int64)
+    out = np.concatenate([np.zeros(1, np.int64), np.cumsum(offsets[rows + 1].astype(np.int64) - first)])
+    return out, flat[np.repeat(first - out[:-1], np.diff(out)) + np.arange(out[-1])]
+
+
+def spread(offsets: np.ndarray, flat: np.ndarray, at: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """As ``pick`` for many places ``at`` of a small table, by Arrow, without an index for each number."""
+    width = flat.itemsize
+    table = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype("<i8") * width), pa.py_buffer(flat)])
+    out = table.take(at)
+    ends = np.frombuffer(out.buffers()[1], "<i8", len(at) + 1, 8 * out.offset) // width
+    return ends, np.frombuffer(out.buffers()[2], flat.dtype)[:ends[-1]] if ends[-1] else np.empty(0, flat.dtype)
+
+
 def encode(docs: DataFrame, model: PieceModel, broadcast_units: int = 8_000_000, keep: tuple[str, ...] = (), decoded: bool = False) -> DataFrame:
     """(doc_id, text, the columns of ``keep``, ids) for every row of ``docs`` (doc_id, text); with
     ``decoded`` also what ``decode`` gives, in the same pass."""
@@ -326,37 +353,45 @@ def encode(docs: DataFrame, model: PieceModel, broadcast_units: int = 8_000_000,
     names = docs.columns
     counts = materialize(count_units(docs, model.pattern), "sp-units")
     total = counts.count()
-    parts = shuffle_width(total, 150_000, spark.sparkContext.defaultParallelism)
+    parts = shuffle_width(total, 60_000, spark.sparkContext.defaultParallelism)
     lexicon = materialize(lattice(counts.repartition(parts, "unit"), model), "sp-lexicon")
     kind = "<u2" if max([model.unknown, *model.byte_ids, *model.ids.values()]) < 1 << 16 else "<u4"
     table, rest = pack_table(lexicon, "unit", "n", {}, broadcast_units, payload="ids", payload_dtype=kind)
     packed = spark.sparkContext.broadcast(table)
-    pattern, spelling = model.pattern, spark.sparkContext.broadcast(spellings(model) if decoded else [])
+    pattern, spelled = model.pattern, spellings(model) if decoded else []
+    spelling = spark.sparkContext.broadcast((np.cumsum([0, *map(len, spelled)]), np.frombuffer(b"".join(spelled), np.uint8)))
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t, numbers = packed.value, np.dtype(kind)
-        known = t.known  # ids of units, None beyond the broadcast; shared by a worker's tasks
-
-        def fetch(found: list[str]) -> dict[str, bytes | None]:
-            rows = t.find([u.replace(" ", SPACE).encode() for u in found]).tolist()
-            return {u: t.payload[t.offsets[i]:t.offsets[i + 1]].tobytes() if i >= 0 else None for u, i in zip(found, rows)}
-
-        for b in slices(batches):
+        for b in slices(batches, max_bytes=SLICE):
             lists = [units(x, pattern) for x in b.column("text").to_pylist()]
-            extra = b.column("extra").to_pylist() if "extra" in b.schema.names else [None] * len(lists)
-            got = fetch(known.lacking(u for us in lists for u in us))
-            long = {u: x for u, x in got.items() if len(u) > LONG_UNIT}
-            known.update((u, x) for u, x in got.items() if u not in long)
-            ids, missing = [], []
-            for us, more in zip(lists, extra):
-                own = long | {e["unit"].replace(SPACE, " "): np.array(e["ids"], numbers).tobytes() for e in more} if more else long
-                found = [own[u] if u in own else known[u] for u in us] if own else list(map(known.__getitem__, us))
-                lost = sorted({u.replace(" ", SPACE) for u, x in zip(us, found) if x is None}) if None in found else []
-                ids.append(None if lost else np.frombuffer(b"".join(found), numbers).astype("<i4"))
-                missing.append(lost)
-            back = [[None if x is None else decode_ids(x.tolist(), spelling.value) for x in ids]] if decoded else []
+            border = np.cumsum([0, *map(len, lists)])
+            found = pa.array(list(chain.from_iterable(lists)), pa.string()).dictionary_encode()
+            del lists
+            at, keys = found.indices.to_numpy(), pc.replace_substring(found.dictionary, " ", SPACE).cast(pa.binary()).to_pylist()
+            rows = t.find(keys)
+            own, small = pick(t.offsets, t.payload, np.maximum(rows, 0)) if len(t.hashes) else (np.zeros(len(rows) + 1, np.int64), np.empty(0, numbers))
+            lost = rows < 0
+            if lost.any():  # units beyond the broadcast: a text's own, fetched by the join, or none yet
+                extra = b.column("extra").to_pylist() if "extra" in b.schema.names else []
+                more = {e["unit"].encode(): e["ids"] for x in extra for e in x or []}
+                ids = [np.array(more.get(keys[i], []), numbers) if out else small[own[i]:own[i + 1]] for i, out in enumerate(lost.tolist())]
+                lost &= np.array([k not in more for k in keys])
+                own, small = np.cumsum([0, *map(len, ids)]), np.concatenate(ids)
+            token, ids = spread(own, small, found.indices)
+            gaps = np.concatenate([[0], np.cumsum(lost[at])])
+            without = np.diff(gaps[border]) > 0
+            missing = [[keys[i].decode() for i in np.unique(at[a:z][lost[at[a:z]]])] if out else [] for a, z, out in zip(border[:-1].tolist(), border[1:].tolist(), without.tolist())]
+            back = []
+            if decoded:
+                per_id, raw = spelling.value
+                inside, some = pick(per_id, raw, small.astype(np.int64))  # the bytes of each distinct unit, then those of the texts
+                ends, text = spread(inside[own], some, found.indices)
+                ends, text = ends[border].tolist(), text.tobytes()
+                back.append(pa.array([None if out else text[a:z].decode("utf-8", "replace").removeprefix(" ") for a, z, out in zip(ends, ends[1:], without.tolist())], pa.string()))
+            lengths = pa.array(token[border], pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [*[b.column(c) for c in names], pa.array(ids, pa.list_(pa.int32())), *[pa.array(x, pa.string()) for x in back], pa.array(missing, pa.list_(pa.string()))],
+                [*[b.column(c) for c in names], pa.ListArray.from_arrays(lengths, pa.array(ids.astype("<i4")), mask=pa.array(without)), *back, pa.array(missing, pa.list_(pa.string()))],
                 [*names, "ids", *made, "missing"])
 
     made = ["decoded"] if decoded else []
