@@ -70,6 +70,7 @@ _LOWER = np.array([b | 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _BASE = 0x9FB21C651E98DF25
 _BLOCK = 1 << 16  # bytes of text that are hashed at once
+_SLICE = 1 << 19  # bytes of text whose sets a task holds at once
 
 
 def powers(n: int, base: int) -> np.ndarray:
@@ -155,10 +156,10 @@ def survey(docs: DataFrame, params: JoinParams) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, counts = Shingler(params.width), np.zeros(size, np.int64)
         names = ["doc_id", "n", "node", "slot", "vector"]
-        for b in slices(batches):
+        for b in slices(batches, max_bytes=_SLICE):
             sets = shingles(b.column("text").cast(pa.binary()).to_pylist())
             ns, nodes = [len(s) for s in sets], [signature(s) if len(s) else None for s in sets]
-            counts += np.bincount((np.concatenate(sets) >> np.uint64(64 - params.count_bits)).astype(np.int64), minlength=size)
+            np.add.at(counts, (np.concatenate(sets) >> np.uint64(64 - params.count_bits)).astype(np.int64), 1)
             k = len(ns)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ns, pa.int64()), pa.array(nodes, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names)
         slots, blobs = vector_rows(counts)
@@ -181,7 +182,7 @@ def prefixes(docs: DataFrame, counts: np.ndarray, params: JoinParams) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, seen = Shingler(params.width), set()
         shift = np.uint64(64 - params.count_bits)
-        for b in slices(batches):
+        for b in slices(batches, max_bytes=_SLICE):
             grams, nodes, sizes, places = [], [], [], []
             for s in shingles(b.column("text").cast(pa.binary()).to_pylist()):
                 if not len(s) or (node := signature(s)) in seen:
@@ -276,7 +277,7 @@ def candidate_sets(docs: DataFrame, listed: DataFrame, shared: DataFrame, params
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, seen = Shingler(params.width), set()
-        for b in slices(batches):
+        for b in slices(batches, max_bytes=_SLICE):
             sets = {}
             for s in shingles(b.column("text").cast(pa.binary()).to_pylist()):
                 if len(s) and (node := signature(s)) not in seen:  # repeated rows of an id

@@ -6,6 +6,7 @@ import random
 import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from costloom.llm import ngram_join as nj
@@ -82,3 +83,20 @@ def test_shingler_holds_little_whatever_the_block(monkeypatch):
     for block in (1 << 9, 1 << 20):
         monkeypatch.setattr(nj, "_BLOCK", block)
         assert all(np.array_equal(x, y) for x, y in zip(got, nj.Shingler(4)(texts), strict=True))
+
+
+def test_a_task_holds_the_sets_of_half_a_megabyte_at_once():
+    class Docs:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, f, _):
+            return f
+
+    texts = [" ".join(f"w{k}x{i}" for i in range(900)) for k in range(600)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(600), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    out = list(nj.survey(Docs(), nj.JoinParams())(iter([batch])))
+    assert sum(len(t) for t in texts) > 4 << 20 and sum(b.num_rows for b in out[:-1]) == 600
+    assert max(b.num_rows for b in out[:-1]) * min(map(len, texts)) <= 1 << 20
+    counted = np.frombuffer(b"".join(out[-1].column("vector").to_pylist()), "<i8")
+    assert counted.sum() == sum(out[i].column("n").to_numpy().sum() for i in range(len(out) - 1)) == 600 * 897
