@@ -11,6 +11,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pandas as pd
 import pytest
 import struct
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from costloom.llm import (chat, components, decontaminate, fingerprints, ngram_join, quality, secrets, sentencepiece,
                           suffix_tree, toxicity, warc)
-from costloom.llm.common import materialize, pack_table
+from costloom.llm.common import key_hash, materialize, pack_table
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, score string, spans int, ids string, n int, node string"
@@ -406,6 +407,50 @@ def test_suffix_tree_by_joins_equals_dictionaries(spark, texts, words):
         assert math.isclose(r["score"], score(t), rel_tol=1e-9)
 
 
+@pytest.mark.parametrize("words,unit", [(8_000_000, 3), (8_000_000, 40), (300, 3), (300, 100_000)])
+def test_suffix_tree_in_units_equals_dictionaries(spark, texts, words, unit):
+    """Contexts of one, two and three words that are heavier than a unit, words beyond the table among them."""
+    params = suffix_tree.TreeParams(broadcast_runs=0, broadcast_words=words, unit_tokens=unit)
+    rows = [(i, " ".join((t or "").split()[:60])) for i, t in texts[:120]]
+    rows += [(1000 + i, "the same few words come again and again here") for i in range(20)]
+    rows += [(2000 + i, "again " * 30 + f"the same few words {' '.join(str(k % 7) for k in range(i))} again rare{i // 2}") for i in range(20)]
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    train = [lm_tokens(t) for i, t in rows if not held(i)]
+    score, uni = brute_tree(train, params, 2)
+    known, by = set().union(*train), dict(rows)
+    got = suffix_tree.score_documents(docs_frame(spark, rows), params=params).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(by) and any(r["held_out"] for r in got)
+    for r in got:
+        t = lm_tokens(by[r["doc_id"]])
+        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held(r["doc_id"]), len(t), sum(w in known for w in t), sum(map(len, train)))
+        assert math.isclose(r["base_score"], sum(math.log10(uni(w)) for w in t), rel_tol=1e-9)
+        assert math.isclose(r["score"], score(t), rel_tol=1e-9)
+
+
+def test_suffix_tree_units_stay_small_when_one_word_is_half_of_the_corpus(spark):
+    """What moves is a few bytes a token (rows of five longs each before), and no unit takes a common word whole."""
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join("the " + str(w) for w in (rng.zipf(1.3, 400) % 5000).tolist()) + " and so on" * 30) for i in range(300)]
+    docs = docs_frame(spark, rows).withColumn("train", F.lit(True))
+    vocabulary = sorted((w, k) for k, (w, _) in enumerate(Counter(w for _, t in rows for w in lm_tokens(t)).most_common()))
+    counts = Counter(w for _, t in rows for w in lm_tokens(t))
+    table = suffix_tree.PackedTable(*(lambda h: (h[np.argsort(h)], {"place": np.array([k for _, k in vocabulary], np.int32)[np.argsort(h)]}))(key_hash([w for w, _ in vocabulary])))
+    train = np.array([c for _, c in counts.most_common()] + [0])
+    broadcast, params = spark.sparkContext.broadcast, suffix_tree.TreeParams(unit_tokens=2000)
+    n = int(train.sum())
+    placed = suffix_tree.place_words(docs, broadcast(table))
+    corpus = suffix_tree.Corpus(params, broadcast(train), int((train >= 2).sum()), n, len(train) - 1, False)
+    heavy, tables = suffix_tree.fit_heavy(placed, corpus, 2000, 12)
+    assert [len(x) for x in heavy.n][0] > 3 and len(heavy.n) == len(tables) == 3
+    units = broadcast(suffix_tree.Units.of(heavy, n, 2000))
+    moved = suffix_tree.positions(placed, corpus, units).collect()
+    sizes = Counter()
+    for r in moved:
+        sizes[r["unit"]] += int.from_bytes(suffix_tree.unsqueeze(r["data"])[:8], "little")
+    assert n - sum(sizes.values()) < 0.02 * n + len(rows) and len(sizes) > 50
+    assert max(sizes.values()) < 3 * 2000 and sum(len(r["data"]) for r in moved) < 8 * n
+
+
 def test_runs_seen_twice_count_at_every_size(spark):
     """A run of four rare words that occurs twice is stored however many tokens surround it."""
     rare = "quagga zyzzyva ocelot numbat"
